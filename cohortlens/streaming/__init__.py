@@ -1,0 +1,6 @@
+"""Streaming: intentionally empty.
+
+The original tool has no streaming surface (no watermarks, windows over
+time, stateful operators or incremental sinks); every operator in this
+package is a batch DataFrame operator. Nothing is added here.
+"""
