@@ -39,6 +39,39 @@ def _mortality(mortality: DataFrame) -> DataFrame:
     return mortality
 
 
+def mortality_weights(mortality: DataFrame) -> DataFrame:
+    """(patientid, n_dead_rows, n_null_rows): how many mortality rows of a
+    patient have label 1 and label null.
+
+    Joining event rows with mortality multiplies each event by the number
+    of matching rows; these counts let per-patient aggregates reproduce
+    that fan-out exactly without joining event-level rows.
+    """
+    return mortality.groupBy("patientid").agg(
+        F.sum(F.when(F.col("label") == 1, 1).otherwise(0)).cast("long").alias("n_dead_rows"),
+        F.sum(F.when(F.col("label").isNull(), 1).otherwise(0)).cast("long").alias("n_null_rows"))
+
+
+def with_cohorts(per_patient: DataFrame, mortality: DataFrame) -> DataFrame:
+    """Tag per-patient rows: adds ``cohort`` and ``copies`` (the number of
+    joined rows the original event-level join would give that cohort).
+
+    alive: no mortality row (1 copy) or label-null rows (one copy each);
+    dead: label-1 rows (one copy each); label 0 is in neither. A patient
+    can be in both cohorts. The join is one row per patient on both sides,
+    so a patient with a huge share of events costs nothing extra here.
+    """
+    j = per_patient.join(mortality_weights(mortality), "patientid", "left")
+    alive = F.when(F.col("n_dead_rows").isNull(), F.lit(1)).otherwise(F.col("n_null_rows"))
+    dead = F.coalesce(F.col("n_dead_rows"), F.lit(0))
+    tags = F.array(F.struct(F.lit(ALIVE).alias("cohort"), alive.cast("long").alias("copies")),
+                   F.struct(F.lit(DEAD).alias("cohort"), dead.cast("long").alias("copies")))
+    keep = [c for c in per_patient.columns]
+    return (j.select(*keep, F.explode(tags).alias("_t"))
+            .where(F.col("_t.copies") > 0)
+            .select(*keep, F.col("_t.cohort").alias("cohort"), F.col("_t.copies").alias("copies")))
+
+
 def tag_cohort(events: DataFrame, mortality: DataFrame) -> DataFrame:
     """events + ``label`` + ``cohort`` ('alive', 'dead' or null for label 0).
 
@@ -102,3 +135,41 @@ def validate_unique(df: DataFrame, key: str = "patientid") -> DataFrame:
     """(key, n_rows) for every key that occurs more than once."""
     return (df.groupBy(key).agg(F.count(F.lit(1)).alias("n_rows"))
             .where(F.col("n_rows") > 1))
+
+
+def daily_counts(events: DataFrame) -> DataFrame:
+    """(patientid, eventid, etimestamp, n): event rows per patient, code and
+    day, ``n = count(eventid)`` (a null code keeps its row with n = 0).
+
+    The pre-aggregation that lets later joins work on at most one row per
+    (patient, code, day): partial aggregation runs before the shuffle, so a
+    patient holding a large share of the raw events is combined map-side.
+    """
+    return (_events(events).groupBy("patientid", "eventid", "etimestamp")
+            .agg(F.count("eventid").alias("n")))
+
+
+def index_dates_from_daily(daily: DataFrame, mortality: DataFrame,
+                           offset_days: int = INDEX_OFFSET_DAYS) -> DataFrame:
+    """``calculate_index_dates`` over ``daily_counts`` output: the alive
+    last-event date is aggregated per patient before the cohort tag is
+    joined (one row per patient on both sides)."""
+    mo = _mortality(mortality)
+    last = daily.groupBy("patientid").agg(F.max("etimestamp").alias("index_date"))
+    alive_index = (with_cohorts(last, mo).where(F.col("cohort") == ALIVE)
+                   .select("patientid", "index_date"))
+    dead_index = mo.select("patientid",
+                           F.date_sub(F.col("mtimestamp"), offset_days).alias("index_date"))
+    return alive_index.unionByName(dead_index)
+
+
+def window_counts(daily: DataFrame, index_dates: DataFrame,
+                  window_days: int = OBSERVATION_DAYS) -> DataFrame:
+    """(patientid, eventid, feature_value): ``aggregate_events(filter_events(...))``
+    computed from ``daily_counts`` rows (sum of n inside the window)."""
+    idx = index_dates.withColumn("index_date", as_date(index_dates, "index_date"))
+    in_window = F.col("etimestamp").between(
+        F.date_sub(F.col("index_date"), window_days), F.col("index_date"))
+    return (daily.join(idx, "patientid", "inner").where(in_window)
+            .groupBy("patientid", "eventid")
+            .agg(F.sum("n").alias("feature_value")))

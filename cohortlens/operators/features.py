@@ -47,9 +47,13 @@ def normalization(agg_events: DataFrame, maxima: DataFrame | None = None,
     if broadcast_rows is not None:
         per_code = broadcast_if_small(per_code, broadcast_rows)
     joined = agg_events.join(per_code, "eventid", "left")
+    return joined.select("patientid", "eventid", normalized_value().alias("normalized_feature_value"))
+
+
+def normalized_value():
+    """round(feature_value / max_value, 3); null (not an error) for 0 / 0."""
     ratio = F.try_divide(F.col("feature_value").cast("double"), F.col("max_value"))
-    return joined.select("patientid", "eventid",
-                         F.round(ratio, NORMALIZED_DECIMALS).alias("normalized_feature_value"))
+    return F.round(ratio, NORMALIZED_DECIMALS)
 
 
 def svmlight_convert(normalized: DataFrame, event_map: DataFrame,
@@ -66,15 +70,27 @@ def svmlight_convert(normalized: DataFrame, event_map: DataFrame,
     code_map = event_map.select("eventid", "event_index")
     if broadcast_rows is not None:
         code_map = broadcast_if_small(code_map, broadcast_rows)
-    joined = kept.join(code_map, "eventid", "inner")
+    return sparse_rows(kept.join(code_map, "eventid", "inner"))
+
+
+def sparse_rows(indexed: DataFrame) -> DataFrame:
+    """(patientid, sparse_feature) from rows (patientid, event_index,
+    normalized_feature_value) whose value is already known to be > 0."""
     pair = F.struct(F.col("event_index").alias("i"),
                     svm_token(F.col("event_index"),
                               F.col("normalized_feature_value")).alias("t"))
-    return (joined.groupBy("patientid")
+    return (indexed.groupBy("patientid")
             .agg(F.transform(F.array_sort(F.collect_list(pair)), lambda p: p["t"])
                  .alias("sparse_feature")))
 
 
+def code_stats(agg_events: DataFrame, num_partitions: int | None = None) -> DataFrame:
+    """(eventid, max_value, event_index): the per-code maximum and the dense
+    code index in one small, checkpointed table (non-null codes only)."""
+    return dense_index(code_maxima(agg_events), "eventid", "event_index", num_partitions,
+                       carry=("max_value",), unique=True)
+
+
 def svmlight_samples(svmlight: DataFrame, mortality: DataFrame) -> DataFrame:
     """(patientid, save_feature): ``"<label> i:v i:v ..."`` with label 1 iff
     the mortality label is 1, else 0. Built-in ``concat_ws`` on the array,

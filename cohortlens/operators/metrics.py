@@ -1,9 +1,10 @@
 """Cohort profile metrics and most-frequent codes.
 
-Everything is two aggregation levels: one ``groupBy(cohort, patientid)``
+Everything is two aggregation levels: one per-patient aggregation
 computing every per-patient figure in one pass (partial aggregation on the
 map side, so a patient with a huge share of events is combined before the
 shuffle), then one ``groupBy(cohort)`` computing every cohort figure. The
+cohort tag is joined to per-patient rows, never to event rows. The
 original tool ran 28 separate driver collects for the same numbers.
 """
 
@@ -12,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from cohortlens.operators.cohort import ALIVE, COHORTS, DEAD, _events
+from cohortlens.operators.cohort import ALIVE, COHORTS, DEAD, _events, with_cohorts
 
 # Median accuracy of the original tool (percentile_approx
 # with accuracy 1,000,000 returns an element of the data, the lower middle
@@ -27,20 +28,41 @@ def _cohort_list(spark) -> DataFrame:
         F.explode(F.array(*[F.lit(c) for c in COHORTS])).alias("cohort"))
 
 
-def patient_profile(tagged: DataFrame) -> DataFrame:
+def _finish_profile(df: DataFrame) -> DataFrame:
+    return df.select("cohort", "patientid", "n_events", "n_encounters", "first_date",
+                     "last_date", F.datediff("last_date", "first_date").alias("record_days"))
+
+
+def patient_profile(events: DataFrame, mortality: DataFrame) -> DataFrame:
     """(cohort, patientid, n_events, n_encounters, first_date, last_date,
     record_days) for every patient of the alive and dead cohorts.
 
+    Aggregates per patient first (map-side partial aggregation; the
+    distinct-day count is planned as two partial steps keyed by patient and
+    date), then tags the per-patient rows with their cohorts.
     n_encounters counts distinct non-null event dates; record_days is the
     number of days between the first and the last event.
     """
+    ev = _events(events)
+    per_patient = ev.groupBy("patientid").agg(
+        F.count(F.lit(1)).alias("_n"),
+        F.count_distinct("etimestamp").alias("n_encounters"),
+        F.min("etimestamp").alias("first_date"),
+        F.max("etimestamp").alias("last_date"))
+    tagged = with_cohorts(per_patient, mortality)
+    return _finish_profile(tagged.withColumn("n_events", F.col("_n") * F.col("copies")))
+
+
+def profile_from_tagged(tagged: DataFrame) -> DataFrame:
+    """Same columns as ``patient_profile`` from events already carrying a
+    ``cohort`` column (null = in no cohort)."""
     per_patient = (tagged.where(F.col("cohort").isNotNull())
                    .groupBy("cohort", "patientid")
                    .agg(F.count(F.lit(1)).alias("n_events"),
                         F.count_distinct("etimestamp").alias("n_encounters"),
                         F.min("etimestamp").alias("first_date"),
                         F.max("etimestamp").alias("last_date")))
-    return per_patient.withColumn("record_days", F.datediff("last_date", "first_date"))
+    return _finish_profile(per_patient)
 
 
 def _median(c: str):
@@ -85,14 +107,14 @@ def _per_cohort(metrics: DataFrame, names: dict[str, str]) -> tuple[DataFrame, D
 
 def event_count_metrics(alive_events: DataFrame, dead_events: DataFrame):
     """(alive, dead) one-row frames (avg, min, max) of events per patient."""
-    m = cohort_metrics(patient_profile(_tag_pair(alive_events, dead_events)))
+    m = cohort_metrics(profile_from_tagged(_tag_pair(alive_events, dead_events)))
     return _per_cohort(m, {"events_avg": "avg", "events_min": "min", "events_max": "max"})
 
 
 def encounter_count_metrics(alive_events: DataFrame, dead_events: DataFrame):
     """(alive, dead) one-row frames (avg, median, min, max) of distinct
     event days per patient."""
-    m = cohort_metrics(patient_profile(_tag_pair(alive_events, dead_events)))
+    m = cohort_metrics(profile_from_tagged(_tag_pair(alive_events, dead_events)))
     return _per_cohort(m, {"encounters_avg": "avg", "encounters_median": "median",
                            "encounters_min": "min", "encounters_max": "max"})
 
@@ -100,7 +122,7 @@ def encounter_count_metrics(alive_events: DataFrame, dead_events: DataFrame):
 def record_length_metrics(alive_events: DataFrame, dead_events: DataFrame):
     """(alive, dead) one-row frames (avg, median, min, max) of days between
     first and last event per patient."""
-    m = cohort_metrics(patient_profile(_tag_pair(alive_events, dead_events)))
+    m = cohort_metrics(profile_from_tagged(_tag_pair(alive_events, dead_events)))
     return _per_cohort(m, {"days_avg": "avg", "days_median": "median",
                            "days_min": "min", "days_max": "max"})
 
@@ -116,19 +138,8 @@ def top_codes(events: DataFrame, k: int = 5) -> DataFrame:
             .limit(k))
 
 
-def common_codes(tagged: DataFrame, k: int = 5) -> DataFrame:
-    """Top-``k`` codes per (cohort, code class) in one job.
-
-    (cohort, code_class, rank, eventid, code_count). The class test is
-    "contains" (LIKE '%DIAG%'), so one code may count in two classes. Codes
-    are counted per cohort first (map-side partial aggregation) and only
-    the aggregated rows are tagged with classes; ``row_number() <= k`` is
-    planned as a partial window-group limit before the shuffle.
-    """
+def _top_per_class(counted: DataFrame, k: int) -> DataFrame:
     classes = F.array(*[F.lit(c) for c in CODE_CLASSES])
-    counted = (tagged.where(F.col("cohort").isNotNull())
-               .groupBy("cohort", "eventid")
-               .agg(F.count(F.lit(1)).alias("code_count")))
     by_class = counted.select(
         "cohort", "eventid", "code_count",
         F.explode(F.filter(classes, lambda c: F.col("eventid").contains(c))).alias("code_class"))
@@ -139,10 +150,36 @@ def common_codes(tagged: DataFrame, k: int = 5) -> DataFrame:
             .select("cohort", "code_class", "rank", "eventid", "code_count"))
 
 
+def common_codes(events: DataFrame, mortality: DataFrame, k: int = 5) -> DataFrame:
+    """Top-``k`` codes per (cohort, code class) in one job.
+
+    (cohort, code_class, rank, eventid, code_count). The class test is
+    "contains" (LIKE '%DIAG%'), so one code may count in two classes.
+    Events are counted per (patient, code) first (map-side partial
+    aggregation), tagged per patient, summed per (cohort, code), and only
+    those rows get classes; ``row_number() <= k`` is planned as a partial
+    window-group limit before the shuffle.
+    """
+    per_code = (_events(events).groupBy("patientid", "eventid")
+                .agg(F.count(F.lit(1)).alias("_n")))
+    tagged = with_cohorts(per_code, mortality)
+    counted = (tagged.groupBy("cohort", "eventid")
+               .agg(F.sum(F.col("_n") * F.col("copies")).alias("code_count")))
+    return _top_per_class(counted, k)
+
+
+def common_codes_from_tagged(tagged: DataFrame, k: int = 5) -> DataFrame:
+    """``common_codes`` for events already carrying a ``cohort`` column."""
+    counted = (tagged.where(F.col("cohort").isNotNull())
+               .groupBy("cohort", "eventid")
+               .agg(F.count(F.lit(1)).alias("code_count")))
+    return _top_per_class(counted, k)
+
+
 def common_codes_by_class(alive_events: DataFrame, dead_events: DataFrame, k: int = 5):
     """Six frames in the original order: alive diag, lab, med, dead diag,
     lab, med; each (eventid, <class>_count) sorted by rank."""
-    tidy = common_codes(_tag_pair(alive_events, dead_events), k)
+    tidy = common_codes_from_tagged(_tag_pair(alive_events, dead_events), k)
     out = []
     for cohort in COHORTS:
         for cls in CODE_CLASSES:

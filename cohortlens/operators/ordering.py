@@ -42,9 +42,13 @@ def _partition_offsets(part_totals: DataFrame, value_cols: list[str]) -> DataFra
 
 
 def dense_index(df: DataFrame, key: str, index_col: str = "index",
-                num_partitions: int | None = None) -> DataFrame:
+                num_partitions: int | None = None, carry: tuple[str, ...] = (),
+                unique: bool = False) -> DataFrame:
     """Distinct non-null ``key`` values numbered 0..n-1 in ascending order.
 
+    ``unique=True`` states that ``df`` already has one row per key (no
+    distinct step); ``carry`` columns of such a table are kept.
+
     The zipWithIndex idea in DataFrame form: after a range repartition and a
     sort within partitions, ``monotonically_increasing_id`` carries the
     partition number and the row position; the checkpoint makes that
@@ -53,18 +57,23 @@ def dense_index(df: DataFrame, key: str, index_col: str = "index",
     spark = df.sparkSession
     checkpoint_dir(spark)
     n = _num_partitions(df, num_partitions)
-    values = df.select(key).where(F.col(key).isNotNull()).distinct()
+    if carry and not unique:
+        raise ValueError("carry columns need unique=True")
+    values = df.select(key, *carry).where(F.col(key).isNotNull())
+    if not unique:
+        values = values.distinct()
     zipped = (values.repartitionByRange(n, key)
               .sortWithinPartitions(key)
-              .select(key, F.monotonically_increasing_id().alias("_mid"))
+              .select(key, *carry, F.monotonically_increasing_id().alias("_mid"))
               .checkpoint(eager=True)
-              .select(key,
+              .select(key, *carry,
                       F.shiftright(F.col("_mid"), _ROW_BITS).alias("_part"),
                       F.col("_mid").bitwiseAND(F.lit(_ROW_MASK)).alias("_pos")))
     totals = zipped.groupBy("_part").agg(F.count(F.lit(1)).alias("_tot_n"))
     offsets = _partition_offsets(totals, ["n"])
     return (zipped.join(F.broadcast(offsets), "_part")
-            .select(key, (F.col("_off_n") + F.col("_pos")).cast("bigint").alias(index_col)))
+            .select(key, *carry,
+                    (F.col("_off_n") + F.col("_pos")).cast("bigint").alias(index_col)))
 
 
 def running_totals(df: DataFrame, order: Column, value_cols: list[str],

@@ -18,7 +18,6 @@ from cohortlens.operators.cohort import (
     calculate_index_dates,
     filter_events,
     split_alive_dead,
-    tag_cohort,
     validate_unique,
 )
 from cohortlens.operators.evaluation import auc, confusion_counts, roc_points
@@ -204,11 +203,6 @@ def _with(*blocks: str) -> str:
 
 # -------------------------------------------------------------- cohorts --
 
-def _tagged(spark, sf_dir):
-    ev, mo = cohort_inputs(spark, sf_dir)
-    return tag_cohort(ev, mo)
-
-
 @register("split_alive", _with(BASE) + """
 select patientid, eventid, etimestamp, value from tagged where cohort = 'alive'""")
 def q_split_alive(spark, sf_dir):
@@ -226,7 +220,7 @@ def q_split_dead(spark, sf_dir):
 @register("patient_profile", _with(BASE, PROFILE) + """
 select cohort, patientid, n_events, n_encounters, first_date, last_date, record_days from prof""")
 def q_patient_profile(spark, sf_dir):
-    return patient_profile(_tagged(spark, sf_dir))
+    return patient_profile(*cohort_inputs(spark, sf_dir))
 
 
 @register("cohort_metrics", _with(BASE, PROFILE) + f"""
@@ -236,7 +230,7 @@ select cohort, round(events_avg, {DIGITS}) as events_avg, events_min, events_max
        round(days_avg, {DIGITS}) as days_avg, days_median, days_min, days_max
 from summary""")
 def q_cohort_metrics(spark, sf_dir):
-    m = cohort_metrics(patient_profile(_tagged(spark, sf_dir)))
+    m = cohort_metrics(patient_profile(*cohort_inputs(spark, sf_dir)))
     return m.select("cohort", _r("events_avg"), "events_min", "events_max",
                     _r("encounters_avg"), "encounters_median", "encounters_min", "encounters_max",
                     _r("days_avg"), "days_median", "days_min", "days_max")
@@ -246,7 +240,7 @@ def q_cohort_metrics(spark, sf_dir):
 select cohort, round(events_avg, {DIGITS}) as avg, events_min as min, events_max as max
 from summary""")
 def q_event_count_metrics(spark, sf_dir):
-    m = cohort_metrics(patient_profile(_tagged(spark, sf_dir)))
+    m = cohort_metrics(patient_profile(*cohort_inputs(spark, sf_dir)))
     return m.select("cohort", _r("events_avg", "avg"), F.col("events_min").alias("min"),
                     F.col("events_max").alias("max"))
 
@@ -256,7 +250,7 @@ select cohort, round(encounters_avg, {DIGITS}) as avg, encounters_median as medi
        encounters_min as min, encounters_max as max
 from summary""")
 def q_encounter_count_metrics(spark, sf_dir):
-    m = cohort_metrics(patient_profile(_tagged(spark, sf_dir)))
+    m = cohort_metrics(patient_profile(*cohort_inputs(spark, sf_dir)))
     return m.select("cohort", _r("encounters_avg", "avg"),
                     F.col("encounters_median").alias("median"),
                     F.col("encounters_min").alias("min"), F.col("encounters_max").alias("max"))
@@ -267,7 +261,7 @@ select cohort, round(days_avg, {DIGITS}) as avg, days_median as median,
        days_min as min, days_max as max
 from summary""")
 def q_record_length_metrics(spark, sf_dir):
-    m = cohort_metrics(patient_profile(_tagged(spark, sf_dir)))
+    m = cohort_metrics(patient_profile(*cohort_inputs(spark, sf_dir)))
     return m.select("cohort", _r("days_avg", "avg"), F.col("days_median").alias("median"),
                     F.col("days_min").alias("min"), F.col("days_max").alias("max"))
 
@@ -295,7 +289,7 @@ ranked as (
 select cohort, code_class, cast(rank as int) as rank, eventid, code_count
 from ranked where rank <= 5""")
 def q_common_codes(spark, sf_dir):
-    return common_codes(_tagged(spark, sf_dir), 5)
+    return common_codes(*cohort_inputs(spark, sf_dir), 5)
 
 
 @register("validate_unique", _with(BASE) + """

@@ -5,23 +5,20 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
-from cohortlens.operators.cohort import tag_cohort
 from cohortlens.operators.metrics import cohort_metrics, common_codes, patient_profile
 
 
 def cohort_profile(events: DataFrame, mortality: DataFrame, k: int = 5) -> dict[str, DataFrame]:
-    """{'tagged', 'patients', 'metrics', 'common_codes'}.
+    """{'patients', 'metrics', 'common_codes'}.
 
     ``metrics`` has one row per cohort with event-count, encounter and
     record-length figures; ``common_codes`` the top-k codes per cohort and
-    class. Both come from the same tagged events; cache ``tagged`` when
-    both are computed over large inputs.
+    class. Both aggregate the events per patient (resp. per patient and
+    code) before joining the cohort tag, so no event-level join happens.
     """
-    tagged = tag_cohort(events, mortality)
-    patients = patient_profile(tagged)
+    patients = patient_profile(events, mortality)
     return {
-        "tagged": tagged,
         "patients": patients,
         "metrics": cohort_metrics(patients),
-        "common_codes": common_codes(tagged, k),
+        "common_codes": common_codes(events, mortality, k),
     }

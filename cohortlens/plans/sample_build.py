@@ -5,45 +5,73 @@ from __future__ import annotations
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-from cohortlens.operators.cohort import calculate_index_dates, filter_events
+from cohortlens.operators.cohort import daily_counts, index_dates_from_daily, window_counts
 from cohortlens.operators.features import (
-    aggregate_events,
-    code_maxima,
-    generate_feature_mapping,
+    code_stats,
     normalization,
+    normalized_value,
+    sparse_rows,
     svmlight_convert,
     svmlight_samples,
 )
-from cohortlens.operators.joins import DEFAULT_BROADCAST_ROWS
+from cohortlens.operators.joins import DEFAULT_BROADCAST_ROWS, broadcast_if_small
+
+_CACHED = ("daily", "agg_events")
 
 
 def build_samples(events: DataFrame, mortality: DataFrame,
                   event_map: DataFrame | None = None, maxima: DataFrame | None = None,
                   broadcast_rows: int | None = DEFAULT_BROADCAST_ROWS) -> dict[str, DataFrame]:
-    """All intermediate tables of the feature job, lazily.
+    """All intermediate tables of the feature job.
+
+    Plan: events are pre-aggregated once per (patient, code, day) and that
+    table feeds both the index dates and the window filter (persisted, so
+    the event source is read once). The per-code table — maximum count and
+    dense index together — is small and checkpointed; after a row-count
+    check it is broadcast, so normalisation, indexing and the ``> 0`` filter
+    are one map-side join. Sparse rows are one ``collect_list`` per patient.
 
-    ``agg_events`` feeds both the code index and the normalisation, so it
-    is persisted (memory and disk; lost blocks are recomputed from lineage)
-    — call ``.unpersist()`` on it when done. ``event_map`` / ``maxima`` may
-    be passed in, e.g. fitted on a training side; by default both are
-    fitted on all patients, as the original tool does.
+    ``event_map`` / ``maxima`` may be passed in (e.g. fitted on a training
+    side); by default both are fitted on all patients, as the original tool
+    does. Call ``release(result)`` when done with the tables.
     """
-    index_dates = calculate_index_dates(events, mortality)
-    filtered = filter_events(events, index_dates)
-    agg = aggregate_events(filtered).persist(StorageLevel.MEMORY_AND_DISK)
-    code_map = event_map if event_map is not None else generate_feature_mapping(agg)
-    per_code = maxima if maxima is not None else code_maxima(agg)
-    normalized = normalization(agg, per_code, broadcast_rows)
-    svmlight = svmlight_convert(normalized, code_map, broadcast_rows)
+    daily = daily_counts(events).persist(StorageLevel.MEMORY_AND_DISK)
+    index_dates = index_dates_from_daily(daily, mortality)
+    agg = window_counts(daily, index_dates).persist(StorageLevel.MEMORY_AND_DISK)
+    if event_map is None and maxima is None:
+        stats = code_stats(agg)
+        side = broadcast_if_small(stats, broadcast_rows) if broadcast_rows is not None else stats
+        normalized = (agg.join(side, "eventid", "inner")
+                      .select("patientid", "eventid", "event_index",
+                              normalized_value().alias("normalized_feature_value")))
+        svmlight = sparse_rows(normalized.where(F.col("normalized_feature_value") > 0))
+        event_map = stats.select("eventid", "event_index")
+        maxima = stats.select("eventid", "max_value")
+        normalized = normalized.drop("event_index")
+    else:
+        if event_map is None or maxima is None:
+            fitted = code_stats(agg)
+            event_map = event_map if event_map is not None else fitted.select("eventid", "event_index")
+            maxima = maxima if maxima is not None else fitted.select("eventid", "max_value")
+        normalized = normalization(agg, maxima, broadcast_rows)
+        svmlight = svmlight_convert(normalized, event_map, broadcast_rows)
     samples = svmlight_samples(svmlight, mortality)
     return {
+        "daily": daily,
         "index_dates": index_dates,
-        "filtered": filtered,
         "agg_events": agg,
-        "event_map": code_map,
-        "maxima": per_code,
+        "event_map": event_map,
+        "maxima": maxima,
         "normalized": normalized,
         "svmlight": svmlight,
         "samples": samples,
     }
+
+
+def release(tables: dict[str, DataFrame]) -> None:
+    """Unpersist the tables ``build_samples`` cached."""
+    for name in _CACHED:
+        if name in tables:
+            tables[name].unpersist()

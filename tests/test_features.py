@@ -16,6 +16,7 @@ from cohortlens.operators import (
     svmlight_samples,
 )
 from cohortlens.plans import build_samples
+from cohortlens.plans.sample_build import release
 from conftest import rows
 
 
@@ -158,4 +159,22 @@ def test_build_samples_end_to_end(spark):
     mortality = spark.createDataFrame([(2, "2000-03-01", 1)], ["patientid", "mtimestamp", "label"])
     out = build_samples(events, mortality)
     assert rows(out["samples"]) == [(1, "0 0:1.000 1:1.000"), (2, "1 0:0.500 1:1.000")]
-    out["agg_events"].unpersist()
+    release(out)
+
+
+def test_build_samples_equals_operator_chain(spark):
+    from test_metrics import _fanout_inputs
+    events, mortality = _fanout_inputs(spark)
+    idx = calculate_index_dates(events, mortality)
+    out = build_samples(events, mortality)
+    assert rows(out["index_dates"]) == rows(idx)
+    agg = aggregate_events(filter_events(events, idx))
+    assert rows(out["agg_events"]) == rows(agg)
+    chain = svmlight_samples(svmlight_convert(normalization(agg), generate_feature_mapping(agg)),
+                             mortality)
+    assert rows(out["samples"]) == rows(chain)
+    # a map fitted elsewhere goes through the separate-join path
+    again = build_samples(events, mortality, event_map=out["event_map"])
+    assert rows(again["samples"]) == rows(chain)
+    release(out)
+    release(again)

@@ -17,7 +17,12 @@ from cohortlens.operators import (
     top_codes,
     validate_unique,
 )
-from cohortlens.operators.metrics import cohort_metrics, patient_profile
+from cohortlens.operators.metrics import (
+    cohort_metrics,
+    common_codes_from_tagged,
+    patient_profile,
+    profile_from_tagged,
+)
 from conftest import rows
 
 # (patientid, n_events, n_encounters, record_days)
@@ -87,7 +92,7 @@ def test_empty_cohort_gives_null_row(spark):
     events = spark.createDataFrame([(1, "DIAG1", "2000-01-01", 1.0)],
                                    ["patientid", "eventid", "etimestamp", "value"])
     mortality = spark.createDataFrame([], "patientid long, mtimestamp string, label int")
-    m = {r["cohort"]: r for r in cohort_metrics(patient_profile(tag_cohort(events, mortality))).collect()}
+    m = {r["cohort"]: r for r in cohort_metrics(patient_profile(events, mortality)).collect()}
     assert m["alive"]["events_max"] == 1
     assert m["dead"]["events_avg"] is None and m["dead"]["days_median"] is None
     alive, dead = event_count_metrics(*split_alive_dead(events, mortality))
@@ -108,7 +113,7 @@ def test_common_codes_contains_rule_and_limit(spark):
         data += [(1, code, "2000-01-01", 1.0)] * n
     events = spark.createDataFrame(data, ["patientid", "eventid", "etimestamp", "value"])
     mortality = spark.createDataFrame([], "patientid long, mtimestamp string, label int")
-    tidy = common_codes(tag_cohort(events, mortality), k=2)
+    tidy = common_codes(events, mortality, k=2)
     got = rows(tidy, "cohort", "code_class", "rank", "eventid", "code_count")
     assert got == sorted([
         ("alive", "DIAG", 1, "DIAG1", 5), ("alive", "DIAG", 2, "DIAG2", 4),
@@ -139,3 +144,24 @@ def test_csv_reader_roundtrip(spark, tmp_path):
     assert (None, "DIAG1", None, None) in got
     assert rows(read_mortality(spark, str(mo))) == [(13905, dt.date(2000, 1, 30), 1)]
     assert e.where(F.col("patientid").isNull()).count() == 1
+
+
+def _fanout_inputs(spark):
+    events = spark.createDataFrame(
+        [(p, c, f"2000-01-{d:02d}", 1.0)
+         for p in range(1, 7) for d in range(1, 4 + p) for c in ("DIAG1", "LAB2", "DRUG3")[: 1 + d % 3]]
+        + [(6, None, "2000-02-01", 1.0), (6, "DIAG1", None, 1.0)],
+        "patientid long, eventid string, etimestamp string, value double")
+    mortality = spark.createDataFrame(
+        [(2, "2000-03-01", 1), (3, "2000-03-01", 1), (3, "2000-03-05", 1),   # duplicate dead rows
+         (4, "2000-03-01", None), (4, "2000-03-02", None),                   # two null-label rows
+         (5, "2000-03-01", 0), (6, "2000-03-01", None), (6, "2000-03-01", 1)],
+        "patientid long, mtimestamp string, label int")
+    return events, mortality
+
+
+def test_patient_level_tagging_equals_event_level_join(spark):
+    events, mortality = _fanout_inputs(spark)
+    tagged = tag_cohort(events, mortality)
+    assert rows(patient_profile(events, mortality)) == rows(profile_from_tagged(tagged))
+    assert rows(common_codes(events, mortality, 3)) == rows(common_codes_from_tagged(tagged, 3))
