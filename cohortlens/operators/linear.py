@@ -29,6 +29,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -124,24 +125,26 @@ def gd_step(samples: DataFrame, weights: DataFrame, eta: float, mu: float,
 
 
 def train_gd(samples: DataFrame, steps: int, eta: float = DEFAULT_ETA, mu: float = DEFAULT_MU,
-             id_col: str = "patientid", rule: str = "textbook", checkpoint_every: int = 5,
+             id_col: str = "patientid", rule: str = "textbook",
              weights: DataFrame | None = None) -> DataFrame:
     """``steps`` full-batch steps from zero weights (or ``weights``).
 
-    The exploded samples are cached once; the weights' lineage is cut with a
-    reliable checkpoint every ``checkpoint_every`` steps.
+    The samples are persisted once (memory and disk). Each step's weight
+    table — at most one row per feature — is written with a reliable
+    checkpoint: the next step's broadcast size check and join then read it
+    instead of recomputing earlier steps, and the lineage stays one step
+    long whatever the number of steps.
     """
     spark = samples.sparkSession
     if rule not in RULES:
         raise ValueError(f"rule must be one of {RULES}")
-    data = samples.select(id_col, "y", "x").persist()
+    checkpoint_dir(spark)
+    data = samples.select(id_col, "y", "x").persist(StorageLevel.MEMORY_AND_DISK)
     n = data.count()
     w = weights if weights is not None else zero_weights(spark)
-    for step in range(1, steps + 1):
-        w = gd_step(data, w, eta, mu, n, id_col, rule)
-        if checkpoint_every and step % checkpoint_every == 0 and step < steps:
-            checkpoint_dir(spark)
-            w = w.checkpoint(eager=True)
+    for _ in range(steps):
+        w = gd_step(data, w, eta, mu, n, id_col, rule).checkpoint(eager=True)
+    data.unpersist()
     return w
 
 
@@ -229,6 +232,9 @@ def train_sgd(samples: DataFrame, n_feature: int, eta: float = DEFAULT_ETA,
     if n_feature > MAX_DENSE_FEATURES:
         raise ValueError(f"n_feature {n_feature} above {MAX_DENSE_FEATURES}")
     spark = samples.sparkSession
+    reused = validate or epochs > 1
+    if reused:
+        samples = samples.persist(StorageLevel.MEMORY_AND_DISK)
     if validate:
         check_feature_range(samples, n_feature)
     order_col = order_col or id_col
@@ -265,6 +271,8 @@ def train_sgd(samples: DataFrame, n_feature: int, eta: float = DEFAULT_ETA,
                  .agg((F.sum("weight") / F.lit(float(max(n_shards, 1)))).alias("weight")))
         if epochs > 1:
             current = _dense(mixed, n_feature)
+    if reused:
+        samples.unpersist()
     return mixed
 
 

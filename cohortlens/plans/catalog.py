@@ -428,9 +428,11 @@ def q_confusion_counts(spark, sf_dir):
 
 @register("train_sgd", None)
 def q_train_sgd(spark, sf_dir):
-    parsed = _parsed(spark, sf_dir)
-    n_feature = int(parsed.select(F.explode("x").alias("e")).agg(F.max("e.i")).first()[0] or 0) + 1
-    return train_sgd(parsed, n_feature, eta=Q_ETA, mu=Q_MU, shards=4)
+    ev, mo = cohort_inputs(spark, sf_dir)
+    built = build_samples(ev, mo)
+    n_feature = built["event_map"].count()          # dense index: 0..n-1
+    parsed = parse_svmlight(built["samples"], "save_feature").select("patientid", "y", "x")
+    return train_sgd(parsed, n_feature, eta=Q_ETA, mu=Q_MU, shards=4, validate=False)
 
 
 # ----------------------------------------------------------- evaluation --
