@@ -131,54 +131,84 @@ samples as (
   from svm s left join (select patientid, label from mo) m on s.patientid = m.patientid)
 """
 
-PARSED = """
-parsed as (
+def _parsed_sql(src: str, name: str) -> str:
+    """``{name}`` (patientid, y, feature_index, feature_value) exploded from
+    sample lines in table ``src``; ``{name}_y`` (patientid, y) one row per
+    line; ``{name}_n`` the line count."""
+    return f"""
+{name} as (
   select patientid, cast(toks[1] as double) as y,
          cast(split_part(t, ':', 1) as int) as feature_index,
          cast(split_part(t, ':', 2) as double) as feature_value
   from (select patientid, toks, unnest(toks[2:]) as t
         from (select patientid, regexp_split_to_array(trim(save_feature), '\\s+') as toks
-              from samples))),
-labels_y as (
+              from {src}))),
+{name}_y as (
   select patientid, cast(regexp_split_to_array(trim(save_feature), '\\s+')[1] as double) as y
-  from samples),
-nsamp as (select count(*) as n from labels_y)
+  from {src}),
+{name}_n as (select count(*) as n from {name}_y)
 """
 
 
-def _gd_sql(prev: str, name: str) -> str:
-    """One textbook full-batch step from weights table ``prev``."""
+def _gd_sql(parsed: str, prev: str, name: str, rule: str = "textbook") -> str:
+    """One full-batch step over ``parsed`` from weights table ``prev``."""
     shrink = 1.0 - 2.0 * Q_ETA * Q_MU
+    term = ("p.feature_value * (p.y - 1.0 / (1.0 + exp(-mm.m)))" if rule == "textbook"
+            else "p.y - p.feature_value / (1.0 + exp(-abs(mm.m)))")
     return f"""
 {name}_m as (
   select p.patientid, sum(coalesce(w.weight, 0.0) * p.feature_value) as m
-  from parsed p left join {prev} w on p.feature_index = w.feature_index
+  from {parsed} p left join {prev} w on p.feature_index = w.feature_index
   group by p.patientid),
 {name}_g as (
-  select p.feature_index,
-         sum(p.feature_value * (p.y - 1.0 / (1.0 + exp(-mm.m)))) as g
-  from parsed p join {name}_m mm on p.patientid = mm.patientid
+  select p.feature_index, sum({term}) as g
+  from {parsed} p join {name}_m mm on p.patientid = mm.patientid
   group by p.feature_index),
 {name} as (
   select coalesce(o.feature_index, g.feature_index) as feature_index,
-         (coalesce(o.weight, 0.0) + {Q_ETA} / (select n from nsamp) * coalesce(g.g, 0.0))
+         (coalesce(o.weight, 0.0) + {Q_ETA} / (select n from {parsed}_n) * coalesce(g.g, 0.0))
            * {shrink} as weight
   from {prev} o full outer join {name}_g g on o.feature_index = g.feature_index)
 """
 
 
-GD = (PARSED + ",\nw0 as (select cast(null as int) as feature_index, cast(null as double) as weight "
-      "where false),\n" + _gd_sql("w0", "w1") + "," + _gd_sql("w1", "w2"))
-
-SCORED_SQL = """
-scored as (
+def _scored_sql(parsed: str, weights: str, name: str) -> str:
+    return f"""
+{name} as (
   select l.patientid, l.y, coalesce(sum(w.weight * p.feature_value), 0.0) as margin
-  from labels_y l
-  left join parsed p on l.patientid = p.patientid
-  left join w2 w on p.feature_index = w.feature_index
+  from {parsed}_y l
+  left join {parsed} p on l.patientid = p.patientid
+  left join {weights} w on p.feature_index = w.feature_index
   group by l.patientid, l.y)
 """
 
+
+W0 = "w0 as (select cast(null as int) as feature_index, cast(null as double) as weight where false)"
+PARSED = _parsed_sql("samples", "parsed")
+GD = ",\n".join(b.strip() for b in (PARSED, W0, _gd_sql("parsed", "w0", "w1"),
+                                     _gd_sql("parsed", "w1", "w2")))
+GD_AS_CODED = ",\n".join(b.strip() for b in (PARSED, W0, _gd_sql("parsed", "w0", "c1", "as_coded"),
+                                              _gd_sql("parsed", "c1", "c2", "as_coded")))
+SCORED_SQL = _scored_sql("parsed", "w2", "scored")
+
+_SPLIT_TEST = "substring(md5(cast(patientid as varchar) || ':48'), 1, 8) < '33333333'"
+
+SPLIT_MODEL = ",\n".join(b.strip() for b in (
+    f"train_s as (select * from samples where not ({_SPLIT_TEST}))",
+    f"test_s as (select * from samples where {_SPLIT_TEST})",
+    _parsed_sql("train_s", "ptrain"), _parsed_sql("test_s", "ptest"), W0,
+    _gd_sql("ptrain", "w0", "t1"), _gd_sql("ptrain", "t1", "t2"),
+    _scored_sql("ptest", "t2", "test_scored"),
+    f"""tg as (
+  select round(1.0 / (1.0 + exp(-margin)), 12) as score,
+         sum(case when y = 1 then 1 else 0 end) as p,
+         sum(case when y = 1 then 0 else 1 end) as n
+  from test_scored group by 1)""",
+    """tc as (
+  select score, p, n,
+         sum(p) over (order by score desc rows between unbounded preceding and current row) as cum_p
+  from tg)"""))
+
 DOC_SCORES = """
 doc_scores as (
   select cast(l.quality as double) as y, cast(d.n_chars % 50 as double) as prob
@@ -358,9 +388,6 @@ def q_svmlight_samples(spark, sf_dir):
     return _samples(spark, sf_dir)
 
 
-_SPLIT_TEST = "substring(md5(cast(patientid as varchar) || ':48'), 1, 8) < '33333333'"
-
-
 @register("split_test", _with(BASE, FEATURES) + f"""
 select patientid, save_feature from samples where {_SPLIT_TEST}""")
 def q_split_test(spark, sf_dir):
@@ -426,6 +453,29 @@ def q_confusion_counts(spark, sf_dir):
     return c.select("tp", "fp", "tn", "fn", _r("accuracy"))
 
 
+@register("train_gd_as_coded", _with(BASE, FEATURES, GD_AS_CODED) + f"""
+select feature_index, round(weight, {DIGITS}) as weight from c2""")
+def q_train_gd_as_coded(spark, sf_dir):
+    w = train_gd(_parsed(spark, sf_dir), Q_GD_STEPS, Q_ETA, Q_MU, "patientid", "as_coded")
+    return w.select("feature_index", _r("weight"))
+
+
+@register("model_auc", _with(BASE, FEATURES, SPLIT_MODEL) + f"""
+select round(sum(n * (cum_p - p / 2.0)) / (sum(p) * sum(n)), {DIGITS}) as auc,
+       cast(sum(p) as bigint) as n_pos, cast(sum(n) as bigint) as n_neg
+from tc""")
+def q_model_auc(spark, sf_dir):
+    """Train on the 80 % side, score the 20 % side, AUC of the scores
+    (probabilities compared at 12 decimals, so ties do not depend on the
+    engine's summation order)."""
+    test, train = hash_split(_samples(spark, sf_dir), "patientid")
+    p_train = parse_svmlight(train, "save_feature").select("patientid", "y", "x")
+    p_test = parse_svmlight(test, "save_feature").select("patientid", "y", "x")
+    w = train_gd(p_train, Q_GD_STEPS, Q_ETA, Q_MU, "patientid", "textbook")
+    scored = score(p_test, w).withColumn("prob", F.round("prob", 12))
+    return auc(scored).select(_r("auc"), "n_pos", "n_neg")
+
+
 @register("train_sgd", None)
 def q_train_sgd(spark, sf_dir):
     ev, mo = cohort_inputs(spark, sf_dir)
