@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cohortlens.functions import binary_label, svm_token
-from cohortlens.operators.joins import DEFAULT_BROADCAST_ROWS, broadcast_if_small
+from cohortlens.operators.joins import broadcast_if_small
 from cohortlens.operators.ordering import dense_index
 
 NORMALIZED_DECIMALS = 3
@@ -34,14 +34,16 @@ def code_maxima(agg_events: DataFrame) -> DataFrame:
 
 
 def normalization(agg_events: DataFrame, maxima: DataFrame | None = None,
-                  broadcast_rows: int | None = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+                  broadcast_rows: int | None = None) -> DataFrame:
     """(patientid, eventid, normalized_feature_value): count / max count of
     the code, rounded to 3 places (HALF_UP).
 
     ``maxima`` may be passed in (e.g. fitted on the training side only).
-    The per-code table is broadcast when its row count is within
-    ``broadcast_rows``; otherwise the planner shuffles both sides (AQE
-    splits a hot code's partition).
+    With ``broadcast_rows`` the per-code table is broadcast after a row-count
+    check against it (one job over that table: pass it materialized). By
+    default adaptive execution decides at run time from the actual size of
+    the per-code aggregate, and falls back to a shuffle join above its
+    threshold.
     """
     per_code = maxima if maxima is not None else code_maxima(agg_events)
     if broadcast_rows is not None:
@@ -57,10 +59,12 @@ def normalized_value():
 
 
 def svmlight_convert(normalized: DataFrame, event_map: DataFrame,
-                     broadcast_rows: int | None = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+                     broadcast_rows: int | None = None) -> DataFrame:
     """(patientid, sparse_feature array<string>) with ``"index:value"``
     tokens in ascending numeric index order.
 
+    ``broadcast_rows``: as in ``normalization``.
+
     Rows whose rounded value is not > 0 are dropped; codes missing from the
     map are dropped (inner join) rather than emitted as a bare value.
     One ``collect_list`` of (index, token) structs per patient, sorted once,

@@ -89,7 +89,8 @@ def cohort_metrics(profile: DataFrame) -> DataFrame:
         F.min("record_days").alias("days_min"),
         F.max("record_days").alias("days_max"),
     )
-    return _cohort_list(profile.sparkSession).join(agg, "cohort", "left")
+    # ``agg`` has at most one row per cohort (two): a proven broadcast bound.
+    return _cohort_list(profile.sparkSession).join(F.broadcast(agg), "cohort", "left")
 
 
 def _tag_pair(alive_events: DataFrame, dead_events: DataFrame) -> DataFrame:
