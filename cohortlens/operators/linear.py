@@ -42,8 +42,9 @@ RULES = ("textbook", "as_coded")
 # Defaults of the original training command: step size and L2 strength.
 DEFAULT_ETA = 0.01
 DEFAULT_MU = 0.0
-# Largest dense weight vector shipped to SGD tasks between epochs.
-MAX_DENSE_FEATURES = 50_000_000
+# Largest dense weight vector an SGD task holds (about 17 bytes per
+# feature with its bookkeeping, i.e. ~170 MB) and ships between epochs.
+MAX_DENSE_FEATURES = 10_000_000
 
 WEIGHTS_SCHEMA = T.StructType([
     T.StructField("feature_index", T.IntegerType(), False),

@@ -46,11 +46,16 @@ def checkpoint_dir(spark: SparkSession) -> str:
     master gets a fresh temporary folder; a cluster without the setting is an
     error, because a machine-local folder does not survive executor loss.
     """
-    sc = spark.sparkContext
+    conf_dir = spark.conf.get("spark.checkpoint.dir", None)
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - Spark Connect: the server owns the folder
+        if conf_dir:
+            return conf_dir
+        raise RuntimeError("spark.checkpoint.dir is not set on the Spark Connect server")
     current = sc.getCheckpointDir()
     if current:
         return current
-    conf_dir = spark.conf.get("spark.checkpoint.dir", None)
     if conf_dir:
         sc.setCheckpointDir(conf_dir)
         return conf_dir

@@ -209,3 +209,34 @@ def test_model_roundtrip(spark, tmp_path):
     back, params = load_model(spark, str(tmp_path / "m"))
     assert rows(back) == [(0, 0.5), (3, -1.0)]
     assert params == {"eta": 0.1, "mu": 0.0, "n_feature": 4, "rule": "textbook"}
+
+
+def test_gd_as_coded_matches_numpy(spark):
+    ys, xs = _toy(80, 5, seed=5)
+    df = _samples_df(spark, ys, xs)
+    got = {r["feature_index"]: r["weight"]
+           for r in train_gd(df, 2, eta=0.5, mu=0.1, rule="as_coded").collect()}
+    wv = np.zeros(5)
+    for _ in range(2):
+        g = np.zeros(5)
+        for y, x in zip(ys, xs):
+            m = sum(wv[e["i"]] * e["v"] for e in x)
+            s = 1 / (1 + np.exp(-abs(m)))
+            for e in x:
+                g[e["i"]] += y - e["v"] * s
+        wv = (wv + 0.5 / len(ys) * g) * (1 - 2 * 0.5 * 0.1)
+    assert [got.get(i, 0.0) for i in range(5)] == pytest.approx(wv.tolist(), abs=1e-12)
+
+
+def test_read_svmlight_skips_blank_lines(spark, tmp_path):
+    path = tmp_path / "s.txt"
+    path.write_text("1 0:0.5\n\n   \n0\n")
+    got = sorted((r["y"], len(r["x"])) for r in read_svmlight(spark, str(path)).collect())
+    assert got == [(0.0, 0), (1.0, 1)]
+
+
+def test_score_without_broadcast_check(spark):
+    df = _lines_df(spark, ["1 0:2.0", "0 1:1.0"])
+    w = spark.createDataFrame([(0, 1.0), (1, -1.0)], "feature_index int, weight double")
+    a = {r["sid"]: r["margin"] for r in score(df, w, id_col="sid", broadcast_rows=None).collect()}
+    assert a == {0: 2.0, 1: -1.0}
