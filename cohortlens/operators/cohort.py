@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cohortlens.functions import as_date
+from cohortlens.operators.joins import DEFAULT_BROADCAST_ROWS, broadcast_if_small
 
 ALIVE = "alive"
 DEAD = "dead"
@@ -72,14 +73,20 @@ def with_cohorts(per_patient: DataFrame, mortality: DataFrame) -> DataFrame:
             .select(*keep, F.col("_t.cohort").alias("cohort"), F.col("_t.copies").alias("copies")))
 
 
-def tag_cohort(events: DataFrame, mortality: DataFrame) -> DataFrame:
+def tag_cohort(events: DataFrame, mortality: DataFrame,
+               broadcast_rows: int | None = DEFAULT_BROADCAST_ROWS) -> DataFrame:
     """events + ``label`` + ``cohort`` ('alive', 'dead' or null for label 0).
 
     One left join on patientid tags both cohorts at once, instead of two
-    filtered copies of the join.
+    filtered copies of the join. When the mortality table has at most
+    ``broadcast_rows`` rows (checked by one count over it) it is broadcast
+    and the events are not shuffled; otherwise a shuffle join, where AQE
+    splits a patient holding a large share of the events.
     """
     ev = _events(events)
     deaths = mortality.select("patientid", "label")
+    if broadcast_rows is not None:
+        deaths = broadcast_if_small(deaths, broadcast_rows)
     tagged = ev.join(deaths, "patientid", "left")
     cohort = (F.when(F.col("label").isNull(), F.lit(ALIVE))
               .when(F.col("label") == 1, F.lit(DEAD)))
@@ -99,16 +106,16 @@ def calculate_index_dates(events: DataFrame, mortality: DataFrame,
                           offset_days: int = INDEX_OFFSET_DAYS) -> DataFrame:
     """(patientid, index_date date).
 
-    alive: max event date of patients whose tag label is null;
-    dead: every mortality row's date minus ``offset_days``.
+    alive (no mortality row, or a null label): last event date, one row per
+    patient; dead: every mortality row's date minus ``offset_days``.
+    The last event date is aggregated per patient (map-side partial max)
+    before the alive/dead tag is joined, one row per patient on each side.
     """
     ev = _events(events)
     mo = _mortality(mortality)
-    alive_index = (ev.select("patientid", "etimestamp")
-                   .join(mo.select("patientid", "label"), "patientid", "left")
-                   .where(F.col("label").isNull())
-                   .groupBy("patientid")
-                   .agg(F.max("etimestamp").alias("index_date")))
+    last = ev.groupBy("patientid").agg(F.max("etimestamp").alias("index_date"))
+    alive_index = (with_cohorts(last, mo).where(F.col("cohort") == ALIVE)
+                   .select("patientid", "index_date"))
     dead_index = mo.select("patientid",
                            F.date_sub(F.col("mtimestamp"), offset_days).alias("index_date"))
     return alive_index.unionByName(dead_index)
@@ -151,16 +158,9 @@ def daily_counts(events: DataFrame) -> DataFrame:
 
 def index_dates_from_daily(daily: DataFrame, mortality: DataFrame,
                            offset_days: int = INDEX_OFFSET_DAYS) -> DataFrame:
-    """``calculate_index_dates`` over ``daily_counts`` output: the alive
-    last-event date is aggregated per patient before the cohort tag is
-    joined (one row per patient on both sides)."""
-    mo = _mortality(mortality)
-    last = daily.groupBy("patientid").agg(F.max("etimestamp").alias("index_date"))
-    alive_index = (with_cohorts(last, mo).where(F.col("cohort") == ALIVE)
-                   .select("patientid", "index_date"))
-    dead_index = mo.select("patientid",
-                           F.date_sub(F.col("mtimestamp"), offset_days).alias("index_date"))
-    return alive_index.unionByName(dead_index)
+    """``calculate_index_dates`` over ``daily_counts`` output (same result:
+    the last event date is the same over daily rows)."""
+    return calculate_index_dates(daily.select("patientid", "etimestamp"), mortality, offset_days)
 
 
 def window_counts(daily: DataFrame, index_dates: DataFrame,
