@@ -25,7 +25,10 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def events_from_orders(lineitem: DataFrame, orders: DataFrame) -> DataFrame:
-    """(patientid int, eventid string, etimestamp date, value float).
+    """(patientid bigint, eventid string, etimestamp date, value float).
+
+    The patient key stays BIGINT: customer keys pass 2^31 at large scale
+    factors, where an INT cast would fail under ANSI mode.
 
     One event per order line; a sort-merge (or AQE broadcast) join on the
     order key, with only four columns read from each table.
@@ -36,7 +39,7 @@ def events_from_orders(lineitem: DataFrame, orders: DataFrame) -> DataFrame:
     lines = lineitem.select("l_orderkey", "l_partkey", "l_returnflag", "l_quantity")
     heads = orders.select("o_orderkey", "o_custkey", "o_orderdate")
     return (lines.join(heads, lines.l_orderkey == heads.o_orderkey, "inner")
-            .select(F.col("o_custkey").cast("int").alias("patientid"),
+            .select(F.col("o_custkey").alias("patientid"),
                     F.concat(code_class,
                              (F.col("l_partkey") % CODE_MODULUS).cast("string")).alias("eventid"),
                     F.col("o_orderdate").cast("date").alias("etimestamp"),
@@ -44,10 +47,10 @@ def events_from_orders(lineitem: DataFrame, orders: DataFrame) -> DataFrame:
 
 
 def mortality_from_customers(customer: DataFrame) -> DataFrame:
-    """(patientid int, mtimestamp date, label int): every third customer."""
+    """(patientid bigint, mtimestamp date, label int): every third customer."""
     return (customer.select("c_custkey")
             .where(F.col("c_custkey") % DEAD_STRIDE == 0)
-            .select(F.col("c_custkey").cast("int").alias("patientid"),
+            .select(F.col("c_custkey").alias("patientid"),
                     F.date_add(F.lit(DEATH_ORIGIN).cast("date"),
                                (F.col("c_custkey") % DEATH_SPREAD_DAYS).cast("int")).alias("mtimestamp"),
                     F.lit(1).alias("label")))
@@ -63,7 +66,7 @@ def cohort_inputs(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFram
 
 # The same mapping as DuckDB SQL, used by the oracle queries.
 EV_SQL = """
-select cast(o.o_custkey as int) as patientid,
+select o.o_custkey as patientid,
        concat(case l.l_returnflag when 'A' then 'DIAG' when 'N' then 'LAB' else 'DRUG' end,
               cast(l.l_partkey % 100 as varchar)) as eventid,
        cast(o.o_orderdate as date) as etimestamp,
@@ -72,7 +75,7 @@ from lineitem l join orders o on l.l_orderkey = o.o_orderkey
 """
 
 MO_SQL = """
-select cast(c_custkey as int) as patientid,
+select c_custkey as patientid,
        cast(date '2000-01-01' + cast(c_custkey % 500 as int) as date) as mtimestamp,
        1 as label
 from customer where c_custkey % 3 = 0
