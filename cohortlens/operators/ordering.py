@@ -18,10 +18,14 @@ _ROW_BITS = 33                    # monotonically_increasing_id: partition << 33
 _ROW_MASK = (1 << _ROW_BITS) - 1
 
 
-def _num_partitions(df: DataFrame, num_partitions: int | None) -> int:
+def _range_partition(df: DataFrame, num_partitions: int | None, *order) -> DataFrame:
+    """Range repartition. Without an explicit count the session's shuffle
+    partition number is used and adaptive execution may coalesce adjacent
+    ranges (a small code table then lands on a few tasks, not thousands);
+    partition ids are read after that, so coalescing is harmless."""
     if num_partitions:
-        return int(num_partitions)
-    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
+        return df.repartitionByRange(int(num_partitions), *order)
+    return df.repartitionByRange(*order)
 
 
 def _partition_offsets(part_totals: DataFrame, value_cols: list[str]) -> DataFrame:
@@ -54,15 +58,13 @@ def dense_index(df: DataFrame, key: str, index_col: str = "index",
     partition number and the row position; the checkpoint makes that
     assignment stable for both uses below.
     """
-    spark = df.sparkSession
-    checkpoint_dir(spark)
-    n = _num_partitions(df, num_partitions)
+    checkpoint_dir(df.sparkSession)
     if carry and not unique:
         raise ValueError("carry columns need unique=True")
     values = df.select(key, *carry).where(F.col(key).isNotNull())
     if not unique:
         values = values.distinct()
-    zipped = (values.repartitionByRange(n, key)
+    zipped = (_range_partition(values, num_partitions, key)
               .sortWithinPartitions(key)
               .select(key, *carry, F.monotonically_increasing_id().alias("_mid"))
               .checkpoint(eager=True)
@@ -83,10 +85,8 @@ def running_totals(df: DataFrame, order: Column, value_cols: list[str],
     this one in ``order``. Rows must be unique on the ordering key (callers
     group by it first), so ties never arise. With ``totals_prefix`` also add
     ``<totals_prefix><v>`` = sum of ``v`` over all rows."""
-    spark = df.sparkSession
-    checkpoint_dir(spark)
-    n = _num_partitions(df, num_partitions)
-    ranged = (df.repartitionByRange(n, order)
+    checkpoint_dir(df.sparkSession)
+    ranged = (_range_partition(df, num_partitions, order)
               .withColumn("_part", F.spark_partition_id())
               .checkpoint(eager=True))
     upto = (Window.partitionBy("_part").orderBy(order)

@@ -178,3 +178,17 @@ def test_build_samples_equals_operator_chain(spark):
     assert rows(again["samples"]) == rows(chain)
     release(out)
     release(again)
+
+
+def test_dense_index_with_default_coalesced_partitions(spark):
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "200")
+    try:
+        codes = spark.range(0, 5000).select(
+            F.concat(F.lit("C"), F.lpad((F.col("id") * 7919 % 5000).cast("string"), 5, "0"))
+            .alias("code"))
+        got = sorted((r["idx"], r["code"]) for r in dense_index(codes.repartition(13), "code", "idx").collect())
+        assert [i for i, _ in got] == list(range(5000))
+        assert [c for _, c in got] == sorted(c for _, c in got)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
