@@ -23,7 +23,8 @@ _CACHED = ("daily", "agg_events")
 
 def build_samples(events: DataFrame, mortality: DataFrame,
                   event_map: DataFrame | None = None, maxima: DataFrame | None = None,
-                  broadcast_rows: int | None = DEFAULT_BROADCAST_ROWS) -> dict[str, DataFrame]:
+                  broadcast_rows: int | None = DEFAULT_BROADCAST_ROWS,
+                  cache: bool = True) -> dict[str, DataFrame]:
     """All intermediate tables of the feature job.
 
     Plan: events are pre-aggregated once per (patient, code, day) and that
@@ -36,10 +37,18 @@ def build_samples(events: DataFrame, mortality: DataFrame,
     ``event_map`` / ``maxima`` may be passed in (e.g. fitted on a training
     side); by default both are fitted on all patients, as the original tool
     does. Call ``release(result)`` when done with the tables.
+
+    ``cache=False`` skips persisting ``daily`` and ``agg_events`` (each is
+    then computed once per use): for event sources that are cheap to scan
+    twice when executor storage is short.
     """
-    daily = daily_counts(events).persist(StorageLevel.MEMORY_AND_DISK)
+    daily = daily_counts(events)
+    if cache:
+        daily = daily.persist(StorageLevel.MEMORY_AND_DISK)
     index_dates = index_dates_from_daily(daily, mortality)
-    agg = window_counts(daily, index_dates).persist(StorageLevel.MEMORY_AND_DISK)
+    agg = window_counts(daily, index_dates)
+    if cache:
+        agg = agg.persist(StorageLevel.MEMORY_AND_DISK)
     if event_map is None and maxima is None:
         stats = code_stats(agg)
         side = broadcast_if_small(stats, broadcast_rows) if broadcast_rows is not None else stats

@@ -176,6 +176,7 @@ def test_build_samples_equals_operator_chain(spark):
     # a map fitted elsewhere goes through the separate-join path
     again = build_samples(events, mortality, event_map=out["event_map"])
     assert rows(again["samples"]) == rows(chain)
+    assert rows(build_samples(events, mortality, cache=False)["samples"]) == rows(chain)
     release(out)
     release(again)
 
