@@ -222,7 +222,7 @@ def train_sgd(samples: DataFrame, n_feature: int, eta: float = DEFAULT_ETA,
               validate: bool = True) -> DataFrame:
     """Sharded SGD with parameter mixing; returns (feature_index, weight).
 
-    Samples go to shard ``pmod(xxhash64(id), shards)``; each shard runs the
+    Samples go to shard ``pmod(hash(id), shards)``; each shard runs the
     sequential step over its samples ordered by ``order_col`` (default: the
     id), starting from the current weights; the new weights are the mean
     over non-empty shards. Between epochs the averaged vector (at most
@@ -239,10 +239,15 @@ def train_sgd(samples: DataFrame, n_feature: int, eta: float = DEFAULT_ETA,
     if validate:
         check_feature_range(samples, n_feature)
     order_col = order_col or id_col
-    shard = F.pmod(F.xxhash64(F.col(id_col)), F.lit(shards)).cast("int")
-    data = (samples.select(shard.alias("_shard"), F.col(order_col).alias("_ord"), "y", "x")
-            .repartition(shards, "_shard")
-            .sortWithinPartitions("_shard", "_ord"))
+    # pmod(hash(id), K) is exactly the partition hash partitioning on id
+    # gives, so every one of the K tasks holds one whole shard (no two
+    # shards share a task, none idles while the data is spread evenly).
+    shard = F.pmod(F.hash(F.col(id_col)), F.lit(shards)).cast("int")
+    data = (samples.select(F.col(id_col).alias("_id"), shard.alias("_shard"),
+                           F.col(order_col).alias("_ord"), "y", "x")
+            .repartition(shards, "_id")
+            .sortWithinPartitions("_shard", "_ord")
+            .drop("_id"))
     out_schema = "shard int, feature_index int, weight double"
     current = np.zeros(n_feature, dtype=np.float64)
     if weights is not None:

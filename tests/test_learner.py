@@ -105,7 +105,7 @@ def test_train_sgd_shards_average(spark):
            for r in train_sgd(df, 12, eta=0.3, mu=0.05, shards=shards).collect()}
     # recompute: each shard sequential in id order, then mean over non-empty shards
     shard_of = {r["patientid"]: r["s"] for r in df.select(
-        "patientid", F.pmod(F.xxhash64("patientid"), F.lit(shards)).alias("s")).collect()}
+        "patientid", F.pmod(F.hash("patientid"), F.lit(shards)).alias("s")).collect()}
     per = []
     for s in range(shards):
         ids = [i for i in range(len(ys)) if shard_of[i] == s]
@@ -240,3 +240,14 @@ def test_score_without_broadcast_check(spark):
     w = spark.createDataFrame([(0, 1.0), (1, -1.0)], "feature_index int, weight double")
     a = {r["sid"]: r["margin"] for r in score(df, w, id_col="sid", broadcast_rows=None).collect()}
     assert a == {0: 2.0, 1: -1.0}
+
+
+def test_train_sgd_one_shard_per_task(spark):
+    ys, xs = _toy(400)
+    df = _samples_df(spark, ys, xs)
+    shards = 4
+    placed = (df.repartition(shards, "patientid")
+              .select(F.spark_partition_id().alias("p"),
+                      F.pmod(F.hash("patientid"), F.lit(shards)).alias("s"))
+              .distinct().collect())
+    assert all(r["p"] == r["s"] for r in placed)
