@@ -106,7 +106,8 @@ def gd_step(samples: DataFrame, weights: DataFrame, eta: float, mu: float,
             broadcast_rows: int | None = DEFAULT_BROADCAST_ROWS) -> DataFrame:
     """One full-batch step: w <- (w + eta / N * g) * (1 - 2 eta mu) with
     g_i = sum over samples of the per-sample update term of feature i."""
-    exploded = samples.select(id_col, "y", F.explode("x").alias("_e"))
+    exploded = (samples.select(id_col, "y", F.explode("x").alias("_e"))
+                .where(F.col("_e.i").isNotNull() & F.col("_e.v").isNotNull()))
     joined = exploded.join(_weights_side(weights, broadcast_rows),
                            F.col("_e.i") == F.col("_fi"), "left")
     per_sample = Window.partitionBy(id_col)
@@ -174,10 +175,12 @@ class _ShardState:
         for y, x in zip(ys, xs):
             s = self.steps
             self.steps += 1
-            if x is None or len(x) == 0:
+            pairs = [(e["i"], e["v"]) for e in (x if x is not None else ())
+                     if e["i"] is not None and e["v"] is not None]
+            if not pairs:
                 continue
-            idx = np.fromiter((e["i"] for e in x), dtype=np.int64, count=len(x))
-            val = np.fromiter((e["v"] for e in x), dtype=np.float64, count=len(x))
+            idx = np.fromiter((p[0] for p in pairs), dtype=np.int64, count=len(pairs))
+            val = np.fromiter((p[1] for p in pairs), dtype=np.float64, count=len(pairs))
             if r != 1.0:
                 w[idx] *= r ** (s - self.applied[idx])
                 self.applied[idx] = s

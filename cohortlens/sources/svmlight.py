@@ -15,13 +15,15 @@ SAMPLE_X_TYPE = "array<struct<i:int,v:double>>"
 
 def parse_svmlight(df: DataFrame, column: str = "value") -> DataFrame:
     """Add ``y double`` and ``x array<struct<i int, v double>>`` parsed from
-    the text column; other columns are kept. Blank lines give null y."""
+    the text column; other columns are kept. Blank lines give null y; a
+    malformed pair gives null fields (no ANSI error), which the learners
+    skip."""
     tokens = F.split(F.trim(F.col(column)), r"\s+")
     n = F.size(tokens)
     pairs = F.slice(tokens, 2, F.greatest(n - 1, F.lit(0)))
     x = F.transform(pairs, lambda kv: F.struct(
-        F.split(kv, ":").getItem(0).cast("int").alias("i"),
-        F.split(kv, ":").getItem(1).cast("double").alias("v")))
+        F.split(kv, ":").getItem(0).try_cast("int").alias("i"),
+        F.split(kv, ":").getItem(1).try_cast("double").alias("v")))
     y = tokens.getItem(0).try_cast("double")
     return df.withColumn("y", y).withColumn("x", x)
 

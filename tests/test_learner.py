@@ -251,3 +251,16 @@ def test_train_sgd_one_shard_per_task(spark):
                       F.pmod(F.hash("patientid"), F.lit(shards)).alias("s"))
               .distinct().collect())
     assert all(r["p"] == r["s"] for r in placed)
+
+
+def test_malformed_pair_is_null_not_error(spark):
+    df = _lines_df(spark, ["1 0:0.5 x:y 2:1.0"])
+    x = df.first()["x"]
+    assert [(e["i"], e["v"]) for e in x] == [(0, 0.5), (None, None), (2, 1.0)]
+    w = train_gd(df.select(F.col("sid").alias("patientid"), "y", "x"), 1, eta=1.0)
+    assert sorted(r["feature_index"] for r in w.collect()) == [0, 2]
+
+
+def test_sgd_skips_malformed_pairs():
+    xs = [[{"i": 0, "v": 1.0}, {"i": None, "v": None}]]
+    assert sgd_sequential([0.0], xs, 1, eta=0.5, mu=0.1).tolist() == pytest.approx([-0.225])
