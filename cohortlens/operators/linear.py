@@ -13,7 +13,7 @@ table ``(feature_index int, weight double)``; absent features weigh 0.
   partial sums). A different algorithm from the original single-pass SGD
   (it averages the gradient over all samples).
 * ``train_sgd``: the original per-sample SGD step, run sequentially inside
-  ``K`` hash shards with ``mapInPandas`` and mixed by averaging (parameter
+  ``K`` hash shards with ``mapInArrow`` and mixed by averaging (parameter
   mixing; Zinkevich et al. 2010, McDonald et al. 2010). ``K = 1`` is the
   sequential algorithm; ``K > 1`` is an approximation of it.
 
@@ -28,7 +28,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -155,10 +155,13 @@ def train_gd(samples: DataFrame, steps: int, eta: float = DEFAULT_ETA, mu: float
 class _ShardState:
     """Sequential SGD over one shard's samples, fed batch by batch.
 
-    The L2 shrink is applied lazily: a weight is brought up to date only
-    when a sample touches it, and once more at the end, which equals
-    shrinking the whole vector after every sample. Memory is the weight
-    vector plus one batch, whatever the shard size.
+    Samples come as flat arrays: labels ``ys`` and, for sample ``k``, the
+    feature indices / values ``flat_i[off[k]:off[k+1]]`` / ``flat_v[...]``
+    (Arrow list layout), so a step is two numpy slices and no Python object
+    per feature. The L2 shrink is applied lazily: a weight is brought up to
+    date only when a sample touches it, and once more at the end, which
+    equals shrinking the whole vector after every sample. Memory is the
+    weight vector plus one batch, whatever the shard size.
     """
 
     def __init__(self, w0: np.ndarray, eta: float, mu: float, rule: str):
@@ -170,22 +173,24 @@ class _ShardState:
         self.touched = np.zeros(len(w0), dtype=bool)
         self.steps = 0
 
-    def feed(self, ys: np.ndarray, xs) -> None:
-        w, r, eta = self.w, self.r, self.eta
-        for y, x in zip(ys, xs):
+    def feed(self, ys: np.ndarray, off: np.ndarray, flat_i: np.ndarray,
+             flat_v: np.ndarray) -> None:
+        w, r, eta, textbook = self.w, self.r, self.eta, self.rule == "textbook"
+        applied = self.applied
+        for k in range(len(ys)):
             s = self.steps
             self.steps += 1
-            pairs = [(e["i"], e["v"]) for e in (x if x is not None else ())
-                     if e["i"] is not None and e["v"] is not None]
-            if not pairs:
+            lo, hi = off[k], off[k + 1]
+            if lo == hi:
                 continue
-            idx = np.fromiter((p[0] for p in pairs), dtype=np.int64, count=len(pairs))
-            val = np.fromiter((p[1] for p in pairs), dtype=np.float64, count=len(pairs))
+            idx = flat_i[lo:hi]
+            val = flat_v[lo:hi]
             if r != 1.0:
-                w[idx] *= r ** (s - self.applied[idx])
-                self.applied[idx] = s
-            gamma = float(np.sum(w[idx] * val))
-            if self.rule == "textbook":
+                w[idx] *= r ** (s - applied[idx])
+                applied[idx] = s
+            gamma = float(np.dot(w[idx], val))
+            y = ys[k]
+            if textbook:
                 sig = 1.0 / (1.0 + np.exp(-gamma))
                 np.add.at(w, idx, eta * val * (y - sig))
             else:
@@ -193,31 +198,51 @@ class _ShardState:
                 np.add.at(w, idx, eta * (y - val * sig))
             if r != 1.0:
                 w[idx] *= r
-                self.applied[idx] = s + 1
+                applied[idx] = s + 1
             self.touched[idx] = True
 
-    def finish(self, shard_id: int) -> pd.DataFrame:
+    def finish(self, shard_id: int) -> pa.RecordBatch:
         w = self.w
         if self.r != 1.0:
             w *= self.r ** (self.steps - self.applied)
         nz = np.nonzero(self.touched | (w != 0.0))[0]
-        return pd.DataFrame({
-            "shard": np.full(len(nz) + 1, shard_id, dtype=np.int32),
-            "feature_index": np.concatenate([[-1], nz]).astype(np.int32),
-            "weight": np.concatenate([[0.0], w[nz]]),
-        })
+        return pa.RecordBatch.from_arrays(
+            [pa.array(np.full(len(nz) + 1, shard_id, dtype=np.int32)),
+             pa.array(np.concatenate([[-1], nz]).astype(np.int32)),
+             pa.array(np.concatenate([[0.0], w[nz]]))],
+            names=["shard", "feature_index", "weight"])
+
+
+def _flat(xs) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Python samples [[{'i','v'}...]...] -> (offsets, flat_i, flat_v),
+    skipping pairs with a null field."""
+    off, fi, fv = [0], [], []
+    for x in xs:
+        for e in x or ():
+            if e["i"] is not None and e["v"] is not None:
+                fi.append(e["i"])
+                fv.append(e["v"])
+        off.append(len(fi))
+    return (np.asarray(off, dtype=np.int64), np.asarray(fi, dtype=np.int64),
+            np.asarray(fv, dtype=np.float64))
 
 
 def sgd_sequential(ys, xs, n_feature: int, eta: float = DEFAULT_ETA, mu: float = DEFAULT_MU,
                    rule: str = "textbook", w0: np.ndarray | None = None) -> np.ndarray:
-    """The per-sample step over in-memory samples, in order (used by tests
-    and by each shard)."""
+    """The per-sample step over in-memory samples, in order (the same code
+    each shard runs; used by tests)."""
     state = _ShardState(np.zeros(n_feature) if w0 is None else w0, eta, mu, rule)
-    state.feed(np.asarray(ys, dtype=np.float64), xs)
+    state.feed(np.asarray(ys, dtype=np.float64), *_flat(xs))
     state.finish(0)
     return state.w
 
 
+def _list_parts(col: pa.ListArray) -> tuple[np.ndarray, np.ndarray]:
+    """(offsets relative to the flattened values, flattened values)."""
+    off = col.offsets.to_numpy(zero_copy_only=False).astype(np.int64)
+    return off - off[0], col.flatten().to_numpy(zero_copy_only=False)
+
+
 def train_sgd(samples: DataFrame, n_feature: int, eta: float = DEFAULT_ETA,
               mu: float = DEFAULT_MU, shards: int = 8, epochs: int = 1,
               id_col: str = "patientid", order_col: str | None = None,
@@ -246,11 +271,14 @@ def train_sgd(samples: DataFrame, n_feature: int, eta: float = DEFAULT_ETA,
     # gives, so every one of the K tasks holds one whole shard (no two
     # shards share a task, none idles while the data is spread evenly).
     shard = F.pmod(F.hash(F.col(id_col)), F.lit(shards)).cast("int")
+    valid = F.filter("x", lambda e: e["i"].isNotNull() & e["v"].isNotNull())
     data = (samples.select(F.col(id_col).alias("_id"), shard.alias("_shard"),
-                           F.col(order_col).alias("_ord"), "y", "x")
+                           F.col(order_col).alias("_ord"), "y",
+                           F.transform(valid, lambda e: e["i"]).alias("xi"),
+                           F.transform(valid, lambda e: e["v"]).alias("xv"))
             .repartition(shards, "_id")
             .sortWithinPartitions("_shard", "_ord")
-            .drop("_id"))
+            .select("_shard", "y", "xi", "xv"))
     out_schema = "shard int, feature_index int, weight double"
     current = np.zeros(n_feature, dtype=np.float64)
     if weights is not None:
@@ -259,21 +287,28 @@ def train_sgd(samples: DataFrame, n_feature: int, eta: float = DEFAULT_ETA,
     for _ in range(epochs):
         start = spark.sparkContext.broadcast(current)
 
-        def run(batches: Iterator[pd.DataFrame], start=start) -> Iterator[pd.DataFrame]:
+        def run(batches: Iterator[pa.RecordBatch], start=start) -> Iterator[pa.RecordBatch]:
             state, shard_id = None, None
             for batch in batches:
+                if batch.num_rows == 0:
+                    continue
+                sid = batch.column("_shard").to_numpy(zero_copy_only=False)
+                ys = batch.column("y").to_numpy(zero_copy_only=False).astype(np.float64)
+                off, fi = _list_parts(batch.column("xi"))
+                _, fv = _list_parts(batch.column("xv"))
                 # rows arrive sorted by (shard, order); a shard may span batches
-                for sid, rows in batch.groupby("_shard", sort=False):
-                    if sid != shard_id:
+                cuts = np.concatenate([[0], np.flatnonzero(np.diff(sid)) + 1, [len(sid)]])
+                for a, b in zip(cuts[:-1], cuts[1:]):
+                    if sid[a] != shard_id:
                         if state is not None:
                             yield state.finish(shard_id)
-                        state, shard_id = _ShardState(start.value, eta, mu, rule), sid
-                    state.feed(rows["y"].to_numpy(dtype=np.float64), rows["x"])
+                        state, shard_id = _ShardState(start.value, eta, mu, rule), int(sid[a])
+                    state.feed(ys[a:b], off[a:b + 1], fi, fv)
             if state is not None:
                 yield state.finish(shard_id)
 
         checkpoint_dir(spark)
-        per_shard = data.mapInPandas(run, out_schema).checkpoint(eager=True)
+        per_shard = data.mapInArrow(run, out_schema).checkpoint(eager=True)
         n_shards = per_shard.where(F.col("feature_index") == -1).count()
         mixed = (per_shard.where(F.col("feature_index") >= 0)
                  .groupBy("feature_index")
