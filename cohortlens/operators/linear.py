@@ -36,7 +36,7 @@ from pyspark.sql import types as T
 
 from cohortlens.functions import sigmoid
 from cohortlens.operators.joins import DEFAULT_BROADCAST_ROWS, broadcast_if_small, count_at_most
-from cohortlens.session import checkpoint_dir
+from cohortlens.session import checkpoint_dir, ship_package
 
 RULES = ("textbook", "as_coded")
 # Defaults of the original training command: step size and L2 strength.
@@ -261,6 +261,7 @@ def train_sgd(samples: DataFrame, n_feature: int, eta: float = DEFAULT_ETA,
     if n_feature > MAX_DENSE_FEATURES:
         raise ValueError(f"n_feature {n_feature} above {MAX_DENSE_FEATURES}")
     spark = samples.sparkSession
+    ship_package(spark)
     reused = validate or epochs > 1
     if reused:
         samples = samples.persist(StorageLevel.MEMORY_AND_DISK)
