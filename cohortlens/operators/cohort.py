@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cohortlens.functions import as_date
-from cohortlens.operators.joins import DEFAULT_BROADCAST_ROWS, broadcast_if_small
+from cohortlens.operators.joins import DEFAULT_BROADCAST_ROWS, broadcast_if_small, count_at_most
 
 ALIVE = "alive"
 DEAD = "dead"
@@ -53,16 +53,23 @@ def mortality_weights(mortality: DataFrame) -> DataFrame:
         F.sum(F.when(F.col("label").isNull(), 1).otherwise(0)).cast("long").alias("n_null_rows"))
 
 
-def with_cohorts(per_patient: DataFrame, mortality: DataFrame) -> DataFrame:
+def with_cohorts(per_patient: DataFrame, mortality: DataFrame,
+                 broadcast_rows: int | None = DEFAULT_BROADCAST_ROWS) -> DataFrame:
     """Tag per-patient rows: adds ``cohort`` and ``copies`` (the number of
     joined rows the original event-level join would give that cohort).
 
     alive: no mortality row (1 copy) or label-null rows (one copy each);
     dead: label-1 rows (one copy each); label 0 is in neither. A patient
     can be in both cohorts. The join is one row per patient on both sides,
-    so a patient with a huge share of events costs nothing extra here.
+    so a patient with a huge share of events costs nothing extra here. The
+    per-patient mortality summary has at most as many rows as the mortality
+    table; when that is within ``broadcast_rows`` (one count over the
+    mortality table) it is broadcast and ``per_patient`` is not shuffled.
     """
-    j = per_patient.join(mortality_weights(mortality), "patientid", "left")
+    summary = mortality_weights(mortality)
+    if broadcast_rows is not None and count_at_most(mortality, broadcast_rows) <= broadcast_rows:
+        summary = F.broadcast(summary)
+    j = per_patient.join(summary, "patientid", "left")
     alive = F.when(F.col("n_dead_rows").isNull(), F.lit(1)).otherwise(F.col("n_null_rows"))
     dead = F.coalesce(F.col("n_dead_rows"), F.lit(0))
     tags = F.array(F.struct(F.lit(ALIVE).alias("cohort"), alive.cast("long").alias("copies")),
