@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cohortlens.functions import as_date
-from cohortlens.operators.joins import DEFAULT_BROADCAST_ROWS, broadcast_if_small, count_at_most
+from cohortlens.operators.joins import broadcast_if_small, count_at_most
 
 ALIVE = "alive"
 DEAD = "dead"
@@ -54,17 +54,21 @@ def mortality_weights(mortality: DataFrame) -> DataFrame:
 
 
 def with_cohorts(per_patient: DataFrame, mortality: DataFrame,
-                 broadcast_rows: int | None = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+                 broadcast_rows: int | None = None) -> DataFrame:
     """Tag per-patient rows: adds ``cohort`` and ``copies`` (the number of
     joined rows the original event-level join would give that cohort).
 
     alive: no mortality row (1 copy) or label-null rows (one copy each);
     dead: label-1 rows (one copy each); label 0 is in neither. A patient
     can be in both cohorts. The join is one row per patient on both sides,
-    so a patient with a huge share of events costs nothing extra here. The
-    per-patient mortality summary has at most as many rows as the mortality
-    table; when that is within ``broadcast_rows`` (one count over the
-    mortality table) it is broadcast and ``per_patient`` is not shuffled.
+    so a patient with a huge share of events costs nothing extra here.
+
+    The per-patient mortality summary has at most as many rows as the
+    mortality table. By default the planner picks the join from size
+    statistics and AQE re-checks the real size at run time (broadcast
+    below ``spark.sql.adaptive.autoBroadcastJoinThreshold``, shuffle join
+    above). With ``broadcast_rows`` the summary is broadcast after an
+    explicit row count of the mortality table is within it.
     """
     summary = mortality_weights(mortality)
     if broadcast_rows is not None and count_at_most(mortality, broadcast_rows) <= broadcast_rows:
@@ -81,14 +85,15 @@ def with_cohorts(per_patient: DataFrame, mortality: DataFrame,
 
 
 def tag_cohort(events: DataFrame, mortality: DataFrame,
-               broadcast_rows: int | None = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+               broadcast_rows: int | None = None) -> DataFrame:
     """events + ``label`` + ``cohort`` ('alive', 'dead' or null for label 0).
 
     One left join on patientid tags both cohorts at once, instead of two
-    filtered copies of the join. When the mortality table has at most
-    ``broadcast_rows`` rows (checked by one count over it) it is broadcast
-    and the events are not shuffled; otherwise a shuffle join, where AQE
-    splits a patient holding a large share of the events.
+    filtered copies of the join. The mortality side is broadcast when the
+    planner's size estimate or AQE's run-time size is below the broadcast
+    threshold, or — with ``broadcast_rows`` — when an explicit row count is
+    within it; otherwise a shuffle join, where AQE splits a patient holding
+    a large share of the events.
     """
     ev = _events(events)
     deaths = mortality.select("patientid", "label")

@@ -165,3 +165,13 @@ def test_patient_level_tagging_equals_event_level_join(spark):
     tagged = tag_cohort(events, mortality)
     assert rows(patient_profile(events, mortality)) == rows(profile_from_tagged(tagged))
     assert rows(common_codes(events, mortality, 3)) == rows(common_codes_from_tagged(tagged, 3))
+
+
+def test_explicit_broadcast_check_same_result(spark):
+    from cohortlens.operators.cohort import with_cohorts
+    events, mortality = _fanout_inputs(spark)
+    per_patient = events.groupBy("patientid").agg(F.count(F.lit(1)).alias("n"))
+    base = rows(with_cohorts(per_patient, mortality))
+    assert rows(with_cohorts(per_patient, mortality, broadcast_rows=100)) == base   # broadcast
+    assert rows(with_cohorts(per_patient, mortality, broadcast_rows=2)) == base     # shuffle join
+    assert rows(tag_cohort(events, mortality, broadcast_rows=100)) == rows(tag_cohort(events, mortality))
