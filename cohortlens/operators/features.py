@@ -83,9 +83,10 @@ def sparse_rows(indexed: DataFrame) -> DataFrame:
     pair = F.struct(F.col("event_index").alias("i"),
                     svm_token(F.col("event_index"),
                               F.col("normalized_feature_value")).alias("t"))
+    # sort_array orders the structs by index first; taking field "t" of the
+    # struct array needs no lambda, so the projection stays in codegen.
     return (indexed.groupBy("patientid")
-            .agg(F.transform(F.array_sort(F.collect_list(pair)), lambda p: p["t"])
-                 .alias("sparse_feature")))
+            .agg(F.sort_array(F.collect_list(pair)).getField("t").alias("sparse_feature")))
 
 
 def code_stats(agg_events: DataFrame, num_partitions: int | None = None) -> DataFrame:
