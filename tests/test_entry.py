@@ -19,9 +19,10 @@ def test_queries_and_oracles_line_up():
     assert not any("pipeline" in name or name.startswith("op") for name in q)
 
 
-def test_every_query_builds_on_smoke_tables(spark):
-    for name, fn in E.queries().items():
-        df = fn(spark, E.SMOKE_DIR)
-        assert df.columns, name
-        assert df.limit(1).count() >= 0
+def test_rows_only_queries_run_on_smoke_tables(spark):
+    # queries with an oracle are compared in test_oracle.py
+    for name in sorted(set(E.queries()) - set(E.oracle_sql())):
+        df = E.queries()[name](spark, E.SMOKE_DIR)
+        assert df.columns == ["feature_index", "weight"], name
+        assert df.count() > 0
     spark.catalog.clearCache()
