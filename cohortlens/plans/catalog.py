@@ -13,8 +13,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cohortlens.operators.cohort import (
-    ALIVE,
-    DEAD,
     calculate_index_dates,
     filter_events,
     split_alive_dead,
@@ -26,9 +24,8 @@ from cohortlens.operators.features import (
     generate_feature_mapping,
     normalization,
     svmlight_convert,
-    svmlight_samples,
 )
-from cohortlens.operators.linear import classify, gd_step, score, train_gd, train_sgd, zero_weights
+from cohortlens.operators.linear import classify, score, train_gd, train_sgd
 from cohortlens.operators.metrics import cohort_metrics, common_codes, patient_profile, top_codes
 from cohortlens.operators.split import hash_split
 from cohortlens.plans.sample_build import build_samples
@@ -516,4 +513,4 @@ def q_auc(spark, sf_dir):
     return a.select(_r("auc"), "n_pos", "n_neg")
 
 
-__all__ = ["queries", "oracle_sql", "register", "ALIVE", "DEAD", "gd_step", "zero_weights"]
+__all__ = ["queries", "oracle_sql", "register"]
