@@ -128,20 +128,25 @@ def gd_step(samples: DataFrame, weights: DataFrame, eta: float, mu: float,
 
 def train_gd(samples: DataFrame, steps: int, eta: float = DEFAULT_ETA, mu: float = DEFAULT_MU,
              id_col: str = "patientid", rule: str = "textbook",
-             weights: DataFrame | None = None) -> DataFrame:
+             weights: DataFrame | None = None, colocate: bool = True) -> DataFrame:
     """``steps`` full-batch steps from zero weights (or ``weights``).
 
-    The samples are persisted once (memory and disk). Each step's weight
-    table — at most one row per feature — is written with a reliable
-    checkpoint: the next step's broadcast size check and join then read it
-    instead of recomputing earlier steps, and the lineage stays one step
-    long whatever the number of steps.
+    The samples are hash-partitioned by id once (``colocate``; skip it for
+    input already partitioned by id) and persisted (memory and disk), so
+    the per-sample margin of every step needs no shuffle. Each step's
+    weight table — at most one row per feature — is written with a
+    reliable checkpoint: the next step's broadcast size check and join then
+    read it instead of recomputing earlier steps, and the lineage stays one
+    step long whatever the number of steps.
     """
     spark = samples.sparkSession
     if rule not in RULES:
         raise ValueError(f"rule must be one of {RULES}")
     checkpoint_dir(spark)
-    data = samples.select(id_col, "y", "x").persist(StorageLevel.MEMORY_AND_DISK)
+    data = samples.select(id_col, "y", "x")
+    if colocate:
+        data = data.repartition(id_col)
+    data = data.persist(StorageLevel.MEMORY_AND_DISK)
     n = data.count()
     w = weights if weights is not None else zero_weights(spark)
     for _ in range(steps):

@@ -80,3 +80,18 @@ def test_profile_aggregates_before_shuffle(spark):
     ev, mo = _skewed(spark)
     plan = _plan(patient_profile(ev, mo))
     assert "partial_count" in plan and "partial_max" in plan
+
+
+def test_gd_step_on_colocated_samples_has_no_per_step_shuffle(spark):
+    from cohortlens.operators.linear import gd_step, zero_weights
+    from cohortlens.sources import parse_svmlight
+    lines = spark.createDataFrame([(f"{i % 2} {i % 7}:1.0 {i % 11}:0.5",) for i in range(500)],
+                                  "value string")
+    samples = parse_svmlight(lines).withColumn("sid", F.monotonically_increasing_id())
+    data = samples.select("sid", "y", "x").repartition("sid").persist()   # as train_gd does
+    data.count()
+    plan = _plan(gd_step(data, zero_weights(spark), 0.1, 0.0, 500, id_col="sid"))
+    per_step = [ln for ln in plan.splitlines()
+                if "hashpartitioning(sid" in ln and "ENSURE_REQUIREMENTS" in ln]
+    assert per_step == []
+    data.unpersist()
