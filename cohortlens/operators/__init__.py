@@ -2,21 +2,29 @@
 
 from cohortlens.operators.cohort import (
     calculate_index_dates,
+    daily_counts,
     filter_events,
+    index_dates_from_daily,
+    mortality_weights,
     split_alive_dead,
     tag_cohort,
     validate_unique,
+    window_counts,
+    with_cohorts,
 )
 from cohortlens.operators.evaluation import auc, confusion_counts, roc_points
 from cohortlens.operators.features import (
     aggregate_events,
     code_maxima,
+    code_stats,
     generate_feature_mapping,
     normalization,
+    sparse_rows,
     svmlight_convert,
     svmlight_samples,
 )
 from cohortlens.operators.linear import (
+    check_feature_range,
     classify,
     gd_step,
     margins,
@@ -30,9 +38,11 @@ from cohortlens.operators.metrics import (
     cohort_metrics,
     common_codes,
     common_codes_by_class,
+    common_codes_from_tagged,
     encounter_count_metrics,
     event_count_metrics,
     patient_profile,
+    profile_from_tagged,
     record_length_metrics,
     top_codes,
 )
