@@ -38,10 +38,12 @@ from cohortlens.operators.metrics import (
     cohort_metrics,
     common_codes,
     common_codes_by_class,
+    common_codes_from_daily,
     common_codes_from_tagged,
     encounter_count_metrics,
     event_count_metrics,
     patient_profile,
+    profile_from_daily,
     profile_from_tagged,
     record_length_metrics,
     top_codes,

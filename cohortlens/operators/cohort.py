@@ -157,15 +157,16 @@ def validate_unique(df: DataFrame, key: str = "patientid") -> DataFrame:
 
 
 def daily_counts(events: DataFrame) -> DataFrame:
-    """(patientid, eventid, etimestamp, n): event rows per patient, code and
-    day, ``n = count(eventid)`` (a null code keeps its row with n = 0).
+    """(patientid, eventid, etimestamp, n, n_rows): event rows per patient,
+    code and day; ``n = count(eventid)`` (a null code keeps its row with
+    n = 0) and ``n_rows = count(*)``.
 
     The pre-aggregation that lets later joins work on at most one row per
     (patient, code, day): partial aggregation runs before the shuffle, so a
     patient holding a large share of the raw events is combined map-side.
     """
     return (_events(events).groupBy("patientid", "eventid", "etimestamp")
-            .agg(F.count("eventid").alias("n")))
+            .agg(F.count("eventid").alias("n"), F.count(F.lit(1)).alias("n_rows")))
 
 
 def index_dates_from_daily(daily: DataFrame, mortality: DataFrame,

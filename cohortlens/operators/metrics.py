@@ -53,6 +53,17 @@ def patient_profile(events: DataFrame, mortality: DataFrame) -> DataFrame:
     return _finish_profile(tagged.withColumn("n_events", F.col("_n") * F.col("copies")))
 
 
+def profile_from_daily(daily: DataFrame, mortality: DataFrame) -> DataFrame:
+    """``patient_profile`` from ``daily_counts`` output (same rows)."""
+    per_patient = daily.groupBy("patientid").agg(
+        F.sum("n_rows").alias("_n"),
+        F.count_distinct("etimestamp").alias("n_encounters"),
+        F.min("etimestamp").alias("first_date"),
+        F.max("etimestamp").alias("last_date"))
+    tagged = with_cohorts(per_patient, mortality)
+    return _finish_profile(tagged.withColumn("n_events", F.col("_n") * F.col("copies")))
+
+
 def profile_from_tagged(tagged: DataFrame) -> DataFrame:
     """Same columns as ``patient_profile`` from events already carrying a
     ``cohort`` column (null = in no cohort)."""
@@ -163,6 +174,16 @@ def common_codes(events: DataFrame, mortality: DataFrame, k: int = 5) -> DataFra
     """
     per_code = (_events(events).groupBy("patientid", "eventid")
                 .agg(F.count(F.lit(1)).alias("_n")))
+    return _codes_per_cohort(per_code, mortality, k)
+
+
+def common_codes_from_daily(daily: DataFrame, mortality: DataFrame, k: int = 5) -> DataFrame:
+    """``common_codes`` from ``daily_counts`` output (same rows)."""
+    per_code = daily.groupBy("patientid", "eventid").agg(F.sum("n_rows").alias("_n"))
+    return _codes_per_cohort(per_code, mortality, k)
+
+
+def _codes_per_cohort(per_code: DataFrame, mortality: DataFrame, k: int) -> DataFrame:
     tagged = with_cohorts(per_code, mortality)
     counted = (tagged.groupBy("cohort", "eventid")
                .agg(F.sum(F.col("_n") * F.col("copies")).alias("code_count")))

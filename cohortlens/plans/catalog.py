@@ -28,6 +28,7 @@ from cohortlens.operators.features import (
 from cohortlens.operators.linear import classify, score, train_gd, train_sgd
 from cohortlens.operators.metrics import cohort_metrics, common_codes, patient_profile, top_codes
 from cohortlens.operators.split import hash_split
+from cohortlens.plans.cohort_profile import cohort_profile
 from cohortlens.plans.sample_build import build_samples
 from cohortlens.sources.svmlight import parse_svmlight
 from cohortlens.sources.tables import EV_SQL, MO_SQL, cohort_inputs, read_table
@@ -257,7 +258,8 @@ select cohort, round(events_avg, {DIGITS}) as events_avg, events_min, events_max
        round(days_avg, {DIGITS}) as days_avg, days_median, days_min, days_max
 from summary""")
 def q_cohort_metrics(spark, sf_dir):
-    m = cohort_metrics(patient_profile(*cohort_inputs(spark, sf_dir)))
+    # through the statistics plan (one shuffle of the events into daily counts)
+    m = cohort_profile(*cohort_inputs(spark, sf_dir))["metrics"]
     return m.select("cohort", _r("events_avg"), "events_min", "events_max",
                     _r("encounters_avg"), "encounters_median", "encounters_min", "encounters_max",
                     _r("days_avg"), "days_median", "days_min", "days_max")

@@ -3,22 +3,32 @@ tag join and two aggregation levels, returned as lazy DataFrames."""
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 
-from cohortlens.operators.metrics import cohort_metrics, common_codes, patient_profile
+from cohortlens.operators.cohort import daily_counts
+from cohortlens.operators.metrics import (
+    cohort_metrics,
+    common_codes_from_daily,
+    profile_from_daily,
+)
 
 
 def cohort_profile(events: DataFrame, mortality: DataFrame, k: int = 5) -> dict[str, DataFrame]:
-    """{'patients', 'metrics', 'common_codes'}.
+    """{'daily', 'patients', 'metrics', 'common_codes'}.
 
     ``metrics`` has one row per cohort with event-count, encounter and
     record-length figures; ``common_codes`` the top-k codes per cohort and
-    class. Both aggregate the events per patient (resp. per patient and
-    code) before joining the cohort tag, so no event-level join happens.
+    class. The events are read and shuffled once, into per (patient, code,
+    day) counts (persisted; ``daily.unpersist()`` when done); both results
+    aggregate those per patient (resp. per patient and code) before the
+    cohort tag is joined, so no event-level join happens.
     """
-    patients = patient_profile(events, mortality)
+    daily = daily_counts(events).persist(StorageLevel.MEMORY_AND_DISK)
+    patients = profile_from_daily(daily, mortality)
     return {
+        "daily": daily,
         "patients": patients,
         "metrics": cohort_metrics(patients),
-        "common_codes": common_codes(events, mortality, k),
+        "common_codes": common_codes_from_daily(daily, mortality, k),
     }

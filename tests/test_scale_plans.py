@@ -53,6 +53,21 @@ def test_hot_patient_metrics_equal_event_level(spark):
     assert m["dead"]["events_max"] == 3000        # the hot patient (id 0) is dead
 
 
+def test_profile_plan_from_daily_counts_equals_direct(spark):
+    from cohortlens.plans import cohort_profile
+    for ev, mo in (_skewed(spark), _fanout(spark)):
+        res = cohort_profile(ev, mo, 5)
+        assert rows(res["patients"]) == rows(patient_profile(ev, mo))
+        assert rows(res["common_codes"]) == rows(common_codes(ev, mo, 5))
+        assert rows(res["metrics"]) == rows(cohort_metrics(patient_profile(ev, mo)))
+        res["daily"].unpersist()
+
+
+def _fanout(spark):
+    from test_metrics import _fanout_inputs
+    return _fanout_inputs(spark)
+
+
 def test_hot_patient_samples_equal_operator_chain(spark):
     ev, mo = _skewed(spark)
     idx = calculate_index_dates(ev, mo)
