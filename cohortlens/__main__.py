@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from cohortlens.operators import auc, confusion_counts, roc_points, score, train_gd, train_sgd
 from cohortlens.operators.split import train_test_split
 from cohortlens.plans import build_samples, cohort_profile
+from cohortlens.plans.sample_build import release
 from cohortlens.session import checkpoint_dir
 from cohortlens.sources import load_model, read_events, read_mortality, read_svmlight, save_model
 
@@ -74,10 +75,12 @@ def main(argv: list[str] | None = None) -> None:
         res = cohort_profile(read_events(spark, args.events), read_mortality(spark, args.mortality))
         _emit(res["metrics"], args.out, "metrics")
         _emit(res["common_codes"].orderBy("cohort", "code_class", "rank"), args.out, "common_codes")
+        res["daily"].unpersist()
     elif args.cmd == "samples":
         built = build_samples(read_events(spark, args.events), read_mortality(spark, args.mortality))
         train_test_split(built["samples"], f"{args.out}/training", f"{args.out}/testing")
         built["event_map"].write.mode("overwrite").parquet(f"{args.out}/event_map")
+        release(built)
     elif args.cmd == "train":
         data = _samples_with_id(spark, args.samples)
         if args.sgd:
