@@ -64,7 +64,10 @@ def _weights_side(weights: DataFrame, broadcast_rows: int | None) -> DataFrame:
 
 def margins(samples: DataFrame, weights: DataFrame, id_col: str = "patientid",
             broadcast_rows: int | None = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """(id, y, margin) with margin = sum_i w_i * v_i; no features -> 0."""
+    """(id, y, margin) with margin = sum_i w_i * v_i; no features -> 0.
+
+    ``id_col`` must identify one sample (rows sharing an id are summed as
+    one). Input hash-partitioned by it is summed without a shuffle."""
     exploded = samples.select(id_col, "y", F.explode_outer("x").alias("_e"))
     joined = exploded.join(_weights_side(weights, broadcast_rows),
                            F.col("_e.i") == F.col("_fi"), "left")
