@@ -414,7 +414,9 @@ def q_parse_samples(spark, sf_dir):
 
 
 def _gd_weights(spark, sf_dir, parsed: DataFrame) -> DataFrame:
-    return train_gd(parsed, Q_GD_STEPS, Q_ETA, Q_MU, "patientid", "textbook")
+    # samples from build_samples are already hash-partitioned by patientid
+    # (parsing is a projection), so no co-locating shuffle is needed
+    return train_gd(parsed, Q_GD_STEPS, Q_ETA, Q_MU, "patientid", "textbook", colocate=False)
 
 
 @register("train_gd_step", _with(BASE, FEATURES, GD) + f"""
@@ -455,7 +457,8 @@ def q_confusion_counts(spark, sf_dir):
 @register("train_gd_as_coded", _with(BASE, FEATURES, GD_AS_CODED) + f"""
 select feature_index, round(weight, {DIGITS}) as weight from c2""")
 def q_train_gd_as_coded(spark, sf_dir):
-    w = train_gd(_parsed(spark, sf_dir), Q_GD_STEPS, Q_ETA, Q_MU, "patientid", "as_coded")
+    w = train_gd(_parsed(spark, sf_dir), Q_GD_STEPS, Q_ETA, Q_MU, "patientid", "as_coded",
+                 colocate=False)
     return w.select("feature_index", _r("weight"))
 
 
@@ -470,7 +473,7 @@ def q_model_auc(spark, sf_dir):
     test, train = hash_split(_samples(spark, sf_dir), "patientid")
     p_train = parse_svmlight(train, "save_feature").select("patientid", "y", "x")
     p_test = parse_svmlight(test, "save_feature").select("patientid", "y", "x")
-    w = train_gd(p_train, Q_GD_STEPS, Q_ETA, Q_MU, "patientid", "textbook")
+    w = train_gd(p_train, Q_GD_STEPS, Q_ETA, Q_MU, "patientid", "textbook", colocate=False)
     scored = score(p_test, w).withColumn("prob", F.round("prob", 12))
     return auc(scored).select(_r("auc"), "n_pos", "n_neg")
 
