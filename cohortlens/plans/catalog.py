@@ -363,7 +363,8 @@ def q_feature_mapping(spark, sf_dir):
 select patientid, eventid, normalized_feature_value from norm""")
 def q_normalization(spark, sf_dir):
     ev, mo = cohort_inputs(spark, sf_dir)
-    agg = aggregate_events(filter_events(ev, calculate_index_dates(ev, mo)))
+    # agg feeds both the per-code maxima and the join: persist the fork
+    agg = aggregate_events(filter_events(ev, calculate_index_dates(ev, mo))).persist()
     return normalization(agg)
 
 
@@ -371,7 +372,8 @@ def q_normalization(spark, sf_dir):
 select patientid, sparse_text from svm""")
 def q_svmlight_convert(spark, sf_dir):
     ev, mo = cohort_inputs(spark, sf_dir)
-    agg = aggregate_events(filter_events(ev, calculate_index_dates(ev, mo)))
+    # agg feeds the maxima, the code index and the join: persist the fork
+    agg = aggregate_events(filter_events(ev, calculate_index_dates(ev, mo))).persist()
     svm = svmlight_convert(normalization(agg), generate_feature_mapping(agg))
     return svm.select("patientid", F.array_join("sparse_feature", " ").alias("sparse_text"))
 
