@@ -8,11 +8,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from cohortlens.llm.ngram_join import op9_ngram_jaccard_join
+from cohortlens.llm.secret_scan import op10_secret_scans
+from cohortlens.llm.source_mixing import op6_source_mixing
 from cohortlens.llm.substring_dedup import op1_substring_dedup
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_substring_dedup, op9_ngram_jaccard_join)}
+    return {f.__name__: f for f in (op1_substring_dedup, op6_source_mixing, op9_ngram_jaccard_join, op10_secret_scans)}
 
 
 def oracle_sql() -> dict[str, str]:
