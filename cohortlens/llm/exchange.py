@@ -35,11 +35,11 @@ def fold(keys: np.ndarray, buckets: int) -> np.ndarray:
     return ((keys >> np.uint64(40)) % np.uint64(buckets) << np.uint64(40)) | (keys & _LOW)
 
 
-def _pack5(keys: np.ndarray) -> bytes:
+def pack5(keys: np.ndarray) -> bytes:
     return np.ascontiguousarray(keys.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :5]).tobytes()
 
 
-def _unpack5(data: bytes) -> np.ndarray:
+def unpack5(data: bytes) -> np.ndarray:
     raw = np.frombuffer(data, np.uint8).reshape(-1, 5)
     out = np.zeros((len(raw), 8), np.uint8)
     out[:, :5] = raw
@@ -109,7 +109,7 @@ def shared_keys(frame: DataFrame, keys_of: Callable[[np.ndarray, np.ndarray], tu
             cut = np.flatnonzero(np.diff(bucket)) + 1
             for own in np.split(np.arange(len(sent)), cut):
                 if len(own):
-                    parts.append(_blob(int(bucket[own[0]]), 0, docs, marks, at[sent[own]], _pack5(keys[sent[own]])))
+                    parts.append(_blob(int(bucket[own[0]]), 0, docs, marks, at[sent[own]], pack5(keys[sent[own]])))
             yield from _rows(parts)
 
     names = ["mark", "shared"] if by_text else ["doc_id", "mark", "key"]
@@ -132,7 +132,7 @@ def shared_keys(frame: DataFrame, keys_of: Callable[[np.ndarray, np.ndarray], tu
                 else:
                     docs.append(d)
                     marks.append(m)
-                    keys.append(_unpack5(key) | np.uint64(bucket) << np.uint64(40))
+                    keys.append(unpack5(key) | np.uint64(bucket) << np.uint64(40))
         if not keys:
             return
         d, m, k = (np.concatenate(x) for x in (docs, marks, keys))

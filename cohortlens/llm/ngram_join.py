@@ -31,12 +31,14 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortlens.llm.common import components, persist, prepare, table, write_shared
-from cohortlens.llm.exchange import shared_keys
-from cohortlens.llm.kernels import column, mix, text_blocks, window_hashes, word_hashes, word_spans
+from cohortlens.llm.common import components, partitions, persist, prepare, table, write_shared
+from cohortlens.llm.exchange import buckets_of, fold, pack5, shared_keys, unpack5
+from cohortlens.llm.kernels import (PACKED, column, mix, pack_texts, packed_blocks, text_blocks, window_hashes,
+                                    word_hashes, word_spans)
 
 WIDTH, PERCENT = 5, 75
 
@@ -98,9 +100,13 @@ def shingle_sets(docs: DataFrame, width: int = WIDTH) -> DataFrame:
         run, "doc_id long, mark long, n_shingles long, sig_a long, sig_b long")
 
 
-def _full_sets(docs: DataFrame, width: int) -> DataFrame:
+def _full_sets(packed: DataFrame, width: int) -> DataFrame:
+    """(block, rep, n, tokens): the whole sets of packed texts, a block's rows
+    together a few MB."""
+
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows, buf, offs in text_blocks(batches):
+        task = TaskContext.get().partitionId() << 32
+        for i, (rows, buf, offs) in enumerate(packed_blocks(batches)):
             at, hashes = _shingles(buf, offs, width)
             order = np.lexsort((hashes, at))
             at, hashes = at[order], hashes[order]
@@ -109,10 +115,97 @@ def _full_sets(docs: DataFrame, width: int) -> DataFrame:
             at, hashes = at[keep], hashes[keep]
             cut = np.searchsorted(at, np.arange(len(offs))).astype(np.int32)
             sets = pa.ListArray.from_arrays(pa.array(cut), pa.array(hashes.view(np.int64)))
-            yield pa.RecordBatch.from_arrays([pa.array(column(rows, "doc_id")), pa.array(np.diff(cut).astype(np.int64)),
-                                              sets], names=["rep", "n", "tokens"])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.full(rows.num_rows, task + i)), pa.array(column(rows, "doc_id")),
+                 pa.array(np.diff(cut).astype(np.int64)), sets], names=["block", "rep", "n", "tokens"])
+
+    return packed.mapInArrow(run, "block long, rep long, n long, tokens array<long>")
+
 
-    return docs.select("doc_id", "text").mapInArrow(run, "rep long, n long, tokens array<long>")
+def _lists(batch: pa.RecordBatch | pa.Table, name: str) -> tuple[np.ndarray, np.ndarray]:
+    """(offsets, values) of a column of long lists."""
+    col = batch.column(name)
+    col = col.combine_chunks() if isinstance(col, pa.ChunkedArray) else col
+    offs = np.asarray(col.offsets) if len(col) else np.zeros(1, np.int32)
+    return offs - offs[0], col.flatten().to_numpy(zero_copy_only=False)
+
+
+def _prefixes(sets: DataFrame, percent: int) -> DataFrame:
+    """(rep, n, skip, prefix): shingles in the order of their document
+    frequency, rarest first; of the prefix, ``skip`` shingles that no other
+    set holds are only counted. Sets whose prefix has no other are left out.
+
+    Frequencies are summed over blocks by bucket and go back to the blocks
+    that asked, so a shingle that every document holds is one entry a block.
+    """
+    buckets = buckets_of(sets)
+
+    def send(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            blocks = column(batch, "block")
+            offs, tokens = _lists(batch, "tokens")
+            of = np.repeat(blocks, np.diff(offs))
+            for block in np.unique(blocks):
+                keys, counts = np.unique(fold(tokens[of == block].view(np.uint64), buckets), return_counts=True)
+                bucket = (keys >> np.uint64(40)).astype(np.int64)
+                cut = np.flatnonzero(np.diff(bucket)) + 1
+                lows, highs = np.append(0, cut), np.append(cut, len(keys))
+                if not len(keys):
+                    continue
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(bucket[lows].astype(np.int32)), pa.array(np.full(len(lows), block)),
+                     pa.array([pack5(keys[x:y]) for x, y in zip(lows, highs)], type=pa.binary()),
+                     pa.array([counts[x:y].astype(np.uint16).tobytes() for x, y in zip(lows, highs)], type=pa.binary())],
+                    names=["bucket", "block", "keys", "counts"])
+
+    def answer(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        asked, keys, counts = [], [], []
+        for batch in batches:
+            for bucket, block, k, c in zip(*(x.to_pylist() for x in batch.columns)):
+                keys.append(unpack5(k) | np.uint64(bucket) << np.uint64(40))
+                counts.append(np.frombuffer(c, np.uint16))
+                asked.append(block)
+        if not keys:
+            return
+        size = [len(k) for k in keys]
+        all_keys = np.concatenate(keys)
+        own, at = np.unique(all_keys, return_inverse=True)
+        df = np.bincount(at, weights=np.concatenate(counts))[at].astype(np.int64)
+        ends = np.cumsum(size)
+        for block, k, lo, hi in zip(asked, keys, ends - size, ends):
+            keep = df[lo:hi] > 1
+            if keep.any():
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([block]), pa.array([k[keep].tobytes()], type=pa.binary()),
+                     pa.array([df[lo:hi][keep].astype(np.uint32).tobytes()], type=pa.binary())],
+                    names=["block", "keys", "dfs"])
+
+    def rank(rows: pa.Table, answers: pa.Table) -> pa.Table:
+        offs, tokens = _lists(rows, "tokens")
+        n = np.diff(offs)
+        keys = np.frombuffer(b"".join(answers.column("keys").to_pylist()), np.uint64)
+        dfs = np.frombuffer(b"".join(answers.column("dfs").to_pylist()), np.uint32)
+        order = np.argsort(keys)
+        keys, dfs = keys[order], dfs[order]
+        mine = fold(tokens.view(np.uint64), buckets)
+        spot = np.minimum(np.searchsorted(keys, mine), max(0, len(keys) - 1))
+        df = np.where(keys[spot] == mine, dfs[spot], 1) if len(keys) else np.ones(len(mine), np.int64)
+        doc = np.repeat(np.arange(len(n)), n)
+        order = np.lexsort((tokens, df, doc))
+        doc, tokens, df = doc[order], tokens[order], df[order]
+        within = np.arange(len(doc)) - np.repeat(offs[:-1], n)
+        inside = (within < (n - _need(n, percent) + 1)[doc]) & (df > 1)
+        skip = np.bincount(doc, weights=df == 1, minlength=len(n)).astype(np.int64)
+        cut = np.searchsorted(doc[inside], np.arange(len(n) + 1)).astype(np.int32)
+        out = pa.table({"rep": rows.column("rep").combine_chunks(), "n": pa.array(n.astype(np.int64)), "skip": pa.array(skip),
+                        "prefix": pa.ListArray.from_arrays(pa.array(cut), pa.array(tokens[inside]))})
+        return out.filter(pa.array(np.diff(cut) > 0))
+
+    spark = sets.sparkSession
+    answers = (sets.select("block", "tokens").mapInArrow(send, "bucket int, block long, keys binary, counts binary")
+               .repartition(partitions(spark), "bucket").mapInArrow(answer, "block long, keys binary, dfs binary"))
+    return (sets.groupBy("block").cogroup(answers.groupBy("block"))
+            .applyInArrow(rank, "rep long, n long, skip long, prefix array<long>"))
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -154,8 +247,8 @@ def _components(docs: DataFrame, known: DataFrame, rows: DataFrame, width: int,
     classes = persist(classes.select("sig_a", "sig_b", "n_shingles", "rep.doc_id", "rep.mark"))
     live = rows.join(shared, "mark").where(F.col("shared") >= need_shared).select("sig_a", "sig_b", "n_shingles").distinct()
     reps = classes.join(live, ["sig_a", "sig_b", "n_shingles"], "left_semi").select("doc_id", "mark").distinct()
-    sets = write_shared(_full_sets(known.join(reps, ["doc_id", "mark"], "left_semi").dropDuplicates(["doc_id", "mark"]),
-                                   width), "shingles")
+    packed = known.mapInArrow(pack_texts, PACKED).join(reps, ["doc_id", "mark"], "left_semi")
+    sets = write_shared(_full_sets(packed.dropDuplicates(["doc_id", "mark"]), width), "shingles")
     edges = _links(sets, percent)
     comp = components(edges)
     names = classes.select("sig_a", "sig_b", "n_shingles", F.col("doc_id").alias("rep"))
@@ -169,14 +262,7 @@ def _components(docs: DataFrame, known: DataFrame, rows: DataFrame, width: int,
 
 def _links(sets: DataFrame, percent: int) -> DataFrame:
     """Enough verified links (a, b) for the components of ``sets`` (rep, n, tokens)."""
-    tokens = sets.select("rep", "n", F.explode("tokens").alias("token"))
-    freq = tokens.groupBy("token").agg(F.count("*").alias("df")).where("df > 1")
-    ranked = (tokens.join(freq, "token").groupBy("rep", "n")
-              .agg(F.sort_array(F.collect_list(F.struct("df", "token"))).alias("known")))  # one document's own shingles
-    size = F.expr(f"n + floor(-{percent} * n / 100) + 1")  # n - ceil(percent * n / 100) + 1
-    prefix = (ranked.withColumn("skip", F.col("n") - F.size("known")).where(size > F.col("skip"))
-              .withColumn("prefix", F.expr(f"transform(slice(known, 1, int(n + floor(-{percent} * n / 100) + 1 - skip)), x -> x.token)"))
-              .select("rep", "n", "skip", "prefix"))
+    prefix = write_shared(_prefixes(sets, percent), "prefixes")
     prefix = prefix.withColumn("own", F.when(F.col("skip") > 0, F.col("rep")).otherwise(F.lit(-1)))
     groups = persist(prefix.groupBy("n", "prefix", "own").agg(F.min("rep").alias("gid")))
     members = write_shared(prefix.join(groups, ["n", "prefix", "own"]).select("rep", "gid", "n"), "members")

@@ -31,8 +31,8 @@ from pyspark.sql import functions as F
 
 from cohortlens.llm.common import partitions, prepare, table
 from cohortlens.llm.exchange import buckets_of, fold, shared_keys
-from cohortlens.llm.kernels import (anchors, column, covered, text_blocks, valid_starts, window_hashes, word_hashes,
-                                    word_spans)
+from cohortlens.llm.kernels import (PACKED, anchors, column, covered, pack_texts, packed_blocks, valid_starts,
+                                    window_hashes, word_hashes, word_spans)
 
 WINDOW = 13
 _ASK = pa.schema([("bucket", pa.int32()), ("doc_id", pa.int64()), ("mark", pa.int64()), ("ask", pa.bool_()),
@@ -67,14 +67,14 @@ def owned(frame: DataFrame, windows_of, buckets: int) -> DataFrame:
     with a smaller doc_id.
 
     ``windows_of(rows, bytes, offsets)`` gives (row, hash a, hash b, start)
-    for a block of ``frame`` (doc_id, mark, ...).
+    for a block of ``frame`` (doc_id, mark, size, packed, ...).
     """
 
     def pack(bucket, d, m, ask, a, b, at):
         return (bucket, int(d), int(m), ask, a.tobytes(), b.tobytes(), at.astype(np.int32).tobytes())
 
     def send(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows, buf, offs in text_blocks(batches):
+        for rows, buf, offs in packed_blocks(batches):
             row, a, b, at = windows_of(rows, buf, offs)
             if not len(row):
                 continue
@@ -185,7 +185,7 @@ def repeated_windows(docs: DataFrame, window: int = WINDOW) -> DataFrame:
         b = window_hashes(other, window, seed=2)[at] if len(at) else a
         return doc, a, b, at - wo[doc]
 
-    joined = docs.join(found, ["doc_id", "mark"]).select("doc_id", "mark", "text", "keys")
+    joined = docs.mapInArrow(pack_texts, PACKED).join(found, ["doc_id", "mark"])
     return owned(joined, windows_of, buckets).groupBy("doc_id", "mark").agg(F.collect_list("at").alias("starts"))
 
 
@@ -222,7 +222,7 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     hits = repeated_windows(docs.where("doc_id is not null"), window)
 
     def cut(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows, buf, offs in text_blocks(batches):
+        for rows, buf, offs in packed_blocks(batches):
             starts, ends, wo = word_spans(buf, offs)
             row, at = _answers(rows, "starts", np.int32)
             gone = covered(at + wo[row], window, len(starts))
@@ -259,7 +259,7 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
                  pa.array(spans, type=pa.string())],
                 names=["doc_id", "n_words", "n_removed", "kept_text", "kept_sha256", "spans"])
 
-    return docs.join(hits, ["doc_id", "mark"], "left").select("doc_id", "mark", "text", "starts").mapInArrow(
+    return docs.mapInArrow(pack_texts, PACKED).join(hits, ["doc_id", "mark"], "left").mapInArrow(
         cut, "doc_id long, n_words long, n_removed long, kept_text string, kept_sha256 string, spans string")
 
 
