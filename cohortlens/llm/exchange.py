@@ -26,7 +26,7 @@ _BLOB_SCHEMA = pa.schema([("bucket", pa.int32()), ("kind", pa.int32()), ("docs",
 
 
 def buckets_of(frame: DataFrame) -> int:
-    return 8 * partitions(frame.sparkSession)
+    return partitions(frame.sparkSession)
 
 
 def fold(keys: np.ndarray, buckets: int) -> np.ndarray:
@@ -52,26 +52,45 @@ def _rows(parts: list[tuple]) -> Iterator[pa.RecordBatch]:
             [pa.array(list(c), type=f.type) for c, f in zip(zip(*parts), _BLOB_SCHEMA)], schema=_BLOB_SCHEMA)
 
 
-def _blob(bucket: int, kind: int, docs, marks, idx, keys: bytes) -> tuple:
+def blob(bucket: int, kind: int, docs, marks, idx, *payload: bytes) -> tuple:
+    """One packed row: entries of a block for a bucket; ``idx`` names each
+    entry's document. Kind's lowest bit is the caller's."""
     used, idx = np.unique(idx, return_inverse=True)
     kind_of = np.uint16 if len(used) < 65536 else np.uint32
     return (bucket, kind + (2 if kind_of is np.uint32 else 0), docs[used].tobytes(), marks[used].tobytes(),
-            idx.astype(kind_of).tobytes(), keys)
+            idx.astype(kind_of).tobytes(), *payload)
+
+
+def by_document(d: np.ndarray, m: np.ndarray, at: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """(doc_id, mark, at): entries packed to one row a document."""
+    order = np.lexsort((at, m, d))
+    d, m, at = d[order], m[order], at[order].astype(np.int32)
+    if not len(d):
+        return
+    cut = np.flatnonzero((np.diff(d) != 0) | (np.diff(m) != 0)) + 1
+    lows, highs = np.append(0, cut), np.append(cut, len(d))
+    for lo in range(0, len(lows), 10_000):
+        part = slice(lo, lo + 10_000)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(d[lows[part]]), pa.array(m[lows[part]]),
+             pa.array([at[x:y].tobytes() for x, y in zip(lows[part], highs[part])], type=pa.binary())],
+            names=["doc_id", "mark", "at"])
 
 
-def _open(kind: int, docs: bytes, marks: bytes, idx: bytes):
+def open_blob(kind: int, docs: bytes, marks: bytes, idx: bytes):
     at = np.frombuffer(idx, np.uint32 if kind & 2 else np.uint16)
     return np.frombuffer(docs, np.int64)[at], np.frombuffer(marks, np.int64)[at]
 
 
 def shared_keys(frame: DataFrame, keys_of: Callable[[np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray]],
-                by_text: bool = False) -> DataFrame:
+                by_text: bool = False, counted: bool = False) -> DataFrame:
     """(doc_id, mark, key) for the folded keys that occur in two or more rows
     of ``frame`` (doc_id, mark, text; mark a hash of the text). With
     ``by_text`` the rows of one mark count as one, and the result is (mark,
-    shared): how many of its keys occur under another mark, in several rows a
-    mark that are to be summed (copies in many blocks can make that sum too
-    large, never too small).
+    key), a key once or more; with ``counted`` as well it is (mark, shared): how
+    many of its keys occur under another mark, in several rows a mark that are
+    to be summed (copies in many blocks can make that sum too large, never too
+    small).
 
     ``keys_of(bytes, offsets)`` gives (document index, key) arrays for a
     block, in document order. The answer may hold a key too many (folding),
@@ -100,7 +119,7 @@ def shared_keys(frame: DataFrame, keys_of: Callable[[np.ndarray, np.ndarray], tu
             parts = []
             more = np.sort(order[rank >= 2])
             if len(more):
-                parts.append(_blob((int(docs[0]) * 31 + block) % buckets, 1, docs, marks, at[more],
+                parts.append(blob((int(docs[0]) * 31 + block) % buckets, 1, docs, marks, at[more],
                                    keys[more].tobytes()))
             sent = np.sort(order[rank < 2])
             bucket = (keys[sent] >> np.uint64(40)).astype(np.int64)
@@ -109,24 +128,24 @@ def shared_keys(frame: DataFrame, keys_of: Callable[[np.ndarray, np.ndarray], tu
             cut = np.flatnonzero(np.diff(bucket)) + 1
             for own in np.split(np.arange(len(sent)), cut):
                 if len(own):
-                    parts.append(_blob(int(bucket[own[0]]), 0, docs, marks, at[sent[own]], pack5(keys[sent[own]])))
+                    parts.append(blob(int(bucket[own[0]]), 0, docs, marks, at[sent[own]], pack5(keys[sent[own]])))
             yield from _rows(parts)
 
-    names = ["mark", "shared"] if by_text else ["doc_id", "mark", "key"]
+    names = (["mark", "shared"] if counted else ["mark", "key"]) if by_text else ["doc_id", "mark", "key"]
     out_schema = pa.schema([(x, pa.int64()) for x in names])
 
     def answer(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         docs, marks, keys = [], [], []
 
         def out(d, m, k):
-            cols = np.unique(m, return_counts=True) if by_text else (d, m, k)
+            cols = np.unique(m, return_counts=True) if counted else (m, k) if by_text else (d, m, k)
             for lo in range(0, len(cols[0]), 100_000):
                 yield pa.RecordBatch.from_arrays([pa.array(x[lo:lo + 100_000].astype(np.int64)) for x in cols],
                                                  schema=out_schema)
 
         for batch in batches:
             for bucket, kind, d, m, idx, key in zip(*(c.to_pylist() for c in batch.columns)):
-                d, m = _open(kind, d, m, idx)
+                d, m = open_blob(kind, d, m, idx)
                 if kind & 1:
                     yield from out(d, m, np.frombuffer(key, np.uint64))
                 else:
@@ -155,4 +174,4 @@ def shared_keys(frame: DataFrame, keys_of: Callable[[np.ndarray, np.ndarray], tu
 
     schema = ", ".join(f"{x} long" for x in names)
     return (frame.select("doc_id", "mark", "text").mapInArrow(send, BLOB)
-            .repartition(partitions(frame.sparkSession), "bucket").mapInArrow(answer, schema))
+            .repartitionById(buckets, "bucket").mapInArrow(answer, schema))

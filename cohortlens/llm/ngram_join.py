@@ -35,7 +35,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortlens.llm.common import components, partitions, persist, prepare, table, write_shared
+from cohortlens.llm.common import components, persist, prepare, table, write_shared
 from cohortlens.llm.exchange import buckets_of, fold, pack5, shared_keys, unpack5
 from cohortlens.llm.kernels import (PACKED, column, mix, pack_texts, packed_blocks, text_blocks, window_hashes,
                                     word_hashes, word_spans)
@@ -171,14 +171,16 @@ def _prefixes(sets: DataFrame, percent: int) -> DataFrame:
         all_keys = np.concatenate(keys)
         own, at = np.unique(all_keys, return_inverse=True)
         df = np.bincount(at, weights=np.concatenate(counts))[at].astype(np.int64)
-        ends = np.cumsum(size)
-        for block, k, lo, hi in zip(asked, keys, ends - size, ends):
-            keep = df[lo:hi] > 1
-            if keep.any():
+        of = np.repeat(np.array(asked), size)
+        order = np.flatnonzero(df > 1)
+        order = order[np.argsort(of[order], kind="stable")]
+        of, all_keys, df = of[order], all_keys[order], df[order]
+        cut = np.flatnonzero(np.diff(of)) + 1
+        for lo, hi in zip(np.append(0, cut), np.append(cut, len(of))):  # one row a block
+            if hi > lo:
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([block]), pa.array([k[keep].tobytes()], type=pa.binary()),
-                     pa.array([df[lo:hi][keep].astype(np.uint32).tobytes()], type=pa.binary())],
-                    names=["block", "keys", "dfs"])
+                    [pa.array(of[lo:lo + 1]), pa.array([all_keys[lo:hi].tobytes()], type=pa.binary()),
+                     pa.array([df[lo:hi].astype(np.uint32).tobytes()], type=pa.binary())], names=["block", "keys", "dfs"])
 
     def rank(rows: pa.Table, answers: pa.Table) -> pa.Table:
         offs, tokens = _lists(rows, "tokens")
@@ -201,9 +203,8 @@ def _prefixes(sets: DataFrame, percent: int) -> DataFrame:
                         "prefix": pa.ListArray.from_arrays(pa.array(cut), pa.array(tokens[inside]))})
         return out.filter(pa.array(np.diff(cut) > 0))
 
-    spark = sets.sparkSession
     answers = (sets.select("block", "tokens").mapInArrow(send, "bucket int, block long, keys binary, counts binary")
-               .repartition(partitions(spark), "bucket").mapInArrow(answer, "block long, keys binary, dfs binary"))
+               .repartitionById(buckets, "bucket").mapInArrow(answer, "block long, keys binary, dfs binary"))
     return (sets.groupBy("block").cogroup(answers.groupBy("block"))
             .applyInArrow(rank, "rep long, n long, skip long, prefix array<long>"))
 
@@ -241,7 +242,7 @@ def _components(docs: DataFrame, known: DataFrame, rows: DataFrame, width: int,
         return at[keep], mix(value[keep])
 
     need_shared = F.floor((F.expr(f"-floor(-{percent} * n_shingles / 100)")) / 8) + 1
-    shared = shared_keys(known, extended, by_text=True).groupBy("mark").agg(F.sum("shared").alias("shared"))
+    shared = shared_keys(known, extended, by_text=True, counted=True).groupBy("mark").agg(F.sum("shared").alias("shared"))
     classes = rows.where("n_shingles > 0").groupBy("sig_a", "sig_b", "n_shingles").agg(
         F.min(F.struct("doc_id", "mark")).alias("rep"))
     classes = persist(classes.select("sig_a", "sig_b", "n_shingles", "rep.doc_id", "rep.mark"))

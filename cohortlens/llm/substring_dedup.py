@@ -29,15 +29,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortlens.llm.common import partitions, prepare, table
-from cohortlens.llm.exchange import buckets_of, fold, shared_keys
+from cohortlens.llm.common import prepare, table
+from cohortlens.llm.exchange import blob, buckets_of, by_document, fold, open_blob, shared_keys
 from cohortlens.llm.kernels import (PACKED, anchors, column, covered, pack_texts, packed_blocks, valid_starts,
                                     window_hashes, word_hashes, word_spans)
 
 WINDOW = 13
-_ASK = pa.schema([("bucket", pa.int32()), ("doc_id", pa.int64()), ("mark", pa.int64()), ("ask", pa.bool_()),
-                  ("a", pa.binary()), ("b", pa.binary()), ("at", pa.binary())])
-_ASK_DDL = "bucket int, doc_id long, mark long, ask boolean, a binary, b binary, at binary"
+_ASK_DDL = "bucket int, kind int, docs binary, marks binary, idx binary, at binary, a binary, b binary"
+_ASK = pa.schema([(x.split()[0], pa.int32() if x.endswith("int") else pa.binary()) for x in _ASK_DDL.split(", ")])
 
 
 def _seeds(buf: np.ndarray, offs: np.ndarray, window: int):
@@ -62,6 +61,17 @@ def _candidates(wo: np.ndarray, spots: np.ndarray, window: int) -> np.ndarray:
     return np.flatnonzero((np.cumsum(edge)[:len(ok)] > 0) & ok)
 
 
+def _least(d: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """For each entry the smallest document with its window (a, b)."""
+    order = np.lexsort((d, b, a))
+    x, y = a[order], b[order]
+    head = np.ones(len(x), bool)
+    head[1:] = (x[1:] != x[:-1]) | (y[1:] != y[:-1])
+    out = np.empty(len(x), np.int64)
+    out[order] = np.repeat(d[order][head], np.diff(np.append(np.flatnonzero(head), len(x))))
+    return out
+
+
 def owned(frame: DataFrame, windows_of, buckets: int) -> DataFrame:
     """(doc_id, mark, at): starts of the windows that also start in a document
     with a smaller doc_id.
@@ -70,74 +80,45 @@ def owned(frame: DataFrame, windows_of, buckets: int) -> DataFrame:
     for a block of ``frame`` (doc_id, mark, size, packed, ...).
     """
 
-    def pack(bucket, d, m, ask, a, b, at):
-        return (bucket, int(d), int(m), ask, a.tobytes(), b.tobytes(), at.astype(np.int32).tobytes())
-
     def send(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows, buf, offs in packed_blocks(batches):
+        for block, (rows, buf, offs) in enumerate(packed_blocks(batches)):
             row, a, b, at = windows_of(rows, buf, offs)
             if not len(row):
                 continue
             docs, marks = column(rows, "doc_id"), column(rows, "mark")
-            d = docs[row]
-            order = np.lexsort((d, b, a))
-            a, b, d, row, at = a[order], b[order], d[order], row[order], at[order]
-            head = np.ones(len(a), bool)
-            head[1:] = (a[1:] != a[:-1]) | (b[1:] != b[:-1])
-            least = np.repeat(d[head], np.diff(np.append(np.flatnonzero(head), len(a))))
-            ask = d == least
-            bucket = np.where(ask, (a % np.uint64(buckets)).astype(np.int64), row % buckets)
-            by = np.lexsort((at, row, bucket, ask))
-            a, b, row, at, ask, bucket = a[by], b[by], row[by], at[by], ask[by], bucket[by]
-            cut = np.flatnonzero((np.diff(row) != 0) | (np.diff(bucket) != 0) | (np.diff(ask.view(np.int8)) != 0)) + 1
-            parts, none = [], np.zeros(0, np.uint64)
-            for lo, hi in zip(np.append(0, cut), np.append(cut, len(row))):
-                keys = (a[lo:hi], b[lo:hi]) if ask[lo] else (none, none)
-                parts.append(pack(int(bucket[lo]), docs[row[lo]], marks[row[lo]], bool(ask[lo]), *keys, at[lo:hi]))
+            ask = _least(docs[row], a, b) == docs[row]
+            own = np.flatnonzero(~ask)  # a smaller document of the block has the window
+            parts = [blob((int(docs[0]) * 31 + block) % buckets, 1, docs, marks, row[own],
+                          at[own].astype(np.int32).tobytes(), b"", b"")] if len(own) else []
+            sent = np.flatnonzero(ask)
+            bucket = (a[sent] % np.uint64(buckets)).astype(np.int64)
+            order = np.argsort(bucket, kind="stable")
+            sent, bucket = sent[order], bucket[order]
+            cut = np.flatnonzero(np.diff(bucket)) + 1
+            for lo, hi in zip(np.append(0, cut), np.append(cut, len(sent))):
+                part = sent[lo:hi]
+                parts.append(blob(int(bucket[lo]), 0, docs, marks, row[part], at[part].astype(np.int32).tobytes(),
+                                  a[part].tobytes(), b[part].tobytes()))
             yield pa.RecordBatch.from_arrays([pa.array(list(c), type=f.type) for c, f in zip(zip(*parts), _ASK)],
                                              schema=_ASK)
 
-    out = pa.schema([("doc_id", pa.int64()), ("mark", pa.int64()), ("at", pa.binary())])
-
     def settle(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kept = []
+        d, m, at, a, b = ([] for _ in range(5))
         for batch in batches:
-            ask = batch.column(3).to_numpy(zero_copy_only=False)
-            if not ask.all():
-                yield batch.filter(pa.array(~ask)).select(["doc_id", "mark", "at"]).cast(out)
-            if ask.any():
-                kept.append(batch.filter(pa.array(ask)))
-        if not kept:
-            return
-        d, m, a, b, at = ([] for _ in range(5))
-        for batch in kept:
-            size = np.array([len(x) // 8 for x in batch.column(4).to_pylist()])
-            d.append(np.repeat(column(batch, "doc_id"), size))
-            m.append(np.repeat(column(batch, "mark"), size))
-            for name, to, kind in (("a", a, np.uint64), ("b", b, np.uint64), ("at", at, np.int32)):
-                to.append(np.frombuffer(b"".join(batch.column(batch.schema.get_field_index(name)).to_pylist()), kind))
-        kept.clear()
-        d, m, a, b, at = (np.concatenate(x) for x in (d, m, a, b, at))
-        order = np.lexsort((d, b, a))
-        a, b, d, m, at = a[order], b[order], d[order], m[order], at[order]
-        head = np.ones(len(a), bool)
-        head[1:] = (a[1:] != a[:-1]) | (b[1:] != b[:-1])
-        least = np.repeat(d[head], np.diff(np.append(np.flatnonzero(head), len(a))))
-        gone = d > least
-        d, m, at = d[gone], m[gone], at[gone]
-        order = np.lexsort((m, d))
-        d, m, at = d[order], m[order], at[order]
-        cut = np.flatnonzero((np.diff(d) != 0) | (np.diff(m) != 0)) + 1
-        if not len(d):
-            return
-        lows, highs = np.append(0, cut), np.append(cut, len(d))
-        for lo in range(0, len(lows), 10_000):
-            part = slice(lo, lo + 10_000)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(d[lows[part]]), pa.array(m[lows[part]]),
-                 pa.array([at[x:y].tobytes() for x, y in zip(lows[part], highs[part])], type=pa.binary())], schema=out)
-
-    return (frame.mapInArrow(send, _ASK_DDL).repartition(partitions(frame.sparkSession), "bucket")
+            for _, kind, docs, marks, idx, places, x, y in zip(*(c.to_pylist() for c in batch.columns)):
+                docs, marks = open_blob(kind, docs, marks, idx)
+                if kind & 1:
+                    yield from by_document(docs, marks, np.frombuffer(places, np.int32))
+                    continue
+                for to, value in ((d, docs), (m, marks), (at, np.frombuffer(places, np.int32)),
+                                  (a, np.frombuffer(x, np.uint64)), (b, np.frombuffer(y, np.uint64))):
+                    to.append(value)
+        if d:
+            d, m, at, a, b = (np.concatenate(x) for x in (d, m, at, a, b))
+            gone = d > _least(d, a, b)
+            yield from by_document(d[gone], m[gone], at[gone])
+
+    return (frame.mapInArrow(send, _ASK_DDL).repartitionById(buckets, "bucket")
             .mapInArrow(settle, "doc_id long, mark long, at binary"))
 
 
