@@ -16,11 +16,12 @@ from cohortlens.llm.secret_scan import op10_secret_scans
 from cohortlens.llm.sentencepiece_codec import op8_sentencepiece
 from cohortlens.llm.source_mixing import op6_source_mixing
 from cohortlens.llm.substring_dedup import op1_substring_dedup
+from cohortlens.llm.suffix_dedup import op3_suffix_array_dedup
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_substring_dedup, op2_html_extraction, op4_nn_descent, op5_embedding_near_dedup,
-                                    op6_source_mixing, op7_quality_ranking, op8_sentencepiece, op9_ngram_jaccard_join,
+    return {f.__name__: f for f in (op1_substring_dedup, op2_html_extraction, op3_suffix_array_dedup, op4_nn_descent,
+                                    op5_embedding_near_dedup, op6_source_mixing, op7_quality_ranking, op8_sentencepiece, op9_ngram_jaccard_join,
                                     op10_secret_scans)}
 
 

@@ -98,19 +98,21 @@ def redacted_documents(docs: DataFrame, ledger: str) -> DataFrame:
     """``docs`` with every found span of its text replaced by ``[kind]``."""
     spark = docs.sparkSession
     found = scan_secrets(docs, ledger).where("spans <> ''").select(F.col("blob").alias("_blob"), "spans").distinct()
-    rows = docs.withColumn("_blob", F.sha2(F.coalesce("text", F.lit("")), 256)).join(found, "_blob", "left")
+    rows = docs.select(F.struct(*(docs[c] for c in docs.columns)).alias("row"))
+    rows = rows.withColumn("_blob", F.sha2(F.coalesce("row.text", F.lit("")), 256)).join(found, "_blob", "left")
     spans = F.transform(F.split("spans", ","), lambda s: F.split(s, ":"))
+    whole = F.col("row.text")
 
     def step(state: Column, s: Column) -> Column:
         start, end = s[1].cast("int"), s[2].cast("int")
-        gap = F.substring(F.col("text"), state["at"] + 1, F.greatest(start - state["at"], F.lit(0)))
+        gap = F.substring(whole, state["at"] + 1, F.greatest(start - state["at"], F.lit(0)))
         mark = F.when(start >= state["at"], F.concat(F.lit("["), s[0], F.lit("]"))).otherwise(F.lit(""))  # inside the one before
         return F.struct(F.greatest(state["at"], end).alias("at"), F.concat(state["out"], gap, mark).alias("out"))
 
     clean = F.aggregate(spans, F.struct(F.lit(0).alias("at"), F.lit("").alias("out")), step,
-                        lambda s: F.concat(s["out"], F.substring(F.col("text"), s["at"] + 1, F.length("text"))))
-    text = F.when(F.col("spans").isNull(), F.col("text")).otherwise(clean)
-    return rows.select(*(text.alias(c) if c == "text" else F.col(c) for c in docs.columns))
+                        lambda s: F.concat(s["out"], F.substring(whole, s["at"] + 1, F.length(whole))))
+    text = F.when(F.col("spans").isNull(), whole).otherwise(clean)
+    return rows.select(*(text.alias(c) if c == "text" else F.col("row")[c].alias(c) for c in docs.columns))
 
 
 def op10_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
