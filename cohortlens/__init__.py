@@ -2,9 +2,9 @@
 logistic-regression scoring on Spark DataFrames.
 
 Every public function takes DataFrames plus plain parameters and returns
-lazy DataFrames; nothing is collected to the driver except small,
-size-bounded control values (a partition-count table, model weights
-between training epochs).
+DataFrames. Functions that check a size, number rows or train a model run jobs
+when called; nothing is collected to the driver except small, size-bounded
+control values (counts, sizes, one sum).
 
 Sub-packages
 ------------
@@ -17,7 +17,8 @@ operators  the relational operators: cohort tagging, index dates,
            split, learners, evaluation
 plans      composite jobs chaining the operators (cohort profile, sample
            building) and the registry of checked queries
-streaming  (empty) the original tool has no streaming surface
+llm        operators of a training-data pipeline (optional; nothing else here
+           imports it)
 """
 
 __version__ = "0.1.0"

@@ -2,13 +2,15 @@
 
   python -m cohortlens profile  --events E.csv --mortality M.csv [--out DIR]
   python -m cohortlens samples  --events E.csv --mortality M.csv --out DIR
-  python -m cohortlens train    --samples DIR --model DIR [--eta --mu --steps | --sgd --shards]
+  python -m cohortlens train    --samples DIR --model DIR [--eta --mu --epochs --shards | --gd --steps]
   python -m cohortlens evaluate --samples DIR --model DIR [--out DIR]
 
 Inputs are headerless CSV (events: patientid, eventid, eventdesc,
 timestamp, value; mortality: patientid, timestamp, label) and SVMLight
 text folders as written by ``samples``. Results are written as parquet
-(or text for samples) when ``--out`` is given, else shown.
+(or text for samples) when ``--out`` is given, else printed in full, streamed
+to the terminal partition by partition. ``train`` is one pass of SGD unless
+``--gd`` asks for full-batch descent.
 """
 
 from __future__ import annotations
@@ -18,7 +20,16 @@ import argparse
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortlens.operators import auc, confusion_counts, roc_points, score, train_gd, train_sgd
+from cohortlens.operators import (
+    auc,
+    check_feature_range,
+    confusion_counts,
+    roc_points,
+    score,
+    train_gd,
+    train_sgd,
+    with_sample_id,
+)
 from cohortlens.operators.split import train_test_split
 from cohortlens.plans import build_samples, cohort_profile
 from cohortlens.plans.sample_build import release
@@ -29,9 +40,11 @@ from cohortlens.sources import load_model, read_events, read_mortality, read_svm
 def _emit(df: DataFrame, out: str | None, name: str) -> None:
     if out:
         df.write.mode("overwrite").parquet(f"{out}/{name}")
-    else:
-        print(f"== {name}")
-        df.show(50, truncate=False)
+        return
+    print(f"== {name}")
+    print("\t".join(df.columns))
+    for row in df.toLocalIterator():  # every row, one partition at a time
+        print("\t".join("" if v is None else str(v) for v in row))
 
 
 def _size(max_index) -> int:
@@ -40,10 +53,9 @@ def _size(max_index) -> int:
 
 
 def _samples_with_id(spark: SparkSession, path: str) -> DataFrame:
-    # One id per line, taken in the scan stage itself (split number and row
-    # position inside the split), so a re-executed task gives the same ids;
-    # ids follow file order, the order the sequential trainer reads in.
-    return read_svmlight(spark, path).withColumn("sample_id", F.monotonically_increasing_id())
+    """One reproducible id per line: a hash of the line and a number that
+    tells equal lines apart, whatever the files and splits."""
+    return with_sample_id(read_svmlight(spark, path), "line", None)
 
 
 def main(argv: list[str] | None = None) -> None:
@@ -60,8 +72,9 @@ def main(argv: list[str] | None = None) -> None:
     t.add_argument("--eta", type=float, default=0.01)
     t.add_argument("--mu", type=float, default=0.0)
     t.add_argument("--steps", type=int, default=20)
-    t.add_argument("--sgd", action="store_true", help="sharded SGD instead of full-batch GD")
-    t.add_argument("--shards", type=int, default=8)
+    t.add_argument("--gd", action="store_true", help="full-batch gradient descent (--steps) instead of SGD")
+    t.add_argument("--epochs", type=int, default=1, help="SGD passes over the samples")
+    t.add_argument("--shards", type=int, help="SGD shards; 1 is the sequential pass, default by the sample count")
     t.add_argument("--rule", choices=("textbook", "as_coded"), default="textbook")
     e = sub.add_parser("evaluate")
     e.add_argument("--samples", required=True)
@@ -75,7 +88,6 @@ def main(argv: list[str] | None = None) -> None:
         res = cohort_profile(read_events(spark, args.events), read_mortality(spark, args.mortality))
         _emit(res["metrics"], args.out, "metrics")
         _emit(res["common_codes"].orderBy("cohort", "code_class", "rank"), args.out, "common_codes")
-        res["daily"].unpersist()
     elif args.cmd == "samples":
         built = build_samples(read_events(spark, args.events), read_mortality(spark, args.mortality))
         train_test_split(built["samples"], f"{args.out}/training", f"{args.out}/testing")
@@ -83,20 +95,23 @@ def main(argv: list[str] | None = None) -> None:
         release(built)
     elif args.cmd == "train":
         data = _samples_with_id(spark, args.samples)
-        if args.sgd:
-            n_feature = _size(data.select(F.explode("x").alias("e")).agg(F.max("e.i")).first()[0])
-            w = train_sgd(data, n_feature, args.eta, args.mu, shards=args.shards,
-                          id_col="sample_id", rule=args.rule)
+        n_feature = _size(data.select(F.explode("x").alias("e")).agg(F.max("e.i")).first()[0])
+        if args.gd:
+            w = train_gd(data, args.steps, args.eta, args.mu, rule=args.rule)
         else:
-            w = train_gd(data, args.steps, args.eta, args.mu, id_col="sample_id", rule=args.rule)
-            n_feature = _size(w.agg(F.max("feature_index")).first()[0])
+            w = train_sgd(data, n_feature, args.eta, args.mu, args.shards, args.epochs, rule=args.rule)
         save_model(w, args.model, args.eta, args.mu, n_feature, args.rule)
     else:
-        weights, _ = load_model(spark, args.model)
-        scored = score(_samples_with_id(spark, args.samples), weights, id_col="sample_id")
-        _emit(auc(scored), args.out, "auc")
-        _emit(confusion_counts(scored), args.out, "confusion")
-        _emit(roc_points(scored).orderBy("fpr", "tpr"), args.out, "roc")
+        weights, params = load_model(spark, args.model)
+        data = _samples_with_id(spark, args.samples)
+        check_feature_range(data, params["n_feature"])
+        scored = score(data, weights).persist()
+        try:
+            _emit(auc(scored), args.out, "auc")
+            _emit(confusion_counts(scored), args.out, "confusion")
+            _emit(roc_points(scored).orderBy("fpr", "tpr"), args.out, "roc")
+        finally:
+            scored.unpersist()
 
 
 if __name__ == "__main__":

@@ -1,15 +1,13 @@
-"""Relational operators. Each takes DataFrames and returns lazy DataFrames."""
+"""Relational operators over DataFrames. Most are lazy; those that check a
+size, number rows or train a model run jobs when called and say so."""
 
 from cohortlens.operators.cohort import (
     calculate_index_dates,
-    daily_counts,
     filter_events,
-    index_dates_from_daily,
     mortality_weights,
     split_alive_dead,
     tag_cohort,
     validate_unique,
-    window_counts,
     with_cohorts,
 )
 from cohortlens.operators.evaluation import auc, confusion_counts, roc_points
@@ -22,6 +20,8 @@ from cohortlens.operators.features import (
     sparse_rows,
     svmlight_convert,
     svmlight_samples,
+    unmapped_codes,
+    with_sample_id,
 )
 from cohortlens.operators.linear import (
     check_feature_range,
@@ -29,7 +29,6 @@ from cohortlens.operators.linear import (
     gd_step,
     margins,
     score,
-    sgd_sequential,
     train_gd,
     train_sgd,
     zero_weights,
@@ -38,12 +37,11 @@ from cohortlens.operators.metrics import (
     cohort_metrics,
     common_codes,
     common_codes_by_class,
-    common_codes_from_daily,
     common_codes_from_tagged,
     encounter_count_metrics,
     event_count_metrics,
+    medians,
     patient_profile,
-    profile_from_daily,
     profile_from_tagged,
     record_length_metrics,
     top_codes,
@@ -51,4 +49,12 @@ from cohortlens.operators.metrics import (
 from cohortlens.operators.ordering import dense_index, running_totals
 from cohortlens.operators.split import hash_split, train_test_split, write_samples
 
-__all__ = [name for name in dir() if not name.startswith("_")]
+__all__ = [
+    "aggregate_events", "auc", "calculate_index_dates", "check_feature_range", "classify", "code_maxima", "code_stats",
+    "cohort_metrics", "common_codes", "common_codes_by_class", "common_codes_from_tagged", "confusion_counts", "dense_index",
+    "encounter_count_metrics", "event_count_metrics", "filter_events", "gd_step", "generate_feature_mapping", "hash_split",
+    "margins", "medians", "mortality_weights", "normalization", "patient_profile", "profile_from_tagged",
+    "record_length_metrics", "roc_points", "running_totals", "score", "sparse_rows", "split_alive_dead", "svmlight_convert",
+    "svmlight_samples", "tag_cohort", "top_codes", "train_gd", "train_sgd", "train_test_split", "unmapped_codes",
+    "validate_unique", "with_cohorts", "with_sample_id", "write_samples", "zero_weights",
+]

@@ -17,7 +17,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cohortlens.functions import as_date
-from cohortlens.operators.joins import broadcast_if_small, count_at_most
+from cohortlens.operators.joins import DEFAULT_HOT_ROWS, broadcast_if_small, salted_join
+from cohortlens.session import checkpoint_dir
 
 ALIVE = "alive"
 DEAD = "dead"
@@ -54,7 +55,7 @@ def mortality_weights(mortality: DataFrame) -> DataFrame:
 
 
 def with_cohorts(per_patient: DataFrame, mortality: DataFrame,
-                 broadcast_rows: int | None = None) -> DataFrame:
+                 broadcast_bytes: int | None = None) -> DataFrame:
     """Tag per-patient rows: adds ``cohort`` and ``copies`` (the number of
     joined rows the original event-level join would give that cohort).
 
@@ -63,16 +64,14 @@ def with_cohorts(per_patient: DataFrame, mortality: DataFrame,
     can be in both cohorts. The join is one row per patient on both sides,
     so a patient with a huge share of events costs nothing extra here.
 
-    The per-patient mortality summary has at most as many rows as the
-    mortality table. By default the planner picks the join from size
-    statistics and AQE re-checks the real size at run time (broadcast
-    below ``spark.sql.adaptive.autoBroadcastJoinThreshold``, shuffle join
-    above). With ``broadcast_rows`` the summary is broadcast after an
-    explicit row count of the mortality table is within it.
+    By default the planner picks the join from size statistics and AQE
+    re-checks the real size at run time. With ``broadcast_bytes`` the
+    per-patient mortality summary is broadcast if its size is within it (one
+    job over that summary).
     """
     summary = mortality_weights(mortality)
-    if broadcast_rows is not None and count_at_most(mortality, broadcast_rows) <= broadcast_rows:
-        summary = F.broadcast(summary)
+    if broadcast_bytes is not None:
+        summary = broadcast_if_small(summary, broadcast_bytes)
     j = per_patient.join(summary, "patientid", "left")
     alive = F.when(F.col("n_dead_rows").isNull(), F.lit(1)).otherwise(F.col("n_null_rows"))
     dead = F.coalesce(F.col("n_dead_rows"), F.lit(0))
@@ -85,21 +84,25 @@ def with_cohorts(per_patient: DataFrame, mortality: DataFrame,
 
 
 def tag_cohort(events: DataFrame, mortality: DataFrame,
-               broadcast_rows: int | None = None) -> DataFrame:
+               broadcast_bytes: int | None = None) -> DataFrame:
     """events + ``label`` + ``cohort`` ('alive', 'dead' or null for label 0).
 
     One left join on patientid tags both cohorts at once, instead of two
     filtered copies of the join. The mortality side is broadcast when the
     planner's size estimate or AQE's run-time size is below the broadcast
-    threshold, or — with ``broadcast_rows`` — when an explicit row count is
+    threshold, or — with ``broadcast_bytes`` — when an explicit size check is
     within it; otherwise a shuffle join, where AQE splits a patient holding
-    a large share of the events.
+    a large share of the events. Events without a patient id can match no
+    mortality row: they are tagged alive beside the join, so that they do not
+    meet in one partition of it.
     """
     ev = _events(events)
     deaths = mortality.select("patientid", "label")
-    if broadcast_rows is not None:
-        deaths = broadcast_if_small(deaths, broadcast_rows)
-    tagged = ev.join(deaths, "patientid", "left")
+    if broadcast_bytes is not None:
+        deaths = broadcast_if_small(deaths, broadcast_bytes)
+    tagged = ev.where(F.col("patientid").isNotNull()).join(deaths, "patientid", "left")
+    nobody = ev.where(F.col("patientid").isNull()).withColumn("label", F.lit(None).cast(mortality.schema["label"].dataType))
+    tagged = tagged.unionByName(nobody)
     cohort = (F.when(F.col("label").isNull(), F.lit(ALIVE))
               .when(F.col("label") == 1, F.lit(DEAD)))
     return tagged.withColumn("cohort", cohort)
@@ -134,55 +137,24 @@ def calculate_index_dates(events: DataFrame, mortality: DataFrame,
 
 
 def filter_events(events: DataFrame, index_dates: DataFrame,
-                  window_days: int = OBSERVATION_DAYS) -> DataFrame:
+                  window_days: int = OBSERVATION_DAYS, hot_rows: int = DEFAULT_HOT_ROWS) -> DataFrame:
     """Events inside [index_date - window_days, index_date], both ends
     inclusive; output keeps (patientid, eventid, etimestamp, value).
 
-    An inner equi-join on patientid with the range as a residual condition;
-    with AQE a patient holding a large share of the events is split across
-    tasks on the event side.
+    An equi-join on patientid with the range as a condition on its rows.
+    Patients with more than ``hot_rows`` events are split over several tasks
+    (``joins.salted_join``; one count job over the patient ids).
     """
-    ev = _events(events)
-    idx = index_dates.withColumn("index_date", as_date(index_dates, "index_date"))
-    joined = ev.join(idx, "patientid", "inner")
+    checkpoint_dir(events.sparkSession)
+    ev = _events(events).select("patientid", "eventid", "etimestamp", "value")
+    idx = index_dates.select("patientid", as_date(index_dates, "index_date").alias("index_date"))
     in_window = F.col("etimestamp").between(
         F.date_sub(F.col("index_date"), window_days), F.col("index_date"))
-    return joined.where(in_window).select("patientid", "eventid", "etimestamp", "value")
+    return (salted_join(ev, idx, "patientid", hot_rows).where(in_window)
+            .select("patientid", "eventid", "etimestamp", "value"))
 
 
 def validate_unique(df: DataFrame, key: str = "patientid") -> DataFrame:
     """(key, n_rows) for every key that occurs more than once."""
     return (df.groupBy(key).agg(F.count(F.lit(1)).alias("n_rows"))
             .where(F.col("n_rows") > 1))
-
-
-def daily_counts(events: DataFrame) -> DataFrame:
-    """(patientid, eventid, etimestamp, n, n_rows): event rows per patient,
-    code and day; ``n = count(eventid)`` (a null code keeps its row with
-    n = 0) and ``n_rows = count(*)``.
-
-    The pre-aggregation that lets later joins work on at most one row per
-    (patient, code, day): partial aggregation runs before the shuffle, so a
-    patient holding a large share of the raw events is combined map-side.
-    """
-    return (_events(events).groupBy("patientid", "eventid", "etimestamp")
-            .agg(F.count("eventid").alias("n"), F.count(F.lit(1)).alias("n_rows")))
-
-
-def index_dates_from_daily(daily: DataFrame, mortality: DataFrame,
-                           offset_days: int = INDEX_OFFSET_DAYS) -> DataFrame:
-    """``calculate_index_dates`` over ``daily_counts`` output (same result:
-    the last event date is the same over daily rows)."""
-    return calculate_index_dates(daily.select("patientid", "etimestamp"), mortality, offset_days)
-
-
-def window_counts(daily: DataFrame, index_dates: DataFrame,
-                  window_days: int = OBSERVATION_DAYS) -> DataFrame:
-    """(patientid, eventid, feature_value): ``aggregate_events(filter_events(...))``
-    computed from ``daily_counts`` rows (sum of n inside the window)."""
-    idx = index_dates.withColumn("index_date", as_date(index_dates, "index_date"))
-    in_window = F.col("etimestamp").between(
-        F.date_sub(F.col("index_date"), window_days), F.col("index_date"))
-    return (daily.join(idx, "patientid", "inner").where(in_window)
-            .groupBy("patientid", "eventid")
-            .agg(F.sum("n").alias("feature_value")))

@@ -7,7 +7,8 @@ no window ever holds all scores on one task.
 
 AUC is the Mann-Whitney statistic with ties counted one half (Hanley &
 McNeil 1982), which equals the trapezoid area under the ROC points
-(Fawcett 2006). With one class only it is null.
+(Fawcett 2006). With one class only it is null. Rows without a label or a
+score are left out everywhere.
 """
 
 from __future__ import annotations
@@ -20,7 +21,7 @@ from cohortlens.operators.ordering import running_totals
 
 def _grouped(scored: DataFrame, score_col: str, label_col: str) -> DataFrame:
     positive = (F.col(label_col) == 1)
-    return (scored.where(F.col(score_col).isNotNull())
+    return (scored.where(F.col(score_col).isNotNull() & F.col(label_col).isNotNull())
             .groupBy(F.col(score_col).alias("score"))
             .agg(F.sum(F.when(positive, 1).otherwise(0)).cast("long").alias("p"),
                  F.sum(F.when(positive, 0).otherwise(1)).cast("long").alias("n")))
@@ -74,7 +75,7 @@ def confusion_counts(scored: DataFrame, threshold: float = 0.5, score_col: str =
     def n(cond):
         return F.sum(F.when(cond, 1).otherwise(0)).cast("long")
 
-    agg = scored.agg(n(pred & pos).alias("tp"), n(pred & ~pos).alias("fp"),
+    agg = scored.where(F.col(label_col).isNotNull() & F.col(score_col).isNotNull()).agg(n(pred & pos).alias("tp"), n(pred & ~pos).alias("fp"),
                      n(~pred & ~pos).alias("tn"), n(~pred & pos).alias("fn"))
     return agg.withColumn(
         "accuracy", F.try_divide((F.col("tp") + F.col("tn")).cast("double"),

@@ -3,12 +3,13 @@ max-normalisation, sparse SVMLight rows and labelled sample lines."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from cohortlens.functions import binary_label, svm_token
-from cohortlens.operators.joins import broadcast_if_small
+from cohortlens.operators.joins import DEFAULT_BROADCAST_BYTES, broadcast_if_small
 from cohortlens.operators.ordering import dense_index
+from cohortlens.session import checkpoint_dir
 
 NORMALIZED_DECIMALS = 3
 
@@ -34,20 +35,21 @@ def code_maxima(agg_events: DataFrame) -> DataFrame:
 
 
 def normalization(agg_events: DataFrame, maxima: DataFrame | None = None,
-                  broadcast_rows: int | None = None) -> DataFrame:
+                  broadcast_bytes: int | None = DEFAULT_BROADCAST_BYTES) -> DataFrame:
     """(patientid, eventid, normalized_feature_value): count / max count of
     the code, rounded to 3 places (HALF_UP).
 
     ``maxima`` may be passed in (e.g. fitted on the training side only).
-    With ``broadcast_rows`` the per-code table is broadcast after a row-count
-    check against it (one job over that table: pass it materialized). By
-    default adaptive execution decides at run time from the actual size of
-    the per-code aggregate, and falls back to a shuffle join above its
-    threshold.
+    The per-code table is checkpointed and broadcast when its size is within
+    ``broadcast_bytes``, so the counts are not shuffled by code (a common code
+    would be one partition); above it, or with None, the planner decides.
     """
     per_code = maxima if maxima is not None else code_maxima(agg_events)
-    if broadcast_rows is not None:
-        per_code = broadcast_if_small(per_code, broadcast_rows)
+    if broadcast_bytes is not None:
+        checkpoint_dir(agg_events.sparkSession)
+        if maxima is None:
+            per_code = per_code.checkpoint(eager=True)
+        per_code = broadcast_if_small(per_code, broadcast_bytes)
     joined = agg_events.join(per_code, "eventid", "left")
     return joined.select("patientid", "eventid", normalized_value().alias("normalized_feature_value"))
 
@@ -59,24 +61,33 @@ def normalized_value():
 
 
 def svmlight_convert(normalized: DataFrame, event_map: DataFrame,
-                     broadcast_rows: int | None = None) -> DataFrame:
+                     broadcast_bytes: int | None = DEFAULT_BROADCAST_BYTES) -> DataFrame:
     """(patientid, sparse_feature array<string>) with ``"index:value"``
     tokens in ascending numeric index order.
 
-    ``broadcast_rows``: as in ``normalization``.
+    ``broadcast_bytes``: as in ``normalization``.
 
     Rows whose rounded value is not > 0 are dropped; codes missing from the
-    map are dropped (inner join) rather than emitted as a bare value.
+    map are dropped (inner join) rather than emitted as a bare value
+    (``unmapped_codes`` counts them).
     One ``collect_list`` of (index, token) structs per patient, sorted once,
     instead of a running list per row.
     """
     kept = normalized.where(F.col("normalized_feature_value") > 0)
     code_map = event_map.select("eventid", "event_index")
-    if broadcast_rows is not None:
-        code_map = broadcast_if_small(code_map, broadcast_rows)
+    if broadcast_bytes is not None:
+        code_map = broadcast_if_small(code_map, broadcast_bytes)
     return sparse_rows(kept.join(code_map, "eventid", "inner"))
 
 
+def unmapped_codes(normalized: DataFrame, event_map: DataFrame) -> DataFrame:
+    """(eventid, n_rows): positive rows whose code (null included) is not in
+    the map, i.e. what ``svmlight_convert`` leaves out."""
+    counts = (normalized.where(F.col("normalized_feature_value") > 0)
+              .groupBy("eventid").agg(F.count(F.lit(1)).alias("n_rows")))
+    return counts.join(event_map.select("eventid"), "eventid", "left_anti")
+
+
 def sparse_rows(indexed: DataFrame) -> DataFrame:
     """(patientid, sparse_feature) from rows (patientid, event_index,
     normalized_feature_value) whose value is already known to be > 0."""
@@ -99,8 +110,20 @@ def code_stats(agg_events: DataFrame, num_partitions: int | None = None) -> Data
 def svmlight_samples(svmlight: DataFrame, mortality: DataFrame) -> DataFrame:
     """(patientid, save_feature): ``"<label> i:v i:v ..."`` with label 1 iff
     the mortality label is 1, else 0. Built-in ``concat_ws`` on the array,
-    no Python UDF."""
+    no Python UDF. A patient with several mortality rows has as many lines."""
     labels = mortality.select("patientid", "label")
     joined = svmlight.join(labels, "patientid", "left")
     line = F.concat_ws(" ", binary_label(F.col("label")).cast("string"), F.col("sparse_feature"))
     return joined.select("patientid", line.alias("save_feature"))
+
+
+def with_sample_id(samples: DataFrame, line: str = "save_feature", key: str | None = "patientid") -> DataFrame:
+    """Add ``sample_id``, one per row and the same on every run: md5 of the
+    key, the line and a number that tells equal rows apart. Numbers are dealt
+    within a key's rows, so samples that are hash-partitioned by the key (as
+    ``svmlight_samples`` leaves them) are not shuffled again."""
+    own = [key, line] if key else [line]
+    nth = F.row_number().over(Window.partitionBy(*own).orderBy(F.lit(0)))
+    parts = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in own]
+    return samples.withColumn("_nth", nth).withColumn(
+        "sample_id", F.md5(F.concat_ws("|", *parts, F.col("_nth").cast("string")))).drop("_nth")

@@ -1,26 +1,56 @@
-"""Size-checked broadcast: a side is broadcast only after its row count has
-been checked against a bound; beyond it the join is left to the planner
-(sort-merge with AQE skew splitting)."""
+"""Size-checked broadcast and skew-splitting for joins.
+
+A side is broadcast only after its size in bytes has been checked against a
+bound; beyond it the join is left to the planner (sort-merge with AQE)."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-
-# Default bound on rows of a broadcast side (per-code tables, model weights).
-DEFAULT_BROADCAST_ROWS = 2_000_000
-
-
-def count_at_most(df: DataFrame, bound: int) -> int:
-    """Rows of ``df``, counting no further than ``bound + 1``."""
-    return df.limit(bound + 1).count()
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """``F.broadcast(df)`` when ``df`` has at most ``max_rows`` rows, else ``df``.
-
-    Cache ``df`` first when it is expensive: the check is one action on it.
-    """
-    if count_at_most(df, max_rows) <= max_rows:
-        return F.broadcast(df)
-    return df
+from pyspark.sql import types as T
+
+# Default bound on a broadcast side (per-code tables, model weights): raw
+# bytes, before the few-fold growth of the hash table built from them.
+DEFAULT_BROADCAST_BYTES = 32 << 20
+# Rows of one patient that a task of the window join may hold.
+DEFAULT_HOT_ROWS = 1_000_000
+
+
+def size_in_bytes(df: DataFrame) -> int:
+    """Bytes of ``df`` by one partial aggregation: 16 a row and column, and
+    the length of its strings. Materialise ``df`` first if it is expensive."""
+    text = [F.coalesce(F.sum(F.octet_length(F.col(f.name))), F.lit(0)) for f in df.schema.fields
+            if isinstance(f.dataType, (T.StringType, T.BinaryType))]
+    total = F.count(F.lit(1)) * F.lit(16 * len(df.columns))
+    for part in text:
+        total = total + part
+    return int(df.agg(total.alias("b")).first()["b"] or 0)
+
+
+def broadcast_if_small(df: DataFrame, max_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
+    """``F.broadcast(df)`` when ``df`` has at most ``max_bytes``, else ``df``."""
+    return F.broadcast(df) if size_in_bytes(df) <= max_bytes else df
+
+
+def hot_keys(rows: DataFrame, key: str, per_task: int = DEFAULT_HOT_ROWS) -> DataFrame:
+    """(key, parts): keys with more than ``per_task`` rows, and into how many
+    parts their rows are to be split. One map-side combined count over the key
+    column; at most 1 / ``per_task`` of the rows come out."""
+    counts = rows.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > per_task)
+    return counts.select(key, F.ceil(F.col("_n") / F.lit(per_task)).cast("int").alias("parts"))
+
+
+def salted_join(rows: DataFrame, side: DataFrame, key: str, per_task: int = DEFAULT_HOT_ROWS) -> DataFrame:
+    """Inner equi-join of ``rows`` with ``side`` in which a hot key's rows go to
+    several tasks: they get a part number by hash, and ``side`` is repeated
+    once for each part of its key. Other keys are joined as they are. Null
+    keys never join and are dropped before the shuffle."""
+    hot = hot_keys(rows.where(F.col(key).isNotNull()), key, per_task).checkpoint(eager=True)
+    hot = broadcast_if_small(hot)
+    values = [c for c in rows.columns if c != key]
+    spread = F.pmod(F.xxhash64(*values) if values else F.lit(0), F.col("parts")).cast("int")
+    left = (rows.where(F.col(key).isNotNull()).join(hot, key, "left")
+            .withColumn("_part", F.coalesce(spread, F.lit(0))).drop("parts"))
+    copies = F.sequence(F.lit(0), F.coalesce(F.col("parts"), F.lit(1)) - 1)
+    right = side.join(hot, key, "left").withColumn("_part", F.explode(copies)).drop("parts")
+    return left.join(right, [key, "_part"]).drop("_part")

@@ -1,21 +1,21 @@
 """L2-penalised logistic regression on sparse samples.
 
-Samples are rows ``(<id>, y double, x array<struct<i int, v double>>)``
-(see ``cohortlens.sources.svmlight.parse_svmlight``). A model is a weights
-table ``(feature_index int, weight double)``; absent features weigh 0.
+Samples are rows ``(<id>, y double, x array<struct<i int, v double>>)`` (see
+``cohortlens.sources.svmlight.parse_svmlight``), the id unique
+(``with_sample_id``). A model is a weights table ``(feature_index int, weight
+double)``; absent features weigh 0. Rows with a null label are left out of
+training (and of its sample count); scoring keeps them.
 
 * ``score`` / ``classify``: explode the features, join the weights (broadcast
-  after a row-count check, shuffle join beyond it), sum per sample. When the
-  samples are already hash-partitioned by the id (they are, coming out of
-  ``svmlight_convert``) the per-sample sum needs no further shuffle.
-* ``train_gd``: full-batch gradient descent; each step is one join and two
-  aggregations (per-sample margin, per-feature gradient with map-side
-  partial sums). A different algorithm from the original single-pass SGD
-  (it averages the gradient over all samples).
+  after a size check, shuffle join beyond it), sum per sample.
+* ``train_gd``: full-batch gradient descent; each step is a hash aggregation
+  per sample and one per feature with map-side partial sums. A different
+  algorithm from the original single-pass SGD (it averages the gradient over
+  all samples).
 * ``train_sgd``: the original per-sample SGD step, run sequentially inside
-  ``K`` hash shards with ``mapInArrow`` and mixed by averaging (parameter
-  mixing; Zinkevich et al. 2010, McDonald et al. 2010). ``K = 1`` is the
-  sequential algorithm; ``K > 1`` is an approximation of it.
+  hash shards of bounded size and mixed by averaging (parameter mixing;
+  Zinkevich et al. 2010, McDonald et al. 2010). One shard is the sequential
+  algorithm; more are an approximation of it.
 
 Update rules: ``rule='textbook'`` is w_i += eta * x_i * (y - sigma(w.x));
 ``rule='as_coded'`` reproduces the original tool's code, which uses
@@ -25,26 +25,23 @@ weight by (1 - 2 * eta * mu).
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
 import pyarrow as pa
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cohortlens.functions import sigmoid
-from cohortlens.operators.joins import DEFAULT_BROADCAST_ROWS, broadcast_if_small, count_at_most
+from cohortlens.operators.joins import DEFAULT_BROADCAST_BYTES, broadcast_if_small
 from cohortlens.session import checkpoint_dir, ship_package
 
 RULES = ("textbook", "as_coded")
 # Defaults of the original training command: step size and L2 strength.
 DEFAULT_ETA = 0.01
 DEFAULT_MU = 0.0
-# Largest dense weight vector an SGD task holds (about 17 bytes per
-# feature with its bookkeeping, i.e. ~170 MB) and ships between epochs.
-MAX_DENSE_FEATURES = 10_000_000
+# Samples of one SGD shard, about: a task holds one shard and its weights.
+ROWS_PER_SHARD = 50_000
 
 WEIGHTS_SCHEMA = T.StructType([
     T.StructField("feature_index", T.IntegerType(), False),
@@ -57,28 +54,30 @@ def zero_weights(spark) -> DataFrame:
     return spark.createDataFrame([], WEIGHTS_SCHEMA)
 
 
-def _weights_side(weights: DataFrame, broadcast_rows: int | None) -> DataFrame:
+def _weights_side(weights: DataFrame, broadcast_bytes: int | None) -> DataFrame:
     w = weights.select(F.col("feature_index").alias("_fi"), F.col("weight").alias("_w"))
-    return broadcast_if_small(w, broadcast_rows) if broadcast_rows is not None else w
+    return broadcast_if_small(w, broadcast_bytes) if broadcast_bytes is not None else w
 
 
-def margins(samples: DataFrame, weights: DataFrame, id_col: str = "patientid",
-            broadcast_rows: int | None = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+def margins(samples: DataFrame, weights: DataFrame, id_col: str = "sample_id",
+            broadcast_bytes: int | None = DEFAULT_BROADCAST_BYTES) -> DataFrame:
     """(id, y, margin) with margin = sum_i w_i * v_i; no features -> 0.
 
-    ``id_col`` must identify one sample (rows sharing an id are summed as
-    one). Input hash-partitioned by it is summed without a shuffle."""
+    ``id_col`` must be unique (``with_sample_id``). Input hash-partitioned by
+    it is summed without a shuffle."""
     exploded = samples.select(id_col, "y", F.explode_outer("x").alias("_e"))
-    joined = exploded.join(_weights_side(weights, broadcast_rows),
+    joined = exploded.join(_weights_side(weights, broadcast_bytes),
                            F.col("_e.i") == F.col("_fi"), "left")
-    return (joined.groupBy(id_col, "y")
-            .agg(F.coalesce(F.sum(F.col("_w") * F.col("_e.v")), F.lit(0.0)).alias("margin")))
+    return (joined.groupBy(id_col)
+            .agg(F.first("y").alias("y"),
+                 F.coalesce(F.sum(F.col("_w") * F.col("_e.v")), F.lit(0.0)).alias("margin")))
 
 
-def score(samples: DataFrame, weights: DataFrame, id_col: str = "patientid",
-          broadcast_rows: int | None = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """(id, y, margin, prob) with prob = 1 / (1 + e^-margin)."""
-    m = margins(samples, weights, id_col, broadcast_rows)
+def score(samples: DataFrame, weights: DataFrame, id_col: str = "sample_id",
+          broadcast_bytes: int | None = DEFAULT_BROADCAST_BYTES) -> DataFrame:
+    """(id, y, margin, prob) with prob = 1 / (1 + e^-margin), one row for
+    each sample."""
+    m = margins(samples, weights, id_col, broadcast_bytes)
     return m.withColumn("prob", sigmoid(F.col("margin")))
 
 
@@ -96,245 +95,154 @@ def check_feature_range(samples: DataFrame, n_feature: int) -> None:
         raise IndexError(f"feature index outside [0, {n_feature}): {row['lo']}..{row['hi']}")
 
 
-def _residual(y, sig_margin_col, v, rule: str):
+def _residual(y: Column, margin: Column, v: Column, rule: str) -> Column:
     if rule == "textbook":
-        return v * (y - sigmoid(sig_margin_col))
+        return v * (y - sigmoid(margin))
     if rule == "as_coded":
-        return y - v * sigmoid(F.abs(sig_margin_col))
+        return y - v * sigmoid(F.abs(margin))
     raise ValueError(f"rule must be one of {RULES}")
 
 
 def gd_step(samples: DataFrame, weights: DataFrame, eta: float, mu: float,
-            n_samples: int, id_col: str = "patientid", rule: str = "textbook",
-            broadcast_rows: int | None = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+            n_samples: int, id_col: str = "sample_id", rule: str = "textbook",
+            broadcast_bytes: int | None = DEFAULT_BROADCAST_BYTES) -> DataFrame:
     """One full-batch step: w <- (w + eta / N * g) * (1 - 2 eta mu) with
-    g_i = sum over samples of the per-sample update term of feature i."""
-    exploded = (samples.select(id_col, "y", F.explode("x").alias("_e"))
+    g_i = sum over samples of the per-sample update term of feature i.
+
+    Margins are a hash aggregation per sample; a hash join by sample brings
+    them back to the features. On samples that are hash-partitioned by the id
+    neither shuffles or sorts the exploded features."""
+    known = samples.where(F.col("y").isNotNull())
+    m = margins(known, weights, id_col, broadcast_bytes).select(id_col, "margin")
+    exploded = (known.select(id_col, "y", F.explode("x").alias("_e"))
                 .where(F.col("_e.i").isNotNull() & F.col("_e.v").isNotNull()))
-    joined = exploded.join(_weights_side(weights, broadcast_rows),
-                           F.col("_e.i") == F.col("_fi"), "left")
-    per_sample = Window.partitionBy(id_col)
-    with_margin = joined.withColumn(
-        "_m", F.sum(F.coalesce(F.col("_w"), F.lit(0.0)) * F.col("_e.v")).over(per_sample))
-    term = _residual(F.col("y"), F.col("_m"), F.col("_e.v"), rule)
+    with_margin = exploded.join(m.hint("shuffle_hash"), id_col)
+    term = _residual(F.col("y"), F.col("margin"), F.col("_e.v"), rule)
     grad = (with_margin.groupBy(F.col("_e.i").alias("feature_index"))
             .agg(F.sum(term).alias("_g")))
     shrink = 1.0 - 2.0 * eta * mu
     old = weights.select("feature_index", F.col("weight").alias("_old"))
-    new = old.join(grad, "feature_index", "full_outer").select(
+    return old.join(grad, "feature_index", "full_outer").select(
         F.col("feature_index").cast("int").alias("feature_index"),
         ((F.coalesce(F.col("_old"), F.lit(0.0))
           + F.lit(eta / max(n_samples, 1)) * F.coalesce(F.col("_g"), F.lit(0.0)))
          * F.lit(shrink)).alias("weight"))
-    return new
 
 
 def train_gd(samples: DataFrame, steps: int, eta: float = DEFAULT_ETA, mu: float = DEFAULT_MU,
-             id_col: str = "patientid", rule: str = "textbook",
+             id_col: str = "sample_id", rule: str = "textbook",
              weights: DataFrame | None = None, colocate: bool = True) -> DataFrame:
     """``steps`` full-batch steps from zero weights (or ``weights``).
 
-    The samples are hash-partitioned by id once (``colocate``; skip it for
-    input already partitioned by id) and persisted (memory and disk), so
-    the per-sample margin of every step needs no shuffle. Each step's
-    weight table — at most one row per feature — is written with a
-    reliable checkpoint: the next step's broadcast size check and join then
-    read it instead of recomputing earlier steps, and the lineage stays one
-    step long whatever the number of steps.
+    The labelled samples are hash-partitioned by id once (``colocate``; skip
+    it for input already partitioned by id) and persisted (memory and disk)
+    while the steps run. Each step's weight table, at most one row per
+    feature, is written with a reliable checkpoint: the next step's size check
+    and join read it, and the lineage stays one step long. N counts labelled
+    samples.
     """
     spark = samples.sparkSession
     if rule not in RULES:
         raise ValueError(f"rule must be one of {RULES}")
     checkpoint_dir(spark)
-    data = samples.select(id_col, "y", "x")
+    data = samples.select(id_col, "y", "x").where(F.col("y").isNotNull())
     if colocate:
         data = data.repartition(id_col)
     data = data.persist(StorageLevel.MEMORY_AND_DISK)
-    n = data.count()
-    w = weights if weights is not None else zero_weights(spark)
-    for _ in range(steps):
-        w = gd_step(data, w, eta, mu, n, id_col, rule).checkpoint(eager=True)
-    data.unpersist()
+    try:
+        n = data.count()
+        w = weights if weights is not None else zero_weights(spark)
+        for _ in range(steps):
+            w = gd_step(data, w, eta, mu, n, id_col, rule).checkpoint(eager=True)
+    finally:
+        data.unpersist()
     return w
 
 
 # ---------------------------------------------------------------- SGD ----
 
-class _ShardState:
-    """Sequential SGD over one shard's samples, fed batch by batch.
-
-    Samples come as flat arrays: labels ``ys`` and, for sample ``k``, the
-    feature indices / values ``flat_i[off[k]:off[k+1]]`` / ``flat_v[...]``
-    (Arrow list layout), so a step is two numpy slices and no Python object
-    per feature. The L2 shrink is applied lazily: a weight is brought up to
-    date only when a sample touches it, and once more at the end, which
-    equals shrinking the whole vector after every sample. Memory is the
-    weight vector plus one batch, whatever the shard size.
-    """
-
-    def __init__(self, w0: np.ndarray, eta: float, mu: float, rule: str):
-        self.w = w0.copy()
-        self.eta = eta
-        self.rule = rule
-        self.r = 1.0 - 2.0 * eta * mu
-        self.applied = np.zeros(len(w0), dtype=np.int64)
-        self.touched = np.zeros(len(w0), dtype=bool)
-        self.steps = 0
-
-    def feed(self, ys: np.ndarray, off: np.ndarray, flat_i: np.ndarray,
-             flat_v: np.ndarray) -> None:
-        w, r, eta, textbook = self.w, self.r, self.eta, self.rule == "textbook"
-        applied = self.applied
-        for k in range(len(ys)):
-            s = self.steps
-            self.steps += 1
-            lo, hi = off[k], off[k + 1]
-            if lo == hi:
-                continue
-            idx = flat_i[lo:hi]
-            val = flat_v[lo:hi]
-            if r != 1.0:
-                w[idx] *= r ** (s - applied[idx])
-                applied[idx] = s
-            gamma = float(np.dot(w[idx], val))
-            y = ys[k]
-            if textbook:
-                sig = 1.0 / (1.0 + np.exp(-gamma))
-                np.add.at(w, idx, eta * val * (y - sig))
-            else:
-                sig = 1.0 / (1.0 + np.exp(-abs(gamma)))
-                np.add.at(w, idx, eta * (y - val * sig))
-            if r != 1.0:
-                w[idx] *= r
-                applied[idx] = s + 1
-            self.touched[idx] = True
-
-    def finish(self, shard_id: int) -> pa.RecordBatch:
-        w = self.w
-        if self.r != 1.0:
-            w *= self.r ** (self.steps - self.applied)
-        nz = np.nonzero(self.touched | (w != 0.0))[0]
-        return pa.RecordBatch.from_arrays(
-            [pa.array(np.full(len(nz) + 1, shard_id, dtype=np.int32)),
-             pa.array(np.concatenate([[-1], nz]).astype(np.int32)),
-             pa.array(np.concatenate([[0.0], w[nz]]))],
-            names=["shard", "feature_index", "weight"])
-
-
-def _flat(xs) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Python samples [[{'i','v'}...]...] -> (offsets, flat_i, flat_v),
-    skipping pairs with a null field."""
-    off, fi, fv = [0], [], []
-    for x in xs:
-        for e in x or ():
-            if e["i"] is not None and e["v"] is not None:
-                fi.append(e["i"])
-                fv.append(e["v"])
-        off.append(len(fi))
-    return (np.asarray(off, dtype=np.int64), np.asarray(fi, dtype=np.int64),
-            np.asarray(fv, dtype=np.float64))
-
-
-def sgd_sequential(ys, xs, n_feature: int, eta: float = DEFAULT_ETA, mu: float = DEFAULT_MU,
-                   rule: str = "textbook", w0: np.ndarray | None = None) -> np.ndarray:
-    """The per-sample step over in-memory samples, in order (the same code
-    each shard runs; used by tests)."""
-    state = _ShardState(np.zeros(n_feature) if w0 is None else w0, eta, mu, rule)
-    state.feed(np.asarray(ys, dtype=np.float64), *_flat(xs))
-    state.finish(0)
-    return state.w
-
-
-def _list_parts(col: pa.ListArray) -> tuple[np.ndarray, np.ndarray]:
-    """(offsets relative to the flattened values, flattened values)."""
-    off = col.offsets.to_numpy(zero_copy_only=False).astype(np.int64)
-    return off - off[0], col.flatten().to_numpy(zero_copy_only=False)
+def _sgd_pass(ys: np.ndarray, offsets: np.ndarray, index: np.ndarray, values: np.ndarray, w: np.ndarray,
+              eta: float, mu: float, rule: str) -> np.ndarray:
+    """The per-sample step over one shard's samples in order; ``index`` counts
+    within the shard's own features. The shrink of weights that a sample does
+    not touch is put off until one does, and made up for at the end."""
+    r, seen = 1.0 - 2.0 * eta * mu, np.zeros(len(w))
+    for k, y in enumerate(ys):
+        own = slice(offsets[k], offsets[k + 1])
+        i, v = index[own], values[own]
+        w[i] *= r ** (k - seen[i])
+        margin = float(w[i] @ v)
+        if rule == "textbook":
+            move = v * (y - 1.0 / (1.0 + np.exp(-margin)))
+        else:
+            move = y - v / (1.0 + np.exp(-abs(margin)))
+        np.add.at(w, i, eta * move)
+        w[i] *= r
+        seen[i] = k + 1
+    return w * r ** (len(ys) - seen)
+
+
+def shard_of(id_col: Column, shards: int) -> Column:
+    """Shard number by md5, the same in any engine that has it."""
+    return F.pmod(F.conv(F.substring(F.md5(id_col.cast("string")), 1, 8), 16, 10).cast("long"), F.lit(shards)).cast("int")
 
 
 def train_sgd(samples: DataFrame, n_feature: int, eta: float = DEFAULT_ETA,
-              mu: float = DEFAULT_MU, shards: int = 8, epochs: int = 1,
-              id_col: str = "patientid", order_col: str | None = None,
-              rule: str = "textbook", weights: DataFrame | None = None,
+              mu: float = DEFAULT_MU, shards: int | None = None, epochs: int = 1,
+              id_col: str = "sample_id", rule: str = "textbook",
+              weights: DataFrame | None = None, rows_per_shard: int = ROWS_PER_SHARD,
               validate: bool = True) -> DataFrame:
     """Sharded SGD with parameter mixing; returns (feature_index, weight).
 
-    Samples go to shard ``pmod(hash(id), shards)``; each shard runs the
-    sequential step over its samples ordered by ``order_col`` (default: the
-    id), starting from the current weights; the new weights are the mean
-    over non-empty shards. Between epochs the averaged vector (at most
-    ``n_feature`` doubles, checked) is the only thing shipped to tasks.
+    Labelled samples go to shards by md5 of the id; their number follows the
+    samples (``rows_per_shard`` each, about) unless given. A shard runs the
+    sequential step over its samples in id order, holding weights for the
+    features that occur in it only; the new weights are the mean over the
+    non-empty shards. Weights travel as a table joined to the shards that use
+    them: no dense vector anywhere, no bound on the features.
     """
     if rule not in RULES:
         raise ValueError(f"rule must be one of {RULES}")
-    if n_feature > MAX_DENSE_FEATURES:
-        raise ValueError(f"n_feature {n_feature} above {MAX_DENSE_FEATURES}")
     spark = samples.sparkSession
     ship_package(spark)
-    reused = validate or epochs > 1
-    if reused:
-        samples = samples.persist(StorageLevel.MEMORY_AND_DISK)
+    checkpoint_dir(spark)
     if validate:
         check_feature_range(samples, n_feature)
-    order_col = order_col or id_col
-    # pmod(hash(id), K) is exactly the partition hash partitioning on id
-    # gives, so every one of the K tasks holds one whole shard (no two
-    # shards share a task, none idles while the data is spread evenly).
-    shard = F.pmod(F.hash(F.col(id_col)), F.lit(shards)).cast("int")
-    valid = F.filter("x", lambda e: e["i"].isNotNull() & e["v"].isNotNull())
-    data = (samples.select(F.col(id_col).alias("_id"), shard.alias("_shard"),
-                           F.col(order_col).alias("_ord"), "y",
-                           F.transform(valid, lambda e: e["i"]).alias("xi"),
-                           F.transform(valid, lambda e: e["v"]).alias("xv"))
-            .repartition(shards, "_id")
-            .sortWithinPartitions("_shard", "_ord")
-            .select("_shard", "y", "xi", "xv"))
-    out_schema = "shard int, feature_index int, weight double"
-    current = np.zeros(n_feature, dtype=np.float64)
-    if weights is not None:
-        current = _dense(weights, n_feature)
-    mixed = None
+    fine = F.filter("x", lambda e: e["i"].isNotNull() & e["v"].isNotNull())
+    data = samples.where(F.col("y").isNotNull()).select(F.col(id_col).alias("_id"), "y", fine.alias("x"))
+    n = data.count()
+    k = shards or max(1, -(-n // rows_per_shard))
+    data = data.select(shard_of(F.col("_id"), k).alias("shard"), "_id", "y", F.col("x.i").alias("xi"), F.col("x.v").alias("xv"))
+    data = data.checkpoint(eager=True)
+    uses = data.select("shard", F.explode("xi").alias("feature_index")).distinct()
+    used = data.select("shard").distinct().count()
+    sizes = data.groupBy("shard").agg(F.count(F.lit(1)).alias("n"))
+    shrink = 1.0 - 2.0 * eta * mu
+    whole = sizes.agg(F.sum(F.pow(F.lit(shrink), F.col("n"))).alias("s")).first()["s"] or 0.0
+
+    def run(key: tuple, rows: pa.Table, start: pa.Table) -> pa.Table:
+        rows = rows.sort_by("_id")
+        lists = rows.column("xi").combine_chunks()
+        offsets = np.asarray(lists.offsets).astype(np.int64) if len(lists) else np.zeros(1, np.int64)
+        features, index = np.unique(lists.flatten().to_numpy(zero_copy_only=False), return_inverse=True)
+        values = rows.column("xv").combine_chunks().flatten().to_numpy(zero_copy_only=False)
+        first = np.zeros(len(features))
+        at = start.column("feature_index").to_numpy()
+        first[np.searchsorted(features, at)] = start.column("weight").to_numpy()
+        ys = rows.column("y").to_numpy()
+        end = _sgd_pass(ys, offsets - offsets[0], index, values, first.copy(), eta, mu, rule)
+        return pa.table({"feature_index": pa.array(features, pa.int32()),
+                         "delta": pa.array(end - first * shrink ** len(ys), pa.float64())})
+
+    w = weights if weights is not None else zero_weights(spark)
     for _ in range(epochs):
-        start = spark.sparkContext.broadcast(current)
-
-        def run(batches: Iterator[pa.RecordBatch], start=start) -> Iterator[pa.RecordBatch]:
-            state, shard_id = None, None
-            for batch in batches:
-                if batch.num_rows == 0:
-                    continue
-                sid = batch.column("_shard").to_numpy(zero_copy_only=False)
-                ys = batch.column("y").to_numpy(zero_copy_only=False).astype(np.float64)
-                off, fi = _list_parts(batch.column("xi"))
-                _, fv = _list_parts(batch.column("xv"))
-                # rows arrive sorted by (shard, order); a shard may span batches
-                cuts = np.concatenate([[0], np.flatnonzero(np.diff(sid)) + 1, [len(sid)]])
-                for a, b in zip(cuts[:-1], cuts[1:]):
-                    if sid[a] != shard_id:
-                        if state is not None:
-                            yield state.finish(shard_id)
-                        state, shard_id = _ShardState(start.value, eta, mu, rule), int(sid[a])
-                    state.feed(ys[a:b], off[a:b + 1], fi, fv)
-            if state is not None:
-                yield state.finish(shard_id)
-
-        checkpoint_dir(spark)
-        per_shard = data.mapInArrow(run, out_schema).checkpoint(eager=True)
-        n_shards = per_shard.where(F.col("feature_index") == -1).count()
-        mixed = (per_shard.where(F.col("feature_index") >= 0)
-                 .groupBy("feature_index")
-                 .agg((F.sum("weight") / F.lit(float(max(n_shards, 1)))).alias("weight")))
-        if epochs > 1:
-            current = _dense(mixed, n_feature)
-    if reused:
-        samples.unpersist()
-    return mixed
-
-
-def _dense(weights: DataFrame, n_feature: int) -> np.ndarray:
-    """Weights table -> dense vector (bounded by n_feature, checked)."""
-    if count_at_most(weights, n_feature) > n_feature:
-        raise ValueError("more weight rows than features")
-    pdf = weights.select("feature_index", "weight").toPandas()
-    vec = np.zeros(n_feature, dtype=np.float64)
-    if len(pdf):
-        vec[pdf["feature_index"].to_numpy()] = pdf["weight"].to_numpy()
-    return vec
+        start = uses.join(w, "feature_index").select(F.col("shard").alias("of"), "feature_index", "weight")
+        moves = (data.groupBy("shard").cogroup(start.groupBy("of"))
+                 .applyInArrow(run, "feature_index int, delta double")
+                 .groupBy("feature_index").agg(F.sum("delta").alias("delta")))
+        # shards that do not touch a weight only shrink it
+        w = w.join(moves, "feature_index", "full_outer").select(
+            F.col("feature_index").cast("int").alias("feature_index"),
+            ((F.coalesce("weight", F.lit(0.0)) * F.lit(float(whole)) + F.coalesce("delta", F.lit(0.0)))
+             / F.lit(float(max(used, 1)))).alias("weight")).checkpoint(eager=True)
+    return w

@@ -15,10 +15,7 @@ from pyspark.sql import functions as F
 
 from cohortlens.operators.cohort import ALIVE, COHORTS, DEAD, _events, with_cohorts
 
-# Median accuracy of the original tool (percentile_approx
-# with accuracy 1,000,000 returns an element of the data, the lower middle
-# one for an even count), code classes, and their count-column names.
-MEDIAN_ACCURACY = 1000000
+# Code classes, and their count-column names.
 CODE_CLASSES = ("DIAG", "LAB", "DRUG")
 CLASS_COUNT_COLUMN = {"DIAG": "diag_count", "LAB": "lab_count", "DRUG": "med_count"}
 
@@ -53,17 +50,6 @@ def patient_profile(events: DataFrame, mortality: DataFrame) -> DataFrame:
     return _finish_profile(tagged.withColumn("n_events", F.col("_n") * F.col("copies")))
 
 
-def profile_from_daily(daily: DataFrame, mortality: DataFrame) -> DataFrame:
-    """``patient_profile`` from ``daily_counts`` output (same rows)."""
-    per_patient = daily.groupBy("patientid").agg(
-        F.sum("n_rows").alias("_n"),
-        F.count_distinct("etimestamp").alias("n_encounters"),
-        F.min("etimestamp").alias("first_date"),
-        F.max("etimestamp").alias("last_date"))
-    tagged = with_cohorts(per_patient, mortality)
-    return _finish_profile(tagged.withColumn("n_events", F.col("_n") * F.col("copies")))
-
-
 def profile_from_tagged(tagged: DataFrame) -> DataFrame:
     """Same columns as ``patient_profile`` from events already carrying a
     ``cohort`` column (null = in no cohort)."""
@@ -76,8 +62,23 @@ def profile_from_tagged(tagged: DataFrame) -> DataFrame:
     return _finish_profile(per_patient)
 
 
-def _median(c: str):
-    return F.percentile_approx(c, 0.5, MEDIAN_ACCURACY)
+def medians(profile: DataFrame, columns: tuple[str, ...]) -> DataFrame:
+    """(cohort, <column>_median ...): the exact lower median of each column,
+    nulls left out: the first value whose running count reaches half.
+
+    A histogram by (cohort, column, value) is counted with map-side partial
+    sums; only its rows, as many as there are different values (days, or days
+    with events), are ordered by a window.
+    """
+    kinds = F.explode(F.array(*(F.struct(F.lit(c).alias("kind"), F.col(c).cast("long").alias("value"))
+                                for c in columns))).alias("v")
+    hist = (profile.select("cohort", kinds).select("cohort", "v.kind", "v.value").where(F.col("value").isNotNull())
+            .groupBy("cohort", "kind", "value").agg(F.count(F.lit(1)).alias("n")))
+    own = Window.partitionBy("cohort", "kind")
+    upto = own.orderBy("value").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    ranked = hist.select("cohort", "kind", "value", F.sum("n").over(upto).alias("cum"), F.sum("n").over(own).alias("all"))
+    return (ranked.where(F.col("cum") * 2 >= F.col("all")).groupBy("cohort")
+            .agg(*(F.min(F.when(F.col("kind") == c, F.col("value"))).alias(f"{c}_median") for c in columns)))
 
 
 def cohort_metrics(profile: DataFrame) -> DataFrame:
@@ -85,23 +86,27 @@ def cohort_metrics(profile: DataFrame) -> DataFrame:
     gives a row of nulls instead of an error.
 
     Columns: events_avg/min/max, encounters_avg/median/min/max,
-    days_avg/median/min/max.
+    days_avg/median/min/max; medians are the lower ones, exact.
     """
     agg = profile.groupBy("cohort").agg(
         F.avg("n_events").alias("events_avg"),
         F.min("n_events").alias("events_min"),
         F.max("n_events").alias("events_max"),
         F.avg("n_encounters").alias("encounters_avg"),
-        _median("n_encounters").alias("encounters_median"),
         F.min("n_encounters").alias("encounters_min"),
         F.max("n_encounters").alias("encounters_max"),
         F.avg("record_days").alias("days_avg"),
-        _median("record_days").alias("days_median"),
         F.min("record_days").alias("days_min"),
         F.max("record_days").alias("days_max"),
     )
-    # ``agg`` has at most one row per cohort (two): a proven broadcast bound.
-    return _cohort_list(profile.sparkSession).join(F.broadcast(agg), "cohort", "left")
+    mid = medians(profile, ("n_encounters", "record_days")).select(
+        "cohort", F.col("n_encounters_median").alias("encounters_median"),
+        F.col("record_days_median").cast("int").alias("days_median"))
+    # ``agg`` and ``mid`` have at most one row per cohort (two): a proven broadcast bound.
+    return (_cohort_list(profile.sparkSession).join(F.broadcast(agg), "cohort", "left")
+            .join(F.broadcast(mid), "cohort", "left")
+            .select("cohort", "events_avg", "events_min", "events_max", "encounters_avg", "encounters_median",
+                    "encounters_min", "encounters_max", "days_avg", "days_median", "days_min", "days_max"))
 
 
 def _tag_pair(alive_events: DataFrame, dead_events: DataFrame) -> DataFrame:
@@ -177,12 +182,6 @@ def common_codes(events: DataFrame, mortality: DataFrame, k: int = 5) -> DataFra
     return _codes_per_cohort(per_code, mortality, k)
 
 
-def common_codes_from_daily(daily: DataFrame, mortality: DataFrame, k: int = 5) -> DataFrame:
-    """``common_codes`` from ``daily_counts`` output (same rows)."""
-    per_code = daily.groupBy("patientid", "eventid").agg(F.sum("n_rows").alias("_n"))
-    return _codes_per_cohort(per_code, mortality, k)
-
-
 def _codes_per_cohort(per_code: DataFrame, mortality: DataFrame, k: int) -> DataFrame:
     tagged = with_cohorts(per_code, mortality)
     counted = (tagged.groupBy("cohort", "eventid")

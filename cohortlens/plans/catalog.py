@@ -24,12 +24,23 @@ from cohortlens.operators.features import (
     generate_feature_mapping,
     normalization,
     svmlight_convert,
+    unmapped_codes,
+    with_sample_id,
 )
 from cohortlens.operators.linear import classify, score, train_gd, train_sgd
-from cohortlens.operators.metrics import cohort_metrics, common_codes, patient_profile, top_codes
+from cohortlens.operators.metrics import (
+    common_codes,
+    common_codes_by_class,
+    encounter_count_metrics,
+    event_count_metrics,
+    patient_profile,
+    record_length_metrics,
+    top_codes,
+)
 from cohortlens.operators.split import hash_split
 from cohortlens.plans.cohort_profile import cohort_profile
 from cohortlens.plans.sample_build import build_samples
+from cohortlens.sources.csv_events import EVENTS_CSV_SCHEMA, MORTALITY_CSV_SCHEMA, ingest_events, ingest_mortality
 from cohortlens.sources.svmlight import parse_svmlight
 from cohortlens.sources.tables import EV_SQL, MO_SQL, cohort_inputs, read_table
 
@@ -38,6 +49,7 @@ DIGITS = 6
 Q_ETA = 0.5
 Q_MU = 0.1
 Q_GD_STEPS = 2
+Q_SHARD_ROWS = 200
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, QueryFn] = {}
@@ -126,23 +138,28 @@ svm as (
 samples as (
   select s.patientid,
          concat(case when m.label = 1 then '1' else '0' end, ' ', s.sparse_text) as save_feature
-  from svm s left join (select patientid, label from mo) m on s.patientid = m.patientid)
+  from svm s left join (select patientid, label from mo) m on s.patientid = m.patientid),
+ids as (
+  select patientid, save_feature,
+         md5(concat_ws('|', cast(patientid as varchar), save_feature,
+                       cast(row_number() over (partition by patientid, save_feature) as varchar))) as sample_id
+  from samples)
 """
 
 def _parsed_sql(src: str, name: str) -> str:
-    """``{name}`` (patientid, y, feature_index, feature_value) exploded from
-    sample lines in table ``src``; ``{name}_y`` (patientid, y) one row per
+    """``{name}`` (sample_id, y, feature_index, feature_value) exploded from
+    sample lines in table ``src``; ``{name}_y`` (sample_id, y) one row per
     line; ``{name}_n`` the line count."""
     return f"""
 {name} as (
-  select patientid, cast(toks[1] as double) as y,
+  select sample_id, cast(toks[1] as double) as y,
          cast(split_part(t, ':', 1) as int) as feature_index,
          cast(split_part(t, ':', 2) as double) as feature_value
-  from (select patientid, toks, unnest(toks[2:]) as t
-        from (select patientid, regexp_split_to_array(trim(save_feature), '\\s+') as toks
+  from (select sample_id, toks, unnest(toks[2:]) as t
+        from (select sample_id, regexp_split_to_array(trim(save_feature), '\\s+') as toks
               from {src}))),
 {name}_y as (
-  select patientid, cast(regexp_split_to_array(trim(save_feature), '\\s+')[1] as double) as y
+  select sample_id, cast(regexp_split_to_array(trim(save_feature), '\\s+')[1] as double) as y
   from {src}),
 {name}_n as (select count(*) as n from {name}_y)
 """
@@ -155,12 +172,12 @@ def _gd_sql(parsed: str, prev: str, name: str, rule: str = "textbook") -> str:
             else "p.y - p.feature_value / (1.0 + exp(-abs(mm.m)))")
     return f"""
 {name}_m as (
-  select p.patientid, sum(coalesce(w.weight, 0.0) * p.feature_value) as m
+  select p.sample_id, sum(coalesce(w.weight, 0.0) * p.feature_value) as m
   from {parsed} p left join {prev} w on p.feature_index = w.feature_index
-  group by p.patientid),
+  group by p.sample_id),
 {name}_g as (
   select p.feature_index, sum({term}) as g
-  from {parsed} p join {name}_m mm on p.patientid = mm.patientid
+  from {parsed} p join {name}_m mm on p.sample_id = mm.sample_id
   group by p.feature_index),
 {name} as (
   select coalesce(o.feature_index, g.feature_index) as feature_index,
@@ -173,16 +190,16 @@ def _gd_sql(parsed: str, prev: str, name: str, rule: str = "textbook") -> str:
 def _scored_sql(parsed: str, weights: str, name: str) -> str:
     return f"""
 {name} as (
-  select l.patientid, l.y, coalesce(sum(w.weight * p.feature_value), 0.0) as margin
+  select l.sample_id, l.y, coalesce(sum(w.weight * p.feature_value), 0.0) as margin
   from {parsed}_y l
-  left join {parsed} p on l.patientid = p.patientid
+  left join {parsed} p on l.sample_id = p.sample_id
   left join {weights} w on p.feature_index = w.feature_index
-  group by l.patientid, l.y)
+  group by l.sample_id, l.y)
 """
 
 
 W0 = "w0 as (select cast(null as int) as feature_index, cast(null as double) as weight where false)"
-PARSED = _parsed_sql("samples", "parsed")
+PARSED = _parsed_sql("ids", "parsed")
 GD = ",\n".join(b.strip() for b in (PARSED, W0, _gd_sql("parsed", "w0", "w1"),
                                      _gd_sql("parsed", "w1", "w2")))
 GD_AS_CODED = ",\n".join(b.strip() for b in (PARSED, W0, _gd_sql("parsed", "w0", "c1", "as_coded"),
@@ -192,8 +209,8 @@ SCORED_SQL = _scored_sql("parsed", "w2", "scored")
 _SPLIT_TEST = "substring(md5(cast(patientid as varchar) || ':48'), 1, 8) < '33333333'"
 
 SPLIT_MODEL = ",\n".join(b.strip() for b in (
-    f"train_s as (select * from samples where not ({_SPLIT_TEST}))",
-    f"test_s as (select * from samples where {_SPLIT_TEST})",
+    f"train_s as (select * from ids where not ({_SPLIT_TEST}))",
+    f"test_s as (select * from ids where {_SPLIT_TEST})",
     _parsed_sql("train_s", "ptrain"), _parsed_sql("test_s", "ptest"), W0,
     _gd_sql("ptrain", "w0", "t1"), _gd_sql("ptrain", "t1", "t2"),
     _scored_sql("ptest", "t2", "test_scored"),
@@ -207,6 +224,38 @@ SPLIT_MODEL = ",\n".join(b.strip() for b in (
          sum(p) over (order by score desc rows between unbounded preceding and current row) as cum_p
   from tg)"""))
 
+
+
+def _sgd_sql(rule: str) -> str:
+    """One pass of per-sample SGD in md5 shards, mixed: a shard's weights are a
+    list that a recursive step takes from sample to sample."""
+    move = (f"{Q_ETA} * coalesce(v[i], 0) * (y - 1.0 / (1.0 + exp(-m)))" if rule == "textbook"
+            else f"case when v[i] is null then 0 else {Q_ETA} * (y - v[i] / (1.0 + exp(-abs(m)))) end")
+    return f"""
+nf as (select count(*) as n from emap),
+nk as (select greatest(1, cast(ceil(count(*) / {Q_SHARD_ROWS}.0) as bigint)) as k from parsed_y),
+dealt as (
+  select sample_id, y, cast(concat('0x', substring(md5(sample_id), 1, 8)) as bigint) % (select k from nk) as shard
+  from parsed_y),
+placed as (select *, row_number() over (partition by shard order by sample_id) as pos from dealt),
+dense as (
+  select p.shard, p.pos, any_value(p.y) as y, list(x.feature_value order by f.i) as v
+  from placed p cross join (select unnest(range((select n from nf))) as i) f
+  left join parsed x on x.sample_id = p.sample_id and x.feature_index = f.i
+  group by p.shard, p.pos),
+walk as (
+  select distinct shard, cast(0 as bigint) as pos, [cast(0 as double) for i in range((select n from nf))] as w from placed
+  union all
+  select shard, pos, [(w[i] + {move}) * {1.0 - 2.0 * Q_ETA * Q_MU} for i in range(1, len(w) + 1)] as w
+  from (select s.shard, d.pos, d.y, d.v, s.w,
+               list_sum([s.w[i] * coalesce(d.v[i], 0) for i in range(1, len(s.w) + 1)]) as m
+        from walk s join dense d on d.shard = s.shard and d.pos = s.pos + 1)),
+ends as (select shard, w from walk qualify row_number() over (partition by shard order by pos desc) = 1),
+flat as (select unnest(range(len(w))) as feature_index, unnest(w) as weight from ends)
+select cast(feature_index as int) as feature_index, round(avg(weight), {DIGITS}) as weight
+from flat where feature_index in (select feature_index from parsed) group by feature_index"""
+
+
 DOC_SCORES = """
 doc_scores as (
   select cast(l.quality as double) as y, cast(d.n_chars % 50 as double) as prob
@@ -226,7 +275,7 @@ c as (
 
 
 def _with(*blocks: str) -> str:
-    return "with " + ",\n".join(b.strip() for b in blocks)
+    return "with recursive " + ",\n".join(b.strip() for b in blocks)
 
 
 # -------------------------------------------------------------- cohorts --
@@ -258,20 +307,24 @@ select cohort, round(events_avg, {DIGITS}) as events_avg, events_min, events_max
        round(days_avg, {DIGITS}) as days_avg, days_median, days_min, days_max
 from summary""")
 def q_cohort_metrics(spark, sf_dir):
-    # through the statistics plan (one shuffle of the events into daily counts)
     m = cohort_profile(*cohort_inputs(spark, sf_dir))["metrics"]
     return m.select("cohort", _r("events_avg"), "events_min", "events_max",
                     _r("encounters_avg"), "encounters_median", "encounters_min", "encounters_max",
                     _r("days_avg"), "days_median", "days_min", "days_max")
 
 
+def _both(spark, sf_dir, metrics) -> DataFrame:
+    """A metric function's (alive, dead) frames as one tagged table."""
+    alive, dead = metrics(*split_alive_dead(*cohort_inputs(spark, sf_dir)))
+    return (alive.withColumn("cohort", F.lit("alive")).unionByName(dead.withColumn("cohort", F.lit("dead")))
+            .withColumn("avg", _r("avg")))
+
+
 @register("event_count_metrics", _with(BASE, PROFILE) + f"""
 select cohort, round(events_avg, {DIGITS}) as avg, events_min as min, events_max as max
 from summary""")
 def q_event_count_metrics(spark, sf_dir):
-    m = cohort_metrics(patient_profile(*cohort_inputs(spark, sf_dir)))
-    return m.select("cohort", _r("events_avg", "avg"), F.col("events_min").alias("min"),
-                    F.col("events_max").alias("max"))
+    return _both(spark, sf_dir, event_count_metrics)
 
 
 @register("encounter_count_metrics", _with(BASE, PROFILE) + f"""
@@ -279,10 +332,7 @@ select cohort, round(encounters_avg, {DIGITS}) as avg, encounters_median as medi
        encounters_min as min, encounters_max as max
 from summary""")
 def q_encounter_count_metrics(spark, sf_dir):
-    m = cohort_metrics(patient_profile(*cohort_inputs(spark, sf_dir)))
-    return m.select("cohort", _r("encounters_avg", "avg"),
-                    F.col("encounters_median").alias("median"),
-                    F.col("encounters_min").alias("min"), F.col("encounters_max").alias("max"))
+    return _both(spark, sf_dir, encounter_count_metrics)
 
 
 @register("record_length_metrics", _with(BASE, PROFILE) + f"""
@@ -290,9 +340,7 @@ select cohort, round(days_avg, {DIGITS}) as avg, days_median as median,
        days_min as min, days_max as max
 from summary""")
 def q_record_length_metrics(spark, sf_dir):
-    m = cohort_metrics(patient_profile(*cohort_inputs(spark, sf_dir)))
-    return m.select("cohort", _r("days_avg", "avg"), F.col("days_median").alias("median"),
-                    F.col("days_min").alias("min"), F.col("days_max").alias("max"))
+    return _both(spark, sf_dir, record_length_metrics)
 
 
 @register("top_codes", _with(BASE) + """
@@ -303,8 +351,8 @@ def q_top_codes(spark, sf_dir):
     return top_codes(ev, 5)
 
 
-@register("common_codes", _with(BASE) + """
-, counted as (
+COMMON = """
+counted as (
   select cohort, eventid, count(*) as code_count
   from tagged where cohort is not null group by cohort, eventid),
 by_class as (
@@ -315,17 +363,80 @@ ranked as (
   select *, row_number() over (partition by cohort, code_class
                                order by code_count desc, eventid asc) as rank
   from by_class)
+"""
+
+
+@register("common_codes", _with(BASE, COMMON) + """
 select cohort, code_class, cast(rank as int) as rank, eventid, code_count
 from ranked where rank <= 5""")
 def q_common_codes(spark, sf_dir):
     return common_codes(*cohort_inputs(spark, sf_dir), 5)
 
 
+@register("profile_common_codes", _with(BASE, COMMON) + """
+select cohort, code_class, cast(rank as int) as rank, eventid, code_count
+from ranked where rank <= 3""")
+def q_profile_common_codes(spark, sf_dir):
+    return cohort_profile(*cohort_inputs(spark, sf_dir), k=3)["common_codes"]
+
+
+@register("common_codes_by_class", _with(BASE, COMMON) + """
+select concat(cohort, ':', code_class) as frame, eventid, code_count as count
+from ranked where rank <= 5""")
+def q_common_codes_by_class(spark, sf_dir):
+    """The six frames, tagged and put together."""
+    frames = common_codes_by_class(*split_alive_dead(*cohort_inputs(spark, sf_dir)), k=5)
+    names = [f"{cohort}:{kind}" for cohort in ("alive", "dead") for kind in ("DIAG", "LAB", "DRUG")]
+    out = None
+    for name, frame in zip(names, frames):
+        part = frame.select(F.lit(name).alias("frame"), "eventid", F.col(frame.columns[1]).alias("count"))
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
 @register("validate_unique", _with(BASE) + """
-select patientid, count(*) as n_rows from ev group by patientid having count(*) > 1""")
+select patientid, count(*) as n_rows from mo group by patientid having count(*) > 1""")
 def q_validate_unique(spark, sf_dir):
-    ev, _ = cohort_inputs(spark, sf_dir)
-    return validate_unique(ev, "patientid")
+    _, mo = cohort_inputs(spark, sf_dir)
+    return validate_unique(mo, "patientid")
+
+
+# --------------------------------------------------------------- ingest --
+
+def _csv_rows(rows: DataFrame, schema, *fields: str) -> DataFrame:
+    """The text lines of a headerless file, read back with its schema."""
+    line = F.concat_ws(",", *(F.expr(f) for f in fields))
+    return rows.select(F.from_csv(line, schema.simpleString()[len("struct<"):-1].replace(":", " ")).alias("r")).select("r.*")
+
+
+@register("ingest_events", """
+select case when l_linenumber = 2 then null else cast(l_orderkey as int) end as patientid,
+       concat('DIAG', cast(l_partkey as varchar)) as eventid,
+       case when l_partkey % 7 = 0 or l_partkey % 11 = 0 then null else cast(l_shipdate as date) end as etimestamp,
+       case when l_suppkey % 5 = 0 then null else cast(l_quantity as float) end as value
+from lineitem""")
+def q_ingest_events(spark, sf_dir):
+    """Event lines with bad ids, dates and numbers, through the reader's schema."""
+    raw = _csv_rows(read_table(spark, sf_dir, "lineitem"), EVENTS_CSV_SCHEMA,
+                    "case when l_linenumber = 2 then 'bad' else cast(l_orderkey as string) end",
+                    "concat('DIAG', l_partkey)", "'text'",
+                    "case when l_partkey % 7 = 0 then 'x' when l_partkey % 11 = 0 then '' "
+                    "else cast(cast(l_shipdate as date) as string) end",
+                    "case when l_suppkey % 5 = 0 then 'oops' else cast(l_quantity as string) end")
+    return ingest_events(raw)
+
+
+@register("ingest_mortality", """
+select cast(o_custkey as int) as patientid,
+       case when o_orderkey % 7 = 0 or o_orderkey % 11 = 0 then null else cast(o_orderdate as date) end as mtimestamp,
+       case when o_orderkey % 5 = 0 then null when o_orderkey % 3 = 0 then 0 else 1 end as label
+from orders""")
+def q_ingest_mortality(spark, sf_dir):
+    raw = _csv_rows(read_table(spark, sf_dir, "orders"), MORTALITY_CSV_SCHEMA, "cast(o_custkey as string)",
+                    "case when o_orderkey % 7 = 0 then 'x' when o_orderkey % 11 = 0 then '' "
+                    "else cast(cast(o_orderdate as date) as string) end",
+                    "case when o_orderkey % 5 = 0 then 'no' when o_orderkey % 3 = 0 then '0' else '1' end")
+    return ingest_mortality(raw)
 
 
 # ------------------------------------------------------------- features --
@@ -363,24 +474,33 @@ def q_feature_mapping(spark, sf_dir):
 select patientid, eventid, normalized_feature_value from norm""")
 def q_normalization(spark, sf_dir):
     ev, mo = cohort_inputs(spark, sf_dir)
-    # agg feeds both the per-code maxima and the join: persist the fork
-    agg = aggregate_events(filter_events(ev, calculate_index_dates(ev, mo))).persist()
-    return normalization(agg)
+    return normalization(aggregate_events(filter_events(ev, calculate_index_dates(ev, mo))))
 
 
 @register("svmlight_convert", _with(BASE, FEATURES) + """
 select patientid, sparse_text from svm""")
 def q_svmlight_convert(spark, sf_dir):
     ev, mo = cohort_inputs(spark, sf_dir)
-    # agg feeds the maxima, the code index and the join: persist the fork
-    agg = aggregate_events(filter_events(ev, calculate_index_dates(ev, mo))).persist()
+    agg = aggregate_events(filter_events(ev, calculate_index_dates(ev, mo)))
     svm = svmlight_convert(normalization(agg), generate_feature_mapping(agg))
     return svm.select("patientid", F.array_join("sparse_feature", " ").alias("sparse_text"))
 
 
+@register("unmapped_codes", _with(BASE, FEATURES) + """
+select eventid, count(*) as n_rows from norm
+where normalized_feature_value > 0 and (eventid is null or eventid not in (select eventid from emap where event_index % 2 = 0))
+group by eventid""")
+def q_unmapped_codes(spark, sf_dir):
+    """Rows per code that a map of every other code leaves out."""
+    ev, mo = cohort_inputs(spark, sf_dir)
+    agg = aggregate_events(filter_events(ev, calculate_index_dates(ev, mo)))
+    half = generate_feature_mapping(agg).where("event_index % 2 = 0")
+    return unmapped_codes(normalization(agg), half)
+
+
 def _samples(spark, sf_dir) -> DataFrame:
     ev, mo = cohort_inputs(spark, sf_dir)
-    return build_samples(ev, mo)["samples"]
+    return build_samples(ev, mo, cache=False)["samples"]
 
 
 @register("svmlight_samples", _with(BASE, FEATURES) + """
@@ -404,39 +524,72 @@ def q_split_train(spark, sf_dir):
 # -------------------------------------------------------------- learner --
 
 def _parsed(spark, sf_dir) -> DataFrame:
-    return parse_svmlight(_samples(spark, sf_dir), "save_feature").select("patientid", "y", "x")
+    return _parse(_samples(spark, sf_dir))
+
+
+def _parse(samples: DataFrame) -> DataFrame:
+    return parse_svmlight(with_sample_id(samples), "save_feature").select("sample_id", "y", "x")
 
 
 @register("parse_samples", _with(BASE, FEATURES, PARSED) + """
-select patientid, y, feature_index, feature_value from parsed""")
+select sample_id, y, feature_index, feature_value from parsed""")
 def q_parse_samples(spark, sf_dir):
     p = _parsed(spark, sf_dir)
-    return p.select("patientid", "y", F.explode("x").alias("e")).select(
-        "patientid", "y", F.col("e.i").alias("feature_index"), F.col("e.v").alias("feature_value"))
+    return p.select("sample_id", "y", F.explode("x").alias("e")).select(
+        "sample_id", "y", F.col("e.i").alias("feature_index"), F.col("e.v").alias("feature_value"))
+
+
+ODD = """
+odd as (
+  select sample_id, case patientid % 5 when 0 then save_feature when 1 then concat(chr(9), save_feature, chr(9), ' ')
+           when 2 then substring(save_feature, 1, 1) when 3 then concat(save_feature, ' junk x:1 2:y') else concat('x', save_feature) end as line
+  from ids),
+toks as (
+  select sample_id, regexp_split_to_array(regexp_replace(line, '^\\s+|\\s+$', '', 'g'), '\\s+') as t from odd)
+"""
+
+
+@register("parse_odd_lines", _with(BASE, FEATURES, ODD) + """
+select sample_id, try_cast(t[1] as double) as y, cast(len(t) - 1 as int) as n_pairs,
+       cast(list_sum([case when try_cast(split_part(p, ':', 1) as int) is null then 1 else 0 end for p in t[2:]]) as bigint) as bad_index,
+       cast(list_sum([case when position(':' in p) = 0 or try_cast(split_part(p, ':', 2) as double) is null then 1 else 0 end
+                      for p in t[2:]]) as bigint) as bad_value
+from toks""")
+def q_parse_odd_lines(spark, sf_dir):
+    """Lines with tabs around, a label alone, pairs without a colon or a
+    number, and bad labels."""
+    kind, line = F.pmod("patientid", F.lit(5)), F.col("save_feature")
+    odd = (F.when(kind == 0, line).when(kind == 1, F.concat(F.lit("\t"), line, F.lit("\t "))).when(kind == 2, F.substring(line, 1, 1))
+           .when(kind == 3, F.concat(line, F.lit(" junk x:1 2:y"))).otherwise(F.concat(F.lit("x"), line)))
+    p = parse_svmlight(with_sample_id(_samples(spark, sf_dir)).withColumn("line", odd), "line")
 
+    def bad(field: str):
+        n = F.size(F.filter("x", lambda e: e[field].isNull())).cast("long")
+        return F.when(F.size("x") > 0, n).alias(f"bad_{'index' if field == 'i' else 'value'}")
 
-def _gd_weights(spark, sf_dir, parsed: DataFrame) -> DataFrame:
-    # samples from build_samples are already hash-partitioned by patientid
-    # (parsing is a projection), so no co-locating shuffle is needed
-    return train_gd(parsed, Q_GD_STEPS, Q_ETA, Q_MU, "patientid", "textbook", colocate=False)
+    return p.select("sample_id", "y", F.size("x").alias("n_pairs"), bad("i"), bad("v"))
+
+
+def _gd_weights(parsed: DataFrame, rule: str = "textbook") -> DataFrame:
+    return train_gd(parsed, Q_GD_STEPS, Q_ETA, Q_MU, "sample_id", rule)
 
 
 @register("train_gd_step", _with(BASE, FEATURES, GD) + f"""
 select feature_index, round(weight, {DIGITS}) as weight from w2""")
 def q_train_gd_step(spark, sf_dir):
-    w = _gd_weights(spark, sf_dir, _parsed(spark, sf_dir))
+    w = _gd_weights(_parsed(spark, sf_dir))
     return w.select("feature_index", _r("weight"))
 
 
 @register("score", _with(BASE, FEATURES, GD, SCORED_SQL) + f"""
-select patientid, y, round(margin, {DIGITS}) as margin,
+select sample_id, y, round(margin, {DIGITS}) as margin,
        round(1.0 / (1.0 + exp(-margin)), {DIGITS}) as prob,
        case when 1.0 / (1.0 + exp(-margin)) > 0.5 then 1 else 0 end as prediction
 from scored""")
 def q_score(spark, sf_dir):
     parsed = _parsed(spark, sf_dir)
-    scored = classify(score(parsed, _gd_weights(spark, sf_dir, parsed)))
-    return scored.select("patientid", "y", _r("margin"), _r("prob"), "prediction")
+    scored = classify(score(parsed, _gd_weights(parsed)))
+    return scored.select("sample_id", "y", _r("margin"), _r("prob"), "prediction")
 
 
 @register("confusion_counts", _with(BASE, FEATURES, GD, SCORED_SQL) + f"""
@@ -452,15 +605,14 @@ select cast(tp as bigint) as tp, cast(fp as bigint) as fp, cast(tn as bigint) as
 from cnt""")
 def q_confusion_counts(spark, sf_dir):
     parsed = _parsed(spark, sf_dir)
-    c = confusion_counts(score(parsed, _gd_weights(spark, sf_dir, parsed)))
+    c = confusion_counts(score(parsed, _gd_weights(parsed)))
     return c.select("tp", "fp", "tn", "fn", _r("accuracy"))
 
 
 @register("train_gd_as_coded", _with(BASE, FEATURES, GD_AS_CODED) + f"""
 select feature_index, round(weight, {DIGITS}) as weight from c2""")
 def q_train_gd_as_coded(spark, sf_dir):
-    w = train_gd(_parsed(spark, sf_dir), Q_GD_STEPS, Q_ETA, Q_MU, "patientid", "as_coded",
-                 colocate=False)
+    w = _gd_weights(_parsed(spark, sf_dir), "as_coded")
     return w.select("feature_index", _r("weight"))
 
 
@@ -473,20 +625,26 @@ def q_model_auc(spark, sf_dir):
     (probabilities compared at 12 decimals, so ties do not depend on the
     engine's summation order)."""
     test, train = hash_split(_samples(spark, sf_dir), "patientid")
-    p_train = parse_svmlight(train, "save_feature").select("patientid", "y", "x")
-    p_test = parse_svmlight(test, "save_feature").select("patientid", "y", "x")
-    w = train_gd(p_train, Q_GD_STEPS, Q_ETA, Q_MU, "patientid", "textbook", colocate=False)
+    p_test, w = _parse(test), _gd_weights(_parse(train))
     scored = score(p_test, w).withColumn("prob", F.round("prob", 12))
     return auc(scored).select(_r("auc"), "n_pos", "n_neg")
 
 
-@register("train_sgd", None)
-def q_train_sgd(spark, sf_dir):
-    ev, mo = cohort_inputs(spark, sf_dir)
-    built = build_samples(ev, mo)
+def _sgd(spark, sf_dir, rule: str) -> DataFrame:
+    built = build_samples(*cohort_inputs(spark, sf_dir), cache=False)
     n_feature = built["event_map"].count()          # dense index: 0..n-1
-    parsed = parse_svmlight(built["samples"], "save_feature").select("patientid", "y", "x")
-    return train_sgd(parsed, n_feature, eta=Q_ETA, mu=Q_MU, shards=4, validate=False)
+    w = train_sgd(_parse(built["samples"]), n_feature, Q_ETA, Q_MU, rule=rule, rows_per_shard=Q_SHARD_ROWS)
+    return w.select("feature_index", _r("weight"))
+
+
+@register("train_sgd", _with(BASE, FEATURES, PARSED, _sgd_sql("textbook")))
+def q_train_sgd(spark, sf_dir):
+    return _sgd(spark, sf_dir, "textbook")
+
+
+@register("train_sgd_as_coded", _with(BASE, FEATURES, PARSED, _sgd_sql("as_coded")))
+def q_train_sgd_as_coded(spark, sf_dir):
+    return _sgd(spark, sf_dir, "as_coded")
 
 
 # ----------------------------------------------------------- evaluation --

@@ -1,34 +1,26 @@
-"""Cohort profile: every statistic of the original statistics run from one
-tag join and two aggregation levels, returned as lazy DataFrames."""
+"""Cohort profile: every statistic of the original statistics run, returned as
+DataFrames."""
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 
-from cohortlens.operators.cohort import daily_counts
-from cohortlens.operators.metrics import (
-    cohort_metrics,
-    common_codes_from_daily,
-    profile_from_daily,
-)
+from cohortlens.operators.metrics import cohort_metrics, common_codes, patient_profile
 
 
 def cohort_profile(events: DataFrame, mortality: DataFrame, k: int = 5) -> dict[str, DataFrame]:
-    """{'daily', 'patients', 'metrics', 'common_codes'}.
+    """{'patients', 'metrics', 'common_codes'}.
 
     ``metrics`` has one row per cohort with event-count, encounter and
     record-length figures; ``common_codes`` the top-k codes per cohort and
-    class. The events are read and shuffled once, into per (patient, code,
-    day) counts (persisted; ``daily.unpersist()`` when done); both results
-    aggregate those per patient (resp. per patient and code) before the
-    cohort tag is joined, so no event-level join happens.
+    class. Each is a direct aggregation of the columns it needs (the events
+    are scanned once for either), per patient or per patient and code with
+    map-side partial sums before the cohort tag is joined; no event row is
+    kept or joined. Nothing runs until a result is used.
     """
-    daily = daily_counts(events).persist(StorageLevel.MEMORY_AND_DISK)
-    patients = profile_from_daily(daily, mortality)
+    patients = patient_profile(events, mortality)
     return {
-        "daily": daily,
         "patients": patients,
         "metrics": cohort_metrics(patients),
-        "common_codes": common_codes_from_daily(daily, mortality, k),
+        "common_codes": common_codes(events, mortality, k),
     }

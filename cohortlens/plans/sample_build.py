@@ -7,8 +7,9 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cohortlens.operators.cohort import daily_counts, index_dates_from_daily, window_counts
+from cohortlens.operators.cohort import calculate_index_dates, filter_events
 from cohortlens.operators.features import (
+    aggregate_events,
     code_stats,
     normalization,
     normalized_value,
@@ -16,42 +17,40 @@ from cohortlens.operators.features import (
     svmlight_convert,
     svmlight_samples,
 )
-from cohortlens.operators.joins import DEFAULT_BROADCAST_ROWS, broadcast_if_small
+from cohortlens.operators.joins import DEFAULT_BROADCAST_BYTES, DEFAULT_HOT_ROWS, broadcast_if_small
 
-_CACHED = ("daily", "agg_events")
+_CACHED = ("agg_events",)
 
 
 def build_samples(events: DataFrame, mortality: DataFrame,
                   event_map: DataFrame | None = None, maxima: DataFrame | None = None,
-                  broadcast_rows: int | None = DEFAULT_BROADCAST_ROWS,
-                  cache: bool = True) -> dict[str, DataFrame]:
+                  broadcast_bytes: int | None = DEFAULT_BROADCAST_BYTES,
+                  hot_rows: int = DEFAULT_HOT_ROWS, cache: bool = True) -> dict[str, DataFrame]:
     """All intermediate tables of the feature job.
 
-    Plan: events are pre-aggregated once per (patient, code, day) and that
-    table feeds both the index dates and the window filter (persisted, so
-    the event source is read once). The per-code table — maximum count and
-    dense index together — is small and checkpointed; after a row-count
-    check it is broadcast, so normalisation, indexing and the ``> 0`` filter
-    are one map-side join. Sparse rows are one ``collect_list`` per patient.
+    Plan: the last event date per patient (map-side combined) gives the index
+    dates; the window join runs on the raw event rows with patients above
+    ``hot_rows`` events split over tasks; its rows are counted per patient and
+    code with partial sums before the shuffle. Only these counts, which feed
+    the per-code table and the join with it, are persisted. The per-code table
+    (maximum count and dense index together) is checkpointed and broadcast
+    when its size is within ``broadcast_bytes``, so normalisation, indexing and
+    the ``> 0`` filter are one map-side join. Sparse rows are one
+    ``collect_list`` per patient.
 
     ``event_map`` / ``maxima`` may be passed in (e.g. fitted on a training
     side); by default both are fitted on all patients, as the original tool
-    does. Call ``release(result)`` when done with the tables.
-
-    ``cache=False`` skips persisting ``daily`` and ``agg_events`` (each is
-    then computed once per use): for event sources that are cheap to scan
-    twice when executor storage is short.
+    does. Jobs run when called: the hot-patient count and the per-code table.
+    Call ``release(result)`` when done with the tables; ``cache=False`` keeps
+    nothing (the counts are then computed once per use).
     """
-    daily = daily_counts(events)
-    if cache:
-        daily = daily.persist(StorageLevel.MEMORY_AND_DISK)
-    index_dates = index_dates_from_daily(daily, mortality)
-    agg = window_counts(daily, index_dates)
+    index_dates = calculate_index_dates(events, mortality)
+    agg = aggregate_events(filter_events(events, index_dates, hot_rows=hot_rows))
     if cache:
         agg = agg.persist(StorageLevel.MEMORY_AND_DISK)
     if event_map is None and maxima is None:
         stats = code_stats(agg)
-        side = broadcast_if_small(stats, broadcast_rows) if broadcast_rows is not None else stats
+        side = broadcast_if_small(stats, broadcast_bytes) if broadcast_bytes is not None else stats
         normalized = (agg.join(side, "eventid", "inner")
                       .select("patientid", "eventid", "event_index",
                               normalized_value().alias("normalized_feature_value")))
@@ -64,11 +63,10 @@ def build_samples(events: DataFrame, mortality: DataFrame,
             fitted = code_stats(agg)
             event_map = event_map if event_map is not None else fitted.select("eventid", "event_index")
             maxima = maxima if maxima is not None else fitted.select("eventid", "max_value")
-        normalized = normalization(agg, maxima, broadcast_rows)
-        svmlight = svmlight_convert(normalized, event_map, broadcast_rows)
+        normalized = normalization(agg, maxima, broadcast_bytes)
+        svmlight = svmlight_convert(normalized, event_map, broadcast_bytes)
     samples = svmlight_samples(svmlight, mortality)
     return {
-        "daily": daily,
         "index_dates": index_dates,
         "agg_events": agg,
         "event_map": event_map,

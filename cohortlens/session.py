@@ -29,7 +29,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
-        .config("spark.sql.adaptive.forceOptimizeSkewedJoin", "true")
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.driver.memory", os.environ.get("COHORTLENS_DRIVER_MEM", "8g"))
@@ -44,9 +44,12 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """Return the reliable checkpoint folder, setting one only when unset.
 
     Order: a folder already set on the context, then ``spark.checkpoint.dir``
-    from the session conf (the shared folder a cluster names). Only a local
-    master gets a fresh temporary folder; a cluster without the setting is an
-    error, because a machine-local folder does not survive executor loss.
+    from the session conf (the shared folder a cluster names). Only where
+    neither is set does a single-process master (``local``, ``local[n]``) get a
+    fresh temporary folder, as in tests; a cluster without the setting is an
+    error, because a machine-local folder does not survive executor loss. Old
+    checkpoints go with their DataFrames when
+    ``spark.cleaner.referenceTracking.cleanCheckpoints`` is true.
     """
     conf_dir = spark.conf.get("spark.checkpoint.dir", None)
     try:
@@ -61,7 +64,7 @@ def checkpoint_dir(spark: SparkSession) -> str:
     if conf_dir:
         sc.setCheckpointDir(conf_dir)
         return conf_dir
-    if sc.master.startswith("local"):
+    if sc.master == "local" or sc.master.startswith("local["):
         local_dir = tempfile.mkdtemp(prefix="cohortlens-ckpt-")
         sc.setCheckpointDir(local_dir)
         return local_dir
@@ -76,8 +79,8 @@ _SHIPPED: set[str] = set()
 def ship_package(spark: SparkSession) -> None:
     """Make this package importable in Python workers.
 
-    Only ``train_sgd`` runs Python on executors. Its task function refers
-    to this package, so the package is zipped (``.py`` files only) once
+    Task functions of operators that run Python on executors refer to this
+    package, so the package is zipped (``.py`` files only) once
     per application and added with ``SparkContext.addPyFile`` — what
     ``spark-submit --py-files`` does. A no-op when already shipped, and on
     Spark Connect (ship the package with the job there).

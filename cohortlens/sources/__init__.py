@@ -13,4 +13,8 @@ from cohortlens.sources.model_store import load_model, save_model
 from cohortlens.sources.svmlight import parse_svmlight, read_svmlight
 from cohortlens.sources.tables import cohort_inputs, events_from_orders, mortality_from_customers
 
-__all__ = [name for name in dir() if not name.startswith("_")]
+__all__ = [
+    "EVENTS_CSV_SCHEMA", "MORTALITY_CSV_SCHEMA", "cohort_inputs", "events_from_orders", "ingest_events", "ingest_mortality",
+    "load_model", "mortality_from_customers", "parse_svmlight", "read_csv", "read_events", "read_mortality", "read_svmlight",
+    "save_model",
+]

@@ -15,20 +15,24 @@ SAMPLE_X_TYPE = "array<struct<i:int,v:double>>"
 
 def parse_svmlight(df: DataFrame, column: str = "value") -> DataFrame:
     """Add ``y double`` and ``x array<struct<i int, v double>>`` parsed from
-    the text column; other columns are kept. Blank lines give null y; a
-    malformed pair gives null fields (no ANSI error), which the learners
-    skip."""
-    tokens = F.split(F.trim(F.col(column)), r"\s+")
-    n = F.size(tokens)
-    pairs = F.slice(tokens, 2, F.greatest(n - 1, F.lit(0)))
-    x = F.transform(pairs, lambda kv: F.struct(
-        F.split(kv, ":").getItem(0).try_cast("int").alias("i"),
-        F.split(kv, ":").getItem(1).try_cast("double").alias("v")))
-    y = tokens.getItem(0).try_cast("double")
+    the text column; other columns are kept. Any white space separates and
+    may surround the tokens. A blank line or a bad label gives a null y (the
+    learners and the evaluation leave such rows out), a pair without a colon
+    or with a bad number null fields, which the learners skip."""
+    line = F.regexp_replace(F.col(column), r"^\s+|\s+$", "")
+    tokens = F.split(line, r"\s+")
+    pairs = F.slice(tokens, 2, F.greatest(F.size(tokens) - 1, F.lit(0)))
+
+    def field(kv, k):
+        return F.get(F.split(kv, ":"), F.lit(k))
+
+    x = F.transform(pairs, lambda kv: F.struct(field(kv, 0).try_cast("int").alias("i"),
+                                               field(kv, 1).try_cast("double").alias("v")))
+    y = F.get(tokens, F.lit(0)).try_cast("double")
     return df.withColumn("y", y).withColumn("x", x)
 
 
 def read_svmlight(spark: SparkSession, path: str) -> DataFrame:
     """(line, y, x) for every non-empty line of the text file(s)."""
-    lines = spark.read.text(path).where(F.length(F.trim(F.col("value"))) > 0)
+    lines = spark.read.text(path).where(F.col("value").rlike(r"\S"))
     return parse_svmlight(lines, "value").withColumnRenamed("value", "line")

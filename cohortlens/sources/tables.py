@@ -2,7 +2,9 @@
 
 The benchmark data has no clinical tables, so patients are customers,
 events are order lines (code class from the return flag, code from the part
-key, date from the order date) and every third customer is dead. The
+key, date from the order date) and every third customer has a mortality row.
+To bring out the rules for odd input some of these rows have label 0 or no
+label, some customers have two rows, and some events no code or no date. The
 mapping is plain SQL so the same text runs in DuckDB as the oracle.
 """
 
@@ -12,12 +14,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # Fixed values of the mapping: return flag -> code class, part-key modulus,
-# death-date origin and spread, and the dead-customer stride.
+# death-date origin and spread, the dead-customer stride, and the strides of
+# label 0, no label, a second mortality row, no code and no date.
 FLAG_CLASS = {"A": "DIAG", "N": "LAB"}   # every other flag -> DRUG
 CODE_MODULUS = 100
 DEATH_ORIGIN = "2000-01-01"
 DEATH_SPREAD_DAYS = 500
 DEAD_STRIDE = 3
+ZERO_STRIDE, NULL_STRIDE, TWICE_STRIDE = 15, 21, 12
+NO_CODE_STRIDE, NO_DATE_STRIDE = 97, 89
+SECOND_ROW_DAYS = 10
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -40,20 +46,26 @@ def events_from_orders(lineitem: DataFrame, orders: DataFrame) -> DataFrame:
     heads = orders.select("o_orderkey", "o_custkey", "o_orderdate")
     return (lines.join(heads, lines.l_orderkey == heads.o_orderkey, "inner")
             .select(F.col("o_custkey").alias("patientid"),
-                    F.concat(code_class,
-                             (F.col("l_partkey") % CODE_MODULUS).cast("string")).alias("eventid"),
-                    F.col("o_orderdate").cast("date").alias("etimestamp"),
+                    F.when(F.col("l_partkey") % NO_CODE_STRIDE != 0,
+                           F.concat(code_class, (F.col("l_partkey") % CODE_MODULUS).cast("string"))).alias("eventid"),
+                    F.when(F.col("l_orderkey") % NO_DATE_STRIDE != 0,
+                           F.col("o_orderdate").cast("date")).alias("etimestamp"),
                     F.col("l_quantity").cast("float").alias("value")))
 
 
 def mortality_from_customers(customer: DataFrame) -> DataFrame:
-    """(patientid bigint, mtimestamp date, label int): every third customer."""
-    return (customer.select("c_custkey")
-            .where(F.col("c_custkey") % DEAD_STRIDE == 0)
-            .select(F.col("c_custkey").alias("patientid"),
+    """(patientid bigint, mtimestamp date, label int): every third customer,
+    some with label 0 or none, some with a second row."""
+    key = F.col("c_custkey")
+    label = (F.when(key % ZERO_STRIDE == 0, F.lit(0)).when(key % NULL_STRIDE == 0, F.lit(None).cast("int"))
+             .otherwise(F.lit(1)))
+    later = F.when(key % TWICE_STRIDE == 0, F.array(F.lit(0), F.lit(SECOND_ROW_DAYS))).otherwise(F.array(F.lit(0)))
+    return (customer.select("c_custkey").where(key % DEAD_STRIDE == 0)
+            .select(key.alias("patientid"), label.alias("label"), F.explode(later).alias("later"))
+            .select("patientid",
                     F.date_add(F.lit(DEATH_ORIGIN).cast("date"),
-                               (F.col("c_custkey") % DEATH_SPREAD_DAYS).cast("int")).alias("mtimestamp"),
-                    F.lit(1).alias("label")))
+                               (F.col("patientid") % DEATH_SPREAD_DAYS).cast("int") + F.col("later")).alias("mtimestamp"),
+                    "label"))
 
 
 def cohort_inputs(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
@@ -67,16 +79,18 @@ def cohort_inputs(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFram
 # The same mapping as DuckDB SQL, used by the oracle queries.
 EV_SQL = """
 select o.o_custkey as patientid,
-       concat(case l.l_returnflag when 'A' then 'DIAG' when 'N' then 'LAB' else 'DRUG' end,
-              cast(l.l_partkey % 100 as varchar)) as eventid,
-       cast(o.o_orderdate as date) as etimestamp,
+       case when l.l_partkey % 97 <> 0 then
+         concat(case l.l_returnflag when 'A' then 'DIAG' when 'N' then 'LAB' else 'DRUG' end,
+                cast(l.l_partkey % 100 as varchar)) end as eventid,
+       case when l.l_orderkey % 89 <> 0 then cast(o.o_orderdate as date) end as etimestamp,
        cast(l.l_quantity as float) as value
 from lineitem l join orders o on l.l_orderkey = o.o_orderkey
 """
 
 MO_SQL = """
 select c_custkey as patientid,
-       cast(date '2000-01-01' + cast(c_custkey % 500 as int) as date) as mtimestamp,
-       1 as label
-from customer where c_custkey % 3 = 0
+       cast(date '2000-01-01' + cast(c_custkey % 500 + later as int) as date) as mtimestamp,
+       case when c_custkey % 15 = 0 then 0 when c_custkey % 21 = 0 then null else 1 end as label
+from (select c_custkey, unnest(case when c_custkey % 12 = 0 then [0, 10] else [0] end) as later
+      from customer where c_custkey % 3 = 0)
 """

@@ -1,5 +1,7 @@
 """The command line runs the four steps end to end on CSV inputs."""
 
+import pytest
+
 from cohortlens.__main__ import main
 
 
@@ -20,13 +22,26 @@ def test_cli_end_to_end(spark, tmp_path, capsys):
     assert spark.read.text(str(out / "training")).count() + \
         spark.read.text(str(out / "testing")).count() == 40
     main(["train", "--samples", str(out / "training"), "--model", str(out / "model"),
-          "--eta", "0.5", "--steps", "3"])
-    main(["train", "--samples", str(out / "training"), "--model", str(out / "sgd"), "--sgd",
-          "--shards", "2"])
+          "--eta", "0.5", "--gd", "--steps", "3"])
+    main(["train", "--samples", str(out / "training"), "--model", str(out / "sgd"), "--shards", "2"])
+    assert spark.read.parquet(str(out / "sgd" / "weights")).count() > 0
     main(["evaluate", "--samples", str(out / "testing"), "--model", str(out / "model"),
           "--out", str(out / "eval")])
     assert spark.read.parquet(str(out / "eval" / "auc")).count() == 1
-    assert spark.read.parquet(str(out / "eval" / "roc")).count() >= 2
+    points = spark.read.parquet(str(out / "eval" / "roc")).count()
+    assert points >= 2
+    capsys.readouterr()
+    main(["evaluate", "--samples", str(out / "testing"), "--model", str(out / "sgd")])
+    printed = capsys.readouterr().out
+    assert "== roc" in printed and "accuracy" in printed
+
+
+def test_evaluate_refuses_features_beyond_the_model(spark, tmp_path):
+    (tmp_path / "a.txt").write_text("1 0:1.0\n0 1:1.0\n1 0:1.0\n")
+    (tmp_path / "b.txt").write_text("1 7:1.0\n")
+    main(["train", "--samples", str(tmp_path / "a.txt"), "--model", str(tmp_path / "m")])
+    with pytest.raises(IndexError):
+        main(["evaluate", "--samples", str(tmp_path / "b.txt"), "--model", str(tmp_path / "m")])
 
 
 def test_feature_count_from_max_index():

@@ -1,5 +1,4 @@
-"""Feature operators on the original unit-test fixtures (as data), plus
-edge cases and invariants."""
+"""Feature operators: rules, edge cases and invariants."""
 
 import datetime as dt
 
@@ -14,24 +13,23 @@ from cohortlens.operators import (
     normalization,
     svmlight_convert,
     svmlight_samples,
+    unmapped_codes,
+    with_sample_id,
 )
 from cohortlens.plans import build_samples
 from cohortlens.plans.sample_build import release
 from conftest import rows
 
 
-def test_filter_events_fixture(spark):
+def test_filter_events_window(spark):
     events = spark.createDataFrame(
-        [(20459, "DIAG42872402", "1994-12-04", 1.0),
-         (19992, "DIAG42872403", "1995-12-04", 1.0),
-         (20459, "DIAG42872404", "1999-12-04", 1.0),
-         (20459, "DIAG42872405", "2000-12-04", 1.0)],
+        [(7, "LAB3", "1990-01-01", 1.0), (7, "LAB4", "1997-06-30", 1.0), (7, "LAB5", "1999-01-01", 1.0),
+         (8, "DRUG6", "1993-03-03", 1.0), (9, "DRUG6", "1997-01-01", 1.0)],
         ["patientid", "eventid", "etimestamp", "value"])
-    index = spark.createDataFrame([(20459, "2000-09-19"), (19992, "1996-09-19")],
-                                  ["patientid", "index_date"])
+    index = spark.createDataFrame([(7, "1998-01-01"), (8, "1994-01-01")], ["patientid", "index_date"])
     out = filter_events(events, index)
     assert out.columns == ["patientid", "eventid", "etimestamp", "value"]
-    assert rows(out, "patientid", "eventid") == [(19992, "DIAG42872403"), (20459, "DIAG42872404")]
+    assert rows(out, "patientid", "eventid") == [(7, "LAB4"), (8, "DRUG6")]
 
 
 def test_window_ends_inclusive(spark):
@@ -44,25 +42,18 @@ def test_window_ends_inclusive(spark):
     assert rows(filter_events(events, index), "eventid") == [("A",), ("B",)]
 
 
-def test_aggregate_events_fixture(spark):
-    data = ([(19992, "DIAG42872403", "1995-12-04", 1.0, "2000-09-19", 1751)] * 3
-            + [(19992, "DIAG42872404", "1995-12-04", 1.0, "2000-09-19", 1751)]
-            + [(29993, "DIAG42872403", "1995-12-04", 1.0, "2000-09-19", 1751)] * 2)
-    df = spark.createDataFrame(data, ["patientid", "eventid", "etimestamp", "value",
-                                      "index_date", "time_difference"])
-    out = aggregate_events(df)
-    assert rows(out, "patientid", "eventid", "feature_value") == [
-        (19992, "DIAG42872403", 3), (19992, "DIAG42872404", 1), (29993, "DIAG42872403", 2)]
+def test_aggregate_counts_rows_not_values(spark):
+    data = [(1, "LAB1", "1998-02-03", 5.0, "1999-01-01", 332)] * 4 + [(1, "LAB2", "1998-02-03", 0.0, "1999-01-01", 332)] \
+        + [(2, "LAB1", "1998-02-03", None, "1999-01-01", 332)] * 3
+    df = spark.createDataFrame(data, "patientid long, eventid string, etimestamp string, value double, "
+                                     "index_date string, time_difference int")
+    assert rows(aggregate_events(df), "patientid", "eventid", "feature_value") == [(1, "LAB1", 4), (1, "LAB2", 1), (2, "LAB1", 3)]
 
 
-def test_feature_mapping_fixture(spark):
-    df = spark.createDataFrame(
-        [(19992, "DIAG42872403", 1.0), (19992, "DIAG42872404", 1.0),
-         (19993, "DIAG42872403", 0.667), (19993, "LAB1234", 0.667)],
-        ["patientid", "eventid", "normalized_feature_value"])
-    out = generate_feature_mapping(df)
-    assert rows(out, "eventid", "event_index") == [
-        ("DIAG42872403", 0), ("DIAG42872404", 1), ("LAB1234", 2)]
+def test_feature_mapping_in_code_order(spark):
+    df = spark.createDataFrame([(1, "LAB10", 0.5), (1, "DRUG2", 1.0), (2, "LAB10", 1.0), (3, "DIAG9", 0.25)],
+                               ["patientid", "eventid", "normalized_feature_value"])
+    assert rows(generate_feature_mapping(df), "eventid", "event_index") == [("DIAG9", 0), ("DRUG2", 1), ("LAB10", 2)]
 
 
 def test_feature_mapping_null_code_excluded(spark):
@@ -83,13 +74,10 @@ def test_dense_index_is_dense_on_any_partitioning(spark):
         assert [c for _, c in got] == expected
 
 
-def test_normalization_fixture(spark):
-    df = spark.createDataFrame([(19992, "DIAG42872403", 1), (19992, "DIAG42872404", 999),
-                                (19993, "DIAG42872403", 4)],
-                               ["patientid", "eventid", "feature_value"])
-    out = normalization(df)
-    assert rows(out) == [(19992, "DIAG42872403", 0.25), (19992, "DIAG42872404", 1.0),
-                         (19993, "DIAG42872403", 1.0)]
+def test_normalization_by_the_codes_maximum(spark):
+    df = spark.createDataFrame([(1, "A", 1), (1, "B", 40), (2, "A", 8), (3, "A", 3)], ["patientid", "eventid", "feature_value"])
+    expected = [(1, "A", 0.125), (1, "B", 1.0), (2, "A", 1.0), (3, "A", 0.375)]
+    assert rows(normalization(df)) == expected == rows(normalization(df, broadcast_bytes=None)) == rows(normalization(df, broadcast_bytes=1))
 
 
 def test_normalization_tiny_ratio_rounds_to_zero(spark):
@@ -98,14 +86,12 @@ def test_normalization_tiny_ratio_rounds_to_zero(spark):
     assert rows(normalization(df), "patientid", "normalized_feature_value") == [(1, 0.0), (2, 1.0)]
 
 
-def test_svmlight_convert_fixture(spark):
-    normalized = spark.createDataFrame(
-        [(19992, "DIAG4", 1.0), (19992, "DIAG8", 1.0), (19993, "LAB3", 0.5), (19993, "DIAG4", 0.667)],
-        ["patientid", "eventid", "normalized_feature_value"])
-    mapping = spark.createDataFrame([("DIAG4", 2), ("DIAG8", 9), ("LAB3", 12)],
-                                    ["eventid", "event_index"])
+def test_svmlight_indices_in_numeric_order(spark):
+    normalized = spark.createDataFrame([(5, "X", 1.0), (5, "Y", 0.25), (5, "Z", 0.5), (6, "Z", 0.125)],
+                                       ["patientid", "eventid", "normalized_feature_value"])
+    mapping = spark.createDataFrame([("X", 10), ("Y", 3), ("Z", 100)], ["eventid", "event_index"])
     out = {r["patientid"]: r["sparse_feature"] for r in svmlight_convert(normalized, mapping).collect()}
-    assert out == {19992: ["2:1.000", "9:1.000"], 19993: ["2:0.667", "12:0.500"]}
+    assert out == {5: ["3:0.250", "10:1.000", "100:0.500"], 6: ["100:0.125"]}
 
 
 def test_svmlight_convert_drops_zero_and_unmapped(spark):
@@ -115,15 +101,17 @@ def test_svmlight_convert_drops_zero_and_unmapped(spark):
     mapping = spark.createDataFrame([("A", 0), ("B", 1)], ["eventid", "event_index"])
     out = [(r["patientid"], r["sparse_feature"]) for r in svmlight_convert(normalized, mapping).collect()]
     assert out == [(1, ["1:0.500"])]
+    assert rows(unmapped_codes(normalized, mapping)) == [("Z", 1)]
 
 
-def test_svmlight_samples_fixture(spark):
-    svm = spark.createDataFrame([(19993, ["1:0.500", "97:0.667"]), (19992, ["2:1.000", "2001:1.000"])],
-                                ["patientid", "sparse_feature"])
-    mortality = spark.createDataFrame([(19993, dt.date(2000, 9, 19), 1)],
+def test_svmlight_samples_label_and_fan_out(spark):
+    svm = spark.createDataFrame([(5, ["3:0.250"]), (6, ["1:1.000", "9:0.500"]), (7, ["2:0.100"])], ["patientid", "sparse_feature"])
+    mortality = spark.createDataFrame([(6, dt.date(2001, 2, 3), 1), (6, dt.date(2001, 2, 9), 1), (7, dt.date(2001, 1, 1), 0)],
                                       ["patientid", "mtimestamp", "label"])
     out = svmlight_samples(svm, mortality)
-    assert rows(out) == [(19992, "0 2:1.000 2001:1.000"), (19993, "1 1:0.500 97:0.667")]
+    assert rows(out) == [(5, "0 3:0.250"), (6, "1 1:1.000 9:0.500"), (6, "1 1:1.000 9:0.500"), (7, "0 2:0.100")]
+    ids = rows(with_sample_id(out.repartition(3)), "patientid", "sample_id")
+    assert len({i for _, i in ids}) == 4 and ids == rows(with_sample_id(out.coalesce(1)), "patientid", "sample_id")
 
 
 def test_index_dates_semantics(spark):

@@ -1,5 +1,6 @@
 """Parsing, split, scoring, training and evaluation."""
 
+import hashlib
 import math
 import random
 
@@ -15,9 +16,9 @@ from cohortlens.operators import (
     hash_split,
     roc_points,
     score,
-    sgd_sequential,
     train_gd,
     train_sgd,
+    with_sample_id,
     zero_weights,
 )
 from cohortlens.sources import load_model, parse_svmlight, read_svmlight, save_model
@@ -36,19 +37,20 @@ def test_parse_label_only_and_pairs(spark):
     assert got == {0: (1.0, [(0, 0.5), (12, 1.0)]), 1: (0.0, []), 2: (1.0, [(3, 2.0)])}
 
 
-def test_sgd_hand_fixture():
-    xs = [[{"i": 0, "v": 1.0}], [{"i": 0, "v": 0.5}, {"i": 1, "v": 0.5}]]
-    one = sgd_sequential([0.0], xs[:1], 2, eta=0.5, mu=0.1)
-    assert one.tolist() == pytest.approx([-0.225, 0.0])
-    text = sgd_sequential([0.0, 1.0], xs, 2, eta=0.5, mu=0.1)
-    assert text.tolist() == pytest.approx([-0.08367854075811292, 0.11882145924188708], abs=1e-15)
-    coded = sgd_sequential([0.0, 1.0], xs, 2, eta=0.5, mu=0.1, rule="as_coded")
-    assert coded.tolist() == pytest.approx([0.12867854075811294, 0.3311785407581129], abs=1e-15)
+HAND = [[{"i": 0, "v": 1.0}], [{"i": 0, "v": 0.5}, {"i": 1, "v": 0.5}]]
 
 
-def _dense_loop(ys, xs, n, eta, mu, rule="textbook"):
+@pytest.mark.parametrize("rule,expected", [
+    ("textbook", [-0.08367854075811292, 0.11882145924188708]), ("as_coded", [0.12867854075811294, 0.3311785407581129])])
+def test_sgd_hand_fixture(spark, rule, expected):
+    df = _samples_df(spark, [0.0, 1.0], HAND)
+    w = {r["feature_index"]: r["weight"] for r in train_sgd(df, 2, eta=0.5, mu=0.1, shards=1, rule=rule).collect()}
+    assert [w[0], w[1]] == pytest.approx(expected, abs=1e-15)
+
+
+def _dense_loop(ys, xs, n, eta, mu, rule="textbook", start=None):
     """Textbook per-sample loop with the dense shrink after every sample."""
-    w = [0.0] * n
+    w = list(start or [0.0] * n)
     for y, x in zip(ys, xs):
         g = math.fsum(w[e["i"]] * e["v"] for e in x)
         if rule == "textbook":
@@ -76,43 +78,80 @@ def _toy(n_rows=200, n_feature=12, seed=3):
     return ys, xs
 
 
-@pytest.mark.parametrize("rule", ["textbook", "as_coded"])
-def test_lazy_shrink_equals_dense_loop(rule):
-    ys, xs = _toy()
-    lazy = sgd_sequential(ys, xs, 12, eta=0.3, mu=0.05, rule=rule)
-    assert lazy.tolist() == pytest.approx(_dense_loop(ys, xs, 12, 0.3, 0.05, rule), abs=1e-12)
-
-
 def _samples_df(spark, ys, xs):
     data = [(i, y, [(e["i"], e["v"]) for e in x]) for i, (y, x) in enumerate(zip(ys, xs))]
-    return spark.createDataFrame(data, "patientid long, y double, x array<struct<i:int,v:double>>")
+    return spark.createDataFrame(data, "sample_id long, y double, x array<struct<i:int,v:double>>")
 
 
-def test_train_sgd_one_shard_equals_sequential(spark):
+@pytest.mark.parametrize("rule", ["textbook", "as_coded"])
+def test_train_sgd_one_shard_equals_sequential(spark, rule):
     ys, xs = _toy()
     df = _samples_df(spark, ys, xs)
     w = {r["feature_index"]: r["weight"]
-         for r in train_sgd(df, 12, eta=0.3, mu=0.05, shards=1).collect()}
-    expected = _dense_loop(ys, xs, 12, 0.3, 0.05)          # id order = list order
+         for r in train_sgd(df, 12, eta=0.3, mu=0.05, shards=1, rule=rule).collect()}
+    order = sorted(range(len(ys)))                          # ids are numbers: numeric order
+    expected = _dense_loop([ys[i] for i in order], [xs[i] for i in order], 12, 0.3, 0.05, rule)
     assert [w.get(i, 0.0) for i in range(12)] == pytest.approx(expected, abs=1e-12)
 
 
-def test_train_sgd_shards_average(spark):
+@pytest.mark.parametrize("epochs", [1, 3])
+def test_train_sgd_shards_average(spark, epochs):
     ys, xs = _toy(300)
     df = _samples_df(spark, ys, xs)
     shards = 3
     got = {r["feature_index"]: r["weight"]
-           for r in train_sgd(df, 12, eta=0.3, mu=0.05, shards=shards).collect()}
-    # recompute: each shard sequential in id order, then mean over non-empty shards
-    shard_of = {r["patientid"]: r["s"] for r in df.select(
-        "patientid", F.pmod(F.hash("patientid"), F.lit(shards)).alias("s")).collect()}
-    per = []
-    for s in range(shards):
-        ids = [i for i in range(len(ys)) if shard_of[i] == s]
-        if ids:
-            per.append(_dense_loop([ys[i] for i in ids], [xs[i] for i in ids], 12, 0.3, 0.05))
-    mean = np.mean(np.array(per), axis=0)
-    assert [got.get(i, 0.0) for i in range(12)] == pytest.approx(mean.tolist(), abs=1e-12)
+           for r in train_sgd(df, 12, eta=0.3, mu=0.05, shards=shards, epochs=epochs).collect()}
+    member = {i: int(hashlib.md5(str(i).encode()).hexdigest()[:8], 16) % shards for i in range(len(ys))}
+    mean = [0.0] * 12
+    for _ in range(epochs):
+        per = []
+        for s in range(shards):
+            ids = [i for i in range(len(ys)) if member[i] == s]
+            if ids:
+                per.append(_dense_loop([ys[i] for i in ids], [xs[i] for i in ids], 12, 0.3, 0.05, start=mean))
+        mean = np.mean(np.array(per), axis=0).tolist()
+    assert [got.get(i, 0.0) for i in range(12)] == pytest.approx(mean, abs=1e-12)
+
+
+def test_train_sgd_shards_follow_the_rows(spark):
+    ys, xs = _toy(120)
+    df = _samples_df(spark, ys, xs)
+    a = {r["feature_index"]: r["weight"] for r in train_sgd(df, 12, eta=0.3, rows_per_shard=50).collect()}
+    b = {r["feature_index"]: r["weight"] for r in train_sgd(df, 12, eta=0.3, shards=3).collect()}
+    assert a == b
+
+
+def test_train_sgd_any_number_of_features(spark):
+    df = _samples_df(spark, [1.0, 0.0], [[{"i": 2_000_000_000, "v": 1.0}], [{"i": 5, "v": 1.0}]])
+    w = {r["feature_index"]: r["weight"] for r in train_sgd(df, 2_000_000_001, eta=0.5, shards=1).collect()}
+    assert w[2_000_000_000] == pytest.approx(0.25) and w[5] == pytest.approx(-0.25)
+
+
+def test_null_labels_are_left_out_everywhere(spark):
+    df = spark.createDataFrame([(1, 1.0, [(0, 1.0)]), (2, None, [(0, 1.0)]), (3, 0.0, [(1, 0.5)])],
+                               "sample_id long, y double, x array<struct<i:int,v:double>>")
+    known = df.where("y is not null")
+    for train in (lambda d: train_gd(d, 2, eta=0.3), lambda d: train_sgd(d, 2, eta=0.3, shards=1)):
+        assert rows(train(df)) == rows(train(known))
+    scored = score(df, train_gd(df, 1, eta=0.3))
+    assert scored.count() == 3
+    a, c = auc(scored).first(), confusion_counts(scored).first()
+    assert (a["n_pos"], a["n_neg"]) == (1, 1) and c["tp"] + c["fp"] + c["tn"] + c["fn"] == 2
+
+
+def test_two_lines_of_one_patient_are_two_samples(spark):
+    lines = spark.createDataFrame([(4, "1 0:0.5"), (4, "1 0:0.5"), (5, "0 1:1.0")], ["patientid", "save_feature"])
+    samples = parse_svmlight(with_sample_id(lines), "save_feature")
+    weights = spark.createDataFrame([(0, 1.0)], "feature_index int, weight double")
+    assert sorted(r["margin"] for r in score(samples, weights).collect()) == [0.0, 0.5, 0.5]
+
+
+@pytest.mark.parametrize("line,y,x", [
+    ("\t1 0:0.5", 1.0, [(0, 0.5)]), ("1 0:0.5\t", 1.0, [(0, 0.5)]), ("1\t0:0.5", 1.0, [(0, 0.5)]),
+    ("1 0:0.5 junk", 1.0, [(0, 0.5), (None, None)]), ("x 0:0.5", None, [(0, 0.5)]), ("", None, []), ("  ", None, [])])
+def test_odd_lines(spark, line, y, x):
+    r = _lines_df(spark, [line]).first()
+    assert r["y"] == y and [(e["i"], e["v"]) for e in r["x"]] == x
 
 
 def test_train_sgd_rejects_out_of_range_index(spark):
@@ -238,29 +277,18 @@ def test_read_svmlight_skips_blank_lines(spark, tmp_path):
 def test_score_without_broadcast_check(spark):
     df = _lines_df(spark, ["1 0:2.0", "0 1:1.0"])
     w = spark.createDataFrame([(0, 1.0), (1, -1.0)], "feature_index int, weight double")
-    a = {r["sid"]: r["margin"] for r in score(df, w, id_col="sid", broadcast_rows=None).collect()}
+    a = {r["sid"]: r["margin"] for r in score(df, w, id_col="sid", broadcast_bytes=None).collect()}
     assert a == {0: 2.0, 1: -1.0}
 
 
-def test_train_sgd_one_shard_per_task(spark):
-    ys, xs = _toy(400)
-    df = _samples_df(spark, ys, xs)
-    shards = 4
-    placed = (df.repartition(shards, "patientid")
-              .select(F.spark_partition_id().alias("p"),
-                      F.pmod(F.hash("patientid"), F.lit(shards)).alias("s"))
-              .distinct().collect())
-    assert all(r["p"] == r["s"] for r in placed)
-
-
 def test_malformed_pair_is_null_not_error(spark):
     df = _lines_df(spark, ["1 0:0.5 x:y 2:1.0"])
     x = df.first()["x"]
     assert [(e["i"], e["v"]) for e in x] == [(0, 0.5), (None, None), (2, 1.0)]
-    w = train_gd(df.select(F.col("sid").alias("patientid"), "y", "x"), 1, eta=1.0)
+    w = train_gd(df.select(F.col("sid").alias("sample_id"), "y", "x"), 1, eta=1.0)
     assert sorted(r["feature_index"] for r in w.collect()) == [0, 2]
 
 
-def test_sgd_skips_malformed_pairs():
-    xs = [[{"i": 0, "v": 1.0}, {"i": None, "v": None}]]
-    assert sgd_sequential([0.0], xs, 1, eta=0.5, mu=0.1).tolist() == pytest.approx([-0.225])
+def test_sgd_skips_malformed_pairs(spark):
+    df = _samples_df(spark, [0.0], [[{"i": 0, "v": 1.0}, {"i": None, "v": None}]])
+    assert rows(train_sgd(df, 1, eta=0.5, mu=0.1, shards=1)) == [(0, pytest.approx(-0.225))]

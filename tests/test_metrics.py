@@ -1,5 +1,4 @@
-"""Cohort split, metrics and top codes. The per-patient figures are rebuilt
-from the original golden values (two alive, three dead patients)."""
+"""Cohort split, metrics and top codes."""
 
 import datetime as dt
 
@@ -25,9 +24,9 @@ from cohortlens.operators.metrics import (
 )
 from conftest import rows
 
-# (patientid, n_events, n_encounters, record_days)
-ALIVE = [(20459, 299, 7, 6), (5206, 554, 31, 2116)]
-DEAD = [(13905, 543, 11, 10), (18676, 555, 11, 21), (20301, 812, 23, 46)]
+# (patientid, n_events, n_encounters, record_days), own figures
+ALIVE = [(11, 40, 5, 9), (12, 90, 20, 300)]
+DEAD = [(21, 30, 4, 6), (22, 60, 10, 50), (23, 99, 30, 61)]
 
 
 def _patient_events(pid, n_events, n_enc, days):
@@ -52,27 +51,23 @@ def cohort(spark):
     return split_alive_dead(events, mortality)
 
 
-def test_event_count_golden(cohort):
+def test_event_counts(cohort):
     alive, dead = event_count_metrics(*cohort)
-    a, d = alive.first(), dead.first()
     assert alive.columns == ["avg", "min", "max"]
-    assert a["avg"] == pytest.approx(426.5) and (a["min"], a["max"]) == (299, 554)
-    assert d["avg"] == pytest.approx(636.6666667) and (d["min"], d["max"]) == (543, 812)
+    assert tuple(alive.first()) == (65.0, 40, 90) and tuple(dead.first()) == (63.0, 30, 99)
 
 
-def test_encounter_golden(cohort):
+def test_encounters(cohort):
     alive, dead = encounter_count_metrics(*cohort)
-    a, d = alive.first(), dead.first()
     assert alive.columns == ["avg", "median", "min", "max"]
-    assert (a["avg"], a["median"], a["min"], a["max"]) == (19.0, 7, 7, 31)   # lower median
-    assert (d["avg"], d["median"], d["min"], d["max"]) == (15.0, 11, 11, 23)
+    assert tuple(alive.first()) == (12.5, 5, 5, 20)            # lower median of two
+    a = dead.first()
+    assert a["avg"] == pytest.approx(44 / 3) and (a["median"], a["min"], a["max"]) == (10, 4, 30)
 
 
-def test_record_length_golden(cohort):
+def test_record_lengths(cohort):
     alive, dead = record_length_metrics(*cohort)
-    a, d = alive.first(), dead.first()
-    assert (a["avg"], a["median"], a["min"], a["max"]) == (1061.0, 6, 6, 2116)
-    assert d["avg"] == pytest.approx(25.6666667) and (d["median"], d["min"], d["max"]) == (21, 10, 46)
+    assert tuple(alive.first()) == (154.5, 9, 9, 300) and tuple(dead.first()) == (39.0, 50, 6, 61)
 
 
 def test_cohort_semantics(spark):
@@ -134,15 +129,15 @@ def test_validate_unique(spark):
 def test_csv_reader_roundtrip(spark, tmp_path):
     from cohortlens.sources import read_events, read_mortality
     ev = tmp_path / "events.csv"
-    ev.write_text("20459,DIAG42872402,desc,1994-12-04,1.0\nbad,DIAG1,d,x,oops\n")
+    ev.write_text("501,DIAG77,desc,1996-05-06,1.0\nbad,DIAG1,d,x,oops\n")
     mo = tmp_path / "mortality.csv"
-    mo.write_text("13905,2000-01-30,1\n")
+    mo.write_text("502,1999-07-08,1\n")
     e = read_events(spark, str(ev))
     assert e.columns == ["patientid", "eventid", "etimestamp", "value"]
     got = rows(e)
-    assert (20459, "DIAG42872402", dt.date(1994, 12, 4), 1.0) in got
+    assert (501, "DIAG77", dt.date(1996, 5, 6), 1.0) in got
     assert (None, "DIAG1", None, None) in got
-    assert rows(read_mortality(spark, str(mo))) == [(13905, dt.date(2000, 1, 30), 1)]
+    assert rows(read_mortality(spark, str(mo))) == [(502, dt.date(1999, 7, 8), 1)]
     assert e.where(F.col("patientid").isNull()).count() == 1
 
 
@@ -172,6 +167,6 @@ def test_explicit_broadcast_check_same_result(spark):
     events, mortality = _fanout_inputs(spark)
     per_patient = events.groupBy("patientid").agg(F.count(F.lit(1)).alias("n"))
     base = rows(with_cohorts(per_patient, mortality))
-    assert rows(with_cohorts(per_patient, mortality, broadcast_rows=100)) == base   # broadcast
-    assert rows(with_cohorts(per_patient, mortality, broadcast_rows=2)) == base     # shuffle join
-    assert rows(tag_cohort(events, mortality, broadcast_rows=100)) == rows(tag_cohort(events, mortality))
+    assert rows(with_cohorts(per_patient, mortality, broadcast_bytes=100_000)) == base   # broadcast
+    assert rows(with_cohorts(per_patient, mortality, broadcast_bytes=2)) == base     # shuffle join
+    assert rows(tag_cohort(events, mortality, broadcast_bytes=100_000)) == rows(tag_cohort(events, mortality))

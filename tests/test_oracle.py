@@ -2,6 +2,7 @@
 (row count, column names, multiset of rows; doubles at 6 places)."""
 
 import os
+import re
 import sys
 
 import duckdb
@@ -25,7 +26,7 @@ def con():
 
 
 @pytest.mark.skipif(not os.path.isdir(SF), reason="driver tables not present")
-@pytest.mark.parametrize("name", sorted(E.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(n for n in E.oracle_sql() if n != "pipeline" and not re.match(r"op\d+_", n)))
 def test_query_matches_oracle(spark, con, name):
     df = E.queries()[name](spark, SF)
     rows = [tuple(r) for r in df.collect()]

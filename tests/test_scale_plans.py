@@ -53,19 +53,66 @@ def test_hot_patient_metrics_equal_event_level(spark):
     assert m["dead"]["events_max"] == 3000        # the hot patient (id 0) is dead
 
 
-def test_profile_plan_from_daily_counts_equals_direct(spark):
+def test_profile_keeps_no_copy_of_the_events(spark):
     from cohortlens.plans import cohort_profile
-    for ev, mo in (_skewed(spark), _fanout(spark)):
-        res = cohort_profile(ev, mo, 5)
-        assert rows(res["patients"]) == rows(patient_profile(ev, mo))
-        assert rows(res["common_codes"]) == rows(common_codes(ev, mo, 5))
-        assert rows(res["metrics"]) == rows(cohort_metrics(patient_profile(ev, mo)))
-        res["daily"].unpersist()
+    ev, mo = _skewed(spark)
+    res = cohort_profile(ev, mo, 5)
+    for df in res.values():
+        assert "InMemoryTableScan" not in _plan(df)
+    assert _plan(res["patients"]).count("Exchange") <= 4
+
 
+def test_hot_patient_is_split_by_construction(spark):
+    """Default settings: the hot patient's rows carry several part numbers on
+    both sides of the window join, the others one."""
+    from cohortlens.operators.joins import hot_keys, salted_join
+    ev, mo = _skewed(spark)
+    idx = calculate_index_dates(ev, mo)
+    assert [tuple(r) for r in hot_keys(ev, "patientid", 500).collect()] == [(0, 6)]
+    plan = _plan(salted_join(ev, idx, "patientid", 500))
+    assert "hashpartitioning(patientid" in plan and "_part" in plan
+    assert rows(filter_events(ev, idx, hot_rows=500)) == rows(filter_events(ev, idx)) == rows(filter_events(ev, idx, hot_rows=1))
+    out = build_samples(ev, mo, hot_rows=100)
+    assert rows(out["agg_events"]) == rows(aggregate_events(filter_events(ev, idx)))
+    release(out)
 
-def _fanout(spark):
-    from test_metrics import _fanout_inputs
-    return _fanout_inputs(spark)
+
+def test_null_patients_do_not_reach_the_join(spark):
+    ev, mo = _skewed(spark, 900)
+    lost = ev.limit(5).withColumn("patientid", F.lit(None).cast("bigint"))
+    tagged = tag_cohort(ev.unionByName(lost), mo)
+    assert tagged.where("patientid is null and cohort = 'alive'").count() == 5
+    assert tagged.count() == 905
+
+
+def test_counts_are_not_shuffled_by_code(spark):
+    ev, mo = _skewed(spark)
+    agg = aggregate_events(filter_events(ev, calculate_index_dates(ev, mo)))
+    for df in (normalization(agg), svmlight_convert(normalization(agg), generate_feature_mapping(agg))):
+        assert "hashpartitioning(eventid" not in _plan(df)
+
+
+def test_broadcast_is_bound_by_bytes(spark):
+    from cohortlens.operators.joins import broadcast_if_small, size_in_bytes
+    wide = spark.range(100).select("id", F.repeat(F.lit("x"), 1000).alias("t"))
+    assert size_in_bytes(wide) == 100 * (2 * 16 + 1000)
+    assert "ResolvedHint" not in wide._jdf.queryExecution().analyzed().toString()
+    assert "broadcast" in broadcast_if_small(wide)._jdf.queryExecution().analyzed().toString()
+    assert "broadcast" not in broadcast_if_small(wide, 1000)._jdf.queryExecution().analyzed().toString()
+
+
+def test_exact_median_of_large_cohorts(spark):
+    from cohortlens.operators.metrics import medians
+    n = 2_000_000
+    values = spark.range(0, 2 * n, 1, 16).select(
+        F.when(F.col("id") % 2 == 0, F.lit("alive")).otherwise(F.lit("dead")).alias("cohort"),
+        (F.col("id") * 7919 % (2 * n)).alias("days"))
+    got = {r["cohort"]: r["days_median"] for r in medians(values, ("days",)).collect()}
+    exact = {r["cohort"]: r["m"] for r in values.groupBy("cohort").agg(
+        F.expr("percentile_disc(0.5) within group (order by days)").alias("m")).collect()}
+    assert got == {k: int(v) for k, v in exact.items()} == {"alive": n - 2, "dead": n - 1}
+    plan = _plan(medians(values, ("days",)))
+    assert "percentile" not in plan and "partial_sum" not in plan and "partial_count" in plan
 
 
 def test_hot_patient_samples_equal_operator_chain(spark):
@@ -108,5 +155,6 @@ def test_gd_step_on_colocated_samples_has_no_per_step_shuffle(spark):
     plan = _plan(gd_step(data, zero_weights(spark), 0.1, 0.0, 500, id_col="sid"))
     per_step = [ln for ln in plan.splitlines()
                 if "hashpartitioning(sid" in ln and "ENSURE_REQUIREMENTS" in ln]
-    assert per_step == []
+    assert per_step == [] and "Window" not in plan
+    assert not [ln for ln in plan.splitlines() if " Sort [sid" in ln]
     data.unpersist()

@@ -20,7 +20,7 @@ def test_train_sgd_from_another_working_directory(tmp_path):
         from cohortlens.operators import train_sgd
         df = spark.createDataFrame(
             [(i, float(i % 2), [(i % 3, 1.0)]) for i in range(20)],
-            "patientid long, y double, x array<struct<i:int,v:double>>")
+            "sample_id long, y double, x array<struct<i:int,v:double>>")
         print("ROWS", train_sgd(df, 3, shards=2).count())
         spark.stop()
     """)
