@@ -7,6 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from cohortlens.llm import oracles
 from cohortlens.llm.embedding_dedup import op5_embedding_near_dedup
 from cohortlens.llm.html_extract import op2_html_extraction
 from cohortlens.llm.ngram_join import op9_ngram_jaccard_join
@@ -26,4 +27,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    """The others are tested against brute force: a learned ranking, a
+    tokenizer, a tree parser, hashed draws and an approximate search."""
+    return {"op1_substring_dedup": oracles.OP1, "op3_suffix_array_dedup": oracles.OP3,
+            "op5_embedding_near_dedup": oracles.OP5, "op9_ngram_jaccard_join": oracles.OP9,
+            "op10_secret_scans": oracles.OP10}
