@@ -45,6 +45,16 @@ def persist(df: DataFrame) -> DataFrame:
     return df.persist(StorageLevel.MEMORY_AND_DISK)
 
 
+def text_copies(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """For rows (doc_id, mark, text): (doc_id, mark) of the smallest document
+    of every text, and (doc_id, mark, copy = true) of the others that have it."""
+    ids = write_shared(docs.select("doc_id", "mark", F.sha2("text", 256).alias("sha")), "texts")
+    heads = ids.groupBy("sha").agg(F.min("doc_id").alias("head"))
+    named = persist(ids.join(heads, "sha").select("doc_id", "mark", "head").distinct())
+    return (named.where("doc_id = head").select("doc_id", "mark"),
+            named.where("doc_id > head").select("doc_id", "mark", F.lit(True).alias("copy")))
+
+
 def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     """(node, component) of an undirected graph given as (a, b) long edges;
     component is the smallest node reachable. Nodes without edges are not

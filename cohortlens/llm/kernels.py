@@ -220,11 +220,3 @@ def runs(mask: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Starts and ends of the runs of True."""
     edge = np.diff(np.concatenate([[0], mask.astype(np.int8), [0]]))
     return np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
-
-
-def covered(starts: np.ndarray, length: int, total: int) -> np.ndarray:
-    """Mask of the positions covered by windows of ``length`` from ``starts``."""
-    edge = np.zeros(total + 1, np.int64)
-    np.add.at(edge, starts, 1)
-    np.add.at(edge, np.minimum(starts + length, total), -1)
-    return np.cumsum(edge)[:total] > 0

@@ -8,11 +8,11 @@ length alone are extended to twice that length, until no candidates survive
   anchor, the smallest seed hash of its seeds. Only anchors are compared
   (about a quarter of all positions); equal windows have equal anchors, so no
   repeated window is missed.
-* Window level: windows over an anchor that another document holds too are
-  compared by 128 bits. A block of documents settles its own repeats and asks
+* Copies of a whole text collapse first. Window level: windows over an anchor
+  that another text holds too are compared by 96 bits. A block of documents settles its own repeats and asks
   only whether a smaller document elsewhere has the window of its smallest
   document; so a passage in a third of all documents costs one entry a block.
-* ``repeat_levels`` goes on from there (26, 52, ... words) until no window
+* ``repeat_lengths`` goes on from there (26, 52, ... words) until no window
   survives, for the lengths of repeated passages.
 
 Removal: a word covered by a window whose words also start in a document
@@ -22,21 +22,23 @@ with a smaller doc_id; windows are judged on the input.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortlens.llm.common import prepare, table
-from cohortlens.llm.exchange import blob, buckets_of, by_document, fold, open_blob, shared_keys
-from cohortlens.llm.kernels import (PACKED, anchors, column, covered, pack_texts, packed_blocks, valid_starts,
+from cohortlens.llm.common import prepare, table, text_copies, write_shared
+from cohortlens.llm.exchange import (PACKET, buckets_of, fold, gathered, named, packed_rows, packed_schema, packets,
+                                     ranges_of, refs, shared_keys)
+from cohortlens.llm.kernels import (PACKED, anchors, column, mix, pack_texts, packed_blocks, valid_starts,
                                     window_hashes, word_hashes, word_spans)
 
 WINDOW = 13
 _ASK_DDL = "bucket int, kind int, docs binary, marks binary, idx binary, at binary, a binary, b binary"
-_ASK = pa.schema([(x.split()[0], pa.int32() if x.endswith("int") else pa.binary()) for x in _ASK_DDL.split(", ")])
+_ASK = packed_schema(_ASK_DDL)
+_OPEN, _SETTLED = 0, 1
 
 
 def _seeds(buf: np.ndarray, offs: np.ndarray, window: int):
@@ -72,9 +74,9 @@ def _least(d: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return out
 
 
-def owned(frame: DataFrame, windows_of, buckets: int) -> DataFrame:
-    """(doc_id, mark, at): starts of the windows that also start in a document
-    with a smaller doc_id.
+def owned(frame: DataFrame, windows_of, length: int, buckets: int) -> DataFrame:
+    """(doc_id, mark, ranges binary): what the windows of ``length`` cover that
+    also start in a document with a smaller doc_id.
 
     ``windows_of(rows, bytes, offsets)`` gives (row, hash a, hash b, start)
     for a block of ``frame`` (doc_id, mark, size, packed, ...).
@@ -87,104 +89,138 @@ def owned(frame: DataFrame, windows_of, buckets: int) -> DataFrame:
                 continue
             docs, marks = column(rows, "doc_id"), column(rows, "mark")
             ask = _least(docs[row], a, b) == docs[row]
+            out = []
+
+            def put(bucket: int, kind: int, part: np.ndarray) -> None:
+                used, idx = refs(row[part])
+                hashes = (a[part].tobytes(), b[part].tobytes()) if kind == _OPEN else (b"", b"")
+                out.append((bucket, kind, docs[used].tobytes(), marks[used].tobytes(), idx,
+                            at[part].astype(np.int32).tobytes(), *hashes))
+
             own = np.flatnonzero(~ask)  # a smaller document of the block has the window
-            parts = [blob((int(docs[0]) * 31 + block) % buckets, 1, docs, marks, row[own],
-                          at[own].astype(np.int32).tobytes(), b"", b"")] if len(own) else []
+            if len(own):
+                put((int(docs[0]) * 31 + block) % buckets, _SETTLED, own)
             sent = np.flatnonzero(ask)
             bucket = (a[sent] % np.uint64(buckets)).astype(np.int64)
             order = np.argsort(bucket, kind="stable")
             sent, bucket = sent[order], bucket[order]
             cut = np.flatnonzero(np.diff(bucket)) + 1
             for lo, hi in zip(np.append(0, cut), np.append(cut, len(sent))):
-                part = sent[lo:hi]
-                parts.append(blob(int(bucket[lo]), 0, docs, marks, row[part], at[part].astype(np.int32).tobytes(),
-                                  a[part].tobytes(), b[part].tobytes()))
-            yield pa.RecordBatch.from_arrays([pa.array(list(c), type=f.type) for c, f in zip(zip(*parts), _ASK)],
-                                             schema=_ASK)
+                put(int(bucket[lo]), _OPEN, sent[lo:hi])
+            yield from packed_rows(out, _ASK)
 
     def settle(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         d, m, at, a, b = ([] for _ in range(5))
         for batch in batches:
             for _, kind, docs, marks, idx, places, x, y in zip(*(c.to_pylist() for c in batch.columns)):
-                docs, marks = open_blob(kind, docs, marks, idx)
-                if kind & 1:
-                    yield from by_document(docs, marks, np.frombuffer(places, np.int32))
+                docs, marks = named(idx, docs, marks)
+                if kind == _SETTLED:
+                    yield from packets(docs, marks, np.frombuffer(places, np.int32), length, buckets)
                     continue
                 for to, value in ((d, docs), (m, marks), (at, np.frombuffer(places, np.int32)),
-                                  (a, np.frombuffer(x, np.uint64)), (b, np.frombuffer(y, np.uint64))):
+                                  (a, np.frombuffer(x, np.uint64)), (b, np.frombuffer(y, np.uint32))):
                     to.append(value)
         if d:
             d, m, at, a, b = (np.concatenate(x) for x in (d, m, at, a, b))
             gone = d > _least(d, a, b)
-            yield from by_document(d[gone], m[gone], at[gone])
-
-    return (frame.mapInArrow(send, _ASK_DDL).repartitionById(buckets, "bucket")
-            .mapInArrow(settle, "doc_id long, mark long, at binary"))
-
-
-def _answers(batch: pa.RecordBatch, name: str, kind) -> tuple[np.ndarray, np.ndarray]:
-    """(row, value) of a list-of-binary or list-of-long column; null: none."""
-    col = batch.column(batch.schema.get_field_index(name))
-    col = col.fill_null(pa.scalar([], type=col.type)) if col.null_count else col
-    offs = np.asarray(col.offsets)
-    offs = offs - offs[0] if len(offs) else offs
-    flat = col.flatten()
-    row = np.repeat(np.arange(len(col)), np.diff(offs))
-    if pa.types.is_binary(flat.type):
-        parts = flat.to_pylist()
-        size = np.array([len(x) // np.dtype(kind).itemsize for x in parts], np.int64)
-        return np.repeat(row, size), np.frombuffer(b"".join(parts), kind)
-    return row, flat.to_numpy(zero_copy_only=False).astype(kind)
-
-
-def repeated_windows(docs: DataFrame, window: int = WINDOW) -> DataFrame:
-    """(doc_id, mark, starts): per document of ``docs`` (doc_id, mark, text)
-    the windows that also start in a document with a smaller doc_id, as a list
-    of packed int32 word positions. Documents without any are left out."""
+            yield from packets(d[gone], m[gone], at[gone], length, buckets)
+
+    settled = frame.mapInArrow(send, _ASK_DDL).repartitionById(buckets, "bucket").mapInArrow(settle, PACKET)
+    return gathered(settled, buckets)
+
+
+def _candidate_windows(docs: DataFrame, window: int) -> tuple[DataFrame, Callable]:
+    """(mark, keys) of the texts of ``docs`` (doc_id, mark, text) with anchors
+    that another text has too, and the function that gives the windows over
+    them, as (row, hash a, hash b, start), for a block of packed rows with
+    ``keys``."""
     buckets = buckets_of(docs)
 
     def seeds(buf: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         *_, wo, _, spots, keys = _seeds(buf, offs, window)
         return np.searchsorted(wo, spots, side="right") - 1, keys
 
-    found = shared_keys(docs, seeds).groupBy("doc_id", "mark").agg(F.collect_list("key").alias("keys"))
-
     def windows_of(rows: pa.RecordBatch, buf: np.ndarray, offs: np.ndarray):
-        _, _, wo, words, spots, keys = _seeds(buf, offs, window)
+        starts, ends, wo, words, spots, keys = _seeds(buf, offs, window)
         row = np.searchsorted(wo, spots, side="right") - 1
-        asked, wanted = _answers(rows, "keys", np.uint64)
-        keys = fold(keys, buckets)
-        order = np.lexsort((wanted, asked))
-        asked, wanted = asked[order], wanted[order]
-        mine = np.rec.fromarrays([row, keys], names="r,k")
-        theirs = np.rec.fromarrays([asked, wanted], names="r,k")
-        keep = _member(mine, theirs)
+        lists = rows.column(rows.schema.get_field_index("keys"))
+        asked = np.repeat(np.arange(len(lists)), np.diff(np.asarray(lists.offsets)))
+        wanted = lists.flatten().to_numpy(zero_copy_only=False).view(np.uint64)
+        keep = _member(row, fold(keys, buckets), asked, wanted)
         at = _candidates(wo, spots[keep], window)
         doc = np.searchsorted(wo, at, side="right") - 1
-        other = word_hashes(buf, *word_spans(buf, offs)[:2], seed=2)
+        other = word_hashes(buf, starts, ends, seed=2)
         a = window_hashes(words, window)[at] if len(at) else np.zeros(0, np.uint64)
         b = window_hashes(other, window, seed=2)[at] if len(at) else a
-        return doc, a, b, at - wo[doc]
+        return doc, a, (b >> np.uint64(32)).astype(np.uint32), at - wo[doc]
+
+    return shared_keys(docs, seeds).groupBy("mark").agg(F.collect_set("key").alias("keys")), windows_of
+
 
-    joined = docs.mapInArrow(pack_texts, PACKED).join(found, ["doc_id", "mark"])
-    return owned(joined, windows_of, buckets).groupBy("doc_id", "mark").agg(F.collect_list("at").alias("starts"))
+def repeated_windows(docs: DataFrame, firsts: DataFrame, window: int = WINDOW) -> DataFrame:
+    """(doc_id, mark, ranges): per document of ``docs`` (doc_id, mark, text)
+    that ``firsts`` (doc_id, mark) names, one for each different text, the words
+    covered by windows that also start in a document with a smaller doc_id.
+    Documents without any are left out."""
+    found, windows_of = _candidate_windows(docs, window)
+    joined = docs.mapInArrow(pack_texts, PACKED).join(firsts.join(found, "mark"), ["doc_id", "mark"])
+    return owned(joined, windows_of, window, buckets_of(docs))
 
 
-def _member(mine, theirs) -> np.ndarray:
-    """Which (row, key) pairs of ``mine`` are in ``theirs``."""
-    if not len(theirs) or not len(mine):
-        return np.zeros(len(mine), bool)
-    r = np.concatenate([theirs.r, mine.r])
-    k = np.concatenate([theirs.k, mine.k])
-    own = np.concatenate([np.zeros(len(theirs), np.int8), np.ones(len(mine), np.int8)])
+def repeat_lengths(docs: DataFrame, window: int = WINDOW) -> DataFrame:
+    """(doc_id, mark, words): the largest of ``window``, 2 * window, 4 * window,
+    ... such that a window of so many words also occurs in a different text of
+    a document with another doc_id. Documents whose windows occur nowhere else
+    are left out.
+
+    The levels after ``window``: windows that repeat at one length and go on
+    into one that repeats too are extended to twice the length and compared
+    again, until no candidate survives. Each level is one self-join by document
+    and one aggregation by window with map-side partial sums. Windows are
+    compared by 64 bits here.
+    """
+    prepare(docs.sparkSession)
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("mark"), "text")
+    docs = docs.where("doc_id is not null")
+    found, windows_of = _candidate_windows(docs, window)
+
+    def flat(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows, buf, offs in packed_blocks(batches):
+            row, a, b, at = windows_of(rows, buf, offs)
+            h = mix(a ^ (b.astype(np.uint64) << np.uint64(17)))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(column(rows, "doc_id")[row]), pa.array(column(rows, "mark")[row]), pa.array(at.astype(np.int32)),
+                 pa.array(h.view(np.int64))], names=["doc_id", "mark", "at", "h"])
+
+    level = docs.mapInArrow(pack_texts, PACKED).join(found, "mark").mapInArrow(flat, "doc_id long, mark long, at int, h long").distinct()
+    length, tops = window, None
+    while True:
+        shared = level.groupBy("h").agg(F.min("doc_id").alias("x"), F.max("doc_id").alias("y"), F.min("mark").alias("p"),
+                                        F.max("mark").alias("q")).where("x < y and p <> q").select("h")
+        level = write_shared(level.join(shared, "h", "left_semi"), "level")
+        if not level.take(1):
+            break
+        top = level.select("doc_id", "mark").distinct().withColumn("words", F.lit(length))
+        tops = top if tops is None else tops.unionByName(top)
+        ahead = level.select("doc_id", "mark", (F.col("at") - length).alias("at"), F.col("h").alias("g"))
+        level = level.join(ahead, ["doc_id", "mark", "at"]).select("doc_id", "mark", "at", F.xxhash64("h", "g").alias("h"))
+        length *= 2
+    if tops is None:
+        return level.select("doc_id", "mark", F.lit(window).alias("words")).limit(0)
+    return tops.groupBy("doc_id", "mark").agg(F.max("words").alias("words"))
+
+
+def _member(row: np.ndarray, key: np.ndarray, rows: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    """Which (row, key) pairs are among (rows, keys)."""
+    r, k = np.concatenate([rows, row]), np.concatenate([keys, key])
+    own = np.repeat([0, 1], [len(rows), len(row)])
     order = np.lexsort((own, k, r))
     r, k, own = r[order], k[order], own[order]
     head = np.ones(len(r), bool)
     head[1:] = (r[1:] != r[:-1]) | (k[1:] != k[:-1])
     has = np.repeat(own[head] == 0, np.diff(np.append(np.flatnonzero(head), len(r))))
-    out = np.zeros(len(mine), bool)
-    at = order[own == 1] - len(theirs)
-    out[at] = has[own == 1]
+    out = np.zeros(len(row), bool)
+    out[order[own == 1] - len(rows)] = has[own == 1]
     return out
 
 
@@ -200,13 +236,20 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     """
     prepare(docs.sparkSession)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("mark"), "text")
-    hits = repeated_windows(docs.where("doc_id is not null"), window)
+    known = docs.where("doc_id is not null")
+    firsts, copies = text_copies(known)
+    hits = repeated_windows(known, firsts, window)
 
     def cut(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows, buf, offs in packed_blocks(batches):
             starts, ends, wo = word_spans(buf, offs)
-            row, at = _answers(rows, "starts", np.int32)
-            gone = covered(at + wo[row], window, len(starts))
+            row, first, size = ranges_of(rows)
+            edge = np.zeros(len(starts) + 1, np.int64)
+            np.add.at(edge, wo[row] + first, 1)
+            np.add.at(edge, wo[row] + first + size, -1)
+            gone = np.cumsum(edge)[:-1] > 0
+            copy = np.array([bool(x) for x in rows.column(rows.schema.get_field_index("copy")).to_pylist()], bool)
+            gone |= np.repeat(copy & (np.diff(wo) >= window), np.diff(wo))
             texts, digests, spans = [], [], []
             flat = buf.copy()
             keep = ~gone
@@ -240,7 +283,7 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
                  pa.array(spans, type=pa.string())],
                 names=["doc_id", "n_words", "n_removed", "kept_text", "kept_sha256", "spans"])
 
-    return docs.mapInArrow(pack_texts, PACKED).join(hits, ["doc_id", "mark"], "left").mapInArrow(
+    return docs.mapInArrow(pack_texts, PACKED).join(hits, ["doc_id", "mark"], "left").join(copies, ["doc_id", "mark"], "left").mapInArrow(
         cut, "doc_id long, n_words long, n_removed long, kept_text string, kept_sha256 string, spans string")
 
 

@@ -24,17 +24,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cohortlens.llm.bwt import least_holders
-from cohortlens.llm.common import persist, prepare, table, write_shared
-from cohortlens.llm.exchange import blob, buckets_of, fold, open_blob, pack5, shared_keys, unpack5
+from cohortlens.llm.common import prepare, table, text_copies
+from cohortlens.llm.exchange import (PACKET, buckets_of, fold, gathered, named, pack5, packed_rows, packed_schema,
+                                     packets, ranges_of, refs, shared_keys, unpack5)
 from cohortlens.llm.kernels import (PACKED, _sliding, byte_hashes, column, mix, pack_texts, packed_blocks, runs,
                                     valid_starts)
 
 LENGTH = 50
 _SLICE = 1 << 18  # bytes hashed at a time, so that the arrays stay in the cache
-_MERGE = 1 << 20  # bytes of fragments merged at a time
-_ASK_DDL = ("bucket int, kind int, docs binary, marks binary, idx binary, at binary, which binary, keys binary, "
-            "sums binary, sizes binary, body binary")
-_ASK = pa.schema([(x.split()[0], pa.int32() if x.endswith("int") else pa.binary()) for x in _ASK_DDL.split(", ")])
+_MERGE = 1 << 18  # bytes of fragments looked at together, which the merge keeps in the cache
+_ASK_DDL = "bucket int, kind int, docs binary, marks binary, idx binary, places binary, keys binary, sums binary, body binary"
+_ASK = packed_schema(_ASK_DDL)
+_OPEN, _SETTLED = 0, 1
 _PRIME = 0x9E3779B97F4A7C15 | 1
 _POWERS: list[np.ndarray] = []
 
@@ -80,23 +81,6 @@ def _span_hashes(buf: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
     return mix((total[hi] - total[lo]) * _POWERS[1][lo] + (hi - lo).astype(np.uint64))
 
 
-def _ranges(d: np.ndarray, m: np.ndarray, lo: np.ndarray, size: np.ndarray) -> Iterator[pa.RecordBatch]:
-    """(doc_id, mark, ranges): byte ranges, two int32 each, packed to one row a document."""
-    if not len(d):
-        return
-    order = np.lexsort((lo, m, d))
-    d, m = d[order], m[order]
-    both = np.column_stack([lo[order], size[order]]).astype(np.int32)
-    cut = np.flatnonzero((np.diff(d) != 0) | (np.diff(m) != 0)) + 1
-    lows, highs = np.append(0, cut), np.append(cut, len(d))
-    for k in range(0, len(lows), 10_000):
-        part = slice(k, k + 10_000)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(d[lows[part]]), pa.array(m[lows[part]]),
-             pa.array([both[x:y].tobytes() for x, y in zip(lows[part], highs[part])], type=pa.binary())],
-            names=["doc_id", "mark", "ranges"])
-
-
 def _fragments(buf: np.ndarray, offs: np.ndarray, asked: np.ndarray, length: int, buckets: int):
     """(row, start, size, folded key) of the fragments around the anchors of a
     slice whose (row, key), packed in ``asked``, repeats elsewhere. A fragment
@@ -156,44 +140,54 @@ def repeated_ranges(packed: DataFrame, length: int, buckets: int) -> DataFrame:
             ask = docs[row] == _least(frag, docs[row], len(lead))[frag]
             local = start - offs[row]
             out = []
+
+            def put(bucket: int, kind: int, part: np.ndarray, *more: bytes) -> None:
+                used, idx = refs(row[part])
+                out.append((bucket, kind, docs[used].tobytes(), marks[used].tobytes(), idx, *more))
+
+            def ints(*arrays: np.ndarray) -> bytes:
+                flat = np.concatenate([np.array([len(x) for x in arrays]), *arrays]).astype(np.int32)
+                return len(flat).to_bytes(4, "little") + codec.compress(flat, asbytes=True)
+
             own = np.flatnonzero(~ask)  # a smaller document of the block has the whole fragment
             if len(own):
-                out.append(blob((int(docs[0]) * 31 + block) % buckets, 1, docs, marks, row[own],
-                                local[own].astype(np.int32).tobytes(), b"", b"", b"",
-                                size[own].astype(np.int32).tobytes(), b""))
+                put((int(docs[0]) * 31 + block) % buckets, _SETTLED, own, ints(local[own], size[own]), b"", b"", b"")
             sent = np.flatnonzero(ask)
             bucket = (keys[sent] >> np.uint64(40)).astype(np.int64)
-            by = np.lexsort((frag[sent], bucket))
+            by = np.argsort(bucket, kind="stable")
             sent, bucket = sent[by], bucket[by]
             cut = np.flatnonzero(np.diff(bucket)) + 1
             for lo, hi in zip(np.append(0, cut), np.append(cut, len(sent))):
                 part = sent[lo:hi]
-                used, which = np.unique(frag[part], return_inverse=True)
-                f = lead[used]
+                used, first, which = np.unique(frag[part], return_index=True, return_inverse=True)
+                turn = np.argsort(first)  # fragments in the order in which the entries name them
+                name = np.empty(len(used), np.int64)
+                name[turn] = np.arange(len(used))
+                f = lead[used[turn]]
                 reach = np.cumsum(size[f])
                 at = np.repeat(start[f] - (reach - size[f]), size[f]) + np.arange(int(reach[-1]))
-                out.append(blob(int(bucket[lo]), 0, docs, marks, row[part], local[part].astype(np.int32).tobytes(),
-                                which.astype(np.uint32).tobytes(), pack5(keys[f]), sums[f].tobytes(),
-                                size[f].astype(np.int32).tobytes(), codec.compress(buf[at], asbytes=True)))
-            yield pa.RecordBatch.from_arrays([pa.array(list(c), type=f.type) for c, f in zip(zip(*out), _ASK)],
-                                             schema=_ASK)
+                put(int(bucket[lo]), _OPEN, part, ints(local[part], np.diff(name[which], prepend=0), size[f]), pack5(keys[f]),
+                    sums[f].tobytes(), codec.compress(buf[at], asbytes=True))
+            yield from packed_rows(out, _ASK)
 
     def settle(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = pa.Codec("zstd")
         d, m, at, frag, keys, sums, sizes, bodies, n = [], [], [], [], [], [], [], [], 0
         for batch in batches:
-            for bucket, kind, docs, marks, idx, place, which, k, s, z, body in zip(*(c.to_pylist() for c in batch.columns)):
-                docs, marks = open_blob(kind, docs, marks, idx)
-                place, z = np.frombuffer(place, np.int32), np.frombuffer(z, np.int32)
-                if kind & 1:
-                    yield from _ranges(docs, marks, place, z)
+            for bucket, kind, docs, marks, idx, ints, k, s, text in zip(*(c.to_pylist() for c in batch.columns)):
+                docs, marks = named(idx, docs, marks)
+                flat = np.frombuffer(codec.decompress(ints[4:], 4 * int.from_bytes(ints[:4], "little"), asbytes=True), np.int32)
+                if kind == _SETTLED:
+                    place, z = np.split(flat[2:], [flat[0]])
+                    yield from packets(docs, marks, place, z, buckets)
                     continue
+                place, which, z = np.split(flat[3:], np.cumsum(flat[:2]))
                 d.append(docs), m.append(marks), at.append(place)
-                frag.append(np.frombuffer(which, np.uint32).astype(np.int64) + n)
+                frag.append(np.cumsum(which, dtype=np.int64) + n)
                 keys.append(unpack5(k) | np.uint64(bucket) << np.uint64(40))
                 sums.append(np.frombuffer(s, np.uint64))
                 sizes.append(z)
-                bodies.append(codec.decompress(body, int(z.sum()), asbytes=True))
+                bodies.append(codec.decompress(text, int(z.sum()), asbytes=True))
                 n += len(z)
         if not n:
             return
@@ -210,7 +204,7 @@ def repeated_ranges(packed: DataFrame, length: int, buckets: int) -> DataFrame:
         frag, keys, size, begin = same[frag], keys[lead], size[lead].astype(np.int64), begin[lead]
         holder = _least(frag, d, len(lead))
         gone = d > holder[frag]
-        yield from _ranges(d[gone], m[gone], at[gone], size[frag[gone]])
+        yield from packets(d[gone], m[gone], at[gone], size[frag[gone]], buckets)
         d, m, at, frag = d[~gone], m[~gone], at[~gone], frag[~gone]
         for pick in _batches(keys, size):
             reach = np.cumsum(size[pick])
@@ -235,14 +229,14 @@ def repeated_ranges(packed: DataFrame, length: int, buckets: int) -> DataFrame:
             inside = mask[change]
             lo, hi = change[inside], stop[inside]
             f = np.searchsorted(offs, lo, side="right") - 1
-            yield from _spread(pick[f], lo - offs[f], hi - lo, d, m, at, frag)
+            yield from _spread(pick[f], lo - offs[f], hi - lo, d, m, at, frag, buckets)
 
-    return (packed.mapInArrow(send, _ASK_DDL).repartitionById(buckets, "bucket")
-            .mapInArrow(settle, "doc_id long, mark long, ranges binary"))
+    settled = packed.mapInArrow(send, _ASK_DDL).repartitionById(buckets, "bucket").mapInArrow(settle, PACKET)
+    return gathered(settled, buckets)
 
 
 def _batches(keys: np.ndarray, size: np.ndarray) -> Iterator[np.ndarray]:
-    """Different fragments of keys that have several, some MB at a time; a
+    """Different fragments of keys that have several, some 100 KB at a time; a
     key's fragments (in order already) stay together."""
     first = np.flatnonzero(np.append(True, keys[1:] != keys[:-1]))
     many = np.repeat(np.diff(np.append(first, len(keys))) > 1, np.diff(np.append(first, len(keys))))
@@ -275,14 +269,15 @@ def _meeting(pick: np.ndarray, text: np.ndarray, size: np.ndarray, length: int)
     return pick[keep], text[np.repeat(keep, size[pick])]
 
 
-def _spread(f: np.ndarray, lo: np.ndarray, size: np.ndarray, d, m, at, frag) -> Iterator[pa.RecordBatch]:
+def _spread(f: np.ndarray, lo: np.ndarray, size: np.ndarray, d, m, at, frag,
+            groups: int) -> Iterator[pa.RecordBatch]:
     """Ranges of fragments, given to every place of the fragment."""
     order = np.argsort(frag, kind="stable")
     left, right = np.searchsorted(frag[order], f, "left"), np.searchsorted(frag[order], f, "right")
     count = right - left
     which = np.repeat(np.arange(len(f)), count)
     place = order[np.repeat(left - (np.cumsum(count) - count), count) + np.arange(int(count.sum()))]
-    yield from _ranges(d[place], m[place], at[place] + lo[which], size[which])
+    yield from packets(d[place], m[place], at[place] + lo[which], size[which], groups)
 
 
 def remove_repeated_bytes(docs: DataFrame, length: int = LENGTH) -> DataFrame:
@@ -307,30 +302,22 @@ def remove_repeated_bytes(docs: DataFrame, length: int = LENGTH) -> DataFrame:
             keys.append(hashes[spots])
         return np.concatenate(at), np.concatenate(keys)
 
-    ids = write_shared(known.select("doc_id", "mark", F.octet_length(F.coalesce("text", F.lit(""))).alias("size"),
-                                    F.sha2("text", 256).alias("sha")).where(F.col("size") >= length), "texts")
-    heads = ids.groupBy("sha").agg(F.min("doc_id").alias("head"))
-    named = persist(ids.join(heads, "sha").select("doc_id", "mark", "size", "head"))
-    copies = named.where("doc_id > head").select("doc_id", "mark", "size").distinct()
-    firsts = named.where("doc_id = head").select("doc_id", "mark").distinct()
-    keys = shared_keys(known, grams, by_text=True).groupBy("mark").agg(F.collect_set("key").alias("keys"))
+    firsts, copies = text_copies(known)
+    keys = shared_keys(known, grams).groupBy("mark").agg(F.collect_set("key").alias("keys"))
     packed = known.mapInArrow(pack_texts, PACKED).join(firsts.join(keys, "mark"), ["doc_id", "mark"])
-    # rows that repeat id and text would only say the same again
-    hits = repeated_ranges(packed, length, buckets).groupBy("doc_id", "mark").agg(F.collect_list("ranges").alias("ranges"))
-    whole = copies.select("doc_id", "mark", F.lit(True).alias("copy"))
+    hits = repeated_ranges(packed, length, buckets)
 
     def cut(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows, buf, offs in packed_blocks(batches):
             edge = np.zeros(len(buf) + 1, np.int64)
             copy = rows.column(rows.schema.get_field_index("copy")).to_pylist()
-            for i, lists in enumerate(rows.column(rows.schema.get_field_index("ranges")).to_pylist()):
-                if copy[i]:
+            for i in range(len(copy)):
+                if copy[i] and offs[i + 1] - offs[i] >= length:
                     edge[offs[i]] += 1
                     edge[offs[i + 1]] -= 1
-                elif lists:
-                    pairs = np.frombuffer(b"".join(lists), np.int32).reshape(-1, 2).astype(np.int64)
-                    np.add.at(edge, offs[i] + pairs[:, 0], 1)
-                    np.add.at(edge, offs[i] + pairs[:, 0] + pairs[:, 1], -1)
+            row, start, size = ranges_of(rows)
+            np.add.at(edge, offs[row] + start, 1)
+            np.add.at(edge, offs[row] + start + size, -1)
             gone = np.cumsum(edge)[:-1] > 0
             removed = np.concatenate([[0], np.cumsum(gone)])[offs]
             kept_offs = offs - removed
@@ -352,7 +339,7 @@ def remove_repeated_bytes(docs: DataFrame, length: int = LENGTH) -> DataFrame:
                  pa.array(spans, type=pa.string()), pa.array(texts, type=pa.binary()), pa.array(digests, type=pa.string())],
                 names=["doc_id", "n_bytes", "n_removed", "n_spans", "spans", "kept_bytes", "kept_sha256"])
 
-    joined = docs.mapInArrow(pack_texts, PACKED).join(hits, ["doc_id", "mark"], "left").join(whole, ["doc_id", "mark"], "left")
+    joined = docs.mapInArrow(pack_texts, PACKED).join(hits, ["doc_id", "mark"], "left").join(copies, ["doc_id", "mark"], "left")
     return joined.select("doc_id", "mark", "size", "packed", "ranges", "copy").mapInArrow(
         cut, "doc_id long, n_bytes long, n_removed long, n_spans long, spans string, kept_bytes binary, kept_sha256 string")
 

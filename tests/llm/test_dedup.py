@@ -9,7 +9,7 @@ import pytest
 from cohortlens.llm.bwt import least_holders
 from cohortlens.llm.kernels import anchors, byte_hashes
 from cohortlens.llm.ngram_join import jaccard_components, op9_ngram_jaccard_join
-from cohortlens.llm.substring_dedup import op1_substring_dedup, remove_repeats
+from cohortlens.llm.substring_dedup import op1_substring_dedup, remove_repeats, repeat_lengths
 from cohortlens.llm.suffix_dedup import op3_suffix_array_dedup, remove_repeated_bytes
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -118,6 +118,27 @@ def test_other_lengths(make_docs, rows, width):
     assert got(remove_repeated_bytes(make_docs(some), width * 10), *OP3) == expected_bytes(some, width * 10)
 
 
+def test_repeat_lengths(make_docs, rows):
+    """The longest of 13, 26, 52, ... words that a different text has too."""
+    texts = {i: tuple(WORD.findall(t or "")) for i, t, *_ in rows}
+    raw = {i: t for i, t, *_ in rows}
+    want, length = {}, 13
+    while True:
+        holders = {}
+        for i, w in texts.items():
+            for k in range(len(w) - length + 1):
+                holders.setdefault(w[k:k + length], set()).add(i)
+        now = {i for own in holders.values() if len({raw[j] for j in own}) > 1 for i in own}
+        if not now:
+            break
+        want.update(dict.fromkeys(now, length))
+        length *= 2
+    assert length > 52
+    assert {r["doc_id"]: r["words"] for r in repeat_lengths(make_docs(rows)).collect()} == want
+    assert repeat_lengths(make_docs([])).count() == 0
+    assert repeat_lengths(make_docs([(1, "a b c", None, None, 1), (2, "d e f", None, None, 1)])).count() == 0
+
+
 def test_null_and_repeated_ids(make_docs):
     long = " ".join(f"w{i}" for i in range(40))
     data = [(None, long, None, None, 1), (3, long, None, None, 1), (3, long, None, None, 1), (3, long + " x", None, None, 1),
