@@ -242,20 +242,22 @@ def _components(docs: DataFrame, known: DataFrame, rows: DataFrame, width: int,
         return at[keep], mix(value[keep])
 
     need_shared = F.floor((F.expr(f"-floor(-{percent} * n_shingles / 100)")) / 8) + 1
-    shared = shared_keys(known, extended, by_text=True, counted=True).groupBy("mark").agg(F.sum("shared").alias("shared"))
-    classes = rows.where("n_shingles > 0").groupBy("sig_a", "sig_b", "n_shingles").agg(
-        F.min(F.struct("doc_id", "mark")).alias("rep"))
-    classes = persist(classes.select("sig_a", "sig_b", "n_shingles", "rep.doc_id", "rep.mark"))
-    live = rows.join(shared, "mark").where(F.col("shared") >= need_shared).select("sig_a", "sig_b", "n_shingles").distinct()
-    reps = classes.join(live, ["sig_a", "sig_b", "n_shingles"], "left_semi").select("doc_id", "mark").distinct()
+    shared = shared_keys(known, extended, counted=True).groupBy("mark").agg(F.sum("shared").alias("shared"))
+    same = ["sig_a", "sig_b", "n_shingles"]
+    # one row a text, counted down on the map side: copies meet nowhere as rows
+    texts = persist(rows.where("n_shingles > 0").groupBy("mark", *same).agg(F.min("doc_id").alias("doc_id")))
+    classes = persist(texts.groupBy(*same).agg(F.min(F.struct("doc_id", "mark")).alias("rep"))
+                      .select(*same, F.col("rep.doc_id").alias("rep"), F.col("rep.mark").alias("rep_mark")))
+    live = texts.join(shared, "mark").where(F.col("shared") >= need_shared).select(*same).distinct()
+    reps = classes.join(live, same, "left_semi").select(F.col("rep").alias("doc_id"), F.col("rep_mark").alias("mark")).distinct()
     packed = known.mapInArrow(pack_texts, PACKED).join(reps, ["doc_id", "mark"], "left_semi")
     sets = write_shared(_full_sets(packed.dropDuplicates(["doc_id", "mark"]), width), "shingles")
     edges = _links(sets, percent)
     comp = components(edges)
-    names = classes.select("sig_a", "sig_b", "n_shingles", F.col("doc_id").alias("rep"))
-    nodes = (rows.join(names, ["sig_a", "sig_b", "n_shingles"], "left")
-             .join(comp.withColumnRenamed("node", "rep"), "rep", "left")
-             .select("doc_id", "n_shingles", F.coalesce("component", "rep", "doc_id").alias("component_id")))
+    placed = (texts.join(classes, same).join(comp.withColumnRenamed("node", "rep"), "rep", "left")
+              .select("mark", *same, F.coalesce("component", "rep").alias("component")))
+    nodes = rows.join(placed, ["mark", *same], "left").select(
+        "doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))
     lost = docs.where("doc_id is null").select(
         "doc_id", F.lit(0).cast("long").alias("n_shingles"), F.lit(None).cast("long").alias("component_id"))
     return nodes.unionByName(lost)
