@@ -28,10 +28,10 @@ from pyspark.sql import functions as F
 from cohortlens.llm.common import partitions, prepare, table, write_shared
 from cohortlens.llm.vectors import classes, matrix, usable_vectors
 
-NEIGHBOURS, REVERSE = 20, 12
+NEIGHBOURS, REVERSE = 24, 16
 TREES, BUCKET = 4, 128
-ROUNDS, SETTLED = 6, 0.02
-LANDMARKS, BEAM, EXPAND = 256, 192, 24
+ROUNDS, SETTLED = 8, 0.02
+LANDMARKS, BEAM, EXPAND = 256, 384, 32
 QUERY_EVERY, TOP = 100, 10
 GRAPH = "node long, ids array<long>, dists array<float>, fresh array<boolean>"
 
