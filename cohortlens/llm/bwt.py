@@ -2,10 +2,10 @@
 interleave refinement, in numpy.
 
 A shard's transform lists the symbol before each of its sorted suffixes. To
-merge shards no suffix is compared again: an interleave vector says for each
-merged rank which shard its suffix comes from. It starts with the shards one
-after another; reading the transforms in its order and dealing the ranks out
-by symbol (stably) gives the interleave that is right for one more symbol.
+merge shards no suffix is compared again: an interleave says for each merged
+rank which row of which shard it is. It starts with the shards one after
+another; reading the transforms in its order and dealing the ranks out by
+symbol (stably) gives the interleave that is right for one more symbol.
 Ranks that a round tells apart for the first time in round h have a longest
 common prefix of h - 1, so after ``depth`` rounds the runs without a boundary
 are the repeated strings of ``depth`` symbols.
@@ -55,37 +55,44 @@ def shard_bwt(text: np.ndarray, offs: np.ndarray, depth: int) -> tuple[np.ndarra
     return before[order], order
 
 
+def last_to_first(transform: np.ndarray, strings: int) -> np.ndarray:
+    """For every row of a transform the row of the suffix one symbol longer (0
+    where the suffix starts its string)."""
+    inner = np.flatnonzero(transform)
+    out = np.zeros(len(transform), np.int32)
+    out[inner[np.argsort(transform[inner], kind="stable")]] = np.arange(strings, strings + len(inner), dtype=np.int32)
+    return out
+
+
 def merge(transforms: list[np.ndarray], strings: list[int], depth: int) -> tuple[np.ndarray, np.ndarray]:
-    """(shard of each merged rank, common prefix with the rank before, at most
-    ``depth``). ``strings`` counts each shard's strings."""
-    counts = [len(t) for t in transforms]
-    kind = np.uint8 if len(transforms) < 256 else np.uint16
-    shard = np.repeat(np.arange(len(transforms)).astype(kind), counts)
-    marks = np.repeat(np.arange(len(transforms)).astype(kind), strings)
+    """(row of each merged rank, common prefix with the rank before, at most
+    ``depth``). Rows count through the shards one after another; the shard a
+    row belongs to is the interleave. ``strings`` counts each shard's strings.
+    """
+    begin = np.cumsum([0, *(len(t) for t in transforms)])
+    longer = np.concatenate([last_to_first(t, m) + np.int32(o) for t, m, o in zip(transforms, strings, begin)])
+    ends = np.concatenate([np.arange(o, o + m, dtype=np.int32) for m, o in zip(strings, begin)])
     all_symbols = np.concatenate(transforms)
-    n, m = len(shard), len(marks)
-    block = np.zeros(n, np.int64)
-    lcp = np.full(n, depth, np.int32)
-    told = np.zeros(n, bool)
-    for h in range(1, depth + 1):
-        read = np.empty(n, all_symbols.dtype)
-        read[np.argsort(shard, kind="stable")] = all_symbols
+    n, m = len(all_symbols), len(ends)
+    row = np.arange(n, dtype=np.int32)
+    block = np.zeros(n, np.int32)
+    lcp = np.zeros(n, np.int32)
+    edge = np.ones(n, bool)  # every end mark is a string's own
+    for _ in range(depth):
+        read = all_symbols[row]
         inner = np.flatnonzero(read)  # a suffix after an end mark starts a string
         perm = inner[np.argsort(read[inner], kind="stable")]
         now, was = read[perm], block[perm]
-        edge = np.ones(n, bool)  # every end mark is a string's own
-        if len(perm):
-            edge[m + 1:] = (now[1:] != now[:-1]) | (was[1:] != was[:-1])
-        lcp[edge & ~told] = h - 1
-        told |= edge
-        shard = np.concatenate([marks, shard[perm]])
-        block = np.cumsum(edge)
-        if told.all():
+        edge[m + 1:] = (now[1:] != now[:-1]) | (was[1:] != was[:-1])
+        lcp += ~edge  # an edge stays one: a rank counts the rounds before its own
+        row = np.concatenate([ends, longer[row[perm]]])
+        block = np.cumsum(edge, dtype=np.int32)
+        if edge.all():
             break
-    return shard, lcp
+    return row, lcp
 
 
-def least_holders(buf: np.ndarray, offs: np.ndarray, holder: np.ndarray, length: int, shard_bytes: int = 1 << 17
+def least_holders(buf: np.ndarray, offs: np.ndarray, holder: np.ndarray, length: int, shard_bytes: int = 1 << 15
                   ) -> np.ndarray:
     """For every byte position at which a string of ``length`` bytes starts
     inside its fragment, the smallest holder (one a fragment) of that string
@@ -99,9 +106,8 @@ def least_holders(buf: np.ndarray, offs: np.ndarray, holder: np.ndarray, length:
         t, order = shard_bwt(text[offs[lo]:offs[hi]], offs[lo:hi + 1] - offs[lo], length)
         transforms.append(t)
         starts.append(order + offs[lo] + lo)
-    shard, lcp = merge(transforms, np.diff(cut).tolist(), length)
-    place = np.empty(len(shard), np.int64)
-    place[np.argsort(shard, kind="stable")] = np.concatenate(starts)
+    row, lcp = merge(transforms, np.diff(cut).tolist(), length)
+    place = np.concatenate(starts)[row]
     frag_of = np.repeat(np.arange(len(offs) - 1), np.diff(offs) + 1)
     frag = frag_of[place]
     at = place - frag  # without end marks
