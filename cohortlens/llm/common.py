@@ -49,8 +49,9 @@ def text_copies(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """For rows (doc_id, mark, text): (doc_id, mark) of the smallest document
     of every text, and (doc_id, mark, copy = true) of the others that have it."""
     ids = write_shared(docs.select("doc_id", "mark", F.sha2("text", 256).alias("sha")), "texts")
-    heads = ids.groupBy("sha").agg(F.min("doc_id").alias("head"))
-    named = persist(ids.join(heads, "sha").select("doc_id", "mark", "head").distinct())
+    # only texts with copies, written: the join can then split a text that very many documents have
+    heads = write_shared(ids.groupBy("sha").agg(F.min("doc_id").alias("head"), F.count("*").alias("n")).where("n > 1"), "heads")
+    named = persist(ids.join(heads, "sha", "left").select("doc_id", "mark", F.coalesce("head", "doc_id").alias("head")).distinct())
     return (named.where("doc_id = head").select("doc_id", "mark"),
             named.where("doc_id > head").select("doc_id", "mark", F.lit(True).alias("copy")))
 
