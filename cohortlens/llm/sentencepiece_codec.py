@@ -5,18 +5,21 @@ its normaliser (precompiled character map, extra white space, dummy prefix),
 the metaspace marker for blanks, its unigram scores or, for a BPE model, the
 merges that its scores imply, and byte fallback. Texts are cut before every
 marker run, which no piece of the vocabulary crosses (checked when the model
-is built; else whole texts are encoded), so words are encoded once and cached.
+is built; else whole texts are encoded), so a block's distinct words are
+encoded once each.
 
-Batches are encoded multithreaded inside each task. Parity with the
-sentencepiece library is verified on the rows that ``AUDIT`` picks by hash
-(every row with ``audit_every=1``); every row is verified by decoding.
+Every row is verified twice: the sentencepiece library encodes its whole text
+and must give the same ids, and decoding them must give the text again.
 """
 
 from __future__ import annotations
 
 import hashlib
 import os
+import re
+from collections import defaultdict
 from collections.abc import Iterable, Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -29,7 +32,7 @@ from cohortlens.llm.kernels import string_bytes, text_blocks
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"
 THREADS = 2
-AUDIT = 64
+AUDIT = 1
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 _TOKENIZERS: dict[tuple[str, int], tuple] = {}
 
@@ -81,6 +84,16 @@ def parse_model(data: bytes) -> dict:
     return out
 
 
+def word_pattern(model: dict) -> str | None:
+    """What normalised texts are cut into; None if a piece crosses the cuts."""
+    usable = [p for p, _, kind in model["pieces"] if kind in (NORMAL, USER)]
+    if any(MARK in p.lstrip(MARK) for p in usable):
+        return None
+    # a line break that only byte fallback can write never merges either
+    alone = "" if any("\n" in p for p in usable) else "\n"
+    return f"{MARK}+[^{MARK}{alone}]*|[^{MARK}{alone}]+" + (f"|{alone}+" if alone else "")
+
+
 def build_tokenizer(model: dict):
     """A tokenizers.Tokenizer with the ids of ``model``."""
     from tokenizers import Regex, Tokenizer, decoders, models, normalizers, pre_tokenizers
@@ -113,11 +126,9 @@ def build_tokenizer(model: dict):
         steps.append(normalizers.Replace(" ", MARK))
     if steps:
         tokenizer.normalizer = normalizers.Sequence(steps)
-    if not any(MARK in p.lstrip(MARK) for p in usable):
-        # a line break that only byte fallback can write never merges either
-        alone = "" if any("\n" in p for p in usable) else "\n"
-        tokenizer.pre_tokenizer = pre_tokenizers.Split(
-            Regex(f"{MARK}+[^{MARK}{alone}]*|[^{MARK}{alone}]+" + (f"|{alone}+" if alone else "")), "isolated")
+    words = word_pattern(model)
+    if words:
+        tokenizer.pre_tokenizer = pre_tokenizers.Split(Regex(words), "isolated")
     tokenizer.decoder = decoders.Sequence([decoders.Replace(MARK, " "), decoders.ByteFallback(), decoders.Fuse()]
                                           + ([decoders.Strip(" ", 1, 0)] if model["dummy_prefix"] else []))
     return tokenizer
@@ -135,6 +146,28 @@ def load_tokenizer(path: str, threads: int = THREADS):
     return _TOKENIZERS[key]
 
 
+def encode_texts(texts: list[str], tokenizer, model: dict) -> tuple[np.ndarray, np.ndarray]:
+    """(ids end to end, cuts by text): what the tokenizer's encode gives, with
+    every distinct word of the block encoded once."""
+    pattern = word_pattern(model)
+    if pattern is None:
+        ids = [e.ids for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        cuts = np.concatenate([[0], np.cumsum([len(x) for x in ids])]).astype(np.int64)
+        return np.fromiter(chain.from_iterable(ids), np.int32, int(cuts[-1])), cuts
+    normal, find = tokenizer.normalizer, re.compile(pattern).findall
+    # the normaliser's dummy prefix would give an empty text a piece, which encoding does not
+    words = [find(normal.normalize_str(x) if normal else x) if x else [] for x in texts]
+    place: defaultdict[str, int] = defaultdict()
+    place.default_factory = place.__len__
+    which = np.fromiter(map(place.__getitem__, chain.from_iterable(words)), np.int64)
+    coded = [[t.id for t in tokenizer.model.tokenize(w)] for w in place]
+    size = np.array([len(x) for x in coded], np.int64)
+    flat, first = np.fromiter(chain.from_iterable(coded), np.int32), np.cumsum(size) - size
+    ends = np.concatenate([[0], np.cumsum(size[which])])
+    at = np.repeat(first[which] - ends[:-1], size[which]) + np.arange(ends[-1])
+    return flat[at], ends[np.concatenate([[0], np.cumsum([len(w) for w in words])]).astype(np.int64)]
+
+
 def piece_bytes(model: dict) -> tuple[np.ndarray, np.ndarray]:
     """(bytes, offsets) of what each id decodes to, end to end."""
     parts = [bytes([int(p[3:5], 16)]) if kind == BYTE else b"" if kind == CONTROL else p.replace(MARK, " ").encode()
@@ -166,7 +199,8 @@ def encode(docs: DataFrame, model: str = MODEL, threads: int = THREADS, audit_ev
     doc_id, ids array<int>, n_tokens, n_bytes (ids that are fallback bytes),
     round_trip (decoding the ids gives the text again; false for models whose
     normaliser changes the text), parity (the sentencepiece library gives
-    the same ids; null where not audited).
+    the same ids; null only with ``audit_every`` other than 1: 0 audits no row,
+    n the rows whose text hash it divides).
 
     ``model`` is a path that every executor can read. A null or empty text has
     no ids; null and repeated doc_ids are rows like any other.
@@ -179,9 +213,7 @@ def encode(docs: DataFrame, model: str = MODEL, threads: int = THREADS, audit_ev
         reference = None
         for rows, buf, offs in text_blocks(batches):
             texts = [x or "" for x in rows.column(1).to_pylist()]
-            ids = [np.array(e.ids, np.int32) for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-            cuts = np.concatenate([[0], np.cumsum([len(x) for x in ids])]).astype(np.int64)
-            flat = np.concatenate(ids) if ids else np.zeros(0, np.int32)
+            flat, cuts = encode_texts(texts, tokenizer, parsed)
             out, bounds = decode_ids(flat, cuts, parsed)
             same = [bounds[i + 1] - bounds[i] == offs[i + 1] - offs[i]
                     and np.array_equal(out[bounds[i]:bounds[i + 1]], buf[offs[i]:offs[i + 1]]) for i in range(len(texts))]
@@ -193,8 +225,9 @@ def encode(docs: DataFrame, model: str = MODEL, threads: int = THREADS, audit_ev
                     import sentencepiece
 
                     reference = sentencepiece.SentencePieceProcessor(model_file=model)
-                for i in np.flatnonzero(audit):
-                    parity[i] = reference.encode(texts[i]) == ids[i].tolist()
+                own, flat_ids = np.flatnonzero(audit), flat.tolist()
+                for i, ids in zip(own, reference.encode([texts[i] for i in own], num_threads=threads)):
+                    parity[i] = ids == flat_ids[cuts[i]:cuts[i + 1]]
             yield pa.RecordBatch.from_arrays(
                 [rows.column(0), pa.ListArray.from_arrays(pa.array(cuts.astype(np.int32)), pa.array(flat)),
                  pa.array(np.diff(cuts)), pa.array(np.diff(fallback[cuts])), pa.array([bool(x) for x in same]),

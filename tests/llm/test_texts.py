@@ -16,7 +16,8 @@ from cohortlens.llm.html_extract import extract, extract_pages
 from cohortlens.llm.ngram_join import jaccard_components
 from cohortlens.llm.quality_ranker import op7_quality_ranking, rank_quality
 from cohortlens.llm.secret_scan import op10_secret_scans, redacted_documents, scan_secrets
-from cohortlens.llm.sentencepiece_codec import MODEL, build_tokenizer, decode, encode, parse_model
+from cohortlens.llm.sentencepiece_codec import (MODEL, build_tokenizer, decode, encode, encode_texts, load_tokenizer,
+                                               op8_sentencepiece, parse_model)
 from cohortlens.llm.source_mixing import mix_sources, mixed_documents, op6_source_mixing
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -204,6 +205,23 @@ def test_op8_parity_and_round_trip(make_docs, rows):
     assert back == {i: t or "" for i, t in enumerate(texts)}
 
 
+def test_op8_audits_every_row(make_docs, in_folder, spark, rows):
+    """Neither the query nor the pipeline's stage leaves a row unaudited."""
+    docs = make_docs(rows)
+    folder = in_folder(documents=docs)
+    for out in (encode(docs), op8_sentencepiece(spark, folder), corpus_pipeline.tokens(spark, docs, folder)):
+        assert [r["parity"] for r in out.select("parity").collect()] == [True] * len(rows)
+
+
+def test_op8_words_are_encoded_as_in_their_text(rows):
+    texts = [t or "" for _, t, *_ in rows] + ODD
+    tokenizer, model = load_tokenizer(MODEL)
+    ids, cuts = encode_texts(texts, tokenizer, model)
+    for k, t in enumerate(texts):
+        assert ids[cuts[k]:cuts[k + 1]].tolist() == tokenizer.encode(t, add_special_tokens=False).ids, t
+    assert encode_texts([""], tokenizer, model)[1].tolist() == [0, 0]
+
+
 def test_op8_edges(make_docs):
     docs = make_docs([(None, "a b", None, None, 1), (1, None, None, None, 1), (1, "c", None, None, 1)])
     assert sorted((r["doc_id"] or 0, r["n_tokens"]) for r in encode(docs).collect())[0][0] == 0
