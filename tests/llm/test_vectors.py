@@ -5,7 +5,8 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cohortlens.llm.embedding_dedup import near_duplicates, op5_embedding_near_dedup
+from cohortlens.llm.embedding_dedup import (AUDIT_ROWS, QUERY_ROWS, component_links, links_of, near_duplicates,
+                                            op5_embedding_near_dedup, query_blocks)
 from cohortlens.llm.hnsw import Graph
 from cohortlens.llm.nn_descent import nearest, op4_nn_descent
 
@@ -107,6 +108,43 @@ def test_op5_empty(spark):
     assert near_duplicates(spark.createDataFrame([], VECTORS)).count() == 0
 
 
+def test_op5_query_blocks_follow_the_table():
+    for n in (1, 10_256, 51_282, 3_000_000, 100_000_000):
+        assert n / query_blocks(n) <= QUERY_ROWS == 32 * AUDIT_ROWS
+
+
+def test_op5_links_found_from_one_end_count_for_both(spark):
+    """Counts come from the components, whoever found the links; one component
+    is of many parts, one is a chain whose ends are no link."""
+    rng = np.random.default_rng(2)
+    hot = np.array([1.0, 0, 0, 0]) + 0.12 * rng.standard_normal((1500, 4))
+    chain = np.array([[0, np.cos(t), np.sin(t), 0] for t in (0, 0.4, 0.8)])
+    x = np.concatenate([hot, chain])
+    copies = 1 + np.arange(len(x)) % 3
+    comp = [0] * 1500 + [1500] * 3
+    members = spark.createDataFrame([(i, int(copies[i]), x[i].tolist(), comp[i]) for i in range(len(x))],
+                                    "rep long, copies long, v array<double>, component long")
+    u = x / np.linalg.norm(x, axis=1)[:, None]
+    near = (u @ u.T >= 0.9) & (np.array(comp)[:, None] == np.array(comp))
+    np.fill_diagonal(near, False)
+    assert {r["node"]: r["links"] for r in component_links(members, 0.9).collect()} == dict(enumerate((near @ copies).tolist()))
+
+
+def test_op5_audit_leaves_out_self_hits():
+    class Blind(Graph):  # finds everything but the query itself
+        asked = 0
+
+        def search(self, queries, beam):
+            Blind.asked += 1
+            sims = queries @ self.x.T
+            return np.tile(np.arange(len(self.x)), (len(queries), 1)), np.where(sims > 0.9999, -1, sims)
+
+    t = np.arange(12) * 0.3
+    x = np.stack([np.cos(t), np.sin(t)], axis=1)
+    a, b = links_of(Blind(x, np.arange(12)), x, x, 0.9, np.arange(12), np.arange(12))
+    assert Blind.asked == 1 and sorted(zip(a, b)) == sorted([(i, i + 1) for i in range(11)] + [(i + 1, i) for i in range(11)])
+
+
 def test_graph_reaches_isolated_clusters():
     rng = np.random.default_rng(1)
     centres = rng.standard_normal((30, 24))
