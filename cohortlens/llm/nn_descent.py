@@ -5,7 +5,8 @@ split at random) and improves by rounds of Spark joins: a node's neighbours
 and a bounded sample of its reverse neighbours meet, every pair of them with a
 new member is a neighbour of a neighbour, and pairs nearer than what either
 end has go to it. Rounds stop when few lists change. Distances inside the
-rounds use vectors quantised to bytes; nothing but candidates depends on them.
+rounds use vectors quantised to bytes, each on its own scale, which is kept;
+nothing but candidates depends on them.
 
 Queries search the graph greedily with a beam: each round expands the nearest
 unexpanded nodes of every query's beam by a join with the graph, and measures
@@ -33,13 +34,22 @@ TREES, BUCKET = 4, 128
 ROUNDS, SETTLED = 8, 0.02
 LANDMARKS, BEAM, EXPAND = 256, 384, 32
 QUERY_EVERY, TOP = 100, 10
-GRAPH = "node long, ids array<long>, dists array<float>, fresh array<boolean>"
+GRAPH = "node long, ids array<long>, dists array<double>, fresh array<boolean>"
 
 
-def _distances(x: np.ndarray) -> np.ndarray:
-    """Squared Euclidean distances within groups: (g, m, d) to (g, m, m)."""
-    sq = (x * x).sum(-1)
-    return np.maximum(sq[:, :, None] + sq[:, None, :] - 2 * np.matmul(x, x.transpose(0, 2, 1)), 0)
+def _distances(codes: np.ndarray, scale: np.ndarray) -> np.ndarray:
+    """Squared Euclidean distances within groups: codes (g, m, d) with scales
+    (g, m) to (g, m, m). Sums of codes are whole numbers, the scales come in
+    in double precision, so vectors of very unlike lengths can meet."""
+    sq = (codes * codes).sum(-1).astype(np.float64) * scale * scale
+    dots = np.matmul(codes, codes.transpose(0, 2, 1)) * (2 * scale[:, :, None]) * scale[:, None, :]
+    return np.maximum(sq[:, :, None] + sq[:, None, :] - dots, 0)
+
+
+def _codes(raw: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """(codes as float32, scales) of a list of ``q`` values."""
+    rows = np.frombuffer(b"".join(raw), np.uint8).reshape(len(raw), -1)
+    return rows[:, 8:].view(np.int8).astype(np.float32), np.ascontiguousarray(rows[:, :8]).view(np.float64)[:, 0]
 
 
 def _keep_best(to: np.ndarray, ids: np.ndarray, d: np.ndarray, size: int) -> np.ndarray:
@@ -59,20 +69,23 @@ def _keep_best(to: np.ndarray, ids: np.ndarray, d: np.ndarray, size: int) -> np.
 
 
 def _quantised(nodes: DataFrame) -> DataFrame:
-    """(node, q binary): components as bytes on the scale of the largest."""
+    """(node, q binary): a scale (8 bytes: the vector's largest component as a
+    share of the table's, by 127) and the components as bytes on that scale."""
     top = nodes.agg(F.max(F.array_max(F.transform("v", lambda x: F.abs(x)))).alias("m")).first()["m"] or 1.0
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            q = np.rint(matrix(batch.column(1)) / top * 127).astype(np.int8)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([r.tobytes() for r in q], type=pa.binary())],
-                                             names=["node", "q"])
+            v = matrix(batch.column(1))
+            own = np.abs(v).max(axis=1, initial=0)
+            codes = np.rint(v / own[:, None] * 127).astype(np.int8)
+            packed = [s.tobytes() + c.tobytes() for s, c in zip(own / top / 127, codes)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(packed, type=pa.binary())], names=["node", "q"])
 
     return nodes.select("node", "v").mapInArrow(run, "node long, q binary")
 
 
 def _edges(node: np.ndarray, ids: np.ndarray, d: np.ndarray) -> pa.Table:
-    return pa.table({"node": node, "id": ids, "d": d.astype(np.float32)})
+    return pa.table({"node": node, "id": ids, "d": d})
 
 
 def _first_graph(q: DataFrame, n: int, dims: int) -> DataFrame:
@@ -85,7 +98,7 @@ def _first_graph(q: DataFrame, n: int, dims: int) -> DataFrame:
     def names(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             raw = batch.column(1).to_pylist()
-            x = np.frombuffer(b"".join(raw), np.int8).reshape(len(raw), -1).astype(np.float32)
+            x, _ = _codes(raw)
             signs = np.einsum("nd,tbd->tnb", x, planes) > 0
             bucket = (signs * (1 << np.arange(bits))).sum(-1).astype(np.int64)
             yield pa.RecordBatch.from_arrays(
@@ -101,14 +114,14 @@ def _first_graph(q: DataFrame, n: int, dims: int) -> DataFrame:
 
     def nearest(rows: pa.Table) -> pa.Table:
         node, raw = rows.column("node").to_numpy(), rows.column("q").to_pylist()
-        x = np.frombuffer(b"".join(raw), np.int8).reshape(len(raw), -1).astype(np.float32)
-        d = _distances(x[None])[0]
+        x, scale = _codes(raw)
+        d = _distances(x[None], scale[None])[0]
         np.fill_diagonal(d, np.inf)
         k = min(NEIGHBOURS, len(node) - 1)
         near = np.argpartition(d, k - 1, axis=1)[:, :k] if k > 0 else np.zeros((len(node), 0), np.int64)
         return _edges(np.repeat(node, k), node[near].ravel(), np.take_along_axis(d, near, 1).ravel())
 
-    return dealt.groupBy("bucket", "part").applyInArrow(nearest, "node long, id long, d float")
+    return dealt.groupBy("bucket", "part").applyInArrow(nearest, "node long, id long, d double")
 
 
 def _lists_of(edges: DataFrame) -> DataFrame:
@@ -129,7 +142,7 @@ def _proposals(graph: DataFrame, q: DataFrame) -> DataFrame:
     back = (edges.withColumn("r", F.row_number().over(order)).where(F.col("r") <= REVERSE)
             .select(F.col("ids").alias("node"), F.col("node").alias("ids"), "fresh"))
     meets = edges.unionByName(back).groupBy("node", "ids").agg(F.max("fresh").alias("fresh"))
-    last = F.when(F.size("dists") >= NEIGHBOURS, F.element_at("dists", -1)).otherwise(F.lit(float("inf")).cast("float"))
+    last = F.when(F.size("dists") >= NEIGHBOURS, F.element_at("dists", -1)).otherwise(F.lit(float("inf")))
     member = q.join(graph.select("node", last.alias("last")), "node").withColumnRenamed("node", "ids")
     groups = meets.join(member, "ids").repartition(partitions(graph.sparkSession), "node").sortWithinPartitions("node")
     width = NEIGHBOURS + REVERSE
@@ -138,22 +151,22 @@ def _proposals(graph: DataFrame, q: DataFrame) -> DataFrame:
         starts = np.flatnonzero(np.append(True, node[1:] != node[:-1]))
         rank = np.arange(len(node)) - np.repeat(starts, np.diff(np.append(starts, len(node))))
         g = np.cumsum(np.append(False, node[1:] != node[:-1]))
-        x = np.frombuffer(b"".join(raw), np.int8).reshape(len(raw), -1).astype(np.float32)
+        x, scale = _codes(raw)
         out = []
         for lo in range(0, len(starts), 512):  # 512 groups at a time
             own = (g >= lo) & (g < lo + 512)
             at, r, m = g[own] - lo, rank[own], min(512, len(starts) - lo)
-            box = np.zeros((m, width, x.shape[1]), np.float32)
-            who, new, far = np.full((m, width), -1, np.int64), np.zeros((m, width), bool), np.full((m, width), -np.inf, np.float32)
-            box[at, r], who[at, r], new[at, r], far[at, r] = x[own], ids[own], fresh[own], last[own]
-            d = _distances(box)
+            box, scales = np.zeros((m, width, x.shape[1]), np.float32), np.zeros((m, width))
+            who, new, far = np.full((m, width), -1, np.int64), np.zeros((m, width), bool), np.full((m, width), -np.inf)
+            box[at, r], scales[at, r], who[at, r], new[at, r], far[at, r] = x[own], scale[own], ids[own], fresh[own], last[own]
+            d = _distances(box, scales)
             take = (new[:, :, None] | new[:, None, :]) & (d < far[:, :, None]) & (who[:, None, :] >= 0)
             take &= ~np.eye(width, dtype=bool)[None]
             k, a, b = np.nonzero(take)
             out.append((who[k, a], who[k, b], d[k, a, b]))
         to, nb, d = (np.concatenate(c) for c in zip(*out))
         keep = _keep_best(to, nb, d, NEIGHBOURS)
-        return pa.RecordBatch.from_arrays([pa.array(to[keep]), pa.array(nb[keep]), pa.array(d[keep].astype(np.float32))],
+        return pa.RecordBatch.from_arrays([pa.array(to[keep]), pa.array(nb[keep]), pa.array(d[keep])],
                                           names=["node", "id", "d"]) if len(keep) else None
 
     def local_join(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -175,7 +188,7 @@ def _proposals(graph: DataFrame, q: DataFrame) -> DataFrame:
             if done:
                 yield done
 
-    return groups.select("node", "ids", "fresh", "last", "q").mapInArrow(local_join, "node long, id long, d float")
+    return groups.select("node", "ids", "fresh", "last", "q").mapInArrow(local_join, "node long, id long, d double")
 
 
 def neighbour_graph(nodes: DataFrame, rounds: int = ROUNDS) -> DataFrame:
@@ -184,7 +197,7 @@ def neighbour_graph(nodes: DataFrame, rounds: int = ROUNDS) -> DataFrame:
     n = q.count()
     if n < 2:
         return nodes.sparkSession.createDataFrame([], GRAPH)
-    dims = len(q.first()["q"])
+    dims = len(q.first()["q"]) - 8
     graph = write_shared(_lists_of(_first_graph(q, n, dims).withColumn("fresh", F.lit(True))), "nnd-graph")
     for _ in range(rounds):
         old = graph.select("node", F.explode(F.arrays_zip("ids", "dists")).alias("e")).select(

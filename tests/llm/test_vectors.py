@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 from cohortlens.llm.embedding_dedup import (AUDIT_ROWS, QUERY_ROWS, component_links, links_of, near_duplicates,
                                             op5_embedding_near_dedup, query_blocks)
 from cohortlens.llm.hnsw import Graph
-from cohortlens.llm.nn_descent import nearest, op4_nn_descent
+from cohortlens.llm.nn_descent import nearest, neighbour_graph, op4_nn_descent
 
 VECTORS = T.StructType([T.StructField("vec_id", T.LongType()), T.StructField("embedding", T.ArrayType(T.FloatType())),
                         T.StructField("label", T.IntegerType())])
@@ -81,6 +81,31 @@ def test_op4_few_candidates_and_ties(spark):
     assert nearest(spark.createDataFrame([], VECTORS), F.lit(True)).count() == 0
 
 
+def test_op4_one_huge_vector_and_tiny_ones(spark):
+    """Recall among ordinary and among tiny vectors beside one huge vector."""
+    rng = np.random.default_rng(9)
+    x = rng.standard_normal((3000, 8))
+    x[5] *= 1e6
+    tiny = np.arange(3000) % 10 == 1
+    x[tiny] *= 1e-4
+    x = x.astype(np.float32)
+    vectors = spark.createDataFrame([(i, x[i].tolist(), 0) for i in range(3000)], VECTORS)
+    asks = [i for i in range(3000) if i % 60 in (1, 2)]
+    nodes = vectors.select(F.col("vec_id").alias("node"), F.col("embedding").cast("array<double>").alias("v"))
+    graph = {r["node"]: r["ids"] for r in neighbour_graph(nodes).collect()}
+    got = {}
+    for r in nearest(vectors, (F.col("vec_id") % 60).isin(1, 2)).collect():
+        got.setdefault(r["query_id"], set()).add(r["vec_id"])
+    hits, near = {True: [], False: []}, {True: [], False: []}
+    for q in asks:
+        d = ((x.astype(np.float64) - x[q]) ** 2).sum(1)
+        d[q] = np.inf
+        want = set(np.argsort(d, kind="stable")[:10].tolist())
+        hits[bool(tiny[q])].append(len(want & got[q]) / 10)
+        near[bool(tiny[q])].append(len(want & set(graph[q])) / 10)
+    assert all(np.mean(h) >= 0.9 for h in (*hits.values(), *near.values()))
+
+
 def test_op5_links_and_components(spark, tmp_path):
     rows = table()
     got = {r["vec_id"]: (r["n_links"], r["component_id"], r["kept"])
