@@ -13,9 +13,3 @@ def spark():
     s = local_session("*", shuffle_partitions=8, app_name="cohortlens-tests")
     yield s
     s.stop()
-
-
-def rows(df, *cols):
-    """Multiset of tuples (sorted list) of the given columns."""
-    sel = df.select(*cols) if cols else df
-    return sorted((tuple(r) for r in sel.collect()), key=repr)

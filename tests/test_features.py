@@ -18,7 +18,7 @@ from cohortlens.operators import (
 )
 from cohortlens.plans import build_samples
 from cohortlens.plans.sample_build import release
-from conftest import rows
+from helpers import rows
 
 
 def test_filter_events_window(spark):

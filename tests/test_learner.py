@@ -23,7 +23,7 @@ from cohortlens.operators import (
 )
 from cohortlens.sources import load_model, parse_svmlight, read_svmlight, save_model
 from cohortlens.operators.split import train_test_split
-from conftest import rows
+from helpers import rows
 
 
 def _lines_df(spark, lines):

@@ -22,7 +22,7 @@ from cohortlens.operators.metrics import (
     patient_profile,
     profile_from_tagged,
 )
-from conftest import rows
+from helpers import rows
 
 # (patientid, n_events, n_encounters, record_days), own figures
 ALIVE = [(11, 40, 5, 9), (12, 90, 20, 300)]

@@ -25,7 +25,7 @@ from cohortlens.operators.metrics import (
     profile_from_tagged,
 )
 from cohortlens.plans.sample_build import build_samples, release
-from conftest import rows
+from helpers import rows
 
 
 def _skewed(spark, n=9000):
