@@ -104,14 +104,14 @@ def column(batch: pa.RecordBatch, name: str) -> np.ndarray:
     return batch.column(batch.schema.get_field_index(name)).to_numpy(zero_copy_only=False).astype(np.int64)
 
 
-def word_spans(buf: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def word_spans(buf: np.ndarray, offs: np.ndarray, gaps: np.ndarray = _WS) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Starts and ends of ``[^\\x20\\x09-\\x0D]+`` words, and word offsets per
-    document (n + 1)."""
+    document (n + 1). ``gaps`` says of each byte value whether it parts words."""
     n = len(buf)
     if n == 0:
         z = np.zeros(0, np.int64)
         return z, z, np.zeros(len(offs), np.int64)
-    black = ~_WS[buf]
+    black = ~gaps[buf]
     first = black.copy()
     first[1:] &= ~black[:-1]
     last = black.copy()

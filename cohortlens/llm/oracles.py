@@ -118,3 +118,26 @@ select d.doc_id, cast(coalesce(n0, 0) as bigint) as n_assign, cast(coalesce(n1,
        cast(coalesce(n2, 0) as bigint) as n_hex, sha256(coalesce(s, '')) as base_sha256, coalesce(s, '') as spans
 from docs d left join joined j using (doc_id)
 """
+
+_LOWERED = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_PLAIN = r"regexp_extract_all({}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')".format(_LOWERED)
+
+OP12 = f"""
+with items as (select cast(item_id as varchar) as item_id, {_PLAIN} as w from benchmark),
+windows as (
+  select distinct item_id, least(len(w), 10) as m, array_to_string(w[i:i + least(len(w), 10) - 1], ' ') as s
+  from (select item_id, w, unnest(range(1, greatest(len(w) - 9, least(len(w), 1)) + 1)) as i from items)),
+docs as (select doc_id, {_PLAIN} as w, row_number() over () as r from documents),
+placed as (
+  select r, i, m, array_to_string(w[i:i + m - 1], ' ') as s
+  from (select r, w, m, unnest(range(1, len(w) - cast(m as int) + 2)) as i from docs, (select distinct m from windows))),
+hits as (select r, i, placed.m, item_id from placed join windows using (m, s)),
+covered as (
+  select r, count(distinct p) as n from (select distinct r, unnest(range(i, i + cast(m as int))) as p from hits) group by r),
+named as (
+  select r, count(*) as n, string_agg(item_id, ',' order by item_id) as s
+  from (select distinct r, item_id from hits where item_id is not null) group by r)
+select d.doc_id, cast(len(d.w) as bigint) as n_words, cast(coalesce(c.n, 0) as bigint) as n_hit,
+       cast(coalesce(k.n, 0) as bigint) as n_items, sha256(coalesce(k.s, '')) as items_sha256, coalesce(c.n, 0) > 0 as contaminated
+from docs d left join covered c using (r) left join named k using (r)
+"""

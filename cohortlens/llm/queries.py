@@ -8,6 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from cohortlens.llm import oracles
+from cohortlens.llm.decontaminate import op12_benchmark_decontamination
 from cohortlens.llm.embedding_dedup import op5_embedding_near_dedup
 from cohortlens.llm.html_extract import op2_html_extraction
 from cohortlens.llm.ngram_join import op9_ngram_jaccard_join
@@ -23,7 +24,7 @@ from cohortlens.llm.suffix_dedup import op3_suffix_array_dedup
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (op1_substring_dedup, op2_html_extraction, op3_suffix_array_dedup, op4_nn_descent,
                                     op5_embedding_near_dedup, op6_source_mixing, op7_quality_ranking, op8_sentencepiece, op9_ngram_jaccard_join,
-                                    op10_secret_scans)}
+                                    op10_secret_scans, op12_benchmark_decontamination)}
 
 
 def oracle_sql() -> dict[str, str]:
@@ -31,4 +32,4 @@ def oracle_sql() -> dict[str, str]:
     tokenizer, a tree parser, hashed draws and an approximate search."""
     return {"op1_substring_dedup": oracles.OP1, "op3_suffix_array_dedup": oracles.OP3,
             "op5_embedding_near_dedup": oracles.OP5, "op9_ngram_jaccard_join": oracles.OP9,
-            "op10_secret_scans": oracles.OP10}
+            "op10_secret_scans": oracles.OP10, "op12_benchmark_decontamination": oracles.OP12}
