@@ -220,3 +220,18 @@ def runs(mask: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Starts and ends of the runs of True."""
     edge = np.diff(np.concatenate([[0], mask.astype(np.int8), [0]]))
     return np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
+
+
+def joined_words(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray, wo: np.ndarray, keep: np.ndarray) -> list[bytes]:
+    """Each document's kept words, joined by one space."""
+    first, size = starts[keep], (ends - starts)[keep]
+    edge = np.concatenate([[0], np.cumsum(keep)])[wo]  # kept words before each document
+    glued = size + 1
+    glued[edge[1:][edge[1:] > edge[:-1]] - 1] -= 1     # no space after a document's last
+    at = np.cumsum(glued) - glued
+    out = np.full(int(glued.sum()), 0x20, np.uint8)
+    within = np.arange(int(size.sum())) - np.repeat(np.cumsum(size) - size, size)
+    out[np.repeat(at, size) + within] = buf[np.repeat(first, size) + within]
+    cuts = np.append(at, len(out))[edge]
+    flat = out.tobytes()
+    return [flat[a:b] for a, b in zip(cuts[:-1], cuts[1:])]

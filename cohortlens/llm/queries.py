@@ -13,6 +13,7 @@ from cohortlens.llm.embedding_dedup import op5_embedding_near_dedup
 from cohortlens.llm.html_extract import op2_html_extraction
 from cohortlens.llm.ngram_join import op9_ngram_jaccard_join
 from cohortlens.llm.nn_descent import op4_nn_descent
+from cohortlens.llm.periodic_runs import op13_periodic_runs
 from cohortlens.llm.quality_ranker import op7_quality_ranking
 from cohortlens.llm.secret_scan import op10_secret_scans
 from cohortlens.llm.sentencepiece_codec import op8_sentencepiece
@@ -24,7 +25,7 @@ from cohortlens.llm.suffix_dedup import op3_suffix_array_dedup
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (op1_substring_dedup, op2_html_extraction, op3_suffix_array_dedup, op4_nn_descent,
                                     op5_embedding_near_dedup, op6_source_mixing, op7_quality_ranking, op8_sentencepiece, op9_ngram_jaccard_join,
-                                    op10_secret_scans, op12_benchmark_decontamination)}
+                                    op10_secret_scans, op12_benchmark_decontamination, op13_periodic_runs)}
 
 
 def oracle_sql() -> dict[str, str]:
