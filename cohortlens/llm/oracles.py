@@ -141,3 +141,80 @@ select d.doc_id, cast(len(d.w) as bigint) as n_words, cast(coalesce(c.n, 0) as b
        cast(coalesce(k.n, 0) as bigint) as n_items, sha256(coalesce(k.s, '')) as items_sha256, coalesce(c.n, 0) > 0 as contaminated
 from docs d left join covered c using (r) left join named k using (r)
 """
+
+
+def _crc32(text: str) -> str:
+    """Unsigned CRC-32 of an ASCII string (fixed values: the polynomial and start of CRC-32)."""
+    return (f"xor(list_reduce(list_prepend(4294967295::bigint, [ord(c)::bigint for c in string_split({text}, '')]), lambda v, c: "
+            "list_reduce(list_prepend(xor(v, c), range(8)), lambda b, i: xor(b >> 1, (b & 1) * 3988292384))), 4294967295::bigint)")
+
+
+# Equal words one period apart: for periods up to 5 word by word, beyond that by sequences of 6 words.
+OP13 = f"""
+with given as (
+  select row_number() over () as r, doc_id, {WORDS.format("coalesce(text, '')")} as w, {_crc32("cast(doc_id as varchar)")} as h from documents),
+parts as (select *, len(w) as n, h // 10 as g from given),
+bent as (select *, g % n as a, 1 + (n - g % n) // (3 + g % 8) as p from parts),
+docs as (
+  select r, doc_id, n, case when h % 10 = 0 and n > 0 then [w[1 + case when i < a then i else a + (i - a) % p end] for i in range(n)] else w end as w
+  from bent),
+near as (
+  select r, i, q, 1 as size from (select r, w, n, unnest(range(n)) as i from docs), (select unnest(range(1, 6)) as q)
+  where i + q < n and w[i + 1] = w[i + 1 + q]),
+six as (select r, i, array_to_string(w[i + 1:i + 6], ' ') as s from (select r, w, unnest(range(n - 5)) as i from docs)),
+equal as (
+  select * from near
+  union all
+  select x.r, x.i, y.i - x.i as q, 6 as size from six x join six y on x.r = y.r and x.s = y.s and y.i - x.i >= 6),
+islands as (select *, i - row_number() over (partition by r, q order by i) as island from equal),
+stretches as (select r, q, min(i) as x, max(i) - min(i) + any_value(size) as m from islands group by r, q, island),
+runs as (
+  select r, x, m + q as length, min(q) as q from (select r, q, x, m from stretches where m >= q and m + q >= 12)
+  group by r, x, m + q),
+named as (
+  select r, count(*) as n, arg_min(struct_pack(x, length, q), (-length, x, q)) as top,
+         string_agg(x || ',' || length || ',' || q || chr(10), '' order by x, q) as s
+  from runs group by r),
+gone as (select distinct r, unnest(range(x + q, x + length)) as i from runs),
+kept as (
+  select r, string_agg(word, ' ' order by i) as t
+  from (select r, unnest(range(n)) as i, unnest(w) as word from docs) anti join gone using (r, i) group by r)
+select doc_id, coalesce(k.n, 0) as n_runs, k.top.x as start, k.top.length as length, k.top.q as period,
+       1000 * k.top.length // k.top.q as exponent_milli, sha256(coalesce(k.s, '')) as runs_sha256,
+       sha256(coalesce(t, '')) as collapsed_sha256
+from docs left join named k using (r) left join kept using (r)
+"""
+
+OP11 = f"""
+with given as (
+  select conv_id, coalesce(role, '') as role, coalesce(text, '') as text, turn from conversations where conv_id is not null),
+turns as (
+  select conv_id, row_number() over (partition by conv_id order by turn nulls first, role, md5(length(role) || ':' || role || text)) as pos,
+         dense_rank() over (order by role, text) as id, len({WORDS.format("text")}) as words
+  from given),
+convs as (select conv_id, cast({_crc32("cast(conv_id as varchar)")} % 4 as int) as h, conv_id - conv_id % 20 as base
+          from (select distinct conv_id from turns)),
+rebuilt as (
+  select c.conv_id, 0 as part, t.pos, t.id from convs c join turns t on t.conv_id = c.base and t.pos <= c.h
+  union all
+  select c.conv_id, 1, t.pos, t.id from convs c join turns t on t.conv_id = c.conv_id and t.pos > c.h),
+paths as (
+  select conv_id, coalesce(path, []) as path
+  from convs left join (select conv_id, list(id order by part, pos) as path from rebuilt group by conv_id) using (conv_id)),
+members as (select conv_id, d, path[1:d] as node, d = len(path) as ends from (select *, unnest(range(len(path) + 1)) as d from paths)),
+nodes as (
+  select node, d, min(conv_id) as conv_id, count(*) as n,
+         coalesce(string_agg(cast(conv_id as varchar), ',' order by conv_id) filter (where ends), '') as ended
+  from members group by node, d),
+children as (select node[1:d - 1] as node, count(*) as n from nodes where d > 0 group by all),
+words_of as (select distinct id, words from turns),
+gains as (
+  select n.node, n.d, (n.n - 1) * coalesce(w.words, 0) as gain, case when c.n is null then 1 else 0 end as leaf
+  from nodes n left join words_of w on w.id = n.node[n.d] left join children c on c.node = n.node),
+below as (
+  select node[1:u] as node, sum(gain) as saved, sum(leaf) as leaves from (select *, unnest(range(d + 1)) as u from gains) group by all)
+select n.conv_id, cast(n.d as bigint) as depth, p.conv_id as parent_conv_id, n.n as n_convs, coalesce(c.n, 0) as n_children,
+       cast(b.leaves as bigint) as n_leaves, cast(b.saved as bigint) as saved_tokens, sha256(n.ended) as ends_sha256
+from nodes n join below b using (node) left join children c on c.node = n.node
+     left join nodes p on n.d > 0 and p.node = n.node[1:n.d - 1] and p.d = n.d - 1
+"""
