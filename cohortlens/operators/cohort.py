@@ -13,11 +13,11 @@ Semantics kept from the original tool:
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cohortlens.functions import as_date
-from cohortlens.operators.joins import DEFAULT_HOT_ROWS, broadcast_if_small, salted_join
+from cohortlens.operators.joins import DEFAULT_BROADCAST_BYTES, DEFAULT_HOT_ROWS, broadcast_if_small, key_filter, salted_join
 from cohortlens.session import checkpoint_dir
 
 ALIVE = "alive"
@@ -136,24 +136,58 @@ def calculate_index_dates(events: DataFrame, mortality: DataFrame,
     return alive_index.unionByName(dead_index)
 
 
+def index_bounds(index_dates: DataFrame, window_days: int = OBSERVATION_DAYS) -> tuple:
+    """(first, last) date that any patient's window has; (None, None)
+    without index dates. One aggregation."""
+    row = index_dates.agg(F.date_sub(F.min("index_date"), window_days).alias("lo"), F.max("index_date").alias("hi")).first()
+    return row["lo"], row["hi"]
+
+
+def prune_events(events: DataFrame, index_dates: DataFrame, window_days: int = OBSERVATION_DAYS,
+                 patients: bool = True, broadcast_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
+    """``events`` without the rows that no window can hold, before any
+    shuffle: dates outside the bounds of all windows, as literals that reach
+    the file scan, and (``patients``) patients without an index date, by a
+    broadcast Bloom filter (``joins.key_filter``). A few rows of other
+    patients stay; the window join drops them.
+
+    ``index_dates`` (patientid, index_date) is read twice: pass it checkpointed.
+    """
+    lo, hi = index_bounds(index_dates, window_days)
+    if lo is None:
+        return events.limit(0)
+    inside = events.where(F.col("etimestamp").between(F.lit(lo), F.lit(hi)))
+    if not patients:
+        return inside
+    return key_filter(inside, index_dates.where(F.col("index_date").isNotNull()), "patientid", broadcast_bytes)
+
+
 def filter_events(events: DataFrame, index_dates: DataFrame,
-                  window_days: int = OBSERVATION_DAYS, hot_rows: int = DEFAULT_HOT_ROWS) -> DataFrame:
+                  window_days: int = OBSERVATION_DAYS, hot_rows: int = DEFAULT_HOT_ROWS,
+                  patients: bool = True) -> DataFrame:
     """Events inside [index_date - window_days, index_date], both ends
     inclusive; output keeps (patientid, eventid, etimestamp, value).
 
-    An equi-join on patientid with the range as a condition on its rows.
-    Patients with more than ``hot_rows`` events are split over several tasks
-    (``joins.salted_join``; one count job over the patient ids).
+    The index dates (a few rows a patient) are checkpointed once; the events
+    are pruned by them before the shuffle (``prune_events``; ``patients=False``
+    leaves the Bloom filter out where all patients are known to have an index
+    date). Then an equi-join on patientid with the range as a condition on its
+    rows. Patients with more than ``hot_rows`` events are split over several
+    tasks (``joins.salted_join``; one count job over the patient ids).
     """
     checkpoint_dir(events.sparkSession)
     ev = _events(events).select("patientid", "eventid", "etimestamp", "value")
-    idx = index_dates.select("patientid", as_date(index_dates, "index_date").alias("index_date"))
-    in_window = F.col("etimestamp").between(
-        F.date_sub(F.col("index_date"), window_days), F.col("index_date"))
-    return (salted_join(ev, idx, "patientid", hot_rows).where(in_window)
+    idx = index_dates.select("patientid", as_date(index_dates, "index_date").alias("index_date")).checkpoint(eager=True)
+    ev = prune_events(ev, idx, window_days, patients)
+    return (salted_join(ev, idx, "patientid", hot_rows).where(in_window(window_days))
             .select("patientid", "eventid", "etimestamp", "value"))
 
 
+def in_window(window_days: int = OBSERVATION_DAYS) -> Column:
+    """Whether a row's ``etimestamp`` is in its ``index_date``'s window."""
+    return F.col("etimestamp").between(F.date_sub(F.col("index_date"), window_days), F.col("index_date"))
+
+
 def validate_unique(df: DataFrame, key: str = "patientid") -> DataFrame:
     """(key, n_rows) for every key that occurs more than once."""
     return (df.groupBy(key).agg(F.count(F.lit(1)).alias("n_rows"))

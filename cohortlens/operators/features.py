@@ -12,6 +12,8 @@ from cohortlens.operators.ordering import dense_index
 from cohortlens.session import checkpoint_dir
 
 NORMALIZED_DECIMALS = 3
+# Codes of one patient that a task gathers at once.
+PIECE_CODES = 1 << 16
 
 
 def aggregate_events(filtered: DataFrame) -> DataFrame:
@@ -61,7 +63,8 @@ def normalized_value():
 
 
 def svmlight_convert(normalized: DataFrame, event_map: DataFrame,
-                     broadcast_bytes: int | None = DEFAULT_BROADCAST_BYTES) -> DataFrame:
+                     broadcast_bytes: int | None = DEFAULT_BROADCAST_BYTES,
+                     piece_codes: int = PIECE_CODES) -> DataFrame:
     """(patientid, sparse_feature array<string>) with ``"index:value"``
     tokens in ascending numeric index order.
 
@@ -70,14 +73,19 @@ def svmlight_convert(normalized: DataFrame, event_map: DataFrame,
     Rows whose rounded value is not > 0 are dropped; codes missing from the
     map are dropped (inner join) rather than emitted as a bare value
     (``unmapped_codes`` counts them).
-    One ``collect_list`` of (index, token) structs per patient, sorted once,
-    instead of a running list per row.
+    Tokens are gathered in ranges of ``piece_codes`` indices (``sparse_rows``).
     """
     kept = normalized.where(F.col("normalized_feature_value") > 0)
     code_map = event_map.select("eventid", "event_index")
     if broadcast_bytes is not None:
         code_map = broadcast_if_small(code_map, broadcast_bytes)
-    return sparse_rows(kept.join(code_map, "eventid", "inner"))
+    return sparse_rows(kept.join(code_map, "eventid", "inner"), highest_index(event_map), piece_codes)
+
+
+def highest_index(event_map: DataFrame) -> int:
+    """The number of indices up to the largest (one aggregation of the map)."""
+    top = event_map.agg(F.max("event_index")).first()[0]
+    return 0 if top is None else int(top) + 1
 
 
 def unmapped_codes(normalized: DataFrame, event_map: DataFrame) -> DataFrame:
@@ -88,16 +96,29 @@ def unmapped_codes(normalized: DataFrame, event_map: DataFrame) -> DataFrame:
     return counts.join(event_map.select("eventid"), "eventid", "left_anti")
 
 
-def sparse_rows(indexed: DataFrame) -> DataFrame:
+def sparse_rows(indexed: DataFrame, n_codes: int | None = None, piece_codes: int = PIECE_CODES) -> DataFrame:
     """(patientid, sparse_feature) from rows (patientid, event_index,
-    normalized_feature_value) whose value is already known to be > 0."""
+    normalized_feature_value) whose value is already known to be > 0.
+
+    A patient's tokens are gathered for ranges of ``piece_codes`` indices and
+    the ranges put together in order, so no task gathers more than a range's
+    pairs at once; a patient with millions of codes is built by many tasks, and
+    only the finished pieces (the bytes of the row itself) meet in one. With at
+    most ``piece_codes`` codes (``n_codes``) one range holds all of them, and a
+    patient is gathered in one step.
+    """
     pair = F.struct(F.col("event_index").alias("i"),
                     svm_token(F.col("event_index"),
                               F.col("normalized_feature_value")).alias("t"))
     # sort_array orders the structs by index first; taking field "t" of the
     # struct array needs no lambda, so the projection stays in codegen.
-    return (indexed.groupBy("patientid")
-            .agg(F.sort_array(F.collect_list(pair)).getField("t").alias("sparse_feature")))
+    tokens = F.sort_array(F.collect_list(pair)).getField("t")
+    if n_codes is not None and n_codes <= piece_codes:
+        return indexed.groupBy("patientid").agg(tokens.alias("sparse_feature"))
+    piece = F.floor(F.col("event_index") / F.lit(piece_codes)).alias("_piece")
+    pieces = indexed.groupBy("patientid", piece).agg(F.array_join(tokens, " ").alias("_tokens"))
+    whole = F.sort_array(F.collect_list(F.struct("_piece", "_tokens"))).getField("_tokens")
+    return pieces.groupBy("patientid").agg(F.split(F.array_join(whole, " "), " ").alias("sparse_feature"))
 
 
 def code_stats(agg_events: DataFrame, num_partitions: int | None = None) -> DataFrame:

@@ -25,6 +25,9 @@ weight by (1 - 2 * eta * mu).
 
 from __future__ import annotations
 
+import math
+from collections.abc import Iterable, Iterator
+
 import numpy as np
 import pyarrow as pa
 from pyspark import StorageLevel
@@ -33,6 +36,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cohortlens.functions import sigmoid
+from cohortlens.operators.exact import exact_sum
 from cohortlens.operators.joins import DEFAULT_BROADCAST_BYTES, broadcast_if_small
 from cohortlens.session import checkpoint_dir, ship_package
 
@@ -60,24 +64,30 @@ def _weights_side(weights: DataFrame, broadcast_bytes: int | None) -> DataFrame:
 
 
 def margins(samples: DataFrame, weights: DataFrame, id_col: str = "sample_id",
-            broadcast_bytes: int | None = DEFAULT_BROADCAST_BYTES) -> DataFrame:
+            broadcast_bytes: int | None = DEFAULT_BROADCAST_BYTES, exact: bool = True) -> DataFrame:
     """(id, y, margin) with margin = sum_i w_i * v_i; no features -> 0.
 
-    ``id_col`` must be unique (``with_sample_id``). Input hash-partitioned by
-    it is summed without a shuffle."""
+    ``id_col`` must be unique (``with_sample_id``). With ``exact`` the
+    products are summed by ``exact_sum``, as the original's compensated sum
+    does it: the same bits on any partitioning. Without it by a plain partial
+    aggregation, whose last digits follow the order of the rows; input
+    hash-partitioned by the id is summed without a shuffle either way."""
     exploded = samples.select(id_col, "y", F.explode_outer("x").alias("_e"))
     joined = exploded.join(_weights_side(weights, broadcast_bytes),
                            F.col("_e.i") == F.col("_fi"), "left")
-    return (joined.groupBy(id_col)
-            .agg(F.first("y").alias("y"),
-                 F.coalesce(F.sum(F.col("_w") * F.col("_e.v")), F.lit(0.0)).alias("margin")))
+    terms = joined.select(id_col, "y", (F.col("_w") * F.col("_e.v")).alias("_t"))
+    if exact:
+        sums = exact_sum(terms, [id_col], "_t", "margin", carry=("y",))
+    else:
+        sums = terms.groupBy(id_col).agg(F.first("y").alias("y"), F.sum("_t").alias("margin"))
+    return sums.select(id_col, "y", F.coalesce("margin", F.lit(0.0)).alias("margin"))
 
 
 def score(samples: DataFrame, weights: DataFrame, id_col: str = "sample_id",
-          broadcast_bytes: int | None = DEFAULT_BROADCAST_BYTES) -> DataFrame:
+          broadcast_bytes: int | None = DEFAULT_BROADCAST_BYTES, exact: bool = True) -> DataFrame:
     """(id, y, margin, prob) with prob = 1 / (1 + e^-margin), one row for
-    each sample."""
-    m = margins(samples, weights, id_col, broadcast_bytes)
+    each sample; ``exact`` as for ``margins``."""
+    m = margins(samples, weights, id_col, broadcast_bytes, exact)
     return m.withColumn("prob", sigmoid(F.col("margin")))
 
 
@@ -105,21 +115,26 @@ def _residual(y: Column, margin: Column, v: Column, rule: str) -> Column:
 
 def gd_step(samples: DataFrame, weights: DataFrame, eta: float, mu: float,
             n_samples: int, id_col: str = "sample_id", rule: str = "textbook",
-            broadcast_bytes: int | None = DEFAULT_BROADCAST_BYTES) -> DataFrame:
+            broadcast_bytes: int | None = DEFAULT_BROADCAST_BYTES, exact: bool = False) -> DataFrame:
     """One full-batch step: w <- (w + eta / N * g) * (1 - 2 eta mu) with
     g_i = sum over samples of the per-sample update term of feature i.
 
     Margins are a hash aggregation per sample; a hash join by sample brings
     them back to the features. On samples that are hash-partitioned by the id
-    neither shuffles or sorts the exploded features."""
+    neither shuffles or sorts the exploded features. With ``exact`` the margins
+    and the gradient are sums that do not depend on the partitioning, so that
+    the weights are the same bits on any."""
     known = samples.where(F.col("y").isNotNull())
-    m = margins(known, weights, id_col, broadcast_bytes).select(id_col, "margin")
+    m = margins(known, weights, id_col, broadcast_bytes, exact).select(id_col, "margin")
     exploded = (known.select(id_col, "y", F.explode("x").alias("_e"))
                 .where(F.col("_e.i").isNotNull() & F.col("_e.v").isNotNull()))
     with_margin = exploded.join(m.hint("shuffle_hash"), id_col)
     term = _residual(F.col("y"), F.col("margin"), F.col("_e.v"), rule)
-    grad = (with_margin.groupBy(F.col("_e.i").alias("feature_index"))
-            .agg(F.sum(term).alias("_g")))
+    terms = with_margin.select(F.col("_e.i").alias("feature_index"), term.alias("_t"))
+    if exact:
+        grad = exact_sum(terms, ["feature_index"], "_t", "_g")
+    else:
+        grad = terms.groupBy("feature_index").agg(F.sum("_t").alias("_g"))
     shrink = 1.0 - 2.0 * eta * mu
     old = weights.select("feature_index", F.col("weight").alias("_old"))
     return old.join(grad, "feature_index", "full_outer").select(
@@ -131,7 +146,7 @@ def gd_step(samples: DataFrame, weights: DataFrame, eta: float, mu: float,
 
 def train_gd(samples: DataFrame, steps: int, eta: float = DEFAULT_ETA, mu: float = DEFAULT_MU,
              id_col: str = "sample_id", rule: str = "textbook",
-             weights: DataFrame | None = None, colocate: bool = True) -> DataFrame:
+             weights: DataFrame | None = None, colocate: bool = True, exact: bool = False) -> DataFrame:
     """``steps`` full-batch steps from zero weights (or ``weights``).
 
     The labelled samples are hash-partitioned by id once (``colocate``; skip
@@ -153,7 +168,7 @@ def train_gd(samples: DataFrame, steps: int, eta: float = DEFAULT_ETA, mu: float
         n = data.count()
         w = weights if weights is not None else zero_weights(spark)
         for _ in range(steps):
-            w = gd_step(data, w, eta, mu, n, id_col, rule).checkpoint(eager=True)
+            w = gd_step(data, w, eta, mu, n, id_col, rule, exact=exact).checkpoint(eager=True)
     finally:
         data.unpersist()
     return w
@@ -161,25 +176,77 @@ def train_gd(samples: DataFrame, steps: int, eta: float = DEFAULT_ETA, mu: float
 
 # ---------------------------------------------------------------- SGD ----
 
-def _sgd_pass(ys: np.ndarray, offsets: np.ndarray, index: np.ndarray, values: np.ndarray, w: np.ndarray,
-              eta: float, mu: float, rule: str) -> np.ndarray:
-    """The per-sample step over one shard's samples in order; ``index`` counts
-    within the shard's own features. The shrink of weights that a sample does
-    not touch is put off until one does, and made up for at the end."""
-    r, seen = 1.0 - 2.0 * eta * mu, np.zeros(len(w))
-    for k, y in enumerate(ys):
-        own = slice(offsets[k], offsets[k + 1])
-        i, v = index[own], values[own]
-        w[i] *= r ** (k - seen[i])
-        margin = float(w[i] @ v)
-        if rule == "textbook":
-            move = v * (y - 1.0 / (1.0 + np.exp(-margin)))
-        else:
-            move = y - v / (1.0 + np.exp(-abs(margin)))
-        np.add.at(w, i, eta * move)
-        w[i] *= r
-        seen[i] = k + 1
-    return w * r ** (len(ys) - seen)
+class _Shard:
+    """One shard's sequential pass: weights of the features that occur in it,
+    carried from batch to batch. The shrink of weights that a sample does not
+    touch is put off until one does, and made up for at the end."""
+
+    def __init__(self, features: np.ndarray, weights: np.ndarray, eta: float, mu: float, rule: str):
+        self.features, self.start, self.w = features, weights, weights.copy()
+        self.seen, self.n = np.zeros(len(features)), 0
+        self.eta, self.shrink, self.rule = eta, 1.0 - 2.0 * eta * mu, rule
+
+    def learn(self, ys: np.ndarray, offsets: np.ndarray, features: np.ndarray, values: np.ndarray) -> None:
+        index, w, r = np.searchsorted(self.features, features), self.w, self.shrink
+        for k, y in enumerate(ys):
+            own = slice(offsets[k], offsets[k + 1])
+            i, v = index[own], values[own]
+            w[i] *= r ** (self.n - self.seen[i])
+            margin = math.fsum((w[i] * v).tolist())
+            if self.rule == "textbook":
+                move = v * (y - 1.0 / (1.0 + np.exp(-margin)))
+            else:
+                move = y - v / (1.0 + np.exp(-abs(margin)))
+            np.add.at(w, i, self.eta * move)
+            w[i] *= r
+            self.n += 1
+            self.seen[i] = self.n
+
+    def deltas(self, limit: int = 100_000) -> Iterator[pa.RecordBatch]:
+        """The end weights less what shrinking alone would have left."""
+        moved = self.w * self.shrink ** (self.n - self.seen) - self.start * self.shrink ** self.n
+        for lo in range(0, len(moved), limit):
+            yield pa.RecordBatch.from_arrays([pa.array(self.features[lo:lo + limit], pa.int32()), pa.array(moved[lo:lo + limit], pa.float64())],
+                                             names=["feature_index", "delta"])
+
+
+def _sgd_stream(eta: float, mu: float, rule: str):
+    """Rows sorted by shard, weights before samples, to the shards' deltas: a
+    task holds one shard's weights and one batch of samples."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own, state, known = None, None, []
+
+        def begun() -> _Shard:
+            parts = [(np.asarray(b.column("feature_index")), np.asarray(b.column("weight"))) for b in known]
+            features, weights = (np.concatenate(x) for x in zip(*parts)) if parts else (np.zeros(0, np.int32), np.zeros(0))
+            known.clear()
+            return _Shard(features, weights, eta, mu, rule)
+
+        for batch in batches:
+            shard, sample = np.asarray(batch.column("shard")), np.asarray(batch.column("kind")) == 1
+            cuts = np.flatnonzero((shard[1:] != shard[:-1]) | (sample[1:] != sample[:-1])) + 1
+            for lo, hi in zip([0, *cuts], [*cuts, len(shard)]):
+                if hi == lo:
+                    continue
+                if shard[lo] != own:
+                    if state is not None:
+                        yield from state.deltas()
+                    own, state = shard[lo], None
+                    known.clear()
+                part = batch.slice(lo, hi - lo)
+                if not sample[lo]:
+                    known.append(part)
+                    continue
+                if state is None:
+                    state = begun()
+                lists, values = part.column("xi"), part.column("xv")
+                offsets = np.asarray(lists.offsets).astype(np.int64)
+                state.learn(np.asarray(part.column("y")), offsets - offsets[0], np.asarray(lists.flatten()), np.asarray(values.flatten()))
+        if state is not None:
+            yield from state.deltas()
+
+    return run
 
 
 def shard_of(id_col: Column, shards: int) -> Column:
@@ -191,15 +258,19 @@ def train_sgd(samples: DataFrame, n_feature: int, eta: float = DEFAULT_ETA,
               mu: float = DEFAULT_MU, shards: int | None = None, epochs: int = 1,
               id_col: str = "sample_id", rule: str = "textbook",
               weights: DataFrame | None = None, rows_per_shard: int = ROWS_PER_SHARD,
-              validate: bool = True) -> DataFrame:
+              validate: bool = True, order_col: str | None = None) -> DataFrame:
     """Sharded SGD with parameter mixing; returns (feature_index, weight).
 
     Labelled samples go to shards by md5 of the id; their number follows the
     samples (``rows_per_shard`` each, about) unless given. A shard runs the
-    sequential step over its samples in id order, holding weights for the
-    features that occur in it only; the new weights are the mean over the
-    non-empty shards. Weights travel as a table joined to the shards that use
-    them: no dense vector anywhere, no bound on the features.
+    sequential step over its samples in the order of ``order_col`` (ties, and
+    without it, by id): rows are sorted within their shard by Spark and stream
+    through the task, which holds one batch and weights for the features that
+    occur in the shard. With ``shards=1`` and the lines' place in their file
+    (``sources.file_order``) that is the original's single pass in file order.
+    The new weights are the mean over the non-empty shards. Weights travel as
+    rows ahead of the samples that use them: no dense vector anywhere, no bound
+    on the features.
     """
     if rule not in RULES:
         raise ValueError(f"rule must be one of {RULES}")
@@ -209,36 +280,26 @@ def train_sgd(samples: DataFrame, n_feature: int, eta: float = DEFAULT_ETA,
     if validate:
         check_feature_range(samples, n_feature)
     fine = F.filter("x", lambda e: e["i"].isNotNull() & e["v"].isNotNull())
-    data = samples.where(F.col("y").isNotNull()).select(F.col(id_col).alias("_id"), "y", fine.alias("x"))
+    place = [F.col(order_col).alias("_place")] if order_col else []
+    data = samples.where(F.col("y").isNotNull()).select(F.col(id_col).alias("_id"), *place, "y", fine.alias("x"))
     n = data.count()
     k = shards or max(1, -(-n // rows_per_shard))
-    data = data.select(shard_of(F.col("_id"), k).alias("shard"), "_id", "y", F.col("x.i").alias("xi"), F.col("x.v").alias("xv"))
+    data = data.select(shard_of(F.col("_id"), k).alias("shard"), F.lit(1).alias("kind"), *(["_place"] if place else []), "_id", "y",
+                       F.col("x.i").alias("xi"), F.col("x.v").alias("xv"))
     data = data.checkpoint(eager=True)
     uses = data.select("shard", F.explode("xi").alias("feature_index")).distinct()
     used = data.select("shard").distinct().count()
     sizes = data.groupBy("shard").agg(F.count(F.lit(1)).alias("n"))
-    shrink = 1.0 - 2.0 * eta * mu
-    whole = sizes.agg(F.sum(F.pow(F.lit(shrink), F.col("n"))).alias("s")).first()["s"] or 0.0
-
-    def run(key: tuple, rows: pa.Table, start: pa.Table) -> pa.Table:
-        rows = rows.sort_by("_id")
-        lists = rows.column("xi").combine_chunks()
-        offsets = np.asarray(lists.offsets).astype(np.int64) if len(lists) else np.zeros(1, np.int64)
-        features, index = np.unique(lists.flatten().to_numpy(zero_copy_only=False), return_inverse=True)
-        values = rows.column("xv").combine_chunks().flatten().to_numpy(zero_copy_only=False)
-        first = np.zeros(len(features))
-        at = start.column("feature_index").to_numpy()
-        first[np.searchsorted(features, at)] = start.column("weight").to_numpy()
-        ys = rows.column("y").to_numpy()
-        end = _sgd_pass(ys, offsets - offsets[0], index, values, first.copy(), eta, mu, rule)
-        return pa.table({"feature_index": pa.array(features, pa.int32()),
-                         "delta": pa.array(end - first * shrink ** len(ys), pa.float64())})
+    whole = sizes.agg(F.sum(F.pow(F.lit(1.0 - 2.0 * eta * mu), F.col("n"))).alias("s")).first()["s"] or 0.0
+    order = ["shard", "kind", "feature_index", *(["_place"] if place else []), "_id"]
 
     w = weights if weights is not None else zero_weights(spark)
     for _ in range(epochs):
-        start = uses.join(w, "feature_index").select(F.col("shard").alias("of"), "feature_index", "weight")
-        moves = (data.groupBy("shard").cogroup(start.groupBy("of"))
-                 .applyInArrow(run, "feature_index int, delta double")
+        start = (uses.join(w, "feature_index", "left")
+                 .select("shard", F.lit(0).alias("kind"), "feature_index", F.coalesce("weight", F.lit(0.0)).alias("weight")))
+        rows = data.unionByName(start, allowMissingColumns=True).repartitionById(k, "shard").sortWithinPartitions(*order)
+        moves = (rows.select("shard", "kind", "feature_index", "weight", "y", "xi", "xv")
+                 .mapInArrow(_sgd_stream(eta, mu, rule), "feature_index int, delta double")
                  .groupBy("feature_index").agg(F.sum("delta").alias("delta")))
         # shards that do not touch a weight only shrink it
         w = w.join(moves, "feature_index", "full_outer").select(

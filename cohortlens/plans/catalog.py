@@ -27,7 +27,8 @@ from cohortlens.operators.features import (
     unmapped_codes,
     with_sample_id,
 )
-from cohortlens.operators.linear import classify, score, train_gd, train_sgd
+from cohortlens.operators.exact import exact_sum
+from cohortlens.operators.linear import classify, score, train_gd, train_sgd, zero_weights
 from cohortlens.operators.metrics import (
     common_codes,
     common_codes_by_class,
@@ -37,11 +38,22 @@ from cohortlens.operators.metrics import (
     record_length_metrics,
     top_codes,
 )
-from cohortlens.operators.split import hash_split
+from cohortlens.operators.split import hash_split, read_split, train_test_split
 from cohortlens.plans.cohort_profile import cohort_profile
-from cohortlens.plans.sample_build import build_samples
-from cohortlens.sources.csv_events import EVENTS_CSV_SCHEMA, MORTALITY_CSV_SCHEMA, ingest_events, ingest_mortality
-from cohortlens.sources.svmlight import parse_svmlight
+from cohortlens.plans.sample_build import build_samples, build_samples_colocated, colocated_counts
+from cohortlens.sources.csv_events import (
+    EVENTS_CSV_SCHEMA,
+    MORTALITY_CSV_SCHEMA,
+    ingest_events,
+    ingest_mortality,
+    read_events_checked,
+    read_mortality_checked,
+    source_report,
+)
+from cohortlens.sources.event_table import write_event_table
+from cohortlens.sources.folders import new_folder
+from cohortlens.sources.model_store import load_model, save_model
+from cohortlens.sources.svmlight import bad_pairs, parse_svmlight, read_svmlight_checked, svmlight_report
 from cohortlens.sources.tables import EV_SQL, MO_SQL, cohort_inputs, read_table
 
 DIGITS = 6
@@ -226,7 +238,7 @@ SPLIT_MODEL = ",\n".join(b.strip() for b in (
 
 
 
-def _sgd_sql(rule: str) -> str:
+def _sgd_sql(rule: str, order: str = "sample_id") -> str:
     """One pass of per-sample SGD in md5 shards, mixed: a shard's weights are a
     list that a recursive step takes from sample to sample."""
     move = (f"{Q_ETA} * coalesce(v[i], 0) * (y - 1.0 / (1.0 + exp(-m)))" if rule == "textbook"
@@ -235,9 +247,9 @@ def _sgd_sql(rule: str) -> str:
 nf as (select count(*) as n from emap),
 nk as (select greatest(1, cast(ceil(count(*) / {Q_SHARD_ROWS}.0) as bigint)) as k from parsed_y),
 dealt as (
-  select sample_id, y, cast(concat('0x', substring(md5(sample_id), 1, 8)) as bigint) % (select k from nk) as shard
-  from parsed_y),
-placed as (select *, row_number() over (partition by shard order by sample_id) as pos from dealt),
+  select sample_id, y, patientid, cast(concat('0x', substring(md5(sample_id), 1, 8)) as bigint) % (select k from nk) as shard
+  from parsed_y join (select sample_id, patientid from ids) using (sample_id)),
+placed as (select *, row_number() over (partition by shard order by {order}) as pos from dealt),
 dense as (
   select p.shard, p.pos, any_value(p.y) as y, list(x.feature_value order by f.i) as v
   from placed p cross join (select unnest(range((select n from nf))) as i) f
@@ -455,6 +467,23 @@ def q_filter_events(spark, sf_dir):
     return filter_events(ev, calculate_index_dates(ev, mo))
 
 
+@register("filter_events_subcohort", _with(BASE, FEATURES) + """
+select e.patientid, e.eventid, e.etimestamp, e.value
+from ev e join idx i on e.patientid = i.patientid
+where i.patientid % 7 = 0 and e.etimestamp between cast(i.index_date - 200 as date) and i.index_date""")
+def q_filter_events_subcohort(spark, sf_dir):
+    """The windows of every seventh patient, 200 days long: most events are
+    pruned before the shuffle."""
+    ev, mo = cohort_inputs(spark, sf_dir)
+    return filter_events(ev, calculate_index_dates(ev, mo).where("patientid % 7 = 0"), window_days=200)
+
+
+def _counts(spark, sf_dir) -> DataFrame:
+    """Counts per patient and code, computed once for all that follows."""
+    ev, mo = cohort_inputs(spark, sf_dir)
+    return aggregate_events(filter_events(ev, calculate_index_dates(ev, mo), patients=False)).checkpoint(eager=True)
+
+
 @register("aggregate_events", _with(BASE, FEATURES) + """
 select patientid, eventid, feature_value from agg""")
 def q_aggregate_events(spark, sf_dir):
@@ -473,27 +502,34 @@ def q_feature_mapping(spark, sf_dir):
 @register("normalization", _with(BASE, FEATURES) + """
 select patientid, eventid, normalized_feature_value from norm""")
 def q_normalization(spark, sf_dir):
-    ev, mo = cohort_inputs(spark, sf_dir)
-    return normalization(aggregate_events(filter_events(ev, calculate_index_dates(ev, mo))))
+    return normalization(_counts(spark, sf_dir))
 
 
 @register("svmlight_convert", _with(BASE, FEATURES) + """
 select patientid, sparse_text from svm""")
 def q_svmlight_convert(spark, sf_dir):
-    ev, mo = cohort_inputs(spark, sf_dir)
-    agg = aggregate_events(filter_events(ev, calculate_index_dates(ev, mo)))
-    svm = svmlight_convert(normalization(agg), generate_feature_mapping(agg))
+    return _sparse(_counts(spark, sf_dir))
+
+
+def _sparse(counts: DataFrame, **options) -> DataFrame:
+    svm = svmlight_convert(normalization(counts), generate_feature_mapping(counts), **options)
     return svm.select("patientid", F.array_join("sparse_feature", " ").alias("sparse_text"))
 
 
+@register("svmlight_convert_pieces", _with(BASE, FEATURES) + """
+select patientid, sparse_text from svm""")
+def q_svmlight_convert_pieces(spark, sf_dir):
+    """Rows put together from ranges of 16 codes."""
+    return _sparse(_counts(spark, sf_dir), piece_codes=16)
+
+
 @register("unmapped_codes", _with(BASE, FEATURES) + """
 select eventid, count(*) as n_rows from norm
 where normalized_feature_value > 0 and (eventid is null or eventid not in (select eventid from emap where event_index % 2 = 0))
 group by eventid""")
 def q_unmapped_codes(spark, sf_dir):
     """Rows per code that a map of every other code leaves out."""
-    ev, mo = cohort_inputs(spark, sf_dir)
-    agg = aggregate_events(filter_events(ev, calculate_index_dates(ev, mo)))
+    agg = _counts(spark, sf_dir)
     half = generate_feature_mapping(agg).where("event_index % 2 = 0")
     return unmapped_codes(normalization(agg), half)
 
@@ -521,6 +557,93 @@ def q_split_train(spark, sf_dir):
     return hash_split(_samples(spark, sf_dir), "patientid")[1]
 
 
+def _event_table(spark, sf_dir):
+    """The events in 8 buckets by patient; patients of over 150 events beside them."""
+    ev, mo = cohort_inputs(spark, sf_dir)
+    return write_event_table(ev, new_folder(spark, "events"), buckets=8, hot_rows=150), mo
+
+
+@register("aggregate_events_colocated", _with(BASE, FEATURES) + """
+select patientid, eventid, feature_value from agg""")
+def q_aggregate_events_colocated(spark, sf_dir):
+    return colocated_counts(*_event_table(spark, sf_dir), hot_rows=150)
+
+
+@register("samples_colocated", _with(BASE, FEATURES) + """
+select patientid, save_feature from samples""")
+def q_samples_colocated(spark, sf_dir):
+    return build_samples_colocated(*_event_table(spark, sf_dir), hot_rows=150, cache=False)["samples"]
+
+
+@register("split_written", _with(BASE, FEATURES) + f"""
+select case when {_SPLIT_TEST} then 'test' else 'train' end as side, save_feature from samples""")
+def q_split_written(spark, sf_dir):
+    """Both sides as text files, written by one job over an earlier output,
+    and read back."""
+    out = new_folder(spark, "split")
+    paths = f"{out}/training", f"{out}/testing"
+    for p in paths:
+        spark.range(3).selectExpr("'old line'").write.text(p)
+    train_test_split(_samples(spark, sf_dir), *paths)
+    return read_split(spark, *paths)
+
+
+# ---------------------------------------------------------- file sources --
+
+# Lines with a bad id, a bad date, a bad number, a field too few and one too many.
+_EVENT_LINE = """
+case when l_linenumber = 2 then 'bad' else cast(l_orderkey as {text}) end || ',' || 'DIAG' || cast(l_partkey as {text}) || ',text,' ||
+case when l_partkey % 7 = 0 then 'x' when l_partkey % 11 = 0 then '' else cast(cast(l_shipdate as date) as {text}) end ||
+case when l_linenumber = 3 then '' else ',' || case when l_suppkey % 5 = 0 then 'oops' else cast(l_quantity as {text}) end end ||
+case when l_linenumber = 4 then ',more' else '' end"""
+
+EVENT_LINES = f"""
+lines as (
+  select case when l_linenumber = 2 then null else cast(l_orderkey as int) end as patientid,
+         concat('DIAG', cast(l_partkey as varchar)) as eventid,
+         case when l_partkey % 7 = 0 or l_partkey % 11 = 0 then null else cast(l_shipdate as date) end as etimestamp,
+         case when l_suppkey % 5 = 0 or l_linenumber = 3 then null else cast(l_quantity as float) end as value,
+         case when l_linenumber in (2, 3, 4) or l_partkey % 7 = 0 or l_suppkey % 5 = 0 then {_EVENT_LINE.format(text="varchar")} end as bad_record
+  from lineitem)"""
+
+
+def _events_file(spark, sf_dir) -> DataFrame:
+    path = new_folder(spark, "events-csv")
+    read_table(spark, sf_dir, "lineitem").select(F.expr(_EVENT_LINE.format(text="string")).alias("value")).write.text(path)
+    return read_events_checked(spark, path)
+
+
+@register("events_file", _with(EVENT_LINES) + """
+select patientid, eventid, etimestamp, value, bad_record from lines""")
+def q_events_file(spark, sf_dir):
+    """Event files with faulty lines: the rows, and the lines that do not fit."""
+    return _events_file(spark, sf_dir)
+
+
+@register("events_file_report", _with(EVENT_LINES) + """
+select count(*) as n_lines, count(bad_record) as n_bad_lines, count(*) - count(patientid) as n_no_patient,
+       count(*) - count(etimestamp) as n_no_date from lines""")
+def q_events_file_report(spark, sf_dir):
+    return source_report(_events_file(spark, sf_dir))
+
+
+@register("mortality_file", """
+select cast(o_custkey as int) as patientid,
+       case when o_orderkey % 7 = 0 or o_orderkey % 11 = 0 then null else cast(o_orderdate as date) end as mtimestamp,
+       case when o_orderkey % 5 = 0 then null when o_orderkey % 3 = 0 then 0 else 1 end as label,
+       case when o_orderkey % 7 = 0 or o_orderkey % 5 = 0 then
+         concat_ws(',', cast(o_custkey as varchar), case when o_orderkey % 7 = 0 then 'x' when o_orderkey % 11 = 0 then '' else cast(cast(o_orderdate as date) as varchar) end,
+                   case when o_orderkey % 5 = 0 then 'no' when o_orderkey % 3 = 0 then '0' else '1' end) end as bad_record
+from orders""")
+def q_mortality_file(spark, sf_dir):
+    path = new_folder(spark, "mortality-csv")
+    line = F.expr("concat_ws(',', o_custkey, case when o_orderkey % 7 = 0 then 'x' when o_orderkey % 11 = 0 then '' "
+                  "else cast(cast(o_orderdate as date) as string) end, "
+                  "case when o_orderkey % 5 = 0 then 'no' when o_orderkey % 3 = 0 then '0' else '1' end)")
+    read_table(spark, sf_dir, "orders").select(line.alias("value")).write.text(path)
+    return read_mortality_checked(spark, path)
+
+
 # -------------------------------------------------------------- learner --
 
 def _parsed(spark, sf_dir) -> DataFrame:
@@ -570,6 +693,49 @@ def q_parse_odd_lines(spark, sf_dir):
     return p.select("sample_id", "y", F.size("x").alias("n_pairs"), bad("i"), bad("v"))
 
 
+ODD_LINES = """
+faults as (
+  select line, try_cast(t[1] as double) as y, cast(len(t) - 1 as int) as n_pairs,
+         cast(coalesce(list_sum([case when try_cast(split_part(p, ':', 1) as int) is null or position(':' in p) = 0
+                                        or try_cast(split_part(p, ':', 2) as double) is null then 1 else 0 end for p in t[2:]]), 0) as int) as n_bad_pairs
+  from (select line, regexp_split_to_array(regexp_replace(line, '^\\s+|\\s+$', '', 'g'), '\\s+') as t from odd))
+"""
+
+
+def _svmlight_file(spark, sf_dir) -> DataFrame:
+    """Sample files with the faults of ``parse_odd_lines``, read back."""
+    path = new_folder(spark, "svmlight")
+    kind, line = F.pmod("patientid", F.lit(5)), F.col("save_feature")
+    odd = (F.when(kind == 0, line).when(kind == 1, F.concat(F.lit("\t"), line, F.lit("\t "))).when(kind == 2, F.substring(line, 1, 1))
+           .when(kind == 3, F.concat(line, F.lit(" junk x:1 2:y"))).otherwise(F.concat(F.lit("x"), line)))
+    _samples(spark, sf_dir).select(odd.alias("value")).write.text(path)
+    return read_svmlight_checked(spark, path)
+
+
+@register("svmlight_file", _with(BASE, FEATURES, ODD, ODD_LINES) + """
+select line, y, n_pairs, n_bad_pairs, case when y is null or n_bad_pairs > 0 then line end as bad_record from faults""")
+def q_svmlight_file(spark, sf_dir):
+    return _svmlight_file(spark, sf_dir).select("line", "y", F.size("x").alias("n_pairs"), bad_pairs().alias("n_bad_pairs"), "bad_record")
+
+
+@register("svmlight_file_report", _with(BASE, FEATURES, ODD, ODD_LINES) + """
+select count(*) as n_lines, cast(sum(case when y is null or n_bad_pairs > 0 then 1 else 0 end) as bigint) as n_bad_lines,
+       count(*) - count(y) as n_no_label, cast(sum(n_bad_pairs) as bigint) as n_bad_pairs from faults""")
+def q_svmlight_file_report(spark, sf_dir):
+    return svmlight_report(_svmlight_file(spark, sf_dir))
+
+
+@register("exact_sums", """
+select l_suppkey, round(fsum(l_extendedprice * (1 - l_discount) * case when l_linenumber % 2 = 0 then -1 else 1 end), 4) as total
+from lineitem group by l_suppkey""")
+def q_exact_sums(spark, sf_dir):
+    """A balance per supplier, by sums that do not depend on the partitioning."""
+    lines = read_table(spark, sf_dir, "lineitem")
+    signed = F.col("l_extendedprice") * (1 - F.col("l_discount")) * F.when(F.col("l_linenumber") % 2 == 0, -1).otherwise(1)
+    sums = exact_sum(lines.select("l_suppkey", signed.cast("double").alias("price")), ["l_suppkey"], "price")
+    return sums.select("l_suppkey", F.round("total", 4).alias("total"))
+
+
 def _gd_weights(parsed: DataFrame, rule: str = "textbook") -> DataFrame:
     return train_gd(parsed, Q_GD_STEPS, Q_ETA, Q_MU, "sample_id", rule)
 
@@ -637,6 +803,32 @@ def _sgd(spark, sf_dir, rule: str) -> DataFrame:
     return w.select("feature_index", _r("weight"))
 
 
+@register("saved_model_score", _with(BASE, FEATURES, GD, SCORED_SQL) + f"""
+select sample_id, y, round(margin, {DIGITS}) as margin, round(1.0 / (1.0 + exp(-margin)), {DIGITS}) as prob, 2 as version
+from scored""")
+def q_saved_model_score(spark, sf_dir):
+    """Two versions of a model saved, a third left half-written: the second
+    is loaded and scores."""
+    path = new_folder(spark, "model")
+    parsed = _parsed(spark, sf_dir)
+    save_model(zero_weights(spark), path, Q_ETA, Q_MU, 0)
+    weights = _gd_weights(parsed)
+    save_model(weights, path, Q_ETA, Q_MU, weights.count())
+    weights.select("feature_index", F.lit(9.0).alias("weight"), F.lit("cut off").alias("saved_by")).write.parquet(f"{path}/version=3")
+    loaded, params = load_model(spark, path)
+    scored = score(parsed, loaded)
+    return scored.select("sample_id", "y", _r("margin"), _r("prob"), F.lit(params["version"]).alias("version"))
+
+
+@register("train_sgd_ordered", _with(BASE, FEATURES, PARSED, _sgd_sql("textbook", "patientid desc, sample_id")))
+def q_train_sgd_ordered(spark, sf_dir):
+    """Every shard's samples in the caller's order: patients from the last to the first."""
+    built = build_samples(*cohort_inputs(spark, sf_dir), cache=False)
+    data = parse_svmlight(with_sample_id(built["samples"]), "save_feature").withColumn("place", -F.col("patientid"))
+    w = train_sgd(data, built["event_map"].count(), Q_ETA, Q_MU, rows_per_shard=Q_SHARD_ROWS, order_col="place")
+    return w.select("feature_index", _r("weight"))
+
+
 @register("train_sgd", _with(BASE, FEATURES, PARSED, _sgd_sql("textbook")))
 def q_train_sgd(spark, sf_dir):
     return _sgd(spark, sf_dir, "textbook")

@@ -3,14 +3,17 @@
 
 from __future__ import annotations
 
+from typing import TYPE_CHECKING
+
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cohortlens.operators.cohort import calculate_index_dates, filter_events
+from cohortlens.operators.cohort import calculate_index_dates, filter_events, in_window, index_bounds
 from cohortlens.operators.features import (
     aggregate_events,
     code_stats,
+    highest_index,
     normalization,
     normalized_value,
     sparse_rows,
@@ -19,6 +22,9 @@ from cohortlens.operators.features import (
 )
 from cohortlens.operators.joins import DEFAULT_BROADCAST_BYTES, DEFAULT_HOT_ROWS, broadcast_if_small
 
+if TYPE_CHECKING:
+    from cohortlens.sources.event_table import EventTable
+
 _CACHED = ("agg_events",)
 
 
@@ -45,7 +51,39 @@ def build_samples(events: DataFrame, mortality: DataFrame,
     nothing (the counts are then computed once per use).
     """
     index_dates = calculate_index_dates(events, mortality)
-    agg = aggregate_events(filter_events(events, index_dates, hot_rows=hot_rows))
+    agg = aggregate_events(filter_events(events, index_dates, hot_rows=hot_rows, patients=False))
+    return {"index_dates": index_dates, **samples_from_counts(agg, mortality, event_map, maxima, broadcast_bytes, cache)}
+
+
+def colocated_counts(table: EventTable, mortality: DataFrame, hot_rows: int = DEFAULT_HOT_ROWS) -> DataFrame:
+    """(patientid, eventid, feature_value) of a co-located event table: index
+    dates, window join and counts without an exchange of its bucketed rows (the
+    mortality rows are sent to the buckets). Hot patients' rows go the way of
+    ``build_samples``."""
+    cold = table.cold
+    lo, hi = index_bounds(calculate_index_dates(cold, mortality))
+    inside = cold.where(F.col("etimestamp").between(F.lit(lo), F.lit(hi))) if lo is not None else cold.limit(0)
+    # of two sides one is bucketed: the other, a few rows a patient, is sent to it
+    joined = inside.join(calculate_index_dates(cold, mortality).hint("shuffle_hash"), "patientid")
+    counts = aggregate_events(joined.where(in_window()))
+    aside = table.hot
+    hot = aggregate_events(filter_events(aside, calculate_index_dates(aside, mortality), hot_rows=hot_rows))
+    return counts.unionByName(hot)
+
+
+def build_samples_colocated(table: EventTable, mortality: DataFrame,
+                            event_map: DataFrame | None = None, maxima: DataFrame | None = None,
+                            broadcast_bytes: int | None = DEFAULT_BROADCAST_BYTES,
+                            hot_rows: int = DEFAULT_HOT_ROWS, cache: bool = True) -> dict[str, DataFrame]:
+    """``build_samples`` over a co-located event table (without the index
+    dates)."""
+    return samples_from_counts(colocated_counts(table, mortality, hot_rows), mortality, event_map, maxima, broadcast_bytes, cache)
+
+
+def samples_from_counts(agg: DataFrame, mortality: DataFrame,
+                        event_map: DataFrame | None = None, maxima: DataFrame | None = None,
+                        broadcast_bytes: int | None = DEFAULT_BROADCAST_BYTES, cache: bool = True) -> dict[str, DataFrame]:
+    """The part of the feature job after the counts per patient and code."""
     if cache:
         agg = agg.persist(StorageLevel.MEMORY_AND_DISK)
     if event_map is None and maxima is None:
@@ -54,7 +92,7 @@ def build_samples(events: DataFrame, mortality: DataFrame,
         normalized = (agg.join(side, "eventid", "inner")
                       .select("patientid", "eventid", "event_index",
                               normalized_value().alias("normalized_feature_value")))
-        svmlight = sparse_rows(normalized.where(F.col("normalized_feature_value") > 0))
+        svmlight = sparse_rows(normalized.where(F.col("normalized_feature_value") > 0), highest_index(stats))
         event_map = stats.select("eventid", "event_index")
         maxima = stats.select("eventid", "max_value")
         normalized = normalized.drop("event_index")
@@ -67,7 +105,6 @@ def build_samples(events: DataFrame, mortality: DataFrame,
         svmlight = svmlight_convert(normalized, event_map, broadcast_bytes)
     samples = svmlight_samples(svmlight, mortality)
     return {
-        "index_dates": index_dates,
         "agg_events": agg,
         "event_map": event_map,
         "maxima": maxima,

@@ -3,6 +3,7 @@
 import pytest
 
 from cohortlens.__main__ import main
+from cohortlens.sources import load_model
 
 
 def test_cli_end_to_end(spark, tmp_path, capsys):
@@ -18,20 +19,25 @@ def test_cli_end_to_end(spark, tmp_path, capsys):
     out = tmp_path / "out"
     main(["profile", "--events", str(ev), "--mortality", str(mo)])
     assert "events_avg" in capsys.readouterr().out
-    main(["samples", "--events", str(ev), "--mortality", str(mo), "--out", str(out)])
+    with ev.open("a") as f:
+        f.write("x,DIAG1,desc,2000-01-01,1.0\n")
+    main(["samples", "--events", str(ev), "--mortality", str(mo), "--out", str(out), "--rejects", str(out / "rejects")])
+    assert [r.value for r in spark.read.text(str(out / "rejects" / "events")).collect()] == ["x,DIAG1,desc,2000-01-01,1.0"]
     assert spark.read.text(str(out / "training")).count() + \
         spark.read.text(str(out / "testing")).count() == 40
     main(["train", "--samples", str(out / "training"), "--model", str(out / "model"),
           "--eta", "0.5", "--gd", "--steps", "3"])
     main(["train", "--samples", str(out / "training"), "--model", str(out / "sgd"), "--shards", "2"])
-    assert spark.read.parquet(str(out / "sgd" / "weights")).count() > 0
+    main(["train", "--samples", str(out / "training"), "--model", str(out / "sgd"), "--shards", "1", "--file-order"])
+    weights, params = load_model(spark, str(out / "sgd"))
+    assert weights.count() > 0 and params["version"] == 2
     main(["evaluate", "--samples", str(out / "testing"), "--model", str(out / "model"),
           "--out", str(out / "eval")])
     assert spark.read.parquet(str(out / "eval" / "auc")).count() == 1
     points = spark.read.parquet(str(out / "eval" / "roc")).count()
     assert points >= 2
     capsys.readouterr()
-    main(["evaluate", "--samples", str(out / "testing"), "--model", str(out / "sgd")])
+    main(["evaluate", "--samples", str(out / "testing"), "--model", str(out / "sgd"), "--version", "1"])
     printed = capsys.readouterr().out
     assert "== roc" in printed and "accuracy" in printed
 

@@ -247,7 +247,8 @@ def test_model_roundtrip(spark, tmp_path):
     save_model(w, str(tmp_path / "m"), eta=0.1, mu=0.0, n_feature=4)
     back, params = load_model(spark, str(tmp_path / "m"))
     assert rows(back) == [(0, 0.5), (3, -1.0)]
-    assert params == {"eta": 0.1, "mu": 0.0, "n_feature": 4, "rule": "textbook"}
+    assert {k: params[k] for k in ("eta", "mu", "n_feature", "rule", "version")} == {
+        "eta": 0.1, "mu": 0.0, "n_feature": 4, "rule": "textbook", "version": 1}
 
 
 def test_gd_as_coded_matches_numpy(spark):
