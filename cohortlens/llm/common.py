@@ -5,11 +5,11 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cohortlens.session import checkpoint_dir, ship_package
+from cohortlens.sources.folders import delete_folder
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -37,12 +37,15 @@ def write_shared(df: DataFrame, tag: str) -> DataFrame:
     spark = df.sparkSession
     path = shared_path(spark, tag)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.shared_folder = path
+    return out
 
 
-def persist(df: DataFrame) -> DataFrame:
-    """Kept on the executors while a query runs; recomputed if one is lost."""
-    return df.persist(StorageLevel.MEMORY_AND_DISK)
+def drop_shared(df: DataFrame) -> None:
+    """Delete the folder of a table that ``write_shared`` gave, once nothing
+    reads it any more."""
+    delete_folder(df.sparkSession, df.shared_folder)
 
 
 def text_copies(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -51,7 +54,9 @@ def text_copies(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     ids = write_shared(docs.select("doc_id", "mark", F.sha2("text", 256).alias("sha")), "texts")
     # only texts with copies, written: the join can then split a text that very many documents have
     heads = write_shared(ids.groupBy("sha").agg(F.min("doc_id").alias("head"), F.count("*").alias("n")).where("n > 1"), "heads")
-    named = persist(ids.join(heads, "sha", "left").select("doc_id", "mark", F.coalesce("head", "doc_id").alias("head")).distinct())
+    named = write_shared(ids.join(heads, "sha", "left").select("doc_id", "mark", F.coalesce("head", "doc_id").alias("head")).distinct(), "copies")
+    drop_shared(ids)
+    drop_shared(heads)
     return (named.where("doc_id = head").select("doc_id", "mark"),
             named.where("doc_id > head").select("doc_id", "mark", F.lit(True).alias("copy")))
 
@@ -83,7 +88,8 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
                 .select(F.explode(F.array(F.struct(F.col("u").alias("u"), F.col("m").alias("v")),
                                           F.struct(F.col("v").alias("u"), F.col("m").alias("v")))).alias("e"))
                 .select("e.u", "e.v").where("u <> v").distinct())
-        cur = write_shared(cur2, "cc")
+        last, cur = cur, write_shared(cur2, "cc")
+        drop_shared(last)
         state = cur.agg(F.count("*").alias("n"), F.countDistinct("u").alias("d"),
                         F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("s")).first()
         if seen == state:  # a round that changes nothing: every node points at its root

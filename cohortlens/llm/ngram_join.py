@@ -4,8 +4,8 @@ A document's set holds its distinct shingles of ``width`` lower-cased words.
 Documents link when the Jaccard similarity of their sets reaches
 ``percent`` / 100. The steps, all exact:
 
-1. Documents with equal sets form one class, represented by its smallest
-   doc_id; everything below works on representatives.
+1. Texts with equal sets form one class, represented by one of them;
+   everything below works on representatives, named by the hash of their text.
 2. Length filter on shared shingles: in the order of the shingle hashes, two
    linked documents have their first common shingles in both extended
    prefixes, so a document with too few shingles there that any other text
@@ -35,7 +35,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortlens.llm.common import components, persist, prepare, table, write_shared
+from cohortlens.llm.common import components, prepare, table, write_shared
 from cohortlens.llm.exchange import buckets_of, fold, pack5, shared_keys, unpack5
 from cohortlens.llm.kernels import (PACKED, column, mix, pack_texts, packed_blocks, text_blocks, window_hashes,
                                     word_hashes, word_spans)
@@ -116,7 +116,7 @@ def _full_sets(packed: DataFrame, width: int) -> DataFrame:
             cut = np.searchsorted(at, np.arange(len(offs))).astype(np.int32)
             sets = pa.ListArray.from_arrays(pa.array(cut), pa.array(hashes.view(np.int64)))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.full(rows.num_rows, task + i)), pa.array(column(rows, "doc_id")),
+                [pa.array(np.full(rows.num_rows, task + i)), pa.array(column(rows, "mark")),
                  pa.array(np.diff(cut).astype(np.int64)), sets], names=["block", "rep", "n", "tokens"])
 
     return packed.mapInArrow(run, "block long, rep long, n long, tokens array<long>")
@@ -224,17 +224,64 @@ def jaccard_components(docs: DataFrame, width: int = WIDTH, percent: int = PERCE
     ``docs`` has doc_id and text; further columns are ignored. A null or empty
     text has no shingles and links with nothing. Rows with a null doc_id take
     no part and have a null component_id; rows that share a doc_id are one
-    node of the graph. Repeated rows stay.
+    node of the graph, whatever their texts. Repeated rows stay.
     """
+    docs, rows, texts, edges = _linked(docs, width, percent)
+    same = ["sig_a", "sig_b", "n_shingles"]
+    # documents with several texts: few, found by one number a document
+    several = write_shared(rows.groupBy("doc_id").agg(F.min("mark").alias("x"), F.max("mark").alias("y")).where("x <> y").select("doc_id"), "several")
+    theirs = write_shared(rows.join(several, "doc_id", "left_semi").join(texts.select("mark", *same, "rep", "doc"), ["mark", *same], "left")
+                          .select("doc_id", "rep").distinct(), "several")
+    tied = theirs.where("rep is not null")
+    tied = tied.join(tied.groupBy("doc_id").agg(F.min("rep").alias("a")), "doc_id").where("a <> rep").select("a", F.col("rep").alias("b"))
+    heads = _heads(components(edges.unionByName(tied)), texts)
+    placed = texts.join(heads, "rep", "left").select("mark", *same, F.coalesce("head.doc", "doc").alias("component"))
+    # a document's rows without words go where its texts with words are
+    theirs = theirs.join(texts.select("rep", "doc").distinct().join(heads, "rep", "left").select("rep", F.coalesce("head.doc", "doc").alias("to")), "rep")
+    wordless = theirs.groupBy("doc_id").agg(F.min("to").alias("to"))
+    known = rows.join(placed, ["mark", *same], "left")
+    bare = known.where("n_shingles = 0").join(wordless, "doc_id", "left").select("doc_id", "n_shingles", F.coalesce("to", "doc_id").alias("component_id"))
+    nodes = known.where("n_shingles > 0").select("doc_id", "n_shingles", F.col("component").alias("component_id")).unionByName(bare)
+    lost = docs.where("doc_id is null").select(
+        "doc_id", F.lit(0).cast("long").alias("n_shingles"), F.lit(None).cast("long").alias("component_id"))
+    return nodes.unionByName(lost)
+
+
+def distinct_texts(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
+    """(doc_id, mark): of every group of linked texts the one with the
+    smallest doc_id (ties: the smallest mark); ``mark`` is the text's xxhash64.
+
+    Links are between texts here: rows that share a doc_id and have different
+    texts are judged each by its own. A text without words is in no group and
+    is returned for each doc_id that has it. Rows with a null doc_id take no
+    part.
+    """
+    _, rows, texts, edges = _linked(docs, width, percent)
+    heads = _heads(components(edges), texts)
+    placed = texts.select("rep", F.struct("doc", "rep").alias("own")).distinct().join(heads, "rep", "left")
+    kept = placed.select(F.coalesce("head", "own").alias("h")).distinct().select(F.col("h.doc").alias("doc_id"), F.col("h.rep").alias("mark"))
+    return kept.unionByName(rows.where("n_shingles = 0").select("doc_id", "mark").distinct())
+
+
+def _heads(comp: DataFrame, texts: DataFrame) -> DataFrame:
+    """(rep, head): for classes that any link touches, the (doc, rep) of the
+    first class of their component."""
+    own = comp.join(texts.select(F.col("rep").alias("node"), "doc").distinct(), "node")
+    first = own.groupBy("component").agg(F.min(F.struct("doc", F.col("node").alias("rep"))).alias("head"))
+    return write_shared(own.join(first, "component").select(F.col("node").alias("rep"), "head"), "heads")
+
+
+def _linked(docs: DataFrame, width: int, percent: int) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    """(rows as used, (doc_id, mark, n_shingles, signature) of those with a
+    doc_id, (mark, signature, rep, doc) of each text with words, links between
+    classes). ``doc`` is the smallest doc_id of a text's class, ``rep`` the mark
+    of a text of that document."""
     spark = docs.sparkSession
     prepare(spark)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("mark"), "text")
     known = docs.where("doc_id is not null")
     rows = write_shared(shingle_sets(known, width), "sets")
-    return _components(docs, known, rows, width, percent)
-
 
-def _components(docs: DataFrame, known: DataFrame, rows: DataFrame, width: int, percent: int) -> DataFrame:
     def extended(buf: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         at, value, rank = _distinct(buf, offs, width)
         n = np.bincount(at, minlength=len(offs) - 1)
@@ -245,30 +292,23 @@ def _components(docs: DataFrame, known: DataFrame, rows: DataFrame, width: int,
     shared = shared_keys(known, extended, counted=True).groupBy("mark").agg(F.sum("shared").alias("shared"))
     same = ["sig_a", "sig_b", "n_shingles"]
     # one row a text, counted down on the map side: copies meet nowhere as rows
-    texts = persist(rows.where("n_shingles > 0").groupBy("mark", *same).agg(F.min("doc_id").alias("doc_id")))
-    classes = persist(texts.groupBy(*same).agg(F.min(F.struct("doc_id", "mark")).alias("rep"))
-                      .select(*same, F.col("rep.doc_id").alias("rep"), F.col("rep.mark").alias("rep_mark")))
-    live = texts.join(shared, "mark").where(F.col("shared") >= need_shared).select(*same).distinct()
-    reps = classes.join(live, same, "left_semi").select(F.col("rep").alias("doc_id"), F.col("rep_mark").alias("mark")).distinct()
+    texts = rows.where("n_shingles > 0").groupBy("mark", *same).agg(F.min("doc_id").alias("own"))
+    classes = texts.groupBy(*same).agg(F.min(F.struct("own", "mark")).alias("first"))
+    texts = write_shared(texts.join(classes, same).select("mark", *same, F.col("first.mark").alias("rep"), F.col("first.own").alias("doc")), "classes")
+    live = texts.join(shared, "mark").where(F.col("shared") >= need_shared).select("rep", "doc").distinct()
+    reps = live.select(F.col("doc").alias("doc_id"), F.col("rep").alias("mark"))
     packed = known.mapInArrow(pack_texts, PACKED).join(reps, ["doc_id", "mark"], "left_semi")
     sets = write_shared(_full_sets(packed.dropDuplicates(["doc_id", "mark"]), width), "shingles")
-    edges = _links(sets, percent)
-    comp = components(edges)
-    placed = (texts.join(classes, same).join(comp.withColumnRenamed("node", "rep"), "rep", "left")
-              .select("mark", *same, F.coalesce("component", "rep").alias("component")))
-    nodes = rows.join(placed, ["mark", *same], "left").select(
-        "doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))
-    lost = docs.where("doc_id is null").select(
-        "doc_id", F.lit(0).cast("long").alias("n_shingles"), F.lit(None).cast("long").alias("component_id"))
-    return nodes.unionByName(lost)
+    return docs, rows, texts, _links(sets, percent)
 
 
 def _links(sets: DataFrame, percent: int) -> DataFrame:
     """Enough verified links (a, b) for the components of ``sets`` (rep, n, tokens)."""
     prefix = write_shared(_prefixes(sets, percent), "prefixes")
-    prefix = prefix.withColumn("own", F.when(F.col("skip") > 0, F.col("rep")).otherwise(F.lit(-1)))
-    groups = persist(prefix.groupBy("n", "prefix", "own").agg(F.min("rep").alias("gid")))
-    members = write_shared(prefix.join(groups, ["n", "prefix", "own"]).select("rep", "gid", "n"), "members")
+    prefix = prefix.withColumn("own", F.when(F.col("skip") > 0, F.col("rep")))
+    groups = write_shared(prefix.groupBy("n", "prefix", "own").agg(F.min("rep").alias("gid")), "groups")
+    alike = (F.col("p.n") == F.col("g.n")) & (F.col("p.prefix") == F.col("g.prefix")) & F.col("p.own").eqNullSafe(F.col("g.own"))
+    members = write_shared(prefix.alias("p").join(groups.alias("g"), alike).select("p.rep", "g.gid", "p.n"), "members")
     posts = write_shared(groups.join(prefix.select(F.col("rep").alias("gid"), "skip"), "gid")
                          .select("gid", "n", "skip", F.posexplode("prefix").alias("at", "token"))
                          .select("gid", "n", "token", (F.col("at") + F.col("skip")).alias("pos")), "posts")
@@ -288,7 +328,7 @@ def _links(sets: DataFrame, percent: int) -> DataFrame:
     comp = write_shared(components(one), "comps")
     placed = members.join(comp.withColumnRenamed("node", "rep"), "rep", "left").select(
         "rep", "gid", F.coalesce("component", "rep").alias("comp"))
-    parts = persist(placed.groupBy("gid", "comp").agg(F.min("rep").alias("rep")))
+    parts = write_shared(placed.groupBy("gid", "comp").agg(F.min("rep").alias("rep")), "parts")
     lists = posts.join(parts.select("gid", "comp"), "gid")
     mixed = lists.groupBy("token").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).where("x <> y").select("token")
     lists = lists.join(mixed, "token", "left_semi")

@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from cohortlens.llm.common import partitions, prepare, table, write_shared
+from cohortlens.llm.common import drop_shared, partitions, prepare, table, write_shared
 from cohortlens.llm.vectors import classes, matrix, usable_vectors
 
 NEIGHBOURS, REVERSE = 24, 16
@@ -203,7 +203,8 @@ def neighbour_graph(nodes: DataFrame, rounds: int = ROUNDS) -> DataFrame:
         old = graph.select("node", F.explode(F.arrays_zip("ids", "dists")).alias("e")).select(
             "node", F.col("e.ids").alias("id"), F.col("e.dists").alias("d"), F.lit(False).alias("fresh"))
         new = _proposals(graph, q).withColumn("fresh", F.lit(True))
-        graph = write_shared(_lists_of(old.unionByName(new)), "nnd-graph")
+        last, graph = graph, write_shared(_lists_of(old.unionByName(new)), "nnd-graph")
+        drop_shared(last)
         changed = graph.agg(F.sum(F.size(F.filter("fresh", lambda x: x)))).first()[0] or 0
         if changed <= SETTLED * NEIGHBOURS * n:
             break

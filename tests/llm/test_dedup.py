@@ -8,7 +8,7 @@ import pytest
 
 from cohortlens.llm.bwt import least_holders
 from cohortlens.llm.kernels import anchors, byte_hashes
-from cohortlens.llm.ngram_join import jaccard_components, op9_ngram_jaccard_join
+from cohortlens.llm.ngram_join import distinct_texts, jaccard_components, op9_ngram_jaccard_join
 from cohortlens.llm.substring_dedup import op1_substring_dedup, remove_repeats, repeat_lengths
 from cohortlens.llm.suffix_dedup import op3_suffix_array_dedup, remove_repeated_bytes
 
@@ -176,6 +176,26 @@ def test_near_copies_of_near_copies(make_docs):
     assert got(jaccard_components(make_docs(data)), "doc_id", "n_shingles", "component_id") == expected_components(data)
 
 
+def test_one_doc_id_ties_its_texts_together(make_docs):
+    """Rows that share a doc_id are one node, however its texts link; a row without words too."""
+    a, b = " ".join(f"a{i}" for i in range(30)), " ".join(f"b{i}" for i in range(30))
+    data = [(2, a, None, None, 1), (3, a, None, None, 1), (3, b, None, None, 1), (4, b, None, None, 1), (4, None, None, None, 1), (4, "", None, None, 1),
+            (5, None, None, None, 1), (6, b + " x", None, None, 1), (9, "c d e f g h", None, None, 1), (9, "p q r s t u", None, None, 1), (10, "p q r s t u", None, None, 1)]
+    want = [(2, 2), (3, 2), (3, 2), (4, 2), (4, 2), (4, 2), (5, 5), (6, 2), (9, 9), (9, 9), (10, 9)]
+    assert got(jaccard_components(make_docs(data)), "doc_id", "component_id") == sorted(want, key=repr)
+
+
+def test_distinct_texts_judge_each_text(make_docs):
+    a, b, c = (" ".join(f"{k}{i}" for i in range(30)) for k in "abc")
+    data = [(2, a, None, None, 1), (3, a + " x", None, None, 1), (3, b, None, None, 1), (7, c, None, None, 1), (7, "other words that nobody has", None, None, 1),
+            (8, c.upper(), None, None, 1), (8, None, None, None, 1), (8, None, None, None, 1), (1, b + " y", None, None, 1), (None, a, None, None, 1)]
+    docs = make_docs(data)
+    kept = distinct_texts(docs)
+    mark = {r.t: r.m for r in docs.selectExpr("text t", "xxhash64(text) m").collect()}
+    assert got(kept, "doc_id", "mark") == sorted(
+        [(2, mark[a]), (1, mark[b + " y"]), (7, mark[c]), (7, mark["other words that nobody has"]), (8, mark[None])], key=repr)
+
+
 def test_threshold_is_reached_exactly(make_docs):
     """Three of four shingles is 0.75: linked; two of three is not."""
     data = [(1, "a b c d e f g", None, None, 1), (2, "a b c d e f g h", None, None, 1),
