@@ -73,7 +73,9 @@ def scan_secrets(docs: DataFrame, ledger: str, rule_version: str = RULE_VERSION)
     doc_id, blob, n_assign, n_access, n_hex, spans (``kind:start:end`` in code
     points by start then kind, comma-joined). ``ledger`` is a Parquet path in
     a folder that all executors share; blobs that it has under
-    ``rule_version`` are not scanned again.
+    ``rule_version`` are not scanned again. A blob can stand in the ledger
+    more than once (scans at the same time, a job run again): its findings are
+    the same each time and count once.
 
     A null text counts as empty and has no spans. Null, repeated and shared
     doc_ids are paths like any other.
@@ -90,7 +92,7 @@ def scan_secrets(docs: DataFrame, ledger: str, rule_version: str = RULE_VERSION)
                                    & F.col("p.doc_id").eqNullSafe(F.col("h.doc_id")), "left_semi")
     fresh = scan_texts(unseen.select("blob", "text")).dropDuplicates(["blob"])  # equal rows: scanned once each, kept once
     fresh.withColumn("rule_version", F.lit(rule_version)).write.mode("append").parquet(ledger)
-    findings = spark.read.parquet(ledger).where(F.col("rule_version") == rule_version).drop("rule_version")
+    findings = spark.read.parquet(ledger).where(F.col("rule_version") == rule_version).drop("rule_version").dropDuplicates(["blob"])
     return paths.select("doc_id", "blob").join(findings, "blob").select("doc_id", "blob", *findings.columns[1:])
 
 
