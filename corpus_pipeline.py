@@ -16,8 +16,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from cohortlens.llm.common import prepare, shared_path, table, write_shared
-from cohortlens.llm.ngram_join import jaccard_components
+from cohortlens.llm.common import drop_shared, prepare, shared_path, table, write_shared
+from cohortlens.llm.ngram_join import distinct_texts
 from cohortlens.llm.quality_ranker import rank_quality
 from cohortlens.llm.secret_scan import redacted_documents
 from cohortlens.llm.sentencepiece_codec import encode
@@ -33,13 +33,15 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One row of each component of near copies: that of its smallest doc_id
-    (of rows that share it, the first by text hash, source and lang)."""
-    heads = jaccard_components(docs).where("doc_id = component_id").select("doc_id").distinct()
-    first = W.partitionBy("doc_id").orderBy(F.xxhash64("row.text"), "row.source", "row.lang")
-    rows = docs.select(docs["doc_id"].cast("long").alias("doc_id"), F.struct(*(docs[c] for c in docs.columns)).alias("row"))
-    kept = rows.join(heads, "doc_id", "left_semi").withColumn("nth", F.row_number().over(first)).where("nth = 1")
-    return kept.select("row.*").unionByName(docs.where("doc_id is null"))
+    """One row of each group of near copies: that of its smallest doc_id.
+    Rows that share a doc_id are judged each by its own text; of rows with the
+    same doc_id and text the first by source and lang stays."""
+    heads = distinct_texts(docs).withColumnRenamed("mark", "_mark")
+    first = W.partitionBy("_id", "_mark").orderBy("row.source", "row.lang")
+    rows = docs.where("doc_id is not null").select(docs["doc_id"].cast("long").alias("_id"), F.xxhash64("text").alias("_mark"),
+                                                   F.struct(*(docs[c] for c in docs.columns)).alias("row"))
+    kept = rows.join(heads.withColumnRenamed("doc_id", "_id"), ["_id", "_mark"], "left_semi").withColumn("_nth", F.row_number().over(first))
+    return kept.where("_nth = 1").select("row.*").unionByName(docs.where("doc_id is null"))
 
 
 def remove_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -73,7 +75,10 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over the documents of ``sf_dir``."""
     prepare(spark)
-    docs = table(spark, sf_dir, "documents")
+    docs, last = table(spark, sf_dir, "documents"), None
     for name, stage in STAGES:
         docs = write_shared(stage(spark, docs, sf_dir), "stage")
+        if last is not None:  # its rows are in the next one's folder
+            drop_shared(last)
+        last = docs
     return docs
