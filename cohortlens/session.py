@@ -14,8 +14,9 @@ from pyspark.sql import SparkSession
 
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
-                  app_name: str = "cohortlens") -> SparkSession:
-    """Local session with AQE on, UI off and UTC session time.
+                  app_name: str = "cohortlens", checkpoints: str | None = None) -> SparkSession:
+    """Local session with AQE on, UI off and UTC session time;
+    ``checkpoints`` becomes ``spark.checkpoint.dir``.
 
     Only for tests and the bench; on a cluster the caller's session is used
     as it is.
@@ -34,6 +35,8 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.driver.memory", os.environ.get("COHORTLENS_DRIVER_MEM", "8g"))
     )
+    if checkpoints:
+        builder = builder.config("spark.checkpoint.dir", checkpoints)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     checkpoint_dir(spark)

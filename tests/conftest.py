@@ -9,7 +9,7 @@ from cohortlens.session import local_session  # noqa: E402
 
 
 @pytest.fixture(scope="session")
-def spark():
-    s = local_session("*", shuffle_partitions=8, app_name="cohortlens-tests")
+def spark(tmp_path_factory):
+    s = local_session("*", shuffle_partitions=8, app_name="cohortlens-tests", checkpoints=str(tmp_path_factory.mktemp("checkpoints")))
     yield s
     s.stop()
