@@ -5,11 +5,13 @@ its normaliser (precompiled character map, extra white space, dummy prefix),
 the metaspace marker for blanks, its unigram scores or, for a BPE model, the
 merges that its scores imply, and byte fallback. Texts are cut before every
 marker run, which no piece of the vocabulary crosses (checked when the model
-is built; else whole texts are encoded), so a block's distinct words are
-encoded once each.
+is built; else whole texts are encoded). A process remembers the words it has
+seen, up to a bound; a block's new words are encoded in batches, by several
+threads.
 
 Every row is verified twice: the sentencepiece library encodes its whole text
-and must give the same ids, and decoding them must give the text again.
+and must give the same ids, and decoding them must give the text again. Equal
+texts of a block go through all of this once.
 """
 
 from __future__ import annotations
@@ -19,7 +21,7 @@ import os
 import re
 from collections import defaultdict
 from collections.abc import Iterable, Iterator
-from itertools import chain
+from itertools import chain, islice
 
 import numpy as np
 import pyarrow as pa
@@ -33,6 +35,8 @@ MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"
 THREADS = 2
 AUDIT = 1
+BLOCK, BATCH, JOINED = 1 << 20, 256, 32  # bytes of text, strings of a batch, and new words of a string
+WORDS, CHARS = 1 << 19, 1 << 25  # words that a process remembers, and their characters: some 150 MB
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 _TOKENIZERS: dict[tuple[str, int], tuple] = {}
 
@@ -135,37 +139,108 @@ def build_tokenizer(model: dict):
 
 
 def load_tokenizer(path: str, threads: int = THREADS):
-    """(tokenizer, model) of this process; built once."""
+    """(tokenizer, model, word coder) of this process; built once."""
     key = (path, threads)
     if key not in _TOKENIZERS:
         os.environ["TOKENIZERS_PARALLELISM"] = "true"
         os.environ["RAYON_NUM_THREADS"] = str(threads)
         with open(path, "rb") as f:
             model = parse_model(f.read())
-        _TOKENIZERS[key] = (build_tokenizer(model), model)
+        tokenizer = build_tokenizer(model)
+        _TOKENIZERS[key] = (tokenizer, model, WordCoder(tokenizer, model))
     return _TOKENIZERS[key]
 
 
-def encode_texts(texts: list[str], tokenizer, model: dict) -> tuple[np.ndarray, np.ndarray]:
-    """(ids end to end, cuts by text): what the tokenizer's encode gives, with
-    every distinct word of the block encoded once."""
-    pattern = word_pattern(model)
-    if pattern is None:
-        ids = [e.ids for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-        cuts = np.concatenate([[0], np.cumsum([len(x) for x in ids])]).astype(np.int64)
-        return np.fromiter(chain.from_iterable(ids), np.int32, int(cuts[-1])), cuts
-    normal, find = tokenizer.normalizer, re.compile(pattern).findall
-    # the normaliser's dummy prefix would give an empty text a piece, which encoding does not
-    words = [find(normal.normalize_str(x) if normal else x) if x else [] for x in texts]
-    place: defaultdict[str, int] = defaultdict()
-    place.default_factory = place.__len__
-    which = np.fromiter(map(place.__getitem__, chain.from_iterable(words)), np.int64)
-    coded = [[t.id for t in tokenizer.model.tokenize(w)] for w in place]
-    size = np.array([len(x) for x in coded], np.int64)
-    flat, first = np.fromiter(chain.from_iterable(coded), np.int32), np.cumsum(size) - size
-    ends = np.concatenate([[0], np.cumsum(size[which])])
-    at = np.repeat(first[which] - ends[:-1], size[which]) + np.arange(ends[-1])
-    return flat[at], ends[np.concatenate([[0], np.cumsum([len(w) for w in words])]).astype(np.int64)]
+class WordCoder:
+    """Ids of texts by way of their words. A word is a marker run and what
+    follows up to the next; its ids do not depend on what stands around it.
+    Words stay known from block to block; beyond ``capacity`` words, or
+    ``CHARS`` characters, all are forgotten after the block."""
+
+    def __init__(self, tokenizer, model: dict, capacity: int = WORDS):
+        from tokenizers import Tokenizer
+
+        self.tokenizer, self.capacity = tokenizer, capacity
+        self.whole = word_pattern(model) is None
+        # a normaliser that only writes markers for blanks: the text's own blanks cut it
+        self.plain = not model["charsmap"] and not model["trim"] and model["dummy_prefix"] and model["escape"]
+        self.words = Tokenizer(tokenizer.model)
+        self.starts = np.array([p.startswith(MARK) for p, _, _ in model["pieces"]])
+        self.marked = any(p == MARK and kind in (NORMAL, USER) for p, _, kind in model["pieces"])
+        self.find = re.compile(f"{MARK}+[^{MARK}]*|[^{MARK}]+").findall
+        self._forget()
+
+    def _forget(self) -> None:
+        self.place: defaultdict[str, int] = defaultdict()
+        self.place.default_factory = self.place.__len__
+        self.flat, self.ends, self.chars = np.zeros(1 << 16, np.int32), np.zeros(1, np.int64), 0
+
+    def _cut(self, text: str) -> list[str]:
+        """A text's words; for a plain normaliser without their first marker."""
+        if not text:  # the normaliser's dummy prefix would give it a piece, which encoding does not
+            return []
+        if not self.plain:
+            return self.find(self.tokenizer.normalizer.normalize_str(text) if self.tokenizer.normalizer else text)
+        if "  " not in text and MARK not in text and text[0] != " ":  # no marker run
+            return text.split(" ")
+        return [w[1:] for w in self.find(MARK + text.replace(" ", MARK))]
+
+    def _learn(self) -> None:
+        """Encode the words that are new, in batches."""
+        known = len(self.ends) - 1
+        fresh = list(islice(self.place, known, None))
+        if not fresh:
+            return
+        self.chars += sum(map(len, fresh))
+        if self.plain:
+            fresh = [MARK + w for w in fresh]
+        flat, size = self._ids(fresh)
+        ends = self.ends[-1] + np.cumsum(size)
+        if ends[-1] > len(self.flat):
+            self.flat = np.concatenate([self.flat[:self.ends[-1]], np.zeros(max(2 * len(self.flat), int(ends[-1])), np.int32)])
+        self.flat[self.ends[-1]:ends[-1]] = flat
+        self.ends = np.concatenate([self.ends, ends])
+
+    def _ids(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids end to end, number by word). Words with one marker, ahead,
+        are encoded some at a time as one string: a piece with a marker ahead
+        begins a word there."""
+        single = np.array([self.marked and w[:1] == MARK and w.find(MARK, 1) < 0 for w in words], bool)
+        plain = [words[i] for i in np.flatnonzero(single)]
+        ids = self._batches(["".join(plain[lo:lo + JOINED]) for lo in range(0, len(plain), JOINED)])
+        flat = np.fromiter(chain.from_iterable(ids), np.int32)
+        starts = np.flatnonzero(self.starts[flat])
+        if len(starts) != len(plain):  # no vocabulary seen does that
+            single[:] = False
+        other = self._batches([words[i] for i in np.flatnonzero(~single)])
+        size = np.zeros(len(words), np.int64)
+        size[~single] = [len(x) for x in other]
+        if single.any():
+            size[single] = np.diff(np.append(starts, len(flat)))
+        out = np.empty(int(size.sum()), np.int32)
+        of = np.repeat(single, size)
+        out[of] = flat if single.any() else []
+        out[~of] = np.fromiter(chain.from_iterable(other), np.int32)
+        return out, size
+
+    def _batches(self, texts: list[str]) -> list[list[int]]:
+        return [e.ids for lo in range(0, len(texts), BATCH) for e in self.words.encode_batch_fast(texts[lo:lo + BATCH], add_special_tokens=False)]
+
+    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids end to end, cuts by text): what the tokenizer's encode gives."""
+        if self.whole:
+            ids = [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+            cuts = np.concatenate([[0], np.cumsum([len(x) for x in ids])]).astype(np.int64)
+            return np.fromiter(chain.from_iterable(ids), np.int32, int(cuts[-1])), cuts
+        words = [self._cut(x) for x in texts]
+        which = np.fromiter(map(self.place.__getitem__, chain.from_iterable(words)), np.int64)
+        self._learn()
+        first, size = self.ends[which], np.diff(self.ends)[which]
+        ends = np.concatenate([[0], np.cumsum(size)])
+        out = self.flat[np.repeat(first - ends[:-1], size) + np.arange(ends[-1])]
+        if len(self.place) > self.capacity or self.chars > CHARS:
+            self._forget()
+        return out, ends[np.concatenate([[0], np.cumsum([len(w) for w in words])]).astype(np.int64)]
 
 
 def piece_bytes(model: dict) -> tuple[np.ndarray, np.ndarray]:
@@ -194,6 +269,20 @@ def decode_ids(ids: np.ndarray, cuts: np.ndarray, model: dict) -> tuple[np.ndarr
     return out, bounds
 
 
+def _equal(flat: np.ndarray, cuts: np.ndarray, at: np.ndarray, other: list[list[int]]) -> np.ndarray:
+    """Which texts ``at`` have the ids that ``other`` gives them."""
+    size = np.fromiter(map(len, other), np.int64, len(other))
+    theirs = np.fromiter(chain.from_iterable(other), np.int32, int(size.sum()))
+    same = np.diff(cuts)[at] == size
+    ends = np.cumsum(size)
+    span = np.where(same, size, 0)
+    mine = np.repeat(cuts[:-1][at] - (np.cumsum(span) - span), span) + np.arange(int(span.sum()))
+    places = np.repeat(ends - size - (np.cumsum(span) - span), span) + np.arange(int(span.sum()))
+    wrong = np.repeat(np.arange(len(at)), span)[flat[mine] != theirs[places]]
+    same[wrong] = False
+    return same
+
+
 def encode(docs: DataFrame, model: str = MODEL, threads: int = THREADS, audit_every: int = AUDIT) -> DataFrame:
     """One row per row of ``docs`` (doc_id, text; other columns are ignored):
     doc_id, ids array<int>, n_tokens, n_bytes (ids that are fallback bytes),
@@ -208,30 +297,34 @@ def encode(docs: DataFrame, model: str = MODEL, threads: int = THREADS, audit_ev
     prepare(docs.sparkSession)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokenizer, parsed = load_tokenizer(model, threads)
+        _, parsed, coder = load_tokenizer(model, threads)
         is_byte = np.array([kind == BYTE for _, _, kind in parsed["pieces"]])
         reference = None
-        for rows, buf, offs in text_blocks(batches):
-            texts = [x or "" for x in rows.column(1).to_pylist()]
-            flat, cuts = encode_texts(texts, tokenizer, parsed)
+        for rows, buf, offs in text_blocks(batches, limit=BLOCK):
+            place: dict[str, int] = {}
+            row_of = np.array([place.setdefault(x or "", len(place)) for x in rows.column(1).to_pylist()], np.int64)
+            texts = list(place)
+            _, own = np.unique(row_of, return_index=True)  # a row of each text
+            flat, cuts = coder.encode(texts)
             out, bounds = decode_ids(flat, cuts, parsed)
-            same = [bounds[i + 1] - bounds[i] == offs[i + 1] - offs[i]
-                    and np.array_equal(out[bounds[i]:bounds[i + 1]], buf[offs[i]:offs[i + 1]]) for i in range(len(texts))]
+            same = [bounds[i + 1] - bounds[i] == offs[r + 1] - offs[r]
+                    and np.array_equal(out[bounds[i]:bounds[i + 1]], buf[offs[r]:offs[r + 1]]) for i, r in enumerate(own)]
             fallback = np.concatenate([[0], np.cumsum(is_byte[flat])])
-            audit = rows.column(2).to_numpy(zero_copy_only=False) % audit_every == 0 if audit_every else np.zeros(len(texts), bool)
-            parity: list[bool | None] = [None] * len(texts)
+            audit = rows.column(2).to_numpy(zero_copy_only=False)[own] % audit_every == 0 if audit_every else np.zeros(len(texts), bool)
+            parity = np.zeros(len(texts), bool)
             if audit.any():
                 if reference is None:
                     import sentencepiece
 
                     reference = sentencepiece.SentencePieceProcessor(model_file=model)
-                own, flat_ids = np.flatnonzero(audit), flat.tolist()
-                for i, ids in zip(own, reference.encode([texts[i] for i in own], num_threads=threads)):
-                    parity[i] = ids == flat_ids[cuts[i]:cuts[i + 1]]
-            yield pa.RecordBatch.from_arrays(
-                [rows.column(0), pa.ListArray.from_arrays(pa.array(cuts.astype(np.int32)), pa.array(flat)),
-                 pa.array(np.diff(cuts)), pa.array(np.diff(fallback[cuts])), pa.array([bool(x) for x in same]),
-                 pa.array(parity, type=pa.bool_())], names=["doc_id", "ids", "n_tokens", "n_bytes", "round_trip", "parity"])
+                at = np.flatnonzero(audit)
+                parity[at] = _equal(flat, cuts, at, reference.encode([texts[i] for i in at], num_threads=threads))
+            found = pa.RecordBatch.from_arrays(
+                [pa.ListArray.from_arrays(pa.array(cuts.astype(np.int32)), pa.array(flat)), pa.array(np.diff(cuts)), pa.array(np.diff(fallback[cuts])),
+                 pa.array([bool(x) for x in same]), pa.array(parity, mask=~audit)], names=["ids", "n_tokens", "n_bytes", "round_trip", "parity"])
+            if len(texts) < len(row_of):
+                found = found.take(pa.array(row_of))
+            yield pa.RecordBatch.from_arrays([rows.column(0), *found.columns], names=["doc_id", *found.schema.names])
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("mark"))
     return rows.mapInArrow(run, "doc_id long, ids array<int>, n_tokens long, n_bytes long, round_trip boolean, parity boolean")
@@ -242,7 +335,7 @@ def decode(encoded: DataFrame, model: str = MODEL) -> DataFrame:
     prepare(encoded.sparkSession)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokenizer, _ = load_tokenizer(model)
+        tokenizer = load_tokenizer(model)[0]
         for batch in batches:
             texts = tokenizer.decode_batch([x or [] for x in batch.column(1).to_pylist()], skip_special_tokens=False)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, type=pa.string())], names=["doc_id", "text"])

@@ -14,10 +14,11 @@ import __spark_entry__ as entry
 from cohortlens.llm import secret_scan
 from cohortlens.llm.html_extract import extract, extract_pages
 from cohortlens.llm.ngram_join import jaccard_components
+from cohortlens.llm import quality_ranker as ranker
 from cohortlens.llm.quality_ranker import op7_quality_ranking, rank_quality
 from cohortlens.llm.secret_scan import op10_secret_scans, redacted_documents, scan_secrets
-from cohortlens.llm.sentencepiece_codec import (MODEL, build_tokenizer, decode, encode, encode_texts, load_tokenizer,
-                                               op8_sentencepiece, parse_model)
+from cohortlens.llm.sentencepiece_codec import (MODEL, WordCoder, build_tokenizer, decode, encode, load_tokenizer, op8_sentencepiece,
+                                               parse_model)
 from cohortlens.llm.source_mixing import mix_sources, mixed_documents, op6_source_mixing
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -49,6 +50,51 @@ def test_op2_small_pages(page, text):
     assert extract(page) == text
 
 
+LONG = "A paragraph of the article itself, with commas, and with enough words that it reads as text, %s."
+PARAGRAPHS = [LONG % word for word in ("first", "second", "third")]
+MENU = "<nav><a href=/>Home</a></nav>"
+
+
+@pytest.mark.parametrize("box", [
+    'div class="story side-by-side"', 'div class="share-your-story"', 'div class="hidden-print"', 'div class="widget"', 'div id="modal"',
+    'section class="post header-image"', 'div class="no-sidebar"', 'div class="discussion"', 'div class="related"', 'form id="page"', 'div class="popup content"'])
+def test_op2_layout_words_on_the_main_container(box):
+    """A container that holds the page's text is kept whatever it is called."""
+    body = "".join(f"<p>{p}</p>" for p in PARAGRAPHS)
+    page = f"<body>{MENU}<{box}>{body}</{box.split()[0]}><footer>nobody</footer></body>"
+    assert extract(page) == "\n\n".join(PARAGRAPHS)
+    assert extract(page.replace("<p>", '<p class="hidden-print">')) == "\n\n".join(PARAGRAPHS)
+
+
+@pytest.mark.parametrize("box", [
+    "comments", "post-comments", "comment-list", "reader-comments", "left-sidebar", "ad-slot", "ad-300", "cookie-banner", "related-posts", "siteFooter",
+    "main-nav", "newsletter-form", "widget"])
+def test_op2_furniture_beside_the_article(box):
+    body = "".join(f"<p>{p}</p>" for p in PARAGRAPHS)
+    other = "".join(f"<p>{LONG % f'number {i} of somebody else'}</p>" for i in range(6))
+    for page in (f'<body>{MENU}<div class="content">{body}</div><div class="{box}">{other}</div></body>',
+                 f'<body><article>{body}<div class="{box}">{other}</div></article></body>',
+                 f'<body><div><div id="{box}">{other}</div>{body}</div></body>'):
+        assert extract(page) == "\n\n".join(PARAGRAPHS)
+
+
+def test_op2_links_inside_the_article():
+    """Lists and tables of links between or after the paragraphs stay; link
+    boxes ahead of them and lists of short links after them go."""
+    references = ["A study of something, in a journal with a long name", "Another study of the same thing, by the same people"]
+    linked = "".join(f"<li><a href=/{i}>{r}</a></li>" for i, r in enumerate(references))
+    first, *rest = (f"<p>{p}</p>" for p in PARAGRAPHS)
+    short = "<ul><li><a href=/a>One</a></li><li><a href=/b>Two</a></li></ul>"
+    table = f"<table><tr><td><a href=/x>{references[0]}</a></td><td><a href=/y>{references[1]}</a></td></tr></table>"
+    want = lambda *blocks: "\n\n".join(blocks)
+    assert extract(f"<article>{first}<ul>{linked}</ul>{''.join(rest)}</article>") == want(PARAGRAPHS[0], *references, *PARAGRAPHS[1:])
+    assert extract(f"<article>{first}{short}{''.join(rest)}</article>") == want(PARAGRAPHS[0], "One", "Two", *PARAGRAPHS[1:])
+    assert extract(f"<article>{first}{''.join(rest)}<ol>{linked}</ol></article>") == want(*PARAGRAPHS, *references)
+    assert extract(f"<article>{first}{table}{''.join(rest)}</article>") == want(PARAGRAPHS[0], *references, *PARAGRAPHS[1:])
+    assert extract(f"<article>{first}{''.join(rest)}{short}</article>") == want(*PARAGRAPHS)
+    assert extract(f"<article><ul>{linked}</ul>{first}{''.join(rest)}</article>") == want(*PARAGRAPHS)
+
+
 def test_op2_long_and_deep_pages():
     words = " ".join(f"word{i}," for i in range(20_000))
     assert extract(f"<body><nav>n</nav><p>{words}</p>") == words
@@ -174,6 +220,49 @@ def test_op7_learns_nothing_from_held_out_or_ids(make_docs, spark):
     assert c == a
 
 
+def test_op7_equals_a_dense_fit(make_docs, spark):
+    """The whole fit again in numpy on the same pairs: standardised features,
+    Newton steps on the logistic loss, the cut at the labels' quantile."""
+    import zlib
+    rows, labels = quality_corpus()
+    docs = make_docs(rows)
+    got = {r["doc_id"]: r["score"] for r in rank_quality(docs, spark.createDataFrame(labels, "doc_id long, quality int")).collect()}
+    feats = {r["doc_id"]: (r["mark"], np.array(r["x"])) for r in ranker.text_features(docs.selectExpr("doc_id", "xxhash64(text) mark", "text")).collect()}
+    learned = [(i, y) for i, y in labels if zlib.crc32(str(i).encode()) % 5]
+    x = np.array([feats[i][1] for i, _ in learned])
+    mean, scale = x.mean(0), np.maximum(x.std(0), 1e-6)
+    standard = lambda v: np.clip((v - mean) / scale, -8, 8)
+    sample = spark.createDataFrame([(i, feats[i][0], y, standard(feats[i][1]).tolist()) for i, y in learned],
+                                   "doc_id long, mark long, y int, x array<double>").selectExpr("xxhash64(doc_id, mark) h", "x", "y")
+    d = np.array([r["d"] for r in ranker.preference_pairs(sample).collect()])
+    assert len(d) == 3 * len(learned)  # every document meets three rivals
+    w = np.zeros(d.shape[1])
+    for _ in range(ranker.STEPS):
+        p = 1 / (1 + np.exp(np.clip(d @ w, -30, 30)))
+        gradient = (d * p[:, None]).mean(0) - ranker.RIDGE * w
+        hessian = (d * (p * (1 - p))[:, None]).T @ d / len(d) + ranker.RIDGE * np.eye(len(w))
+        move = np.linalg.solve(hessian, gradient)
+        move *= min(1.0, 4.0 / np.abs(move).max())
+        w = w + move
+        if np.abs(move).max() < 1e-3:
+            break
+    grades = standard(x) @ w
+    cut = np.percentile(grades, 100 * np.mean([1 - y for _, y in learned]))
+    for i, (_, v) in feats.items():
+        want = 1 / (1 + np.exp(-(standard(v) @ w - cut + np.log(0.3 / 0.7) + 1e-9)))
+        assert got[i] == pytest.approx(want, abs=1e-7)
+
+
+def test_op7_sample_has_no_one_task_sort(make_docs, spark, monkeypatch):
+    """Beyond the bound a share of the hashes is learned from; about so many rows."""
+    rows, labels = quality_corpus()
+    sizes, pairs = [], ranker.preference_pairs
+    monkeypatch.setattr(ranker, "preference_pairs", lambda sample: (sizes.append(sample.count()), pairs(sample))[1])
+    for most in (60, 10_000):
+        rank_quality(make_docs(rows), spark.createDataFrame(labels, "doc_id long, quality int"), max_labelled=most)
+    assert 30 <= sizes[0] <= 90 and sizes[1] > 120
+
+
 def test_op7_edges(make_docs, spark):
     none = spark.createDataFrame([], "doc_id long, quality int")
     docs = make_docs([(1, "a b", None, None, 1), (None, "c", None, None, 1), (1, "a b", None, None, 1)])
@@ -215,15 +304,54 @@ def test_op8_audits_every_row(make_docs, in_folder, spark, rows):
 
 def test_op8_words_are_encoded_as_in_their_text(rows):
     texts = [t or "" for _, t, *_ in rows] + ODD
-    tokenizer, model = load_tokenizer(MODEL)
-    ids, cuts = encode_texts(texts, tokenizer, model)
-    for k, t in enumerate(texts):
-        assert ids[cuts[k]:cuts[k + 1]].tolist() == tokenizer.encode(t, add_special_tokens=False).ids, t
-    assert encode_texts([""], tokenizer, model)[1].tolist() == [0, 0]
+    tokenizer, model, _ = load_tokenizer(MODEL)
+    for capacity in (1, 1 << 18):
+        coder = WordCoder(tokenizer, model, capacity)
+        for part in (texts, texts[::-1], texts[3:9]):  # later blocks find words known, or forgotten
+            ids, cuts = coder.encode(part)
+            for k, t in enumerate(part):
+                assert ids[cuts[k]:cuts[k + 1]].tolist() == tokenizer.encode(t, add_special_tokens=False).ids, t
+        assert (len(coder.place) == 0) == (capacity == 1)
+        assert coder.encode([""])[1].tolist() == [0, 0]
+
+
+class Spy:
+    def __init__(self, tokenizer):
+        self.tokenizer, self.batches = tokenizer, []
+
+    def encode_batch_fast(self, words, **options):
+        self.batches.append(words)
+        return self.tokenizer.encode_batch_fast(words, **options)
+
+
+def test_op8_encodes_new_words_in_batches():
+    """Words go to the library's batch call, which runs on its threads; known ones not again."""
+    tokenizer, model, _ = load_tokenizer(MODEL)
+    coder = WordCoder(tokenizer, model)
+    coder.words = spy = Spy(coder.words)
+    coder.encode(["one two", "two three  four", "one"])
+    coder.encode(["four two one", "five"])
+    assert spy.batches == [["▁one▁two▁three"], ["▁▁four"], ["▁four▁five"]]
+    words = [f"w{i}x{i * 7919 % 1000}" for i in range(20_000)]
+    spy.batches.clear()
+    ids, cuts = coder.encode(words)
+    assert [len(b) for b in spy.batches] == [256, 256, 113]  # 32 words a string
+    for k in range(0, len(words), 997):
+        assert ids[cuts[k]:cuts[k + 1]].tolist() == tokenizer.encode(words[k], add_special_tokens=False).ids
+
+
+def test_op8_marker_signs_in_a_text(make_docs):
+    texts = ["a▁b", "a▁ b", "▁a", "▁ ▁  a▁▁b ▁", "▁", " ▁", "▁ "]
+    docs = make_docs([(i, t, None, None, 1) for i, t in enumerate(texts)])
+    reference = sentencepiece.SentencePieceProcessor(model_file=MODEL)
+    for r in encode(docs).collect():
+        assert r["ids"] == reference.encode(texts[r["doc_id"]]) and r["parity"]
 
 
 def test_op8_edges(make_docs):
-    docs = make_docs([(None, "a b", None, None, 1), (1, None, None, None, 1), (1, "c", None, None, 1)])
+    docs = make_docs([(None, "a b", None, None, 1), (1, None, None, None, 1), (1, "c", None, None, 1), (2, "c", None, None, 1), (3, "c", None, None, 1)])
+    same = {r["doc_id"]: r for r in encode(docs.coalesce(1)).collect()}
+    assert same[2]["ids"] == same[3]["ids"] and same[3]["parity"] and same[2]["n_tokens"] == len(same[2]["ids"]) > 0
     assert sorted((r["doc_id"] or 0, r["n_tokens"]) for r in encode(docs).collect())[0][0] == 0
     assert encode(make_docs([])).count() == 0
 
@@ -294,6 +422,17 @@ def test_op10_ledger_scans_only_unseen(make_docs, tmp_path, monkeypatch):
     assert seen == [["password=abcdefgh1", "plain"], ["password=abcdefgh2"], ["password=abcdefgh1", "password=abcdefgh2", "plain"]]
 
 
+def test_op10_ledger_with_a_blob_twice(make_docs, spark, tmp_path):
+    """A scan run again, or at the same time, appends the same blobs: results do not multiply."""
+    ledger = f"{tmp_path}/ledger"
+    docs = make_docs([(1, "password=abcdefgh1", None, None, 1), (2, "plain", None, None, 1)])
+    assert scan_secrets(docs, ledger).count() == 2
+    spark.read.parquet(ledger).write.parquet(f"{tmp_path}/again")
+    spark.read.parquet(f"{tmp_path}/again").write.mode("append").parquet(ledger)
+    assert sorted((r.doc_id, r.n_assign) for r in scan_secrets(docs, ledger).collect()) == [(1, 1), (2, 0)]
+    assert sorted(r.text for r in redacted_documents(docs, ledger).collect()) == ["[assign]", "plain"]
+
+
 def test_redaction(make_docs, tmp_path):
     docs = make_docs([(1, "é token=abcdefgh1 end", None, None, 1), (2, None, None, None, None), (3, "secret = " + "c" * 40, None, None, 1)], clash=True)
     clean = redacted_documents(docs, f"{tmp_path}/ledger")
@@ -308,7 +447,7 @@ def test_registered_names():
     names = list(entry.queries())
     assert "pipeline" in names and [n for n in names if n.startswith("op")] == sorted(
         (n for n in names if n.startswith("op")), key=lambda n: int(n[2:].split("_")[0]))
-    assert len([n for n in names if n.startswith("op")]) == 10
+    assert len([n for n in names if n.startswith("op")]) == 13
     assert set(entry.oracle_sql()) <= set(names)
 
 
@@ -341,6 +480,15 @@ def test_pipeline_stages(make_docs, in_folder, spark):
         df.unpersist()
 
 
+def test_pipeline_keeps_unrelated_texts_of_one_doc_id(make_docs, spark):
+    """A copy goes and a unique text stays, whatever other texts share their doc_id."""
+    a, b = " ".join(f"a{i}" for i in range(30)), " ".join(f"b{i}" for i in range(30))
+    docs = make_docs([(7, a, "en", "s", 1), (7, b, "en", "s", 1), (7, b, "en", "s", 1), (3, a + " x", "en", "s", 1), (9, b + " y", "en", "s", 1),
+                      (7, None, None, "s", 1), (None, a, "en", "s", 1)])
+    kept = corpus_pipeline.drop_near_copies(spark, docs, "")
+    assert sorted(((r.doc_id, r.text) for r in kept.collect()), key=repr) == sorted([(3, a + " x"), (7, b), (7, None), (None, a)], key=repr)
+
+
 def test_pipeline_on_an_empty_table(make_docs, in_folder, spark):
     folder = in_folder(documents=make_docs([]), labels=spark.createDataFrame([], "doc_id long, quality int"))
     assert corpus_pipeline.run(spark, folder).count() == 0
