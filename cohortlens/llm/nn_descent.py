@@ -10,9 +10,15 @@ nothing but candidates depends on them.
 
 Queries search the graph greedily with a beam: each round expands the nearest
 unexpanded nodes of every query's beam by a join with the graph, and measures
-their neighbours in double precision on the original vectors. A query starts
-from a fixed number of landmarks and, being a row of the table, from its own
-neighbours. Equal vectors are one node; the answer lists their ids.
+those of their neighbours that the query has not met yet, by their quantised
+vectors. A query starts from a fixed number of landmarks and, being a row of
+the table, from its own neighbours. The final beams are measured in double
+precision on the original vectors. Equal vectors are one node; the answer
+lists their ids.
+
+A hashed sample of the queries is compared with an exact scan of all vectors.
+Below ``RECALL`` all queries search again with twice the beam; beyond
+``MAX_BEAM`` all are answered by exact scans, in blocks.
 """
 
 from __future__ import annotations
@@ -27,12 +33,14 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from cohortlens.llm.common import drop_shared, partitions, prepare, table, write_shared
-from cohortlens.llm.vectors import classes, matrix, usable_vectors
+from cohortlens.llm.vectors import SMALL, classes, lengths, matrix, usable_vectors
 
 NEIGHBOURS, REVERSE = 24, 16
 TREES, BUCKET = 4, 128
 ROUNDS, SETTLED = 8, 0.02
-LANDMARKS, BEAM, EXPAND = 256, 384, 32
+LANDMARKS, BEAM, EXPAND, MAX_BEAM = 256, 384, 32, 3072
+AUDIT, RECALL = 128, 0.95  # queries that are audited, and the share of their nearest that must be found
+SCAN_ROWS = 256            # queries that an exact scan takes along at once
 QUERY_EVERY, TOP = 100, 10
 GRAPH = "node long, ids array<long>, dists array<double>, fresh array<boolean>"
 
@@ -191,12 +199,12 @@ def _proposals(graph: DataFrame, q: DataFrame) -> DataFrame:
     return groups.select("node", "ids", "fresh", "last", "q").mapInArrow(local_join, "node long, id long, d double")
 
 
-def neighbour_graph(nodes: DataFrame, rounds: int = ROUNDS) -> DataFrame:
-    """GRAPH of (node, v): every node's near neighbours, nearest first."""
-    q = write_shared(_quantised(nodes), "nnd-bytes")
+def neighbour_graph(q: DataFrame, rounds: int = ROUNDS) -> DataFrame:
+    """GRAPH of quantised nodes (node, q): every node's near neighbours,
+    nearest first."""
     n = q.count()
     if n < 2:
-        return nodes.sparkSession.createDataFrame([], GRAPH)
+        return q.sparkSession.createDataFrame([], GRAPH)
     dims = len(q.first()["q"]) - 8
     graph = write_shared(_lists_of(_first_graph(q, n, dims).withColumn("fresh", F.lit(True))), "nnd-graph")
     for _ in range(rounds):
@@ -211,93 +219,209 @@ def neighbour_graph(nodes: DataFrame, rounds: int = ROUNDS) -> DataFrame:
     return graph
 
 
-def _search(nodes: DataFrame, graph: DataFrame, queries: DataFrame, beam: int) -> DataFrame:
-    """(query, ids, d): each query's beam when no node of it is unexpanded."""
-    spark = nodes.sparkSession
-    marks = nodes.orderBy(F.xxhash64("node"), "node").limit(LANDMARKS).select("node", "v").collect()  # fixed bound
-    mark_ids, mark_v = np.array([r["node"] for r in marks], np.int64), np.array([r["v"] for r in marks], np.float64)
-    both = F.array_union("ids", F.slice("back", 1, NEIGHBOURS))
-    order = W.partitionBy("id").orderBy("d", "node")
-    back = (graph.select("node", F.explode(F.arrays_zip("ids", "dists")).alias("e"))
-            .select("node", F.col("e.ids").alias("id"), F.col("e.dists").alias("d"))
-            .withColumn("r", F.row_number().over(order)).where(F.col("r") <= NEIGHBOURS)
-            .groupBy(F.col("id").alias("node")).agg(F.collect_list("node").alias("back")))
-    links = write_shared(graph.select("node", "ids").join(back, "node", "left").select(
-        "node", F.coalesce(both, "ids").alias("ids")), "nnd-links")
+def _search(q: DataFrame, links: DataFrame, queries: DataFrame, beam: int) -> DataFrame:
+    """(query, ids): each query's beam when no node of it is unexpanded.
+    Distances are those of the quantised vectors (node, q)."""
+    marks = q.orderBy(F.xxhash64("node"), "node").limit(LANDMARKS).collect()  # fixed bound
+    mark_ids, (mark_x, mark_scale) = np.array([r["node"] for r in marks], np.int64), _codes([bytes(r["q"]) for r in marks])
+
+    def apart(raw: bytes, x: np.ndarray, scale: np.ndarray) -> np.ndarray:
+        own, size = _codes([raw])
+        return ((own.astype(np.float64) * size - x * scale[:, None]) ** 2).sum(1)
 
     def pick(ids: np.ndarray, d: np.ndarray, done: np.ndarray) -> dict:
         order = np.lexsort((ids, d))[:beam]
         return {"ids": ids[order].tolist(), "d": d[order].tolist(), "done": done[order].tolist()}
 
-    state = pa.schema([("query", pa.int64()), ("v", pa.list_(pa.float64())), ("ids", pa.list_(pa.int64())),
-                       ("d", pa.list_(pa.float64())), ("done", pa.list_(pa.bool_()))])
-    ddl = "query long, v array<double>, ids array<long>, d array<double>, done array<boolean>"
+    state = pa.schema([("query", pa.int64()), ("own", pa.binary()), ("ids", pa.list_(pa.int64())), ("d", pa.list_(pa.float64())),
+                       ("done", pa.list_(pa.bool_())), ("met", pa.list_(pa.int64()))])
+    ddl = "query long, own binary, ids array<long>, d array<double>, done array<boolean>, met array<long>"
 
     def start(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = []
-            for query, v in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                d = np.sqrt(((mark_v - np.array(v)) ** 2).sum(1))
-                own = mark_ids != query
-                out.append({"query": query, "v": v, **pick(mark_ids[own], d[own], np.zeros(own.sum(), bool))})
+            for query, raw in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                other = mark_ids != query
+                d = apart(raw, mark_x[other], mark_scale[other])
+                out.append({"query": query, "own": raw, "met": [query, *mark_ids[other].tolist()], **pick(mark_ids[other], d, np.zeros(other.sum(), bool))})
             yield pa.RecordBatch.from_pylist(out, schema=state)
 
     def merge(key: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
         row = left.to_pylist()[0]
         ids, d, done = np.array(row["ids"], np.int64), np.array(row["d"]), np.array(row["done"], bool)
         done = done | np.isin(ids, ids[~done][:EXPAND])  # those whose neighbours have come
-        new, first = np.unique(right.column("node").to_numpy(), return_index=True)
-        fresh = ~np.isin(new, ids) & (new != row["query"])
-        v = matrix(right.column("nv"))[first][fresh] if len(new) else np.zeros((0, len(row["v"])))
-        dist = np.sqrt(((v - np.array(row["v"])) ** 2).sum(1))
-        out = pick(np.concatenate([ids, new[fresh]]), np.concatenate([d, dist]), np.concatenate([done, np.zeros(fresh.sum(), bool)]))
-        return pa.Table.from_pylist([{"query": row["query"], "v": row["v"], **out}], schema=state)
-
-    beams = write_shared(queries.select("node", "v").mapInArrow(start, ddl), "nnd-beams")
-    vecs = nodes.select("node", F.col("v").alias("nv"))
+        new = right.column("node").to_numpy()
+        if len(new):
+            x, scale = _codes(right.column("q").to_pylist())
+            d = np.concatenate([d, apart(row["own"], x, scale)])
+            ids, done = np.concatenate([ids, new]), np.concatenate([done, np.zeros(len(new), bool)])
+        return pa.Table.from_pylist([{"query": row["query"], "own": row["own"], "met": [*row["met"], *new.tolist()], **pick(ids, d, done)}], schema=state)
+
+    beams = write_shared(queries.select("node").join(q, "node").mapInArrow(start, ddl), "nnd-beams")
     # a query's own neighbours come first, as if the query had been expanded
     ahead = queries.select(F.col("node").alias("query"), "node")
     while True:
-        cand = ahead.join(links, "node").select("query", F.explode("ids").alias("node")).distinct()
-        near = cand.join(vecs, "node").select(F.col("query").alias("asker"), "node", "nv")
-        beams = write_shared(beams.groupBy("query").cogroup(near.groupBy("asker")).applyInArrow(merge, ddl), "nnd-beams")
+        # EXPAND lists at most: a bounded set for each query
+        cand = ahead.join(links, "node").select("query", F.explode("ids").alias("node")).groupBy("query").agg(F.collect_set("node").alias("nodes"))
+        unmet = cand.join(beams.select("query", "met"), "query").select("query", F.explode(F.array_except("nodes", "met")).alias("node"))
+        near = unmet.join(q, "node").select(F.col("query").alias("asker"), "node", "q")
+        last, beams = beams, write_shared(beams.groupBy("query").cogroup(near.groupBy("asker")).applyInArrow(merge, ddl), "nnd-beams")
+        drop_shared(last)
         open_ = F.slice(F.filter(F.arrays_zip("ids", "done"), lambda x: ~x["done"]), 1, EXPAND)
         ahead = beams.select("query", F.explode(open_).alias("o")).select("query", F.col("o.ids").alias("node"))
         if not ahead.take(1):
-            return beams
+            return beams.select("query", "ids")
 
 
-def nearest(vectors: DataFrame, query: Column, top: int = TOP, beam: int = BEAM) -> DataFrame:
+def _links_of(graph: DataFrame) -> DataFrame:
+    """(node, ids): each node's list and a bounded number of its reverse neighbours."""
+    both = F.array_union("ids", F.slice("back", 1, NEIGHBOURS))
+    order = W.partitionBy("id").orderBy("d", "node")
+    back = (graph.select("node", F.explode(F.arrays_zip("ids", "dists")).alias("e"))
+            .select("node", F.col("e.ids").alias("id"), F.col("e.dists").alias("d"))
+            .withColumn("r", F.row_number().over(order)).where(F.col("r") <= NEIGHBOURS)
+            .groupBy(F.col("id").alias("node")).agg(F.collect_list("node").alias("back")))
+    return write_shared(graph.select("node", "ids").join(back, "node", "left").select(
+        "node", F.coalesce(both, "ids").alias("ids")), "nnd-links")
+
+
+def _measured(beams: DataFrame, nodes: DataFrame, top: int) -> DataFrame:
+    """(query, node, score): the ``top`` nearest of every beam, in double precision."""
+    def measure(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            gap = matrix(batch.column("v")) - matrix(batch.column("own"))
+            yield pa.RecordBatch.from_arrays([batch.column("query"), batch.column("node"), pa.array(np.sqrt((gap * gap).sum(1)))],
+                                             names=["query", "node", "score"])
+
+    pairs = beams.select("query", F.explode("ids").alias("node")).join(nodes.select("node", "v"), "node")
+    pairs = pairs.join(nodes.select(F.col("node").alias("query"), F.col("v").alias("own")), "query")
+    found = pairs.select("query", "node", "v", "own").mapInArrow(measure, "query long, node long, score double")
+    best = W.partitionBy("query").orderBy("score", "node")
+    return found.withColumn("r", F.row_number().over(best)).where(F.col("r") <= top).drop("r")
+
+
+def _scanned(nodes: DataFrame, queries: DataFrame, top: int) -> DataFrame:
+    """(query, node, score) by exact scans: every block of the queries (a
+    bounded number, fetched in turn) goes over all nodes, each task keeps a
+    query's ``top`` nearest, and these meet."""
+    out = None
+    blocks = max(1, -(-queries.count() // SCAN_ROWS))
+    dealt = queries.select("node", "v", F.pmod(F.xxhash64("node"), F.lit(blocks)).alias("block"))
+    for block in range(blocks):
+        rows = dealt.where(F.col("block") == block).select("node", "v").collect()
+        if not rows:
+            continue
+        ids, v = np.array([r["node"] for r in rows], np.int64), np.array([r["v"] for r in rows], np.float64)
+
+        def scan(batches: Iterable[pa.RecordBatch], ids=ids, v=v) -> Iterator[pa.RecordBatch]:
+            near_d, near_id = np.full((len(ids), top), np.inf), np.full((len(ids), top), -1, np.int64)
+            for batch in batches:
+                x, node = matrix(batch.column("v")), batch.column("node").to_numpy()
+                for lo in range(0, len(node), 512):
+                    own = node[lo:lo + 512]
+                    d = np.empty((len(ids), len(own)))
+                    for i in range(len(ids)):
+                        gap = x[lo:lo + 512] - v[i]
+                        d[i] = np.sqrt((gap * gap).sum(1))
+                    d[ids[:, None] == own] = np.inf
+                    all_d = np.concatenate([near_d, d], 1)
+                    all_id = np.concatenate([near_id, np.broadcast_to(own, d.shape)], 1)
+                    order = np.lexsort((all_id, all_d), axis=1)[:, :top]
+                    near_d, near_id = np.take_along_axis(all_d, order, 1), np.take_along_axis(all_id, order, 1)
+            keep = np.isfinite(near_d)
+            yield pa.RecordBatch.from_arrays([pa.array(np.repeat(ids, keep.sum(1))), pa.array(near_id[keep]), pa.array(near_d[keep])],
+                                             names=["query", "node", "score"])
+
+        part = nodes.select("node", "v").mapInArrow(scan, "query long, node long, score double")
+        out = part if out is None else out.unionByName(part)
+    if out is None:
+        return nodes.sparkSession.createDataFrame([], "query long, node long, score double")
+    best = W.partitionBy("query").orderBy("score", "node")
+    return out.withColumn("r", F.row_number().over(best)).where(F.col("r") <= top).drop("r")
+
+
+def _recall(found: DataFrame, exact: DataFrame) -> float:
+    """The share of ``exact`` (query, node, score) that ``found`` has."""
+    hits = exact.join(found.select("query", "node", F.lit(1).alias("hit")), ["query", "node"], "left")
+    row = hits.agg(F.count("*").alias("wanted"), F.count("hit").alias("hits")).first()
+    return row["hits"] / row["wanted"] if row["wanted"] else 1.0
+
+
+def _found(nodes: DataFrame, asked: DataFrame, top: int, beam: int, recall: float) -> DataFrame:
+    """(query, node, score): the ``top`` nearest other nodes found for every
+    node of ``asked``."""
+    q = write_shared(_quantised(nodes), "nnd-bytes")
+    if not asked.take(1):
+        return _scanned(nodes, asked, top)
+    links = _links_of(neighbour_graph(q))
+    sample = asked.orderBy(F.xxhash64("node", F.lit("audit")), "node").limit(AUDIT)  # a bounded sample by hash
+    exact = write_shared(_scanned(nodes, sample, top), "nnd-audit")
+    while beam <= MAX_BEAM:
+        found = write_shared(_measured(_search(q, links, asked, beam), nodes, top), "nnd-found")
+        if _recall(found, exact) >= recall:
+            return found
+        beam *= 2
+    return _scanned(nodes, asked, top)
+
+
+def nearest(vectors: DataFrame, query: Column, top: int = TOP, beam: int = BEAM, recall: float = RECALL, small: int = SMALL) -> DataFrame:
     """(query_id, rank, vec_id, score): the ``top`` nearest other rows found
     for every row of ``vectors`` (vec_id, embedding) for which ``query`` holds.
 
     Score is the Euclidean distance in double precision; ties go to the
-    smaller vec_id. Rows with a null vec_id and vectors that are null, zero,
-    hold null or non-finite components or have not the most common length take
-    no part. With fewer candidates than ``top`` all are returned.
+    smaller vec_id. Rows with a null vec_id and vectors that are null, zero or
+    hold null or non-finite components take no part. Only vectors of one
+    length have a distance, so each length is searched by itself: by the graph,
+    or, other lengths than the most common one with at most ``small`` vectors,
+    exactly. With fewer candidates than ``top`` all are returned.
     """
     prepare(vectors.sparkSession)
-    usable = usable_vectors(vectors)
+    usable = write_shared(usable_vectors(vectors), "vectors")
+    asks = usable.where(query).select("vec_id", F.lit(True).alias("asks"))
+    many, rest = lengths(usable, small)
+    rest = rest.join(asks, "vec_id", "left").select("length", "vec_id", "v", F.coalesce("asks", F.lit(False)).alias("asks"))
+    pairs = rest.groupBy("length").applyInArrow(_exact(top), "query_id long, vec_id long, score double")
+    for n in many:
+        pairs = pairs.unionByName(_pairs(usable.where(F.size("v") == n), asks, lambda nodes, asked: _found(nodes, asked, top, beam, recall), top))
+    best = W.partitionBy("query_id").orderBy("score", "vec_id")
+    return pairs.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= top).select(
+        "query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
+
+
+def _exact(top: int):
+    """All of a few vectors of one length against each other."""
+
+    def run(rows: pa.Table) -> pa.Table:
+        rows = rows.sort_by("vec_id")
+        ids, v = rows.column("vec_id").to_numpy(), matrix(rows.column("v"))
+        out = [(np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))]
+        for i in np.flatnonzero(rows.column("asks").to_numpy()):
+            gap = v - v[i]
+            d = np.sqrt((gap * gap).sum(1))
+            d[i] = np.inf
+            order = np.lexsort((ids, d))[:min(top, len(ids) - 1)]
+            out.append((np.full(len(order), ids[i]), ids[order], d[order]))
+        query, vec, score = (np.concatenate(x) for x in zip(*out))
+        return pa.table({"query_id": query, "vec_id": vec, "score": score})
+
+    return run
+
+
+def _pairs(usable: DataFrame, asks: DataFrame, found, top: int) -> DataFrame:
+    """(query_id, vec_id, score) of vectors of one length: ``found`` gives
+    each asked node's nearest nodes, whose members are listed."""
     nodes, of = classes(usable)
-    nodes = write_shared(nodes.withColumnRenamed("rep", "node"), "vectors")
-    of = write_shared(of.join(usable.where(query).select("vec_id", F.lit(True).alias("asks")), "vec_id", "left")
-                      .select("vec_id", F.col("rep").alias("node"), F.coalesce("asks", F.lit(False)).alias("asks")), "vector-classes")
-    graph = neighbour_graph(nodes)
+    nodes = write_shared(nodes.withColumnRenamed("rep", "node"), "nodes")
+    of = write_shared(of.join(asks, "vec_id", "left").select("vec_id", F.col("rep").alias("node"), F.coalesce("asks", F.lit(False)).alias("asks")), "vector-classes")
     asked = nodes.join(of.where("asks").select("node").distinct(), "node", "left_semi")
-    beams = _search(nodes, graph, asked, beam)
     ranked = W.partitionBy("node").orderBy("vec_id")
     # of equal vectors an answer can hold top + 1 at most (one may be the query)
     ids = of.withColumn("r", F.row_number().over(ranked)).where(F.col("r") <= top + 1).groupBy("node").agg(
         F.sort_array(F.collect_list("vec_id")).alias("members"))
-    near = beams.select("query", F.explode(F.slice(F.arrays_zip("ids", "d"), 1, top)).alias("e")).select(
-        "query", F.col("e.ids").alias("node"), F.col("e.d").alias("score"))
-    near = near.unionByName(asked.select(F.col("node").alias("query"), "node", F.lit(0.0).alias("score")))
-    found = near.join(ids, "node").select("query", "score", F.explode("members").alias("vec_id"))
-    pairs = (of.where("asks").select(F.col("vec_id").alias("query_id"), F.col("node").alias("query"))
-             .join(found, "query").where("query_id <> vec_id"))
-    best = W.partitionBy("query_id").orderBy("score", "vec_id")
-    return pairs.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= top).select(
-        "query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
+    near = found(nodes, asked).unionByName(asked.select(F.col("node").alias("query"), "node", F.lit(0.0).alias("score")))
+    listed = near.join(ids, "node").select("query", "score", F.explode("members").alias("vec_id"))
+    return (of.where("asks").select(F.col("vec_id").alias("query_id"), F.col("node").alias("query"))
+            .join(listed, "query").where("query_id <> vec_id").select("query_id", "vec_id", "score"))
 
 
 def op4_nn_descent(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -8,20 +8,31 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
+SMALL = 4096  # vectors of one length that are compared in one task
+
+
 def usable_vectors(frame: DataFrame) -> DataFrame:
     """(vec_id, v array<double>) of the rows that take part: vec_id not null,
-    vector neither null nor zero, its components all finite, its length the
-    most common one (ties: the smaller). One row for each vec_id: the first in
-    the order of the values, should a vec_id repeat."""
+    vector neither null nor zero, its components all finite. One row for each
+    vec_id: the first in the order of the values, should a vec_id repeat.
+    Vectors of different lengths have no distance; see ``lengths``."""
     rows = frame.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<double>").alias("v"))
     fine = F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
     rows = rows.where("vec_id is not null and v is not null").where(fine).where(F.exists("v", lambda x: x != 0.0))
-    sizes = rows.groupBy(F.size("v").alias("n")).agg(F.count("*").alias("c"))
-    usual = sizes.orderBy(F.col("c").desc(), "n").limit(1).select("n")
-    rows = rows.join(F.broadcast(usual), F.size("v") == F.col("n"), "left_semi")  # one row
     return rows.groupBy("vec_id").agg(F.min("v").alias("v"))
 
 
+def lengths(vectors: DataFrame, small: int = SMALL) -> tuple[list[int], DataFrame]:
+    """(the most common length and all with more than ``small`` vectors, the
+    vectors of the other lengths with ``length``): vectors of one length are a
+    table of their own, compared within itself. The others fit a task each
+    length. The driver sees one number a length."""
+    sized = vectors.withColumn("length", F.size("v"))
+    counts = sized.groupBy("length").count().orderBy(F.desc("count"), "length").collect()
+    many = [r["length"] for i, r in enumerate(counts) if i == 0 or r["count"] > small]
+    return many, sized.where(~F.col("length").isin(many)) if many else sized
+
+
 def classes(vectors: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(rep, copies, v) with one row per distinct vector, rep its smallest
     vec_id, and (vec_id, rep) for every vector. Vectors of one class have equal

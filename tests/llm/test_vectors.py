@@ -1,13 +1,18 @@
 """Ops 4 and 5 against brute force."""
 
+import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cohortlens.llm.embedding_dedup import (AUDIT_ROWS, QUERY_ROWS, component_links, links_of, near_duplicates,
-                                            op5_embedding_near_dedup, query_blocks)
+from cohortlens.llm import embedding_dedup
+from cohortlens.llm.embedding_dedup import (AUDIT_ROWS, BLOCKS, QUERY_ROWS, component_links, links_of, near_duplicates,
+                                            op5_embedding_near_dedup, query_tasks)
 from cohortlens.llm.hnsw import Graph
+from cohortlens.llm import nn_descent
+from cohortlens.llm.oracles import OP5
 from cohortlens.llm.nn_descent import nearest, neighbour_graph, op4_nn_descent
 
 VECTORS = T.StructType([T.StructField("vec_id", T.LongType()), T.StructField("embedding", T.ArrayType(T.FloatType())),
@@ -92,7 +97,7 @@ def test_op4_one_huge_vector_and_tiny_ones(spark):
     vectors = spark.createDataFrame([(i, x[i].tolist(), 0) for i in range(3000)], VECTORS)
     asks = [i for i in range(3000) if i % 60 in (1, 2)]
     nodes = vectors.select(F.col("vec_id").alias("node"), F.col("embedding").cast("array<double>").alias("v"))
-    graph = {r["node"]: r["ids"] for r in neighbour_graph(nodes).collect()}
+    graph = {r["node"]: r["ids"] for r in neighbour_graph(nn_descent._quantised(nodes)).collect()}
     got = {}
     for r in nearest(vectors, (F.col("vec_id") % 60).isin(1, 2)).collect():
         got.setdefault(r["query_id"], set()).add(r["vec_id"])
@@ -106,6 +111,57 @@ def test_op4_one_huge_vector_and_tiny_ones(spark):
     assert all(np.mean(h) >= 0.9 for h in (*hits.values(), *near.values()))
 
 
+def exact_nearest(x, q, top=10):
+    d = np.sqrt(((x - x[q]) ** 2).sum(1))
+    d[q] = np.inf
+    return set(np.lexsort((np.arange(len(x)), d))[:top].tolist())
+
+
+def test_op4_widens_until_the_audit_passes(spark, monkeypatch):
+    """From a beam that is far too narrow the search goes on to wider ones, and in the end to exact scans."""
+    x = np.random.default_rng(3).standard_normal((900, 24)).astype(np.float32)
+    vectors = spark.createDataFrame([(i, x[i].tolist(), 0) for i in range(900)], VECTORS)
+    beams, search, scan = [], nn_descent._search, []
+    monkeypatch.setattr(nn_descent, "_search", lambda q, links, asked, beam: (beams.append(beam), search(q, links, asked, beam))[1])
+    scanned = nn_descent._scanned
+    monkeypatch.setattr(nn_descent, "_scanned", lambda nodes, asked, top: (scan.append(1), scanned(nodes, asked, top))[1])
+    monkeypatch.setattr(nn_descent, "NEIGHBOURS", 4)
+    monkeypatch.setattr(nn_descent, "REVERSE", 2)
+
+    def found(**options):
+        out = {}
+        for r in nearest(vectors, F.col("vec_id") % 30 == 0, **options).collect():
+            out.setdefault(r["query_id"], set()).add(r["vec_id"])
+        return np.mean([len(exact_nearest(x.astype(np.float64), q) & got) / 10 for q, got in out.items()])
+
+    assert found(beam=10, recall=0.9) >= 0.9 and len(beams) > 1 and beams == [10 * 2**k for k in range(len(beams))] and scan == [1]
+    monkeypatch.setattr(nn_descent, "MAX_BEAM", 10)
+    assert found(beam=10, recall=1.01) == 1.0 and len(scan) == 3  # the audit's scan, and that of all queries
+
+
+def test_vectors_of_several_lengths(spark):
+    """Every length is a table of its own: nearest and links within it."""
+    rng = np.random.default_rng(5)
+    data = {i: rng.standard_normal(n) for i, n in enumerate([8] * 120 + [3] * 40 + [5] * 7 + [2])}
+    for a, b in ((0, 1), (125, 126), (161, 162)):
+        data[b] = data[a] * 1.001
+    rows = [(i, [float(np.float32(x)) for x in v], 0) for i, v in data.items()]
+    x = {i: np.array(v) for i, v, _ in rows}
+    vectors = spark.createDataFrame(rows, VECTORS)
+    for small in (4096, 20):  # the length of 40 exactly, or by a graph
+        got = {}
+        for r in nearest(vectors, F.lit(True), top=3, small=small).collect():
+            got.setdefault(r["query_id"], []).append((r["rank"], r["vec_id"], r["score"]))
+        for q, v in x.items():
+            near = sorted((float(np.sqrt(((v - w) ** 2).sum())), i) for i, w in x.items() if i != q and len(w) == len(v))[:3]
+            assert [i for _, i, _ in sorted(got.get(q, []))] == [i for _, i in near]
+        out = {r["vec_id"]: (r["n_links"], r["component_id"], r["kept"]) for r in near_duplicates(vectors, small=small).collect()}
+        links = {i: [j for j, w in x.items() if j != i and len(w) == len(v) and v @ w >= 0.9 * np.sqrt((v @ v) * (w @ w))] for i, v in x.items()}
+        assert {i: n for i, (n, *_) in out.items()} == {i: len(l) for i, l in links.items()}
+        assert out[1][1:] == (0, False) and out[167][1:] == (167, True)
+        assert all(out[j][1] == out[i][1] for i, l in links.items() for j in l)
+
+
 def test_op5_links_and_components(spark, tmp_path):
     rows = table()
     got = {r["vec_id"]: (r["n_links"], r["component_id"], r["kept"])
@@ -133,9 +189,24 @@ def test_op5_empty(spark):
     assert near_duplicates(spark.createDataFrame([], VECTORS)).count() == 0
 
 
-def test_op5_query_blocks_follow_the_table():
+def test_op5_tasks_follow_the_table():
+    """A block of queries is bounded, and so is what a task streams; the index is read once a task."""
     for n in (1, 10_256, 51_282, 3_000_000, 100_000_000):
-        assert n / query_blocks(n) <= QUERY_ROWS == 32 * AUDIT_ROWS
+        assert n / query_tasks(n) <= QUERY_ROWS * BLOCKS and QUERY_ROWS == 32 * AUDIT_ROWS
+    assert query_tasks(51_282) == query_tasks(1_000_000) == 4
+
+
+def test_op5_streams_queries_in_blocks(spark, monkeypatch):
+    """Results do not depend on the size of the blocks and of the Arrow batches."""
+    vectors = spark.createDataFrame(table(), VECTORS)
+    want = sorted(map(tuple, near_duplicates(vectors).collect()), key=repr)
+    monkeypatch.setattr(embedding_dedup, "QUERY_ROWS", 37)
+    monkeypatch.setattr(embedding_dedup, "BLOCKS", 2)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "50")
+    try:
+        assert sorted(map(tuple, near_duplicates(vectors, shards=3).collect()), key=repr) == want
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
 
 
 def test_op5_links_found_from_one_end_count_for_both(spark):
@@ -179,3 +250,57 @@ def test_graph_reaches_isolated_clusters():
     ids, _ = graph.search(x.astype(np.float32), 48)
     own = np.arange(1200) // 40
     assert np.mean([(i[:40] // 40 == c).mean() for i, c in zip(ids, own)]) > 0.99
+
+
+def test_op5_planted_copies_against_sql(spark, tmp_path):
+    """Groups of near copies of many sizes, over all shards, against the oracle's SQL."""
+    rng = np.random.default_rng(11)
+    vectors, n = [], 0
+    for size in (700, 130, 40, 9, 3, 2, 2):
+        base = rng.standard_normal(24)
+        for _ in range(size):
+            vectors.append(base + rng.standard_normal(24) * np.linalg.norm(base) / np.sqrt(24) * rng.choice([0.1, 0.3, 0.36]))
+    chain = rng.standard_normal(24)
+    for _ in range(30):  # each near the next, the ends not near each other
+        chain = chain + rng.standard_normal(24) * 0.25
+        vectors.append(chain)
+    vectors += list(rng.standard_normal((400, 24)))
+    order = rng.permutation(len(vectors))
+    rows = [(int(i), [float(np.float32(v)) for v in vectors[k]], 0) for i, k in enumerate(order)]
+    rows += [(5000, rows[0][1], 0), (5001, None, 0), (5002, [0.0] * 24, 0)]
+    folder = write(spark, tmp_path, rows)
+    got = sorted(map(tuple, op5_embedding_near_dedup(spark, folder).select("vec_id", "n_links", "component_id", "kept").collect()))
+    con = duckdb.connect()
+    con.execute(f"create view embeddings as select vec_id, embedding from read_parquet('{folder}/embeddings.parquet/*.parquet')")
+    want = sorted(con.execute(OP5).fetchall())
+    assert got == want
+    assert sum(n > 100 for _, n, *_ in want) > 300 and sum(c != v for v, _, c, _ in want) > 700
+
+
+@pytest.mark.parametrize("threshold", [0.5, 0.9, 0.999, 1.0, -0.2])
+def test_op5_counts_by_bounds_are_exact(threshold):
+    rng = np.random.default_rng(4)
+    x = np.concatenate([rng.standard_normal((300, 6)), rng.standard_normal((1, 6)) + 0.05 * rng.standard_normal((200, 6)),
+                        rng.standard_normal((1, 6)) + 0.4 * rng.standard_normal((200, 6)), np.eye(6), np.eye(6) + 1e-9])
+    x = embedding_dedup._units(x)
+    ids, copies = rng.permutation(len(x)) * 3, rng.integers(1, 4, len(x))
+    q = np.arange(0, len(x), 2)
+    got = embedding_dedup._near_counts(x[q], ids[q], x, ids, copies, threshold)
+    for k, i in enumerate(q):
+        near = (x[i] * x).sum(1) >= threshold
+        near[i] = False
+        assert got[k] == copies[near].sum()
+
+
+def test_op5_a_hot_component_is_counted_in_bounded_time(spark):
+    """20,000 near copies: 4e8 pairs, of which the bounds leave next to none to compare."""
+    import time
+    rng = np.random.default_rng(6)
+    n = 20_000
+    base = rng.standard_normal(32)
+    v = base + 0.02 * rng.standard_normal((n, 32))
+    frame = pa.table({"rep": np.arange(n), "copies": np.ones(n, np.int64), "v": list(v), "component": np.zeros(n, np.int64)})
+    members = spark.createDataFrame(frame.to_pandas()).repartition(8)
+    began = time.time()
+    counts = component_links(members, 0.9).agg(F.count("*"), F.min("links"), F.max("links")).first()
+    assert tuple(counts) == (n, n - 1, n - 1) and time.time() - began < 60
