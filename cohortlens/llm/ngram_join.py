@@ -101,8 +101,8 @@ def shingle_sets(docs: DataFrame, width: int = WIDTH) -> DataFrame:
 
 
 def _full_sets(packed: DataFrame, width: int) -> DataFrame:
-    """(block, rep, n, tokens): the whole sets of packed texts, a block's rows
-    together a few MB."""
+    """(block, rep, doc, n, tokens): the whole sets of packed texts, a block's
+    rows together a few MB."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task = TaskContext.get().partitionId() << 32
@@ -116,10 +116,10 @@ def _full_sets(packed: DataFrame, width: int) -> DataFrame:
             cut = np.searchsorted(at, np.arange(len(offs))).astype(np.int32)
             sets = pa.ListArray.from_arrays(pa.array(cut), pa.array(hashes.view(np.int64)))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.full(rows.num_rows, task + i)), pa.array(column(rows, "mark")),
-                 pa.array(np.diff(cut).astype(np.int64)), sets], names=["block", "rep", "n", "tokens"])
+                [pa.array(np.full(rows.num_rows, task + i)), pa.array(column(rows, "mark")), pa.array(column(rows, "doc_id")),
+                 pa.array(np.diff(cut).astype(np.int64)), sets], names=["block", "rep", "doc", "n", "tokens"])
 
-    return packed.mapInArrow(run, "block long, rep long, n long, tokens array<long>")
+    return packed.mapInArrow(run, "block long, rep long, doc long, n long, tokens array<long>")
 
 
 def _lists(batch: pa.RecordBatch | pa.Table, name: str) -> tuple[np.ndarray, np.ndarray]:
@@ -131,7 +131,7 @@ def _lists(batch: pa.RecordBatch | pa.Table, name: str) -> tuple[np.ndarray, np.
 
 
 def _prefixes(sets: DataFrame, percent: int) -> DataFrame:
-    """(rep, n, skip, prefix): shingles in the order of their document
+    """(rep, doc, n, skip, prefix): shingles in the order of their document
     frequency, rarest first; of the prefix, ``skip`` shingles that no other
     set holds are only counted. Sets whose prefix has no other are left out.
 
@@ -199,14 +199,14 @@ def _prefixes(sets: DataFrame, percent: int) -> DataFrame:
         inside = (within < (n - _need(n, percent) + 1)[doc]) & (df > 1)
         skip = np.bincount(doc, weights=df == 1, minlength=len(n)).astype(np.int64)
         cut = np.searchsorted(doc[inside], np.arange(len(n) + 1)).astype(np.int32)
-        out = pa.table({"rep": rows.column("rep").combine_chunks(), "n": pa.array(n.astype(np.int64)), "skip": pa.array(skip),
+        out = pa.table({"rep": rows.column("rep").combine_chunks(), "doc": rows.column("doc").combine_chunks(), "n": pa.array(n.astype(np.int64)), "skip": pa.array(skip),
                         "prefix": pa.ListArray.from_arrays(pa.array(cut), pa.array(tokens[inside]))})
         return out.filter(pa.array(np.diff(cut) > 0))
 
     answers = (sets.select("block", "tokens").mapInArrow(send, "bucket int, block long, keys binary, counts binary")
                .repartitionById(buckets, "bucket").mapInArrow(answer, "block long, keys binary, dfs binary"))
     return (sets.groupBy("block").cogroup(answers.groupBy("block"))
-            .applyInArrow(rank, "rep long, n long, skip long, prefix array<long>"))
+            .applyInArrow(rank, "rep long, doc long, n long, skip long, prefix array<long>"))
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -303,22 +303,26 @@ def _linked(docs: DataFrame, width: int, percent: int) -> tuple[DataFrame, DataF
 
 
 def _links(sets: DataFrame, percent: int) -> DataFrame:
-    """Enough verified links (a, b) for the components of ``sets`` (rep, n, tokens)."""
+    """Enough verified links (a, b) for the components of ``sets`` (rep, doc,
+    n, tokens). Of a group, and of a shingle's list, the text of the smallest
+    document is the one that the others meet first: copies are mostly younger
+    than what they copy, and nearer to it than to each other."""
     prefix = write_shared(_prefixes(sets, percent), "prefixes")
     prefix = prefix.withColumn("own", F.when(F.col("skip") > 0, F.col("rep")))
-    groups = write_shared(prefix.groupBy("n", "prefix", "own").agg(F.min("rep").alias("gid")), "groups")
+    groups = write_shared(prefix.groupBy("n", "prefix", "own").agg(F.min(F.struct("doc", "rep")).alias("first"))
+                          .select("n", "prefix", "own", F.col("first.rep").alias("gid"), F.col("first.doc").alias("doc")), "groups")
     alike = (F.col("p.n") == F.col("g.n")) & (F.col("p.prefix") == F.col("g.prefix")) & F.col("p.own").eqNullSafe(F.col("g.own"))
     members = write_shared(prefix.alias("p").join(groups.alias("g"), alike).select("p.rep", "g.gid", "p.n"), "members")
     posts = write_shared(groups.join(prefix.select(F.col("rep").alias("gid"), "skip"), "gid")
-                         .select("gid", "n", "skip", F.posexplode("prefix").alias("at", "token"))
-                         .select("gid", "n", "token", (F.col("at") + F.col("skip")).alias("pos")), "posts")
+                         .select("gid", "doc", "n", "skip", F.posexplode("prefix").alias("at", "token"))
+                         .select("gid", "doc", "n", "token", (F.col("at") + F.col("skip")).alias("pos")), "posts")
 
     def near(x: str, y: str) -> str:
         """Bounds on what two sets can still share from a common shingle on."""
         least = f"-floor(-{percent} * ({x}n + {y}n) / {100 + percent})"
         return f"1 + least({x}n - {x}pos, {y}n - {y}pos) - 1 >= {least}"
 
-    hubs = posts.groupBy("token").agg(F.min(F.struct("gid", "n", "pos")).alias("h")).select(
+    hubs = posts.groupBy("token").agg(F.min(F.struct("doc", "gid", "n", "pos")).alias("h")).select(
         "token", F.col("h.gid").alias("hub"), F.col("h.n").alias("hn"), F.col("h.pos").alias("hpos"))
     first = (posts.join(hubs, "token").where("gid <> hub").where(near("", "h"))
              .select(F.col("hub").alias("a"), F.col("gid").alias("b"))
