@@ -7,8 +7,9 @@ is the quantile of the training scores that the labels' share of 0 gives, and
 the reported score is a logistic curve through it (``THRESHOLD`` there).
 
 Features come from one vectorised pass over the whole texts and are written
-once; training reads a bounded sample of them (``MAX_LABELLED`` rows, chosen
-by hash), scoring reads all.
+once; training reads those of every labelled row, scoring reads all. Rivals
+and the threshold follow from places in a sorted order, which is dealt over
+range partitions (``numbered``): no task sorts or gathers a whole class.
 """
 
 from __future__ import annotations
@@ -24,8 +25,8 @@ from pyspark.sql import functions as F
 
 from cohortlens.llm.common import prepare, table, write_shared
 from cohortlens.llm.kernels import runs, text_blocks, word_hashes, word_spans
+from cohortlens.operators.ordering import running_totals
 
-MAX_LABELLED = 40_000
 RIVALS = 3
 THRESHOLD = 0.3
 STEPS, RIDGE = 12, 1e-3
@@ -100,14 +101,40 @@ def held_out(doc_id: Column) -> Column:
     return F.pmod(F.crc32(doc_id.cast("string")), F.lit(5)) == 0
 
 
+def numbered(rows: DataFrame, group: str, order: str) -> DataFrame:
+    """``rows`` with ``i``, a row's place (from 0) in the order of ``order``
+    among those of its ``group``. Rows are sorted within range partitions and
+    written with their place there; only one row a partition and group, where
+    it begins, meets the others."""
+    placed = write_shared(rows.repartitionByRange(group, order).sortWithinPartitions(group, order)
+                          .withColumn("_at", F.monotonically_increasing_id()), "numbered")
+    placed = placed.withColumn("_part", F.shiftright("_at", 33))
+    starts = placed.groupBy("_part", group).agg(F.min("_at").alias("_first"), F.count("*").alias("_n"))
+    before = W.partitionBy(group).orderBy("_part").rowsBetween(W.unboundedPreceding, -1)
+    starts = starts.select("_part", group, "_first", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    return placed.join(F.broadcast(starts), ["_part", group]).select(
+        *rows.columns, (F.col("_before") + F.col("_at") - F.col("_first")).alias("i"))
+
+
+def quantile(rows: DataFrame, value: str, share: float) -> float:
+    """The exact quantile of ``value`` at ``share`` of the way, interpolated
+    between its two neighbours, as ``percentile`` gives it. Equal values are
+    counted first and are one row."""
+    counts = running_totals(rows.groupBy(value).agg(F.count("*").alias("n")), F.col(value), ["n"], totals_prefix="all_")
+    at = F.lit(float(share)) * (F.col("all_n") - 1)
+    near = counts.where((F.col("cum_n") > F.floor(at)) & (F.col("cum_n") - F.col("n") <= F.ceil(at)))
+    got = near.select(value, at.alias("at")).orderBy(value).collect()  # two rows at most
+    part = got[0]["at"] - math.floor(got[0]["at"])
+    return (1 - part) * got[0][value] + part * got[-1][value]
+
+
 def preference_pairs(labelled: DataFrame, rivals: int = RIVALS) -> DataFrame:
     """(d array<double>): features of a document labelled 1 less those of one
     labelled 0; every 1 meets ``rivals`` zeros dealt by hash, every 0 at least
     as many ones."""
-    order = W.partitionBy("y").orderBy("h")  # labelled is a bounded sample
-    ranked = labelled.withColumn("i", F.row_number().over(order) - 1)
+    ranked = numbered(labelled, "y", "h")
     ones, zeros = ranked.where("y = 1"), ranked.where("y = 0")
-    sizes = {r["y"]: r["n"] for r in ranked.groupBy("y").agg(F.count("*").alias("n")).collect()}
+    sizes = {r["y"]: r["n"] for r in labelled.groupBy("y").agg(F.count("*").alias("n")).collect()}
     if not (sizes.get(1) and sizes.get(0)):
         return labelled.select(F.col("x").alias("d")).limit(0)
     pairs = None
@@ -148,12 +175,12 @@ def fit_strengths(pairs: DataFrame, size: int, steps: int = STEPS, ridge: float
     return weights
 
 
-def rank_quality(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED) -> DataFrame:
+def rank_quality(docs: DataFrame, labels: DataFrame, max_labelled: int | None = None) -> DataFrame:
     """One row per row of ``docs`` (doc_id, text; other columns are ignored):
     doc_id, mark, held_out, score, predicted.
 
-    About ``max_labelled`` labelled rows at most, by hash, are learned from.
-    ``labels`` has doc_id and quality; rows whose crc32(doc_id) mod 5 is 0,
+    Every labelled row is learned from, unless the caller bounds them: then
+    about ``max_labelled`` at most, by hash. ``labels`` has doc_id and quality; rows whose crc32(doc_id) mod 5 is 0,
     null or other qualities and ids not in ``docs`` are not learned from. A
     null or empty text has zero features and a score like any other. Without
     labels of both kinds every score is the threshold. A null doc_id has a
@@ -167,8 +194,8 @@ def rank_quality(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LAB
     known = (labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").cast("int").alias("y"))
              .where("y in (0, 1)").where(~held_out(F.col("doc_id"))).distinct())
     sample = feats.join(known, "doc_id").withColumn("h", F.xxhash64("doc_id", "mark"))
-    total = feats.select("doc_id").join(known, "doc_id").count()
-    if total > max_labelled:  # a share of the hashes, so no task gathers more than its part of the sample
+    total = feats.select("doc_id").join(known, "doc_id").count() if max_labelled is not None else 0
+    if max_labelled is not None and total > max_labelled:  # a share of the hashes, so no task gathers more than its part of the sample
         sample = sample.where(F.pmod("h", F.lit(1 << 30)) < int((1 << 30) * max_labelled / total))
     sample = write_shared(sample.select("h", "x", "y"), "labelled")
     stats = sample.select("y", F.posexplode("x").alias("i", "v")).groupBy("i").agg(
@@ -182,7 +209,7 @@ def rank_quality(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LAB
         return F.transform(z, lambda v: F.least(F.lit(8.0), F.greatest(F.lit(-8.0), v)))
 
     sample = sample.withColumn("x", standard("x"))
-    pairs = write_shared(preference_pairs(sample).repartition(8), "pairs")
+    pairs = write_shared(preference_pairs(sample), "pairs")
     weights = fit_strengths(pairs, size)
 
     def strength(x: Column | str) -> Column:
@@ -191,7 +218,7 @@ def rank_quality(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LAB
 
     graded = sample.select("y", strength("x").alias("g"))
     share = graded.agg(F.avg(1 - F.col("y")).alias("q")).first()["q"]
-    cut = graded.agg(F.percentile("g", F.lit(share)).alias("t")).first()["t"] if share is not None else 0.0
+    cut = quantile(graded, "g", share) if share is not None else 0.0
     at = math.log(THRESHOLD / (1 - THRESHOLD)) + 1e-9
     score = 1 / (1 + F.exp(-(F.col("g") - F.lit(float(cut)) + F.lit(at))))
     return (feats.select("doc_id", "mark", held_out(F.col("doc_id")).alias("held_out"), strength(standard("x")).alias("g"))

@@ -263,6 +263,30 @@ def test_op7_sample_has_no_one_task_sort(make_docs, spark, monkeypatch):
     assert 30 <= sizes[0] <= 90 and sizes[1] > 120
 
 
+def test_op7_learns_from_every_labelled_row(make_docs, spark, monkeypatch):
+    """More labelled rows than the 40,000 that were once the bound: all are paired."""
+    import zlib
+    sizes, pairs = [], ranker.preference_pairs
+    monkeypatch.setattr(ranker, "preference_pairs", lambda sample: (sizes.append(sample.count()), pairs(sample))[1])
+    labels = spark.range(56_000).selectExpr("id doc_id", "cast(id % 2 as int) quality")
+    docs = labels.selectExpr("doc_id", "concat(if(quality = 1, 'some quiet words ', '## $$ %% '), doc_id) text")
+    got = rank_quality(docs, labels)
+    assert sizes == [sum(zlib.crc32(b"%d" % i) % 5 > 0 for i in range(56_000))] and sizes[0] > 40_000
+    assert got.where("held_out and predicted <> doc_id % 2").count() == 0
+
+
+def test_op7_places_and_quantiles_without_one_task(spark):
+    rows = spark.createDataFrame([(i % 2, (i * 37) % 101 // 2, i) for i in range(101)], "y int, h long, x long").repartition(7)
+    got = ranker.numbered(rows, "y", "h").collect()
+    for y in (0, 1):
+        own = sorted((r["i"], r["h"]) for r in got if r["y"] == y)
+        assert [i for i, _ in own] == list(range(51 - y))
+        assert [h for _, h in own] == sorted(h for _, h in own)
+    for share in (0.0, 0.3, 0.513, 1.0):
+        want = rows.selectExpr(f"percentile(h, {share}) q").first()["q"]
+        assert ranker.quantile(rows.selectExpr("cast(h as double) h"), "h", share) == pytest.approx(want)
+
+
 def test_op7_edges(make_docs, spark):
     none = spark.createDataFrame([], "doc_id long, quality int")
     docs = make_docs([(1, "a b", None, None, 1), (None, "c", None, None, 1), (1, "a b", None, None, 1)])
