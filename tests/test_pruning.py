@@ -128,3 +128,36 @@ def test_index_dates_as_strings(spark):
     ev = spark.createDataFrame([(1, "DIAG1", "2000-01-01", 1.0), (1, "DIAG1", "1990-01-01", 1.0)], "patientid long, eventid string, etimestamp string, value double")
     idx = spark.createDataFrame([(1, "2000-02-01")], "patientid long, index_date string")
     assert rows(filter_events(ev, idx)) == [(1, "DIAG1", dt.date(2000, 1, 1), 1.0)]
+
+
+def test_uncached_samples_count_the_events_once(spark):
+    """Index dates, hot patients and the window join each read the events; the
+    code table and the rows read the written counts."""
+    ev, mo = _inputs(spark, 5000)
+    seen = spark.sparkContext.accumulator(0)
+
+    def run(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    counted = ev.mapInArrow(run, ev.schema)
+    got = build_samples(counted, mo, cache=False)["samples"].collect()
+    assert seen.value == 3 * 5000
+    assert sorted(map(tuple, got), key=repr) == rows(build_samples(ev, mo)["samples"])
+
+
+def test_counts_need_no_exchange_after_the_window_join(spark):
+    ev, mo = _inputs(spark)
+    conf = {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    old = {k: spark.conf.get(k) for k in conf}
+    idx = calculate_index_dates(ev, mo).checkpoint()
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        plan = aggregate_events(filter_events(ev, idx, patients=False))._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    assert plan.count("Exchange hashpartitioning") <= 2
+    assert "Exchange hashpartitioning(patientid" in plan and ", eventid" not in plan[plan.index("Exchange"):].split("\n")[0]
