@@ -121,6 +121,45 @@ def test_train_sgd_shards_follow_the_rows(spark):
     assert a == b
 
 
+def _counted(df):
+    """``df`` and the number of its rows computed so far."""
+    seen = df.sparkSession.sparkContext.accumulator(0)
+
+    def run(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    return df.mapInArrow(run, df.schema), seen
+
+
+def test_train_sgd_computes_its_samples_once(spark):
+    ys, xs = _toy(120)
+    df, seen = _counted(_samples_df(spark, ys, xs))
+    train_sgd(df, 12, eta=0.3, shards=3, epochs=2).collect()
+    assert seen.value == 120
+
+
+def test_train_sgd_task_takes_several_small_shards(spark):
+    ys, xs = _toy(300)
+    df = _samples_df(spark, ys, xs)
+    sc = spark.sparkContext
+    sc.setJobGroup("small-shards", "")
+    try:
+        got = {r["feature_index"]: r["weight"] for r in train_sgd(df, 12, eta=0.3, mu=0.05, shards=70).collect()}
+        jobs = [sc.statusTracker().getJobInfo(j) for j in sc.statusTracker().getJobIdsForGroup("small-shards")]
+    finally:
+        sc.setLocalProperty("spark.jobGroup.id", None)
+    stages = [sc.statusTracker().getStageInfo(s) for j in jobs for s in j.stageIds]
+    assert max(s.numTasks for s in stages if s) < 70
+    per = []
+    for s in range(70):
+        ids = [i for i in range(300) if int(hashlib.md5(str(i).encode()).hexdigest()[:8], 16) % 70 == s]
+        if ids:
+            per.append(_dense_loop([ys[i] for i in ids], [xs[i] for i in ids], 12, 0.3, 0.05))
+    assert [got.get(i, 0.0) for i in range(12)] == pytest.approx(np.mean(np.array(per), axis=0).tolist(), abs=1e-12)
+
+
 def test_train_sgd_any_number_of_features(spark):
     df = _samples_df(spark, [1.0, 0.0], [[{"i": 2_000_000_000, "v": 1.0}], [{"i": 5, "v": 1.0}]])
     w = {r["feature_index"]: r["weight"] for r in train_sgd(df, 2_000_000_001, eta=0.5, shards=1).collect()}
