@@ -20,6 +20,8 @@ from pyspark.sql import functions as F
 from cohortlens.operators.joins import DEFAULT_HOT_ROWS, broadcast_if_small, hot_keys
 from cohortlens.session import checkpoint_dir
 
+# Events of one bucket, about: what a task of the co-located jobs takes.
+BUCKET_ROWS = 2_000_000
 COLUMNS = ["patientid", "eventid", "etimestamp", "value"]
 
 
@@ -49,12 +51,14 @@ def write_event_table(events: DataFrame, folder: str, buckets: int | None = None
                       hot_rows: int = DEFAULT_HOT_ROWS, name: str | None = None) -> EventTable:
     """Write ``events`` (patientid, eventid, etimestamp, value) to ``folder``
     in ``buckets`` buckets by patient (default: the session's shuffle
-    partitions), sorted by patient within. One shuffle of the rows, by the
+    partitions), or in more where these would have over ``BUCKET_ROWS`` events
+    each, sorted by patient within. One shuffle of the rows, by the
     buckets themselves, so that each bucket is one file. Patients with more
     than ``hot_rows`` events go to the plain part."""
     spark = events.sparkSession
     checkpoint_dir(spark)
     buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    buckets = max(buckets, -(-events.count() // BUCKET_ROWS))
     name = name or f"events_{uuid.uuid4().hex}"
     events = events.select(*COLUMNS)
     known = events.where(F.col("patientid").isNotNull())

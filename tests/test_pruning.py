@@ -130,6 +130,16 @@ def test_index_dates_as_strings(spark):
     assert rows(filter_events(ev, idx)) == [(1, "DIAG1", dt.date(2000, 1, 1), 1.0)]
 
 
+def test_buckets_follow_the_events(spark, tmp_path, monkeypatch):
+    from cohortlens.sources import event_table
+    ev, mo = _inputs(spark)
+    monkeypatch.setattr(event_table, "BUCKET_ROWS", 1000)
+    table = write_event_table(ev, str(tmp_path / "t"), buckets=4, hot_rows=2000)
+    described = {r["col_name"]: r["data_type"] for r in spark.sql(f"describe extended {table.name}").collect()}
+    assert described["Num Buckets"] == "20"
+    assert rows(colocated_counts(table, mo, hot_rows=2000)) == rows(aggregate_events(filter_events(ev, calculate_index_dates(ev, mo))))
+
+
 def test_uncached_samples_count_the_events_once(spark):
     """Index dates, hot patients and the window join each read the events; the
     code table and the rows read the written counts."""
