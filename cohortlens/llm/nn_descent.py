@@ -1,30 +1,33 @@
 """Approximate nearest neighbours: NN-descent and greedy graph search.
 
-The neighbour graph starts from random-hyperplane buckets (hot buckets are
-split at random) and improves by rounds of Spark joins: a node's neighbours
-and a bounded sample of its reverse neighbours meet, every pair of them with a
-new member is a neighbour of a neighbour, and pairs nearer than what either
-end has go to it. Rounds stop when few lists change. Distances inside the
-rounds use vectors quantised to bytes, each on its own scale, which is kept;
-nothing but candidates depends on them.
-
-Queries search the graph greedily with a beam: each round expands the nearest
-unexpanded nodes of every query's beam by a join with the graph, and measures
-those of their neighbours that the query has not met yet, by their quantised
-vectors. A query starts from a fixed number of landmarks and, being a row of
-the table, from its own neighbours. The final beams are measured in double
-precision on the original vectors. Equal vectors are one node; the answer
-lists their ids.
+Nodes are dealt to cells, each node to its nearest centre (k-means over a
+hashed sample; a cell that came out too large is cut at random), about
+``CELL_ROWS`` of them each. In a cell the neighbour graph starts from leaves of
+random projection trees and improves by rounds: a node's neighbours and a
+bounded sample of its reverse neighbours meet, every pair of them with a new
+member is a neighbour of a neighbour, and pairs nearer than what either end
+has go to it. Rounds stop when few lists change (``descent``). Distances inside
+the rounds use vectors quantised to bytes, each on its own scale, which is
+kept; nothing but candidates depends on them.
+
+Queries search the graphs of their nearest cells greedily with a beam: each
+step expands the nearest unexpanded nodes of a query's beam and measures those
+of their neighbours that the query has not met yet, by their quantised vectors.
+A query starts from a fixed number of landmarks a cell and, being a row of the
+table, from its own neighbours. The cells share the beam. The nearest nodes of
+all of a query's beams are measured in double precision on the original
+vectors. Equal vectors are one node; the answer lists their ids.
 
 A hashed sample of the queries is compared with an exact scan of all vectors.
-Below ``RECALL`` all queries search again with twice the beam; beyond
-``MAX_BEAM`` all are answered by exact scans, in blocks.
+Its neighbours' cells say how many cells a query must ask. Below ``RECALL`` the
+sample searches again with twice the beam, and all queries with the first beam
+that passes; beyond ``MAX_BEAM`` all are answered by exact scans, in blocks.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterable, Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -32,26 +35,26 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from cohortlens.llm import descent
 from cohortlens.llm.common import drop_shared, partitions, prepare, table, write_shared
-from cohortlens.llm.vectors import SMALL, classes, lengths, matrix, usable_vectors
+from cohortlens.llm.exchange import packed_schema
+from cohortlens.llm.kernels import mix
+from cohortlens.llm.vectors import SMALL, classes_by_hash, lengths, matrix, usable_once
 
 NEIGHBOURS, REVERSE = 24, 16
 TREES, BUCKET = 4, 128
 ROUNDS, SETTLED = 8, 0.02
+CELL_ROWS, MIN_CELLS, MIN_CELL_ROWS = 1 << 16, 6, 2048  # nodes of a cell; small tables have fewer, down to one cell
+CELL_SAMPLE, CELL_STEPS = 64, 10                        # nodes a centre that k-means sees, and its steps
+PACK = 1 << 14                                          # nodes in one row of the index
 LANDMARKS, BEAM, EXPAND, MAX_BEAM = 256, 384, 32, 3072
+TOGETHER, MEASURED, CLOSE = 256, 32, 4  # queries that search together; nodes that a query measures exactly, at least; its cells that may have all
+SHARE, SCAN_ALL = 64, 2048               # a cell's beam at least, where a query asks several; nodes measured in the time of a beam's node
 AUDIT, RECALL = 128, 0.95  # queries that are audited, and the share of their nearest that must be found
 SCAN_ROWS = 256            # queries that an exact scan takes along at once
 QUERY_EVERY, TOP = 100, 10
-GRAPH = "node long, ids array<long>, dists array<double>, fresh array<boolean>"
-
-
-def _distances(codes: np.ndarray, scale: np.ndarray) -> np.ndarray:
-    """Squared Euclidean distances within groups: codes (g, m, d) with scales
-    (g, m) to (g, m, m). Sums of codes are whole numbers, the scales come in
-    in double precision, so vectors of very unlike lengths can meet."""
-    sq = (codes * codes).sum(-1).astype(np.float64) * scale * scale
-    dots = np.matmul(codes, codes.transpose(0, 2, 1)) * (2 * scale[:, :, None]) * scale[:, None, :]
-    return np.maximum(sq[:, :, None] + sq[:, None, :] - dots, 0)
+INDEX = "cell int, part int, nodes binary, q binary, links binary"
+FOUND = "bucket int, queries binary, ids binary, d binary"
 
 
 def _codes(raw: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
@@ -60,22 +63,6 @@ def _codes(raw: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return rows[:, 8:].view(np.int8).astype(np.float32), np.ascontiguousarray(rows[:, :8]).view(np.float64)[:, 0]
 
 
-def _keep_best(to: np.ndarray, ids: np.ndarray, d: np.ndarray, size: int) -> np.ndarray:
-    """Rows that stay when every ``to`` keeps its ``size`` nearest distinct ids."""
-    order = np.lexsort((d, ids, to))
-    t, i = to[order], ids[order]
-    first = np.ones(len(t), bool)
-    first[1:] = (t[1:] != t[:-1]) | (i[1:] != i[:-1])
-    order = order[first]
-    order = order[np.lexsort((ids[order], d[order], to[order]))]
-    t = to[order]
-    head = np.ones(len(t), bool)
-    head[1:] = t[1:] != t[:-1]
-    start = np.flatnonzero(head)
-    rank = np.arange(len(t)) - np.repeat(start, np.diff(np.append(start, len(t))))
-    return order[rank < size]
-
-
 def _quantised(nodes: DataFrame) -> DataFrame:
     """(node, q binary): a scale (8 bytes: the vector's largest component as a
     share of the table's, by 127) and the components as bytes on that scale."""
@@ -92,200 +79,236 @@ def _quantised(nodes: DataFrame) -> DataFrame:
     return nodes.select("node", "v").mapInArrow(run, "node long, q binary")
 
 
-def _edges(node: np.ndarray, ids: np.ndarray, d: np.ndarray) -> pa.Table:
-    return pa.table({"node": node, "id": ids, "d": d})
+def _vectors(codes: np.ndarray, scale: np.ndarray) -> np.ndarray:
+    """Quantised vectors as numbers; in double precision where their lengths
+    are too unlike for squares in single precision."""
+    wide = len(scale) and scale.min() < 1e-15 * scale.max()
+    return codes * scale.astype(np.float64 if wide else np.float32)[:, None]
+
+
+@dataclass
+class Cells:
+    """``rows``: INDEX, written. A centre's cells are ``first[i]`` up to
+    ``first[i + 1]``. ``probes``: the centres whose cells a query asks;
+    ``measured``: the nodes that it measures exactly; ``walks``: the beam up to
+    which no cell is scanned."""
+
+    rows: DataFrame
+    centres: np.ndarray
+    first: np.ndarray
+    probes: int
+    measured: int
+    walks: int = BEAM
+
+    def share(self, beam: int) -> int:
+        """A cell's part of a beam."""
+        return max(-(-beam // self.probes), min(beam, SHARE))
 
+    @property
+    def count(self) -> int:
+        return int(self.first[-1])
 
-def _first_graph(q: DataFrame, n: int, dims: int) -> DataFrame:
-    """(node, id, d) candidates: each vector's nearest in its bucket of every
-    tree. A bucket's name is the signs of random projections; a bucket of more
-    than 4 * BUCKET rows is cut into random parts of about BUCKET."""
-    bits = max(0, math.ceil(math.log2(max(1, n / BUCKET))))
-    planes = np.random.default_rng(7).standard_normal((TREES, bits, dims)).astype(np.float32)
 
-    def names(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _nearest_centres(x: np.ndarray, centres: np.ndarray) -> np.ndarray:
+    """Squared distances to the centres, less the vectors' own squares."""
+    return (centres * centres).sum(1) - 2 * (x @ centres.T)
+
+
+def _centres(q: DataFrame, n: int) -> np.ndarray:
+    """Centres by k-means over a hashed sample of bounded size a centre."""
+    k = max(1, -(-n // CELL_ROWS), min(MIN_CELLS, n // MIN_CELL_ROWS))
+    rows = q.orderBy(F.xxhash64("node", F.lit("cell")), "node").limit(CELL_SAMPLE * k).collect()
+    x = _vectors(*_codes([bytes(r["q"]) for r in rows])).astype(np.float64)
+    centres = x[:k].copy()
+    for _ in range(CELL_STEPS if k > 1 else 0):
+        of = _nearest_centres(x, centres).argmin(1)
+        size = np.bincount(of, minlength=k)
+        total = np.zeros_like(centres)
+        np.add.at(total, of, x)
+        centres[size > 0] = total[size > 0] / size[size > 0, None]
+    return centres
+
+
+def _dealt(q: DataFrame, centres: np.ndarray) -> DataFrame:
+    """(node, q, centre): every node's nearest centre."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            raw = batch.column(1).to_pylist()
-            x, _ = _codes(raw)
-            signs = np.einsum("nd,tbd->tnb", x, planes) > 0
-            bucket = (signs * (1 << np.arange(bits))).sum(-1).astype(np.int64)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.tile(batch.column(0).to_numpy(), TREES)), pa.array(raw * TREES, type=pa.binary()),
-                 pa.array(np.repeat(np.arange(TREES, dtype=np.int64), len(raw)) << 40 | bucket.ravel())],
-                names=["node", "q", "bucket"])
-
-    dealt = write_shared(q.mapInArrow(names, "node long, q binary, bucket long"), "nnd-buckets")
-    sizes = dealt.groupBy("bucket").count()
-    part = F.when(F.col("count") > 4 * BUCKET,
-                  F.pmod(F.xxhash64("node", "bucket"), F.ceil(F.col("count") / F.lit(BUCKET)))).otherwise(F.lit(0))
-    dealt = dealt.join(sizes, "bucket").withColumn("part", part)
-
-    def nearest(rows: pa.Table) -> pa.Table:
-        node, raw = rows.column("node").to_numpy(), rows.column("q").to_pylist()
-        x, scale = _codes(raw)
-        d = _distances(x[None], scale[None])[0]
-        np.fill_diagonal(d, np.inf)
-        k = min(NEIGHBOURS, len(node) - 1)
-        near = np.argpartition(d, k - 1, axis=1)[:, :k] if k > 0 else np.zeros((len(node), 0), np.int64)
-        return _edges(np.repeat(node, k), node[near].ravel(), np.take_along_axis(d, near, 1).ravel())
-
-    return dealt.groupBy("bucket", "part").applyInArrow(nearest, "node long, id long, d double")
-
-
-def _lists_of(edges: DataFrame) -> DataFrame:
-    """(node, ids, dists, fresh): the NEIGHBOURS nearest of (node, id, d,
-    fresh); an edge that was there before stays old. A node has at most a
-    list's length of edges from every task, so its group is bounded."""
-    one = edges.repartition(partitions(edges.sparkSession), "node").groupBy("node", "id").agg(
-        F.min("d").alias("d"), F.min(F.col("fresh").cast("int")).alias("fresh"))
-    best = one.groupBy("node").agg(F.slice(F.sort_array(F.collect_list(F.struct("d", "id", "fresh"))), 1, NEIGHBOURS).alias("e"))
-    return best.select("node", F.col("e.id").alias("ids"), F.col("e.d").alias("dists"),
-                       F.transform("e.fresh", lambda x: x == 1).alias("fresh"))
-
-
-def _proposals(graph: DataFrame, q: DataFrame) -> DataFrame:
-    """(node, id, d): neighbours of neighbours nearer than the last of a list."""
-    edges = graph.select("node", F.explode(F.arrays_zip("ids", "fresh")).alias("e")).select("node", "e.ids", "e.fresh")
-    order = W.partitionBy("ids").orderBy(F.desc("fresh"), F.xxhash64("node", "ids"))
-    back = (edges.withColumn("r", F.row_number().over(order)).where(F.col("r") <= REVERSE)
-            .select(F.col("ids").alias("node"), F.col("node").alias("ids"), "fresh"))
-    meets = edges.unionByName(back).groupBy("node", "ids").agg(F.max("fresh").alias("fresh"))
-    last = F.when(F.size("dists") >= NEIGHBOURS, F.element_at("dists", -1)).otherwise(F.lit(float("inf")))
-    member = q.join(graph.select("node", last.alias("last")), "node").withColumnRenamed("node", "ids")
-    groups = meets.join(member, "ids").repartition(partitions(graph.sparkSession), "node").sortWithinPartitions("node")
-    width = NEIGHBOURS + REVERSE
-
-    def flush(node, ids, fresh, last, raw) -> pa.RecordBatch | None:
-        starts = np.flatnonzero(np.append(True, node[1:] != node[:-1]))
-        rank = np.arange(len(node)) - np.repeat(starts, np.diff(np.append(starts, len(node))))
-        g = np.cumsum(np.append(False, node[1:] != node[:-1]))
-        x, scale = _codes(raw)
-        out = []
-        for lo in range(0, len(starts), 512):  # 512 groups at a time
-            own = (g >= lo) & (g < lo + 512)
-            at, r, m = g[own] - lo, rank[own], min(512, len(starts) - lo)
-            box, scales = np.zeros((m, width, x.shape[1]), np.float32), np.zeros((m, width))
-            who, new, far = np.full((m, width), -1, np.int64), np.zeros((m, width), bool), np.full((m, width), -np.inf)
-            box[at, r], scales[at, r], who[at, r], new[at, r], far[at, r] = x[own], scale[own], ids[own], fresh[own], last[own]
-            d = _distances(box, scales)
-            take = (new[:, :, None] | new[:, None, :]) & (d < far[:, :, None]) & (who[:, None, :] >= 0)
-            take &= ~np.eye(width, dtype=bool)[None]
-            k, a, b = np.nonzero(take)
-            out.append((who[k, a], who[k, b], d[k, a, b]))
-        to, nb, d = (np.concatenate(c) for c in zip(*out))
-        keep = _keep_best(to, nb, d, NEIGHBOURS)
-        return pa.RecordBatch.from_arrays([pa.array(to[keep]), pa.array(nb[keep]), pa.array(d[keep])],
-                                          names=["node", "id", "d"]) if len(keep) else None
-
-    def local_join(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rest: list = []
+            x = _vectors(*_codes(batch.column(1).to_pylist())).astype(np.float64)
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(_nearest_centres(x, centres).argmin(1).astype(np.int32))],
+                                             names=["node", "q", "centre"])
+
+    return q.select("node", "q").mapInArrow(run, "node long, q binary, centre int")
+
+
+def _cell(node: np.ndarray, centre: np.ndarray, first: np.ndarray) -> np.ndarray:
+    parts = np.diff(first)[centre]
+    return (first[centre] + (mix(node.astype(np.uint64)) % parts.astype(np.uint64)).astype(np.int64)).astype(np.int32)
+
+
+def _packed(parts: list[tuple]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(nodes, codes, scales, links) of a cell from its index rows (part, nodes, q, links)."""
+    parts = sorted(parts, key=lambda r: r[0])
+    nodes = np.frombuffer(b"".join(r[1] for r in parts), np.int64)
+    rows = np.frombuffer(b"".join(r[2] for r in parts), np.uint8).reshape(len(nodes), -1)
+    codes, scale = rows[:, 8:].view(np.int8).astype(np.float32), np.ascontiguousarray(rows[:, :8]).view(np.float64)[:, 0]
+    return nodes, codes, scale, np.frombuffer(b"".join(r[3] for r in parts), np.int32).reshape(len(nodes), -1)
+
+
+def _cells(q: DataFrame, top: int = TOP, rounds: int = ROUNDS) -> Cells:
+    """The neighbour graphs of the cells of quantised nodes (node, q), with
+    every node's list and as many reverse neighbours."""
+    n = q.count()
+    centres = _centres(q, n) if n else np.zeros((1, 1))
+    sizes = np.zeros(len(centres), np.int64)
+    dealt = _dealt(q, centres)
+    for r in dealt.groupBy("centre").count().collect():
+        sizes[r["centre"]] = r["count"]
+    most = min(descent.MOST - 1, CELL_ROWS + CELL_ROWS // 2)
+    # parts are dealt by hash: a little room for uneven ones
+    first = np.concatenate([[0], np.cumsum(np.maximum(1, -(-sizes // most)))]).astype(np.int64)
+    settings = (NEIGHBOURS, REVERSE, TREES, BUCKET, rounds, SETTLED)
+
+    def deal(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            cols = [batch.column("node").to_numpy(), batch.column("ids").to_numpy(),
-                    batch.column("fresh").to_numpy(zero_copy_only=False), batch.column("last").to_numpy(),
-                    batch.column("q").to_pylist()]
-            if rest:
-                cols = [np.concatenate(p) for p in zip(rest[:4], cols[:4])] + [rest[4] + cols[4]]
-            cut = int(np.searchsorted(cols[0], cols[0][-1]))  # the last group may go on
-            if cut:
-                done = flush(*(c[:cut] for c in cols))
-                if done:
-                    yield done
-            rest = [c[cut:] for c in cols]
-        if rest and len(rest[0]):
-            done = flush(*rest)
-            if done:
-                yield done
-
-    return groups.select("node", "ids", "fresh", "last", "q").mapInArrow(local_join, "node long, id long, d double")
+            cell = _cell(batch.column(0).to_numpy(), batch.column(2).to_numpy(), first)
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(cell)], names=["node", "q", "cell"])
+
+    def build(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parts = [b for b in batches if b.num_rows]
+        if not parts:
+            return
+        rows = pa.Table.from_batches(parts).sort_by("node")
+        raw, nodes, cell = rows.column("q").to_pylist(), rows.column("node").to_numpy(), rows.column("cell")[0].as_py()
+        graph = descent.links(descent.descend(_vectors(*_codes(raw)), *settings))
+        for part, lo in enumerate(range(0, len(nodes), PACK)):
+            hi = lo + PACK
+            yield pa.RecordBatch.from_pylist([{"cell": cell, "part": part, "nodes": nodes[lo:hi].tobytes(), "q": b"".join(raw[lo:hi]),
+                                               "links": graph[lo:hi].tobytes()}], schema=index)
+
+    index = packed_schema(INDEX)
+    rows = dealt.mapInArrow(deal, "node long, q binary, cell int").repartitionById(int(first[-1]), "cell").mapInArrow(build, INDEX)
+    return Cells(write_shared(rows, "nnd-cells"), centres, first, len(centres), max(MEASURED, 2 * top))
 
 
 def neighbour_graph(q: DataFrame, rounds: int = ROUNDS) -> DataFrame:
-    """GRAPH of quantised nodes (node, q): every node's near neighbours,
-    nearest first."""
-    n = q.count()
-    if n < 2:
-        return q.sparkSession.createDataFrame([], GRAPH)
-    dims = len(q.first()["q"]) - 8
-    graph = write_shared(_lists_of(_first_graph(q, n, dims).withColumn("fresh", F.lit(True))), "nnd-graph")
-    for _ in range(rounds):
-        old = graph.select("node", F.explode(F.arrays_zip("ids", "dists")).alias("e")).select(
-            "node", F.col("e.ids").alias("id"), F.col("e.dists").alias("d"), F.lit(False).alias("fresh"))
-        new = _proposals(graph, q).withColumn("fresh", F.lit(True))
-        last, graph = graph, write_shared(_lists_of(old.unionByName(new)), "nnd-graph")
-        drop_shared(last)
-        changed = graph.agg(F.sum(F.size(F.filter("fresh", lambda x: x)))).first()[0] or 0
-        if changed <= SETTLED * NEIGHBOURS * n:
-            break
-    return graph
-
-
-def _search(q: DataFrame, links: DataFrame, queries: DataFrame, beam: int) -> DataFrame:
-    """(query, ids): each query's beam when no node of it is unexpanded.
-    Distances are those of the quantised vectors (node, q)."""
-    marks = q.orderBy(F.xxhash64("node"), "node").limit(LANDMARKS).collect()  # fixed bound
-    mark_ids, (mark_x, mark_scale) = np.array([r["node"] for r in marks], np.int64), _codes([bytes(r["q"]) for r in marks])
-
-    def apart(raw: bytes, x: np.ndarray, scale: np.ndarray) -> np.ndarray:
-        own, size = _codes([raw])
-        return ((own.astype(np.float64) * size - x * scale[:, None]) ** 2).sum(1)
-
-    def pick(ids: np.ndarray, d: np.ndarray, done: np.ndarray) -> dict:
-        order = np.lexsort((ids, d))[:beam]
-        return {"ids": ids[order].tolist(), "d": d[order].tolist(), "done": done[order].tolist()}
-
-    state = pa.schema([("query", pa.int64()), ("own", pa.binary()), ("ids", pa.list_(pa.int64())), ("d", pa.list_(pa.float64())),
-                       ("done", pa.list_(pa.bool_())), ("met", pa.list_(pa.int64()))])
-    ddl = "query long, own binary, ids array<long>, d array<double>, done array<boolean>, met array<long>"
-
-    def start(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(node, ids): the near neighbours of quantised nodes (node, q) in their
+    cells, nearest first."""
+    cells, width = _cells(q, rounds=rounds), NEIGHBOURS
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parts = [r for b in batches for r in zip(*(c.to_pylist() for c in b.columns[1:]))]
+        if parts:
+            nodes, _, _, graph = _packed(parts)
+            for lo in range(0, len(nodes), 10_000):
+                ids = [nodes[g[g >= 0]] for g in graph[lo:lo + 10_000, :width]]
+                yield pa.RecordBatch.from_arrays([pa.array(nodes[lo:lo + 10_000]), pa.array(ids, type=pa.list_(pa.int64()))], names=["node", "ids"])
+
+    return cells.rows.repartitionById(cells.count, "cell").mapInArrow(run, "node long, ids array<long>")
+
+
+def _beams(q: DataFrame, links: Cells, queries: DataFrame, beam: int) -> DataFrame:
+    """(query, ids): the nearest nodes of each query's beams when no node of
+    them is unexpanded. Distances are those of the quantised vectors (node, q).
+    A beam wider than the first so wide that measuring a whole cell takes less
+    time does that."""
+    centres, first, probes, count, measured = links.centres, links.first, links.probes, links.count, links.measured
+    share, keep, walks = links.share(beam), min(beam, links.measured), beam <= links.walks
+    marks, expand, scan, together, close = LANDMARKS, EXPAND, SCAN_ALL, TOGETHER, CLOSE
+    buckets = partitions(q.sparkSession)
+    index, given = packed_schema(INDEX), packed_schema(FOUND)
+
+    def ask(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """A packed row (part -1, links: ranks of the centres) for each cell that any of a batch's queries asks."""
+        for batch in batches:
+            raw, node = batch.column(1).to_pylist(), batch.column(0).to_numpy()
+            if not raw:
+                continue
+            x = _vectors(*_codes(raw)).astype(np.float64)
+            near = np.argsort(_nearest_centres(x, centres), axis=1, kind="stable")[:, :probes]
+            size = np.diff(first)[near.ravel()]
+            row = np.repeat(np.repeat(np.arange(len(node)), near.shape[1]), size)
+            rank = np.repeat(np.tile(np.arange(near.shape[1], dtype=np.int32), len(node)), size)
+            cell = np.repeat(first[near.ravel()] - (np.cumsum(size) - size), size) + np.arange(size.sum())
+            order = np.argsort(cell, kind="stable")
+            codes = np.frombuffer(b"".join(raw), np.uint8).reshape(len(raw), -1)
+            cuts = np.flatnonzero(np.append(True, np.diff(cell[order]) != 0))
+            for lo, hi in zip(cuts, np.append(cuts[1:], len(order))):
+                own = order[lo:hi]
+                yield pa.RecordBatch.from_pylist([{"cell": int(cell[own[0]]), "part": -1, "nodes": node[row[own]].tobytes(),
+                                                   "q": codes[row[own]].tobytes(), "links": rank[own].tobytes()}], schema=index)
+
+    def search(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parts, asked = [], []
         for batch in batches:
-            out = []
-            for query, raw in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                other = mark_ids != query
-                d = apart(raw, mark_x[other], mark_scale[other])
-                out.append({"query": query, "own": raw, "met": [query, *mark_ids[other].tolist()], **pick(mark_ids[other], d, np.zeros(other.sum(), bool))})
-            yield pa.RecordBatch.from_pylist(out, schema=state)
-
-    def merge(key: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
-        row = left.to_pylist()[0]
-        ids, d, done = np.array(row["ids"], np.int64), np.array(row["d"]), np.array(row["done"], bool)
-        done = done | np.isin(ids, ids[~done][:EXPAND])  # those whose neighbours have come
-        new = right.column("node").to_numpy()
-        if len(new):
-            x, scale = _codes(right.column("q").to_pylist())
-            d = np.concatenate([d, apart(row["own"], x, scale)])
-            ids, done = np.concatenate([ids, new]), np.concatenate([done, np.zeros(len(new), bool)])
-        return pa.Table.from_pylist([{"query": row["query"], "own": row["own"], "met": [*row["met"], *new.tolist()], **pick(ids, d, done)}], schema=state)
-
-    beams = write_shared(queries.select("node").join(q, "node").mapInArrow(start, ddl), "nnd-beams")
-    # a query's own neighbours come first, as if the query had been expanded
-    ahead = queries.select(F.col("node").alias("query"), "node")
-    while True:
-        # EXPAND lists at most: a bounded set for each query
-        cand = ahead.join(links, "node").select("query", F.explode("ids").alias("node")).groupBy("query").agg(F.collect_set("node").alias("nodes"))
-        unmet = cand.join(beams.select("query", "met"), "query").select("query", F.explode(F.array_except("nodes", "met")).alias("node"))
-        near = unmet.join(q, "node").select(F.col("query").alias("asker"), "node", "q")
-        last, beams = beams, write_shared(beams.groupBy("query").cogroup(near.groupBy("asker")).applyInArrow(merge, ddl), "nnd-beams")
-        drop_shared(last)
-        open_ = F.slice(F.filter(F.arrays_zip("ids", "done"), lambda x: ~x["done"]), 1, EXPAND)
-        ahead = beams.select("query", F.explode(open_).alias("o")).select("query", F.col("o.ids").alias("node"))
-        if not ahead.take(1):
-            return beams.select("query", "ids")
-
-
-def _links_of(graph: DataFrame) -> DataFrame:
-    """(node, ids): each node's list and a bounded number of its reverse neighbours."""
-    both = F.array_union("ids", F.slice("back", 1, NEIGHBOURS))
-    order = W.partitionBy("id").orderBy("d", "node")
-    back = (graph.select("node", F.explode(F.arrays_zip("ids", "dists")).alias("e"))
-            .select("node", F.col("e.ids").alias("id"), F.col("e.dists").alias("d"))
-            .withColumn("r", F.row_number().over(order)).where(F.col("r") <= NEIGHBOURS)
-            .groupBy(F.col("id").alias("node")).agg(F.collect_list("node").alias("back")))
-    return write_shared(graph.select("node", "ids").join(back, "node", "left").select(
-        "node", F.coalesce(both, "ids").alias("ids")), "nnd-links")
-
-
-def _measured(beams: DataFrame, nodes: DataFrame, top: int) -> DataFrame:
+            for _, part, *rest in zip(*(c.to_pylist() for c in batch.columns)):
+                (parts if part >= 0 else asked).append((part, *rest))
+        if not parts or not asked:
+            return
+        nodes, codes, scale, graph = _packed(parts)
+        parts.clear()
+        node, own, own_scale, rank = _packed(asked)
+        both = _vectors(np.concatenate([codes, own]), np.concatenate([scale, own_scale]))
+        del codes, own
+        x, vectors, rank = both[:len(nodes)], both[len(nodes):], rank[:, 0]
+        sq = (x * x).sum(1)
+        at = np.minimum(np.searchsorted(nodes, node), len(nodes) - 1)
+        selves = np.where(nodes[at] == node, at, -1)
+        landmarks = np.unique(np.linspace(0, len(nodes) - 1, min(marks, len(nodes))).astype(np.int64))
+        greedy = walks or share * scan < len(nodes)
+        wide = None if greedy else descent.for_scans(x, sq)
+        out, held = [], 0
+        for lo in range(0, len(node), together):
+            part = slice(lo, lo + together)
+            if greedy:
+                found, d = descent.greedy(x, sq, graph, vectors[part], selves[part], landmarks, share, expand)
+            else:
+                found, d = descent.scanned(wide, vectors[part], selves[part], measured)
+            few = np.where(rank[part] < close, measured, -(-measured // 2))  # a far cell has fewer of the nearest
+            i, j = np.nonzero((found >= 0) & (np.arange(found.shape[1]) < few[:, None]))
+            out.append((node[part][i], nodes[found[i, j]], d[i, j].astype(np.float32)))
+            held += len(i)
+            if held >= 1 << 20 or lo + together >= len(node):
+                yield from _by_bucket(*(np.concatenate(c) for c in zip(*out)), buckets, given)
+                out, held = [], 0
+
+    def merge(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parts = [r for b in batches for r in zip(*(c.to_pylist() for c in b.columns[1:]))]
+        if not parts:
+            return
+        query, ids, d = (np.frombuffer(b"".join(c), kind) for c, kind in zip(zip(*parts), (np.int64, np.int64, np.float32)))
+        order = np.lexsort((ids, d, query))
+        order = order[descent.ranks(query[order]) < keep]
+        query, ids = query[order], ids[order]
+        of, start = np.unique(query, return_index=True)
+        cuts = np.append(start, len(ids))
+        for lo in range(0, len(of), 10_000):
+            hi = min(lo + 10_000, len(of))
+            lists = pa.ListArray.from_arrays((cuts[lo:hi + 1] - cuts[lo]).astype(np.int32), pa.array(ids[cuts[lo]:cuts[hi]]))
+            yield pa.RecordBatch.from_arrays([pa.array(of[lo:hi]), lists], names=["query", "ids"])
+
+    asks = queries.select("node").join(q, "node").select("node", "q").mapInArrow(ask, INDEX)
+    found = links.rows.unionByName(asks).repartitionById(count, "cell").mapInArrow(search, FOUND)
+    return found.repartitionById(buckets, "bucket").mapInArrow(merge, "query long, ids array<long>")
+
+
+def _by_bucket(query: np.ndarray, ids: np.ndarray, d: np.ndarray, buckets: int, schema: pa.Schema) -> Iterator[pa.RecordBatch]:
+    """Findings as packed rows, one a bucket of queries."""
+    if not len(query):
+        return
+    bucket = (mix(query.astype(np.uint64)) % np.uint64(buckets)).astype(np.int64)
+    order = np.argsort(bucket, kind="stable")
+    cuts = np.flatnonzero(np.append(True, np.diff(bucket[order]) != 0))
+    yield pa.RecordBatch.from_pylist([{"bucket": int(bucket[order[lo]]), "queries": query[order[lo:hi]].tobytes(), "ids": ids[order[lo:hi]].tobytes(),
+                                       "d": d[order[lo:hi]].tobytes()} for lo, hi in zip(cuts, np.append(cuts[1:], len(order)))], schema=schema)
+
+
+def _search(q: DataFrame, links: Cells, queries: DataFrame, beam: int) -> DataFrame:
+    """The beams of audited queries."""
+    return _beams(q, links, queries, beam)
+
+
+def _measured(beams: DataFrame, nodes: DataFrame, asked: DataFrame, top: int) -> DataFrame:
     """(query, node, score): the ``top`` nearest of every beam, in double precision."""
     def measure(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -294,7 +317,7 @@ def _measured(beams: DataFrame, nodes: DataFrame, top: int) -> DataFrame:
                                              names=["query", "node", "score"])
 
     pairs = beams.select("query", F.explode("ids").alias("node")).join(nodes.select("node", "v"), "node")
-    pairs = pairs.join(nodes.select(F.col("node").alias("query"), F.col("v").alias("own")), "query")
+    pairs = pairs.join(asked.select(F.col("node").alias("query"), F.col("v").alias("own")), "query")
     found = pairs.select("query", "node", "v", "own").mapInArrow(measure, "query long, node long, score double")
     best = W.partitionBy("query").orderBy("score", "node")
     return found.withColumn("r", F.row_number().over(best)).where(F.col("r") <= top).drop("r")
@@ -315,19 +338,30 @@ def _scanned(nodes: DataFrame, queries: DataFrame, top: int) -> DataFrame:
 
         def scan(batches: Iterable[pa.RecordBatch], ids=ids, v=v) -> Iterator[pa.RecordBatch]:
             near_d, near_id = np.full((len(ids), top), np.inf), np.full((len(ids), top), -1, np.int64)
+            own_sq = (v * v).sum(1)
             for batch in batches:
-                x, node = matrix(batch.column("v")), batch.column("node").to_numpy()
-                for lo in range(0, len(node), 512):
-                    own = node[lo:lo + 512]
-                    d = np.empty((len(ids), len(own)))
-                    for i in range(len(ids)):
-                        gap = x[lo:lo + 512] - v[i]
-                        d[i] = np.sqrt((gap * gap).sum(1))
-                    d[ids[:, None] == own] = np.inf
-                    all_d = np.concatenate([near_d, d], 1)
-                    all_id = np.concatenate([near_id, np.broadcast_to(own, d.shape)], 1)
-                    order = np.lexsort((all_id, all_d), axis=1)[:, :top]
-                    near_d, near_id = np.take_along_axis(all_d, order, 1), np.take_along_axis(all_id, order, 1)
+                rows, node = matrix(batch.column("v")), batch.column("node").to_numpy()
+                for lo in range(0, len(node), 2048):
+                    x, own = rows[lo:lo + 2048], node[lo:lo + 2048]
+                    sq = (x * x).sum(1)
+                    about = own_sq[:, None] + sq - 2 * (v @ x.T)
+                    room = 1e-9 * (own_sq[:, None] + sq)  # far above their rounding
+                    about[ids[:, None] == own] = np.inf
+                    bound = near_d[:, -1:] ** 2
+                    if np.isinf(bound).any() and len(own) >= top:
+                        bound = np.minimum(bound, np.partition(about + room, top - 1, axis=1)[:, top - 1:top])
+                    # where squares are too large for numbers, what is not surely farther is measured
+                    at = np.flatnonzero(~(about - room > bound * (1 + 1e-9)))
+                    for k in range(0, len(at), 65536):
+                        i, j = np.divmod(at[k:k + 65536], len(own))
+                        gap = x[j] - v[i]
+                        d = np.sqrt((gap * gap).sum(1))
+                        d[ids[i] == own[j]] = np.inf
+                        who = np.append(np.repeat(np.arange(len(ids)), top), i)
+                        all_d, all_id = np.append(near_d, d), np.append(near_id, own[j])
+                        order = np.lexsort((all_id, all_d, who))
+                        order = order[descent.ranks(who[order]) < top]
+                        near_d, near_id = all_d[order].reshape(-1, top), all_id[order].reshape(-1, top)
             keep = np.isfinite(near_d)
             yield pa.RecordBatch.from_arrays([pa.array(np.repeat(ids, keep.sum(1))), pa.array(near_id[keep]), pa.array(near_d[keep])],
                                              names=["query", "node", "score"])
@@ -347,20 +381,45 @@ def _recall(found: DataFrame, exact: DataFrame) -> float:
     return row["hits"] / row["wanted"] if row["wanted"] else 1.0
 
 
+def _ranks_asked(cells: Cells, q: DataFrame, asked: DataFrame, exact: DataFrame) -> np.ndarray:
+    """For all neighbours in ``exact`` (of a bounded number of queries), how
+    many centres are nearer to the query than the neighbour's own, sorted."""
+    of = _dealt(q.join(exact.select("node").distinct(), "node"), cells.centres).select("node", "centre")
+    wanted = exact.join(of, "node").groupBy(F.col("query").alias("node")).agg(F.collect_list("centre").alias("of"))
+    ranks = [np.zeros(0, np.int64)]
+    for r in asked.select("node").join(wanted, "node").join(q, "node").select("q", "of").collect():
+        near = _nearest_centres(_vectors(*_codes([bytes(r["q"])])).astype(np.float64), cells.centres)[0]
+        ranks.append(np.argsort(np.argsort(near, kind="stable"), kind="stable")[r["of"]])
+    return np.sort(np.concatenate(ranks))
+
+
+def _probes(ranks: np.ndarray, share: float) -> int:
+    """How many centres a query must ask so that ``share`` of the neighbours are in their cells."""
+    return int(ranks[max(0, min(len(ranks), int(np.ceil(len(ranks) * share))) - 1)]) + 1 if len(ranks) else 1
+
+
 def _found(nodes: DataFrame, asked: DataFrame, top: int, beam: int, recall: float) -> DataFrame:
     """(query, node, score): the ``top`` nearest other nodes found for every
     node of ``asked``."""
-    q = write_shared(_quantised(nodes), "nnd-bytes")
     if not asked.take(1):
         return _scanned(nodes, asked, top)
-    links = _links_of(neighbour_graph(q))
-    sample = asked.orderBy(F.xxhash64("node", F.lit("audit")), "node").limit(AUDIT)  # a bounded sample by hash
+    q, asked = write_shared(_quantised(nodes), "nnd-bytes"), write_shared(asked, "nnd-asked")
+    cells = _cells(q, top)
+    sample = write_shared(asked.orderBy(F.xxhash64("node", F.lit("audit")), "node").limit(AUDIT), "nnd-sample")  # a bounded sample by hash
     exact = write_shared(_scanned(nodes, sample, top), "nnd-audit")
-    while beam <= MAX_BEAM:
-        found = write_shared(_measured(_search(q, links, asked, beam), nodes, top), "nnd-found")
+    ranks, missed = _ranks_asked(cells, q, sample, exact), max(0.0, 1 - recall)
+    cells.probes = _probes(ranks, 1 - missed / 2)
+    cells.walks = beam = max(beam, SHARE * cells.probes) if cells.probes > 1 else beam
+    missed *= 0.8  # of cells that are scanned nothing else is missed
+    while beam <= MAX_BEAM * cells.probes:
+        found = write_shared(_measured(_search(q, cells, sample, beam), nodes, sample, top), "nnd-found")
         if _recall(found, exact) >= recall:
-            return found
-        beam *= 2
+            rest = asked.join(sample.select("node"), "node", "left_anti")
+            if not rest.take(1):
+                return found
+            return found.unionByName(write_shared(_measured(_beams(q, cells, rest, beam), nodes, rest, top), "nnd-found"))
+        drop_shared(found)
+        beam, cells.probes, missed = 2 * beam, _probes(ranks, 1 - missed), missed / 2
     return _scanned(nodes, asked, top)
 
 
@@ -376,13 +435,14 @@ def nearest(vectors: DataFrame, query: Column, top: int = TOP, beam: int = BEAM,
     exactly. With fewer candidates than ``top`` all are returned.
     """
     prepare(vectors.sparkSession)
-    usable = write_shared(usable_vectors(vectors), "vectors")
-    asks = usable.where(query).select("vec_id", F.lit(True).alias("asks"))
+    usable = write_shared(usable_once(vectors).withColumn("asks", F.coalesce(query, F.lit(False))), "vectors")
     many, rest = lengths(usable, small)
-    rest = rest.join(asks, "vec_id", "left").select("length", "vec_id", "v", F.coalesce("asks", F.lit(False)).alias("asks"))
+    rest = write_shared(rest.select("length", "vec_id", "v", "asks"), "vectors-rest")
+    parts = [_nodes(usable.where(F.size("v") == n)) for n in many]
+    drop_shared(usable)
     pairs = rest.groupBy("length").applyInArrow(_exact(top), "query_id long, vec_id long, score double")
-    for n in many:
-        pairs = pairs.unionByName(_pairs(usable.where(F.size("v") == n), asks, lambda nodes, asked: _found(nodes, asked, top, beam, recall), top))
+    for nodes, of in parts:
+        pairs = pairs.unionByName(_pairs(nodes, of, lambda nodes, asked: _found(nodes, asked, top, beam, recall), top))
     best = W.partitionBy("query_id").orderBy("score", "vec_id")
     return pairs.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= top).select(
         "query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
@@ -407,21 +467,25 @@ def _exact(top: int):
     return run
 
 
-def _pairs(usable: DataFrame, asks: DataFrame, found, top: int) -> DataFrame:
+def _nodes(usable: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(node, v, asks, alone) and, of vectors that others equal, (vec_id, node, asks)."""
+    nodes, of = classes_by_hash(usable)
+    return write_shared(nodes, "nodes"), write_shared(of, "vector-classes")
+
+
+def _pairs(nodes: DataFrame, of: DataFrame, found, top: int) -> DataFrame:
     """(query_id, vec_id, score) of vectors of one length: ``found`` gives
     each asked node's nearest nodes, whose members are listed."""
-    nodes, of = classes(usable)
-    nodes = write_shared(nodes.withColumnRenamed("rep", "node"), "nodes")
-    of = write_shared(of.join(asks, "vec_id", "left").select("vec_id", F.col("rep").alias("node"), F.coalesce("asks", F.lit(False)).alias("asks")), "vector-classes")
-    asked = nodes.join(of.where("asks").select("node").distinct(), "node", "left_semi")
+    asked = nodes.where("asks").select("node", "v")
     ranked = W.partitionBy("node").orderBy("vec_id")
     # of equal vectors an answer can hold top + 1 at most (one may be the query)
     ids = of.withColumn("r", F.row_number().over(ranked)).where(F.col("r") <= top + 1).groupBy("node").agg(
         F.sort_array(F.collect_list("vec_id")).alias("members"))
-    near = found(nodes, asked).unionByName(asked.select(F.col("node").alias("query"), "node", F.lit(0.0).alias("score")))
-    listed = near.join(ids, "node").select("query", "score", F.explode("members").alias("vec_id"))
-    return (of.where("asks").select(F.col("vec_id").alias("query_id"), F.col("node").alias("query"))
-            .join(listed, "query").where("query_id <> vec_id").select("query_id", "vec_id", "score"))
+    near = found(nodes.select("node", "v"), asked).unionByName(asked.select(F.col("node").alias("query"), "node", F.lit(0.0).alias("score")))
+    listed = near.join(ids, "node", "left").select("query", "score", F.explode(F.coalesce("members", F.array("node"))).alias("vec_id"))
+    alone = nodes.where("asks and alone").select(F.col("node").alias("query_id"), F.col("node").alias("query"))
+    asking = alone.unionByName(of.where("asks").select(F.col("vec_id").alias("query_id"), F.col("node").alias("query")))
+    return asking.join(listed, "query").where("query_id <> vec_id").select("query_id", "vec_id", "score")
 
 
 def op4_nn_descent(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -11,7 +11,7 @@ from cohortlens.llm import embedding_dedup
 from cohortlens.llm.embedding_dedup import (AUDIT_ROWS, BLOCKS, QUERY_ROWS, component_links, links_of, near_duplicates,
                                             op5_embedding_near_dedup, query_tasks)
 from cohortlens.llm.hnsw import Graph
-from cohortlens.llm import nn_descent
+from cohortlens.llm import descent, nn_descent
 from cohortlens.llm.oracles import OP5
 from cohortlens.llm.nn_descent import nearest, neighbour_graph, op4_nn_descent
 
@@ -139,6 +139,77 @@ def test_op4_widens_until_the_audit_passes(spark, monkeypatch):
     assert found(beam=10, recall=1.01) == 1.0 and len(scan) == 3  # the audit's scan, and that of all queries
 
 
+def test_op4_failed_beams_search_the_sample_alone(spark, monkeypatch):
+    """Beams that the audit turns down cost the audited queries only; the others are searched once, over several cells."""
+    x = np.random.default_rng(8).standard_normal((3000, 24)).astype(np.float32)
+    x[1000:2000] = x[1000] + 0.05 * x[1000:2000]  # a third in one place: its cell is cut
+    vectors = spark.createDataFrame([(i, x[i].tolist(), 0) for i in range(3000)], VECTORS)
+    asked, cells, search, built = [], [], nn_descent._search, nn_descent._cells
+    monkeypatch.setattr(nn_descent, "_search", lambda q, links, queries, beam: (asked.append(queries.count()), search(q, links, queries, beam))[1])
+    monkeypatch.setattr(nn_descent, "_cells", lambda *a: (cells.append(built(*a)), cells[-1])[1])
+    for name, value in (("AUDIT", 16), ("NEIGHBOURS", 6), ("REVERSE", 2), ("CELL_ROWS", 300), ("CELL_SAMPLE", 4), ("SHARE", 4), ("LANDMARKS", 8), ("PACK", 100)):
+        monkeypatch.setattr(nn_descent, name, value)
+    got = {}
+    for r in nearest(vectors, F.col("vec_id") % 30 == 0, beam=8).collect():
+        got.setdefault(r["query_id"], set()).add(r["vec_id"])
+    assert len(got) == 100 and all(len(g) == 10 and q not in g for q, g in got.items())
+    assert np.mean([len(exact_nearest(x.astype(np.float64), q) & g) / 10 for q, g in got.items()]) >= 0.9
+    assert len(asked) > 1 and set(asked) == {16} and cells[0].count > len(cells[0].centres) == 10
+    rows = cells[0].rows.select("cell", F.length("nodes").alias("n")).groupBy("cell").agg(F.sum("n").alias("n")).collect()
+    assert sum(r["n"] for r in rows) == 8 * 3000 and max(r["n"] for r in rows) <= 8 * 600
+
+
+def test_op4_copies_and_repeated_ids(spark):
+    """Rows of a repeated vec_id count once (the smaller vector), equal vectors (0.0 and -0.0 too) are listed one by one."""
+    rows = [(0, [1.0, 0.0], 0), (0, [2.0, 2.0], 0), (3, [1.0, -0.0], 0), (5, [1.0, 0.0], 0), (5, [1.0, 0.0], 0), (7, [0.0, 1.0], 0), (9, [0.0, 3.0], 0),
+            (9, [0.0, 2.0], 0), (11, [0.0, 0.0], 0), (11, [0.0, 5.0], 0)]
+    for kind in ("array<float>", "array<double>"):
+        vectors = spark.createDataFrame(rows, VECTORS).withColumn("embedding", F.col("embedding").cast(kind))
+        out = [(r["rank"], r["vec_id"], r["score"]) for r in nearest(vectors, F.col("vec_id") == 5).orderBy("rank").collect()]
+        assert out == [(1, 0, 0.0), (2, 3, 0.0), (3, 7, np.sqrt(2)), (4, 9, np.sqrt(5)), (5, 11, np.sqrt(26))]
+
+
+def test_op4_exact_scan_beside_rounding_and_huge_numbers(spark):
+    """The scan's bounds leave out none of the nearest: near copies far from the origin, ties, squares beyond numbers."""
+    rng = np.random.default_rng(6)
+    x = rng.standard_normal((5000, 8))
+    x[:400] = 1e5 + 1e-4 * x[:400]
+    x[400:500] = x[400]
+    x[500:520] = 1e160 + 1e146 * x[500:520]
+    nodes = spark.createDataFrame([(i, x[i].tolist()) for i in range(5000)], "node long, v array<double>").repartition(3)
+    asks = [3, 399, 450, 505, 4000]
+    got = {}
+    for r in nn_descent._scanned(nodes, nodes.where(F.col("node").isin(asks)), 10).orderBy("query", "score", "node").collect():
+        got.setdefault(r["query"], []).append((r["node"], r["score"]))
+    for q in asks:
+        d = np.sqrt(((x - x[q]) ** 2).sum(1))
+        d[q] = np.inf
+        want = np.lexsort((np.arange(5000), d))[:10]
+        assert got[q] == [(i, d[i]) for i in want]
+
+
+def test_descent_kernel_against_brute_force():
+    rng = np.random.default_rng(12)
+    centres = rng.standard_normal((20, 16))
+    x = (np.repeat(centres, 100, axis=0) + 0.3 * rng.standard_normal((2000, 16))).astype(np.float32)
+    sq = (x * x).sum(1)
+    d = ((x[:, None, :].astype(np.float64) - x[None]) ** 2).sum(-1)
+    np.fill_diagonal(d, np.inf)
+    want = np.argsort(d, axis=1, kind="stable")
+    lists = descent.descend(x, 12, 8, 4, 64, 8, 0.02)
+    near = descent.places(lists)
+    assert all(len(set(r)) == 12 and i not in r for i, r in enumerate(near.tolist()))
+    assert np.mean([len(set(want[i, :10]) & set(near[i])) / 10 for i in range(2000)]) > 0.9
+    q = np.arange(0, 2000, 7)
+    found, value = descent.scanned(descent.for_scans(x, sq), x[q], q, 15)
+    assert np.mean(found == want[q, :15]) > 0.99
+    np.testing.assert_allclose(value + sq[q, None], np.take_along_axis(d[q], found, 1), rtol=1e-3, atol=1e-4)
+    walked, _ = descent.greedy(x, sq, descent.links(lists), x[q], q, np.arange(0, 2000, 50), 40, 8)
+    assert not (walked == q[:, None]).any() and np.mean([len(set(want[i, :10]) & set(w)) / 10 for i, w in zip(q, walked)]) > 0.97
+    few = descent.descend(x[:1], 12, 8, 4, 64, 8, 0.02)
+    assert (descent.links(few) == -1).all() and (descent.scanned(descent.for_scans(x[:3], sq[:3]), x[:1], np.array([0]), 5)[0] >= 0).sum() == 2
+
+
 def test_vectors_of_several_lengths(spark):
     """Every length is a table of its own: nearest and links within it."""
     rng = np.random.default_rng(5)
