@@ -138,7 +138,7 @@ def _backwards(near: np.ndarray, rank: np.ndarray, width: int) -> tuple[np.ndarr
     to 2**20) goes first."""
     n, wide = near.shape
     if n * wide > 1 << 25:
-        raise ValueError("a cell is too large")
+        raise ValueError(f"{n} lists of {wide} are too many for a key")
     key = near.ravel().astype(np.int64) << 45 | rank.ravel().astype(np.int64) << 25 | np.arange(n * wide)
     key = key[near.ravel() >= 0]
     key.sort()
@@ -201,11 +201,13 @@ def descend(x: np.ndarray, width: int, reverse: int, trees: int, bucket: int, ro
     """(n, width) entries: every vector's near neighbours, nearest first, with
     NONE where there are fewer. Rounds stop when few lists change."""
     n = len(x)
+    if n >= MOST:
+        raise ValueError(f"a cell of {n} vectors; it must be cut below {MOST}")
     sq = (x * x).sum(1)
     lists, rng = _first_lists(x, sq, width, trees, bucket), np.random.default_rng(11)
     for _ in range(rounds if n > 2 else 0):
         _round(x, sq, lists, reverse, rng)
-        if (lists & NEW != 0).sum() - (lists == NONE).sum() * int(bool(NONE & NEW)) <= settled * width * n:
+        if (lists & NEW != 0).sum() <= settled * width * n:
             break
     return lists
 
